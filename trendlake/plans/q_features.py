@@ -1 +1,49 @@
-"""Queries (filled in below)."""
+"""Feature, scoring and forecast queries on the event grid."""
+
+from __future__ import annotations
+
+from ..operators import features as feat
+from ..operators.forecast import forecast
+from ..schemas import N_LAGS
+from .catalog import register
+from .q_grid import _grid_sql, dense_daily_counts
+
+_LAGS = ", ".join(f"lag(count_mentions, {k}) OVER w AS lag_{k}" for k in range(1, N_LAGS + 1))
+_NOTNULL = " AND ".join(f"lag_{k} IS NOT NULL" for k in range(1, N_LAGS + 1))
+
+FEATURES_CTE = f"""
+grid AS ({_grid_sql("")}),
+f AS (SELECT entity_text AS group_id, published_date, count_mentions AS target, {_LAGS}
+      FROM grid WINDOW w AS (PARTITION BY entity_text ORDER BY published_date)),
+d AS (SELECT * FROM f WHERE {_NOTNULL}),
+feats AS (SELECT d.*, dense_rank() OVER (ORDER BY group_id) - 1 AS group_id_enc,
+          CAST(isodow(published_date) - 1 AS INTEGER) AS dayofweek,
+          CAST(dayofmonth(published_date) AS INTEGER) AS dayofmonth FROM d)"""
+
+
+@register("lag_features", f"WITH {FEATURES_CTE}\nSELECT * FROM feats",
+          "WIN1 FLT3 AGG8 PRJ9 PRJ10 PRJ11 ML1 Q10 Q12")
+def lag_features(spark, sf_dir):
+    return feat.lag_features(dense_daily_counts(spark, sf_dir))
+
+
+_SHIFT = ", ".join(["target AS lag_1"] + [f"lag_{k - 1} AS lag_{k}" for k in range(2, N_LAGS + 1)])
+
+
+@register("scoring_rows", f"""
+WITH {FEATURES_CTE},
+nd AS (SELECT max(published_date) + INTERVAL 1 DAY AS nd FROM feats),
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY published_date DESC) AS rn FROM feats) WHERE rn = 1)
+SELECT group_id, CAST((SELECT nd FROM nd) AS DATE) AS date, {_SHIFT}, group_id_enc,
+       CAST(isodow(CAST((SELECT nd FROM nd) AS DATE)) - 1 AS INTEGER) AS dayofweek,
+       CAST(dayofmonth(CAST((SELECT nd FROM nd) AS DATE)) AS INTEGER) AS dayofmonth
+FROM last
+""", "WIN2 WIN3 PRJ14 AGG6 AGG7 JON3 JON4")
+def scoring_rows(spark, sf_dir):
+    return feat.scoring_rows(feat.lag_features(dense_daily_counts(spark, sf_dir)))
+
+
+@register("forecast_next_day", None, "ML2 ML3 ML4 UDF3 PRJ15 FN13 SNK8")
+def forecast_next_day(spark, sf_dir):
+    """Boosted trees with the reference's settings (200 rounds, depth 5)."""
+    return forecast(dense_daily_counts(spark, sf_dir))
