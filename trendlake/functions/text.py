@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters Python's str.isspace() accepts; Java's \s alone is ASCII-only.
-_PY_SPACE_SET = r"\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_PY_SPACE_SET = r"\t\n\x{0b}\x{0c}\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _PY_SPACE = f"[{_PY_SPACE_SET}]"
 _PY_NONSPACE = f"[^{_PY_SPACE_SET}]"
 
@@ -57,7 +57,7 @@ def contains_any(c, needles) -> Column:
 
 def handle_from_href(href) -> Column:
     """Last path segment after cutting leading/trailing slashes."""
-    return F.element_at(F.split(strip_chars(href, "/"), "/"), -1)
+    return F.try_element_at(F.split(strip_chars(href, "/"), "/"), F.lit(-1))
 
 
 def is_handle_href(href) -> Column:

@@ -66,3 +66,46 @@ def doc_published_at(doc_id_col: str) -> F.Column:
     the id as an ISO instant in January 2024."""
     day = (F.col(doc_id_col) % 30 + 1).cast("int")
     return F.format_string("2024-01-%02dT%02d:30:00Z", day, (F.col(doc_id_col) % 24).cast("int"))
+
+
+# Post-date renderings of the feed fixture, chosen by event_id % 9: the
+# eight strptime formats of the collector and the year-less 'Mon d' form.
+FEED_DATE_PATTERNS = (
+    "yyyy-MM-dd'T'HH:mm:ss'.000Z'", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "M/d/yyyy", "MMM d",
+)
+FEED_DATE_PATTERNS_SQL = (
+    "%Y-%m-%dT%H:%M:%S.000Z", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d %H:%M:%S",
+    "%Y-%m-%d", "%b %-d, %Y", "%B %-d, %Y", "%-d %b %Y", "%-m/%-d/%Y", "%b %-d",
+)
+
+
+def _feed_ts():
+    # every 13th event carries a date 15 days older (a pinned/quoted post)
+    return F.when(F.col("event_id") % 13 == 0, F.col("ts") - F.expr("INTERVAL 15 DAYS")) \
+            .otherwise(F.col("ts"))
+
+
+def feed_date_text(event_id: str = "event_id"):
+    i = F.col(event_id) % len(FEED_DATE_PATTERNS)
+    out = None
+    for n, p in enumerate(FEED_DATE_PATTERNS):
+        out = (F.when(i == n, F.date_format(_feed_ts(), p)) if out is None
+               else out.when(i == n, F.date_format(_feed_ts(), p)))
+    return out
+
+
+def event_feed(events: DataFrame) -> DataFrame:
+    """FEED: each user's events as a timeline, newest first (pos = -event_id).
+    The post id is the payload's ``k`` (so copies repeat), none for errors;
+    views are reposts; sign-ups have empty content; dates use FEED_DATE_PATTERNS."""
+    return events.select(
+        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("source"),
+        (-F.col("event_id")).alias("pos"),
+        "event_id",
+        F.when(F.col("event_type") != "error", F.get_json_object("props", "$.k")).alias("post_id"),
+        (F.col("event_type") == "view").alias("is_repost"),
+        F.when(F.col("event_type") == "signup", F.lit(""))
+         .otherwise(F.concat(F.lit("post "), F.col("event_id").cast("string"))).alias("content"),
+        feed_date_text().alias("date_text"),
+    )

@@ -1 +1,166 @@
-"""Queries (filled in below)."""
+"""Page-extraction, id-cascade, handle and repost queries over stored pages
+and conversation text."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as tx
+from ..operators import pages as pg
+from ..schemas import (CONTENT_MAX_FALLBACK, CONTENT_MAX_PARTS, CONTENT_MIN_FALLBACK,
+                       POST_ID_ATTRS, POST_ID_HTML_PREFIX, POST_ID_MIN_TEXT,
+                       POST_ID_TEXT_HASH_LEN, POST_ID_TEXT_PREFIX, REPOST_CONTEXT_WORDS,
+                       REPOST_MARKER_ARIA, REPOST_MARKER_TESTIDS, REPOST_TEXT_PHRASES,
+                       STATUS_ID_MIN_DIGITS)
+from . import fixtures as fx
+from .catalog import register
+
+PAGE_MAX_EDGES = 4
+
+# ---- SQL forms of the same expressions (DuckDB) ----------------------------
+_SP = tx._PY_SPACE_SET
+
+
+def s_strip(x):
+    return f"regexp_replace({x}, '^[{_SP}]+|[{_SP}]+$', '', 'g')"
+
+
+def s_inner(x):
+    return f"regexp_replace({x}, '{pg.TAG}', '', 'g')"
+
+
+def s_ex(x, pat, g=1):
+    return f"regexp_extract({x}, '{pat}', {g})"
+
+
+def s_any(x, needles):
+    return "(" + " OR ".join(f"coalesce(strpos({x}, '{n}') > 0, false)" for n in needles) + ")"
+
+
+def s_nonempty(x):
+    return f"CASE WHEN {x} <> '' THEN {x} END"
+
+
+def s_content(el):
+    texts = (f"list_filter(list_transform(regexp_extract_all({el}, '{pg.PARA_TEXT}', 1), "
+             f"lambda t: {s_strip('t')}), lambda t: t <> '')")
+    whole = s_strip(s_inner(el))
+    return (f"coalesce(CASE WHEN len({texts}) > 0 THEN array_to_string(list_slice({texts}, 1, {CONTENT_MAX_PARTS}), ' ') END, "
+            f"CASE WHEN length({whole}) > {CONTENT_MIN_FALLBACK} THEN substring({whole}, 1, {CONTENT_MAX_FALLBACK}) END, '')")
+
+
+def s_date(el):
+    return (f"coalesce({s_nonempty(s_ex(el, pg.TIME_DATETIME))}, {s_nonempty(s_ex(el, pg.TIME_TITLE))}, "
+            f"{s_nonempty(s_strip(s_inner(s_ex(el, pg.TIME_TEXT))))}, '')")
+
+
+def s_post_id(el, tag):
+    hrefs = f"regexp_extract_all({el}, '{pg.HREF}', 1)"
+    sid = (f"list_filter(list_transform(list_filter({hrefs}, lambda h: strpos(h, '/status/') > 0), "
+           f"lambda h: split_part(string_split(h, '/status/')[-1], '?', 1)), "
+           f"lambda s: regexp_full_match(s, '[0-9]{{{STATUS_ID_MIN_DIGITS},}}'))[1]")
+    t = s_ex(el, pg.TIME_DATETIME)
+    attrs = ", ".join(f"CASE WHEN {s_ex(tag, a + '=\"([^\"]*)\"')} <> '' THEN '{a}_' || {s_ex(tag, a + '=\"([^\"]*)\"')} END"
+                      for a in POST_ID_ATTRS)
+    text = s_strip(s_inner(el))
+    return (f"coalesce({sid}, CASE WHEN {t} <> '' THEN 'time_' || {t} END, {attrs}, "
+            f"CASE WHEN {el} <> '' THEN 'hash_' || md5(substring({el}, 1, {POST_ID_HTML_PREFIX})) END, "
+            f"CASE WHEN length({text}) > {POST_ID_MIN_TEXT} THEN 'stable_' || "
+            f"substring(md5(substring({text}, 1, {POST_ID_TEXT_PREFIX})), 1, {POST_ID_TEXT_HASH_LEN}) END)")
+
+
+def s_repost(text, html=None):
+    flag = s_any(f"lower({text})", REPOST_TEXT_PHRASES)
+    if html is not None:
+        ctx = f"lower({s_ex(html, pg.SOCIAL_CONTEXT)})"
+        markers = [f'data-testid="{m}"' for m in REPOST_MARKER_TESTIDS]
+        aria = f"lower({s_ex(html, 'aria-label=\"([^\"]*)\"')})"
+        nested = f"len(regexp_extract_all({html}, 'data-testid=\"tweet\"', 0)) > 1"
+        flag = (f"({flag} OR {s_any(ctx, REPOST_CONTEXT_WORDS)} OR {s_any(html, markers)} "
+                f"OR {s_any(aria, REPOST_MARKER_ARIA)} OR {nested})")
+    return flag
+
+
+def s_handle(href):
+    return f"string_split(regexp_replace({href}, '^[/]+|[/]+$', '', 'g'), '/')[-1]"
+
+
+_EL = f"regexp_extract(html, '{pg.ARTICLE}', 1)"
+_TAG = "regexp_extract(html, '(<article[^>]*>)', 1)"
+
+
+@register("page_extract", f"""
+SELECT page_id,
+  {s_strip(s_inner(s_ex('html', pg.TITLE)))} AS title,
+  {s_strip(s_inner(s_ex('html', pg.H1)))} AS heading,
+  {s_content(_EL)} AS content,
+  {s_date(_EL)} AS date_text,
+  {s_post_id(_EL, _TAG)} AS post_id,
+  {s_repost(s_inner(_EL), _EL)} AS is_repost,
+  CAST(len(regexp_extract_all(html, '{pg.HREF}', 1)) AS INTEGER) AS n_links
+FROM pages
+""", "UDF4 SRC10 FN20 FN21 FN15 FN14 FLT12 FLT10 FLT9")
+def page_extract(spark, sf_dir):
+    return pg.page_posts(fx.table(spark, sf_dir, "pages"))
+
+
+@register("post_id_cascade", f"""
+SELECT page_id, {s_post_id(_EL, _TAG)} AS post_id, {s_post_id('html', "''")} AS page_post_id
+FROM pages
+""", "FN14 FN15 FLT12 Q20")
+def post_id_cascade(spark, sf_dir):
+    p = fx.table(spark, sf_dir, "pages")
+    art = pg.element_of("html")
+    tag = F.regexp_extract("html", r"(<article[^>]*>)", 1)
+    return p.select("page_id", pg.post_id(art, tag).alias("post_id"),
+                    pg.post_id(F.col("html"), F.lit("")).alias("page_post_id"))
+
+
+@register("repost_flag", f"""
+SELECT conv_id, turn, {s_repost('text')} AS is_repost FROM conversations
+""", "FLT10 FN22")
+def repost_flag(spark, sf_dir):
+    c = fx.table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", pg.repost_flag(F.col("text")).alias("is_repost"))
+
+
+_URL_HANDLE = s_handle("regexp_replace(url, '^[a-z]+://[^/]*', '', 'g')")
+
+
+@register("clean_handles", f"""
+SELECT page_id, {_URL_HANDLE} AS handle,
+  regexp_replace(translate(replace({_URL_HANDLE}, '@', ''), ' /\\', '___'), '[^\\p{{L}}\\p{{N}}_-]', '', 'g') AS file_name
+FROM pages
+""", "FN16 FN18 SNK10 naming")
+def clean_handles(spark, sf_dir):
+    return pg.page_accounts(fx.table(spark, sf_dir, "pages"))
+
+
+_LINKS_CTE = f"""
+a AS (SELECT page_id, unnest(regexp_extract_all(html, '{pg.LINK}', 0)) AS a,
+             unnest(range(len(regexp_extract_all(html, '{pg.LINK}', 0)))) AS pos FROM pages),
+l AS (SELECT page_id, pos, {s_ex('a', pg.LINK, 1)} AS href,
+             {s_strip(s_inner(s_ex('a', pg.LINK, 2)))} AS text FROM a),
+h AS (SELECT *, {s_handle('href')} AS handle FROM l
+      WHERE strpos(href, '/') > 0 AND strpos(href, '/status/') = 0
+        AND {s_handle('href')} <> '' AND NOT starts_with({s_handle('href')}, 'http'))"""
+
+_CLEANED = s_strip(f"replace({s_strip('text')}, '·', '')")
+
+
+@register("page_edges", f"""
+WITH {_LINKS_CTE},
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, handle ORDER BY pos) AS r FROM h) WHERE r = 1),
+c AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM d)
+SELECT page_id, 'following' AS direction, handle, rn,
+  coalesce(CASE WHEN {s_strip('text')} <> '' AND NOT starts_with(text, '@') AND {_CLEANED} <> handle
+           THEN {_CLEANED} END, handle) AS name
+FROM c WHERE rn <= {PAGE_MAX_EDGES}
+""", "PRJ18 WIN7 FLT13 FLT14 FN16 FN19")
+def page_edges(spark, sf_dir):
+    return pg.page_edges(fx.table(spark, sf_dir, "pages"), PAGE_MAX_EDGES)
+
+
+@register("page_parse", None, "UDF4 parser form")
+def page_parse(spark, sf_dir):
+    return pg.parse_pages(fx.table(spark, sf_dir, "pages"))
