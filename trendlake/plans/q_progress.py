@@ -1 +1,131 @@
-"""Queries (filled in below)."""
+"""Progress, backlog and pipeline-report queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import progress, reports
+from ..schemas import DEFAULT_SOURCES
+from . import fixtures as fx
+from .catalog import register
+
+LOG_CTE = f"""
+log AS (SELECT CASE WHEN event_type IN ('click', 'view') THEN 'news-topic' ELSE 'tweets-topic' END AS topic,
+  CAST(user_id % {fx.LOG_PARTITIONS} AS INTEGER) AS partition, event_id AS "offset", ts FROM events)"""
+OLD_CTE = f"""old AS (SELECT topic, partition, max("offset") + 1 AS next_offset FROM log
+  WHERE ts < TIMESTAMP '{fx.PROGRESS_CUTOFF}' GROUP BY topic, partition)"""
+NEW_CTE = f"""new AS (SELECT topic, partition, max("offset") + 1 AS next_offset FROM log
+  WHERE ts >= TIMESTAMP '{fx.PROGRESS_CUTOFF}' AND partition IN (0, 1) GROUP BY topic, partition)"""
+
+
+def _log(spark, sf_dir):
+    return fx.event_log(fx.table(spark, sf_dir, "events"))
+
+
+def _old_new(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    cut = F.lit(fx.PROGRESS_CUTOFF).cast("timestamp_ntz")
+    old = progress.next_offsets(log.where(F.col("ts") < cut))
+    new = progress.next_offsets(log.where((F.col("ts") >= cut) & F.col("partition").isin(0, 1)))
+    return log, old, new
+
+
+@register("progress_offsets", f"""
+WITH {LOG_CTE}
+SELECT topic, partition, max("offset") + 1 AS next_offset FROM log GROUP BY topic, partition
+""", "AGG9 PRJ12 PRJ16 SNK9 Q7")
+def progress_offsets(spark, sf_dir):
+    return progress.next_offsets(_log(spark, sf_dir))
+
+
+@register("progress_merge", f"""
+WITH {LOG_CTE}, {OLD_CTE}, {NEW_CTE}
+SELECT coalesce(new.topic, old.topic) AS topic, coalesce(new.partition, old.partition) AS partition,
+       coalesce(new.next_offset, old.next_offset) AS next_offset
+FROM old FULL OUTER JOIN new ON old.topic = new.topic AND old.partition = new.partition
+""", "JON5 SRC8 Q8")
+def progress_merge(spark, sf_dir):
+    _, old, new = _old_new(spark, sf_dir)
+    return progress.merge_offsets(old, new)
+
+
+@register("topic_lag", f"""
+WITH {LOG_CTE}, {OLD_CTE},
+ends AS (SELECT topic, partition, max("offset") + 1 AS next_offset FROM log GROUP BY topic, partition)
+SELECT ends.topic AS topic, sum(greatest(ends.next_offset - coalesce(old.next_offset, 0), 0)) AS lag
+FROM ends LEFT JOIN old ON ends.topic = old.topic AND ends.partition = old.partition
+GROUP BY ends.topic
+""", "AGG13")
+def topic_lag(spark, sf_dir):
+    log, old, _ = _old_new(spark, sf_dir)
+    return progress.backlog_per_topic(progress.backlog(progress.next_offsets(log), old))
+
+
+@register("rows_per_topic", f"""
+WITH {LOG_CTE}
+SELECT topic, COUNT(*) AS rows FROM log GROUP BY topic
+""", "AGG10 FLT5")
+def rows_per_topic(spark, sf_dir):
+    return reports.rows_per_topic(_log(spark, sf_dir))
+
+
+_SOURCES_SQL = ", ".join(f"('{s}')" for s in DEFAULT_SOURCES)
+SOURCE_STATUS_CTE = f"""
+srcs AS (SELECT DISTINCT source FROM (SELECT source FROM documents UNION ALL SELECT * FROM (VALUES {_SOURCES_SQL}) v(source))),
+cnt AS (SELECT source, COUNT(*) AS docs FROM documents WHERE length(trim(text)) > 0 GROUP BY source),
+status AS (SELECT srcs.source AS source, coalesce(cnt.docs, 0) AS docs, coalesce(cnt.docs, 0) > 0 AS ok
+           FROM srcs LEFT JOIN cnt ON srcs.source = cnt.source)"""
+
+
+def _source_status(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents")
+    listed = spark.createDataFrame([(s,) for s in DEFAULT_SOURCES], "source string")
+    srcs = docs.select("source").unionByName(listed).distinct()
+    cnt = (docs.where(F.length(F.trim("text")) > 0).groupBy("source")
+           .agg(F.count(F.lit(1)).alias("docs")))
+    j = srcs.join(cnt, "source", "left")
+    return j.select("source", F.coalesce("docs", F.lit(0)).alias("docs"),
+                    (F.coalesce("docs", F.lit(0)) > 0).alias("ok"))
+
+
+@register("source_status", f"WITH {SOURCE_STATUS_CTE}\nSELECT * FROM status",
+          "SRC9 Q15 ingest status")
+def source_status(spark, sf_dir):
+    return _source_status(spark, sf_dir)
+
+
+@register("ingest_summary", f"""
+WITH {SOURCE_STATUS_CTE}
+SELECT COUNT(*) AS total_sources, count_if(ok) AS successful, count_if(NOT ok) AS failed FROM status
+""", "AGG11 Q15")
+def ingest_summary(spark, sf_dir):
+    return reports.ingest_summary(_source_status(spark, sf_dir))
+
+
+@register("run_success", """
+WITH runs AS (SELECT CAST(ts AS DATE) AS run_date, CAST(event_type <> 'error' AS INTEGER) AS ok,
+  (epoch_us(ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT))) - epoch_us(ts)) / 1e6 AS duration_s
+  FROM events)
+SELECT run_date, COUNT(*) AS runs, round(avg(ok), 6) AS success_rate,
+  round(avg(duration_s), 3) AS avg_duration_s, round(max(duration_s), 3) AS max_duration_s,
+  round(quantile_cont(duration_s, 0.5), 3) AS median_duration_s
+FROM runs GROUP BY run_date
+""", "AGG14 AGG15")
+def run_success(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events")
+    micros = F.round(F.col("value") * 1_000_000).cast("long")
+    runs = ev.select(
+        F.col("ts").cast("timestamp").alias("started_at"),
+        F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + micros).alias("ended_at"),
+        (F.col("event_type") != "error").alias("ok"))
+    return reports.run_report(runs)
+
+
+@register("top_headlines", """
+SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents
+WHERE lang = 'en' ORDER BY doc_id LIMIT 10
+""", "SRT4 SRT3")
+def top_headlines(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents")
+    return (d.where(F.col("lang") == "en").orderBy("doc_id").limit(10)
+            .select("doc_id", F.split(F.col("text"), "\n").getItem(0).alias("title")))
