@@ -49,7 +49,7 @@ DATES_CTE = "dates AS (SELECT DISTINCT CAST(ts AS DATE) AS the_date FROM events)
 ALLOWED = _allowed_sql(fx.EVENT_ALLOWED_TYPES)
 
 # Import the query modules so they register themselves.
-from . import q_grid, q_text, q_features, q_feeds, q_pages, q_progress  # noqa: E402,F401
+from . import q_grid, q_text, q_features, q_feeds, q_pages, q_progress, q_stream  # noqa: E402,F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
