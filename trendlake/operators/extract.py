@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import to_date_text
 
@@ -89,19 +90,25 @@ def tokens(text) -> Column:
 
 
 def _window_of(toks: Column, n: int):
-    # one-argument lambda: PySpark reads a two-argument one as (element, index)
-    return lambda i: F.array_join(F.slice(toks, i, n), " ")
+    # one-argument lambda (PySpark reads a two-argument one as (element,
+    # index)); n direct element reads, no intermediate array per window
+    return lambda i: F.concat_ws(" ", *[F.get(toks, i + k) for k in range(n)])
 
 
-def token_ngrams(toks, max_n: int) -> Column:
-    """All 1..max_n-token windows of a token-array column. Pass a column
-    reference (not the tokenizing expression) so tokens are computed once."""
+def token_ngrams(toks, lengths) -> Column:
+    """All windows of the given token counts over a token-array column. Pass
+    a column reference (not the tokenizing expression) so tokens are
+    computed once."""
     toks = _c(toks)
+    lengths = range(1, lengths + 1) if isinstance(lengths, int) else sorted(set(lengths))
     parts = []
-    for n in range(1, max_n + 1):
-        grams = F.transform(F.sequence(F.lit(1), F.size(toks) - n + 1), _window_of(toks, n))
+    for n in lengths:
+        if n == 1:
+            parts.append(toks)
+            continue
+        grams = F.transform(F.sequence(F.lit(0), F.size(toks) - n), _window_of(toks, n))
         parts.append(F.when(F.size(toks) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return F.flatten(F.array(*parts))
+    return parts[0] if len(parts) == 1 else F.flatten(F.array(*parts))
 
 
 def gazetteer_mentions(docs: DataFrame, terms: DataFrame, text_col: str,
@@ -115,9 +122,13 @@ def gazetteer_mentions(docs: DataFrame, terms: DataFrame, text_col: str,
     """
     terms = terms.select(F.col("term").alias("_term"), F.col("label").alias("entity_type"))
     if max_n is None:
-        max_n = terms.agg(F.max(F.size(F.split("_term", " ")))).first()[0] or 1
+        # term lengths present (a handful of small ints): only those windows
+        lengths = [r[0] for r in terms.select(F.size(F.split("_term", " ")).alias("n"))
+                   .distinct().collect()] or [1]
+    else:
+        lengths = list(range(1, max_n + 1))
     toks = docs.select(*keep, tokens(text_col).alias("_toks"))
-    grams = toks.select(*keep, F.explode(token_ngrams("_toks", max_n)).alias("_gram"))
+    grams = toks.select(*keep, F.explode(token_ngrams("_toks", lengths)).alias("_gram"))
     n_terms = terms.count()
     side = F.broadcast(terms) if n_terms <= broadcast_max else terms
     return (grams.join(side, grams["_gram"] == side["_term"], "inner")
@@ -175,7 +186,8 @@ def model_entities(df: DataFrame, text_col: str, model: str = "pattern",
                    out_col: str = "entities") -> DataFrame:
     """Append ``out_col`` (array<struct<entity,type>>) using a Python model,
     one Arrow batch at a time; one Python stage in the plan."""
-    schema = df.schema.add(out_col, "array<struct<entity:string,type:string>>")
+    from ..schemas import ENTITY_ARRAY
+    schema = T.StructType(df.schema.fields + [T.StructField(out_col, ENTITY_ARRAY)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = load_model(model)

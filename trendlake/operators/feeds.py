@@ -50,11 +50,19 @@ def number_within(feed: DataFrame, keys, pos: str = "pos", out: str = "rn") -> D
     return feed.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(pos)))
 
 
-def cap_within(feed: DataFrame, keys, cap, pos: str = "pos", out: str = "rn") -> DataFrame:
-    """First ``cap`` rows of each key group in ``pos`` order (``cap`` may be
-    a column, e.g. a per-kind limit)."""
-    cap_c = cap if isinstance(cap, F.Column) else F.lit(int(cap))
-    return number_within(feed, keys, pos, out).where(F.col(out) <= cap_c)
+def cap_within(feed: DataFrame, keys, cap, pos: str = "pos", out: str = "rn",
+               bound: int | None = None) -> DataFrame:
+    """First ``cap`` rows of each key group in ``pos`` order. ``cap`` may be
+    a column (e.g. a per-kind limit); then ``bound`` (its largest value) is
+    added as a literal conjunct so Spark can still plan a partial
+    WindowGroupLimit before the shuffle."""
+    if isinstance(cap, F.Column):
+        cond = F.col(out) <= cap
+        if bound is not None:
+            cond = (F.col(out) <= F.lit(int(bound))) & cond
+    else:
+        cond = F.col(out) <= F.lit(int(cap))
+    return number_within(feed, keys, pos, out).where(cond)
 
 
 def take_while(feed: DataFrame, stop, source: str = "source", pos: str = "pos") -> DataFrame:
@@ -81,7 +89,7 @@ def apply_feed_rules(feed: DataFrame, *, max_posts: int = DEFAULT_MAX_POSTS,
     keep = (F.col("kind") == "repost") | (F.coalesce(F.col(content), F.lit("")) != "")
     df = df.where(keep)
     cap = F.when(F.col("kind") == "repost", F.lit(max_reposts)).otherwise(F.lit(max_posts))
-    cand = number_within(df, [source, "kind"], pos).where(F.col("rn") <= cap)
+    cand = cap_within(df, [source, "kind"], cap, pos, bound=max(max_posts, max_reposts))
     # candidates are bounded per source: the stop scan is small
     flag = (F.col("kind") == "post") & stop_flag(F.col(date_text), stop_date, as_of_year)
     w = Window.partitionBy(source).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)

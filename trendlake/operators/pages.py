@@ -133,17 +133,24 @@ def repost_flag(text, html=None) -> Column:
 def page_posts(pages: DataFrame) -> DataFrame:
     """One candidate post per page: (page_id, title, heading, content,
     date_text, post_id, is_repost, n_links)."""
-    art = element_of("html")
-    open_tag = F.regexp_extract("html", r"(<article[^>]*>)", 1)
-    return pages.select(
+    # the element is cut out once and then read by every field (an
+    # expensive expression used many times is not collapsed back in)
+    staged = pages.select(
         "page_id",
         py_strip(inner_text(F.regexp_extract("html", TITLE, 1))).alias("title"),
         py_strip(inner_text(F.regexp_extract("html", H1, 1))).alias("heading"),
+        F.size(F.regexp_extract_all("html", F.lit(HREF), 1)).alias("n_links"),
+        element_of("html").alias("_art"),
+        F.regexp_extract("html", r"(<article[^>]*>)", 1).alias("_tag"),
+    )
+    art = F.col("_art")
+    return staged.select(
+        "page_id", "title", "heading",
         content_text(art).alias("content"),
         date_text(art).alias("date_text"),
-        post_id(art, open_tag).alias("post_id"),
+        post_id(art, F.col("_tag")).alias("post_id"),
         repost_flag(inner_text(art), art).alias("is_repost"),
-        F.size(F.regexp_extract_all("html", F.lit(HREF), 1)).alias("n_links"),
+        "n_links",
     )
 
 

@@ -75,7 +75,8 @@ WHERE rn <= CASE WHEN is_repost THEN {fx.FEED_MAX_REPOSTS} ELSE {fx.FEED_MAX_POS
 def feed_cap(spark, sf_dir):
     f = _feed(spark, sf_dir)
     cap = F.when(F.col("is_repost"), F.lit(fx.FEED_MAX_REPOSTS)).otherwise(F.lit(fx.FEED_MAX_POSTS))
-    return feeds.cap_within(f, ["source", "is_repost"], cap).select("source", "is_repost", "event_id", "rn")
+    return feeds.cap_within(f, ["source", "is_repost"], cap,
+                           bound=max(fx.FEED_MAX_POSTS, fx.FEED_MAX_REPOSTS)).select("source", "is_repost", "event_id", "rn")
 
 
 def _rules_sql(max_posts: int, max_reposts: int) -> str:
