@@ -111,3 +111,10 @@ def descriptive_text_or_null(c) -> Column:
     c = _c(c)
     ok = (F.length(c) > 5) & ~c.startswith("@") & (F.instr(c, "Follow") == 0)
     return F.when(F.coalesce(ok, F.lit(False)), py_strip(c))
+
+
+def content_key(html, text, n: int = 16) -> Column:
+    """Deterministic content key of an element: first ``n`` hex digits of
+    md5(html + text) (the reference's variant also mixed in the clock)."""
+    return F.substring(F.md5(F.concat(F.coalesce(_c(html), F.lit("")),
+                                      F.coalesce(_c(text), F.lit("")))), 1, n)

@@ -100,3 +100,12 @@ def apply_feed_rules(feed: DataFrame, *, max_posts: int = DEFAULT_MAX_POSTS,
 def split_kinds(emitted: DataFrame):
     """(posts, reposts) of the emitted rows."""
     return (emitted.where(F.col("kind") == "post"), emitted.where(F.col("kind") == "repost"))
+
+
+def dedupe_by_content(df: DataFrame, html: str = "html", pos: str = "pos",
+                      keys=()) -> DataFrame:
+    """First row per (keys..., hash of the element HTML): the repost-page
+    variant of dedupe. The 64-bit hash is the grouping key, so equal markup
+    is grouped without shipping the markup itself through the shuffle."""
+    h = df.withColumn("_h", F.xxhash64(F.col(html)))
+    return dedupe_first(h, [*keys, "_h"], pos).drop("_h")

@@ -164,3 +164,13 @@ def page_edges(spark, sf_dir):
 @register("page_parse", None, "UDF4 parser form")
 def page_parse(spark, sf_dir):
     return pg.parse_pages(fx.table(spark, sf_dir, "pages"))
+
+
+@register("page_dedupe", """
+SELECT min(page_id) AS page_id, count(*) AS copies FROM pages GROUP BY html
+""", "WIN8 FN23")
+def page_dedupe(spark, sf_dir):
+    """First page per distinct markup (grouped by a 64-bit hash of it)."""
+    p = fx.table(spark, sf_dir, "pages").select("page_id", F.xxhash64("html").alias("h"))
+    return p.groupBy("h").agg(F.min("page_id").alias("page_id"),
+                              F.count(F.lit(1)).alias("copies")).drop("h")

@@ -46,8 +46,12 @@ def read_dates(spark, path: str, mode: str = "cumulative") -> DataFrame:
     return d.select("the_date").distinct()
 
 
-def write_counts_csv(counts: DataFrame, path: str) -> None:
-    """Dense counts as header CSV (hand-off for external tools)."""
+def write_counts_csv(counts: DataFrame, path: str, sort: bool = False) -> None:
+    """Dense counts as header CSV (hand-off for external tools). ``sort``
+    orders the files by (entity, date) with a distributed range sort - only
+    for consumers that need it; the pipeline itself never relies on order."""
+    if sort:
+        counts = counts.orderBy("entity_text", "published_date")
     counts.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
 
 
