@@ -168,7 +168,7 @@ def page_parse(spark, sf_dir):
 
 @register("page_dedupe", """
 SELECT min(page_id) AS page_id, count(*) AS copies FROM pages GROUP BY html
-""", "WIN8 FN23")
+""", "WIN8")
 def page_dedupe(spark, sf_dir):
     """First page per distinct markup (grouped by a 64-bit hash of it)."""
     p = fx.table(spark, sf_dir, "pages").select("page_id", F.xxhash64("html").alias("h"))
