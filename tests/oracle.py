@@ -42,6 +42,24 @@ def _norm(v):
     return v
 
 
+# Spark type -> DuckDB type name that must come out of the oracle SQL
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "StringType": "VARCHAR",
+                 "DateType": "DATE", "BooleanType": "BOOLEAN", "DoubleType": "DOUBLE",
+                 "TimestampType": "TIMESTAMP WITH TIME ZONE", "TimestampNTZType": "TIMESTAMP"}
+
+
+def type_mismatches(sdf, con, sql):
+    rel = con.sql(sql)
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+        got = duck_types.get(f.name)
+        if got != want:
+            out.append((f.name, type(f.dataType).__name__, got))
+    return out
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
@@ -72,6 +90,10 @@ def compare(spark, sf_dir: str, name: str, con=None):
         diff = [x for x in a if x not in set(b)][:3] if len(a) < 200000 else []
         out.update(ok=False, why=f"values differ; spark-only sample {diff}")
         return out
+    bad_types = type_mismatches(sdf, con, q.sql)
+    if bad_types:
+        out.update(ok=False, why=f"types differ {bad_types}")
+        return out
     out["ok"] = True
     return out
 

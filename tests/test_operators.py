@@ -127,3 +127,13 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark):
     write_mentions(spark.read.parquet(copy), out + "/m", 0)
     assert spark.read.parquet(out + "/m").count() == first
     assert read_dates(spark, out + "/d").count() >= read_dates(spark, out + "/d", "replace").count()
+
+
+def test_fast_pattern_path_equals_entity_array_path(spark):
+    from trendlake.operators.extract import flatten_mentions, pattern_entities, pattern_mentions
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select(
+        "doc_id", "text", F.lit("2024-01-02T00:00:00Z").alias("d"))
+    a = pattern_mentions(docs, "text", "d", extra=("doc_id",))
+    b = flatten_mentions(docs.withColumn("entities", pattern_entities("text")), "d", extra=("doc_id",))
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -81,34 +81,41 @@ def flatten_mentions(df: DataFrame, date_col: str, entities_col: str = "entities
     )
 
 
+def pattern_mentions(df: DataFrame, text_col: str, date_col: str, extra=()) -> DataFrame:
+    """Fast path of ``pattern_entities`` + ``flatten_mentions``: the matches
+    are exploded as plain strings and labelled afterwards, so no lambda
+    (interpreted) and no per-row struct array is built. Same rows."""
+    found = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(ENTITY_PATTERN), 0)
+    e = df.select(*extra, to_date_text(date_col).alias("published_date"),
+                  F.explode_outer(found).alias("_m"))
+    m = F.col("_m")
+    return e.where(m.isNotNull()).select(
+        *extra, F.lower(m).alias("entity_text"), _label(m).alias("entity_type"), "published_date")
+
+
 # ---- gazetteer -------------------------------------------------------------
+# Tokens are ASCII word runs, so lower-casing the space-joined tokens equals
+# lower-casing each token; n-grams are then read from that one string.
 
-def tokens(text) -> Column:
-    """Lower-cased ASCII word tokens of the text."""
-    return F.transform(F.regexp_extract_all(F.coalesce(_c(text), F.lit("")),
-                                            F.lit(TOKEN_PATTERN), 0), lambda t: F.lower(t))
+def token_text(text) -> Column:
+    """The text's ASCII word tokens, lower-cased, joined by single spaces."""
+    toks = F.regexp_extract_all(F.coalesce(_c(text), F.lit("")), F.lit(TOKEN_PATTERN), 0)
+    return F.lower(F.array_join(toks, " "))
 
 
-def _window_of(toks: Column, n: int):
-    # one-argument lambda (PySpark reads a two-argument one as (element,
-    # index)); n direct element reads, no intermediate array per window
-    return lambda i: F.concat_ws(" ", *[F.get(toks, i + k) for k in range(n)])
+def _ngram_regex(n: int) -> str:
+    # zero-width match at every token start, capturing the next n tokens
+    body = " ".join(["[a-z0-9_]+"] * n)
+    return f"(?<![a-z0-9_])(?=({body}))"
 
 
-def token_ngrams(toks, lengths) -> Column:
-    """All windows of the given token counts over a token-array column. Pass
-    a column reference (not the tokenizing expression) so tokens are
-    computed once."""
-    toks = _c(toks)
+def token_ngrams(joined, lengths) -> Column:
+    """All windows of the given token counts over a ``token_text`` column
+    (pass the column, so tokenizing runs once)."""
+    joined = _c(joined)
     lengths = range(1, lengths + 1) if isinstance(lengths, int) else sorted(set(lengths))
-    parts = []
-    for n in lengths:
-        if n == 1:
-            parts.append(toks)
-            continue
-        grams = F.transform(F.sequence(F.lit(0), F.size(toks) - n), _window_of(toks, n))
-        parts.append(F.when(F.size(toks) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return parts[0] if len(parts) == 1 else F.flatten(F.array(*parts))
+    parts = [F.regexp_extract_all(joined, F.lit(_ngram_regex(n)), 1) for n in lengths]
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
 def gazetteer_mentions(docs: DataFrame, terms: DataFrame, text_col: str,
@@ -127,7 +134,7 @@ def gazetteer_mentions(docs: DataFrame, terms: DataFrame, text_col: str,
                    .distinct().collect()] or [1]
     else:
         lengths = list(range(1, max_n + 1))
-    toks = docs.select(*keep, tokens(text_col).alias("_toks"))
+    toks = docs.select(*keep, token_text(text_col).alias("_toks"))
     grams = toks.select(*keep, F.explode(token_ngrams("_toks", lengths)).alias("_gram"))
     n_terms = terms.count()
     side = F.broadcast(terms) if n_terms <= broadcast_max else terms

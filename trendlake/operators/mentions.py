@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import to_date_text
 from ..schemas import NEWS_SCHEMA, POST_SCHEMA
 from .clean import clean_news, parse_json_column
-from .extract import flatten_mentions, model_entities, pattern_entities
+from .extract import flatten_mentions, model_entities, pattern_entities, pattern_mentions
 
 
 def _with_entities(df: DataFrame, text_col: str, extractor: str) -> DataFrame:
@@ -22,12 +22,16 @@ def _with_entities(df: DataFrame, text_col: str, extractor: str) -> DataFrame:
 def news_mentions(news: DataFrame, extractor: str = "pattern", extra=()) -> DataFrame:
     """Parsed articles -> mentions (entities of title + description + content,
     dated by publishedAt)."""
+    if extractor == "pattern":
+        return pattern_mentions(clean_news(news), "full_text", "publishedAt", extra)
     df = _with_entities(clean_news(news), "full_text", extractor)
     return flatten_mentions(df, "publishedAt", extra=extra)
 
 
 def post_mentions(posts: DataFrame, extractor: str = "pattern", extra=()) -> DataFrame:
     """Parsed posts -> mentions (entities of the post text, dated by its date)."""
+    if extractor == "pattern":
+        return pattern_mentions(posts, "tweet_content", "tweet_date", extra)
     df = _with_entities(posts, "tweet_content", extractor)
     return flatten_mentions(df, "tweet_date", extra=extra)
 

@@ -68,7 +68,7 @@ def feed_dedupe(spark, sf_dir):
 
 @register("feed_cap", f"""
 WITH {FEED_CTE}
-SELECT source, is_repost, event_id, rn FROM (
+SELECT source, is_repost, event_id, CAST(rn AS INTEGER) AS rn FROM (
   SELECT *, row_number() OVER (PARTITION BY source, is_repost ORDER BY pos) AS rn FROM feed)
 WHERE rn <= CASE WHEN is_repost THEN {fx.FEED_MAX_REPOSTS} ELSE {fx.FEED_MAX_POSTS} END
 """, "WIN6")
@@ -91,7 +91,7 @@ n AS (SELECT *, row_number() OVER (PARTITION BY source, kind ORDER BY pos) AS rn
 cap AS (SELECT *, rn <= CASE WHEN kind = 'repost' THEN {max_reposts} ELSE {max_posts} END AS in_cap FROM n),
 s AS (SELECT *, max(CASE WHEN kind = 'post' AND in_cap AND parsed <= DATE '{fx.FEED_STOP_DATE}' THEN 1 ELSE 0 END)
       OVER (PARTITION BY source ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS st FROM cap)
-SELECT source, event_id, kind, rn FROM s WHERE st = 0 AND in_cap
+SELECT source, event_id, kind, CAST(rn AS INTEGER) AS rn FROM s WHERE st = 0 AND in_cap
 """
 
 

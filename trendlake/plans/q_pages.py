@@ -152,7 +152,7 @@ _CLEANED = s_strip(f"replace({s_strip('text')}, '·', '')")
 WITH {_LINKS_CTE},
 d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, handle ORDER BY pos) AS r FROM h) WHERE r = 1),
 c AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM d)
-SELECT page_id, 'following' AS direction, handle, rn,
+SELECT page_id, 'following' AS direction, handle, CAST(rn AS INTEGER) AS rn,
   coalesce(CASE WHEN {s_strip('text')} <> '' AND NOT starts_with(text, '@') AND {_CLEANED} <> handle
            THEN {_CLEANED} END, handle) AS name
 FROM c WHERE rn <= {PAGE_MAX_EDGES}

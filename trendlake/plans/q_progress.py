@@ -52,7 +52,7 @@ def progress_merge(spark, sf_dir):
 @register("topic_lag", f"""
 WITH {LOG_CTE}, {OLD_CTE},
 ends AS (SELECT topic, partition, max("offset") + 1 AS next_offset FROM log GROUP BY topic, partition)
-SELECT ends.topic AS topic, sum(greatest(ends.next_offset - coalesce(old.next_offset, 0), 0)) AS lag
+SELECT ends.topic AS topic, CAST(sum(greatest(ends.next_offset - coalesce(old.next_offset, 0), 0)) AS BIGINT) AS lag
 FROM ends LEFT JOIN old ON ends.topic = old.topic AND ends.partition = old.partition
 GROUP BY ends.topic
 """, "AGG13")
@@ -96,7 +96,8 @@ def source_status(spark, sf_dir):
 
 @register("ingest_summary", f"""
 WITH {SOURCE_STATUS_CTE}
-SELECT COUNT(*) AS total_sources, count_if(ok) AS successful, count_if(NOT ok) AS failed FROM status
+SELECT COUNT(*) AS total_sources, CAST(count_if(ok) AS BIGINT) AS successful,
+       CAST(count_if(NOT ok) AS BIGINT) AS failed FROM status
 """, "AGG11 Q15")
 def ingest_summary(spark, sf_dir):
     return reports.ingest_summary(_source_status(spark, sf_dir))
