@@ -98,9 +98,10 @@ def pattern_mentions(df: DataFrame, text_col: str, date_col: str, extra=()) -> D
 # lower-casing each token; n-grams are then read from that one string.
 
 def token_text(text) -> Column:
-    """The text's ASCII word tokens, lower-cased, joined by single spaces."""
-    toks = F.regexp_extract_all(F.coalesce(_c(text), F.lit("")), F.lit(TOKEN_PATTERN), 0)
-    return F.lower(F.array_join(toks, " "))
+    """The text's ASCII word tokens, lower-cased, joined by single spaces
+    (every run of non-token characters becomes one space; one regex pass)."""
+    sep = F.regexp_replace(F.coalesce(_c(text), F.lit("")), "[^A-Za-z0-9_]+", " ")
+    return F.lower(F.trim(sep))
 
 
 def _ngram_regex(n: int) -> str:
@@ -114,7 +115,9 @@ def token_ngrams(joined, lengths) -> Column:
     (pass the column, so tokenizing runs once)."""
     joined = _c(joined)
     lengths = range(1, lengths + 1) if isinstance(lengths, int) else sorted(set(lengths))
-    parts = [F.regexp_extract_all(joined, F.lit(_ngram_regex(n)), 1) for n in lengths]
+    empty = F.array().cast("array<string>")
+    parts = [F.when(joined == "", empty).otherwise(F.split(joined, " ")) if n == 1
+             else F.regexp_extract_all(joined, F.lit(_ngram_regex(n)), 1) for n in lengths]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
@@ -128,15 +131,13 @@ def gazetteer_mentions(docs: DataFrame, terms: DataFrame, text_col: str,
     table (one small aggregate job); beyond the limit a shuffle join is used.
     """
     terms = terms.select(F.col("term").alias("_term"), F.col("label").alias("entity_type"))
-    if max_n is None:
-        # term lengths present (a handful of small ints): only those windows
-        lengths = [r[0] for r in terms.select(F.size(F.split("_term", " ")).alias("n"))
-                   .distinct().collect()] or [1]
-    else:
-        lengths = list(range(1, max_n + 1))
+    # one small aggregate answers both checks: which term lengths occur (only
+    # those windows are generated) and how many terms there are (broadcast?)
+    stats = terms.groupBy(F.size(F.split("_term", " ")).alias("n")).count().collect()
+    n_terms = sum(r["count"] for r in stats)
+    lengths = list(range(1, max_n + 1)) if max_n else sorted(r["n"] for r in stats) or [1]
     toks = docs.select(*keep, token_text(text_col).alias("_toks"))
     grams = toks.select(*keep, F.explode(token_ngrams("_toks", lengths)).alias("_gram"))
-    n_terms = terms.count()
     side = F.broadcast(terms) if n_terms <= broadcast_max else terms
     return (grams.join(side, grams["_gram"] == side["_term"], "inner")
             .select(*keep, F.col("_gram").alias("entity_text"), "entity_type"))

@@ -1,56 +1,18 @@
-"""Registered queries: each is ``(spark, sf_dir) -> DataFrame`` over the given
-tables, paired with the DuckDB SQL that must give the same rows.
+"""All registered queries (importing this module registers them).
 
-Names and output columns are the contract with ``__spark_entry__``. SQL is
-``None`` where no SQL form exists (model training); the driver then checks
-rows only.
+Names and output columns are the contract with ``__spark_entry__``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fixtures as fx
+from . import q_features, q_feeds, q_grid, q_pages, q_progress, q_stream, q_text  # noqa: F401
+from .registry import REGISTRY, Query  # noqa: F401
 
 
-@dataclass(frozen=True)
-class Query:
-    name: str
-    run: Callable[[SparkSession, str], DataFrame]
-    sql: str | None
-    ops: str            # SURVEY ids covered
-
-
-REGISTRY: dict[str, Query] = {}
-
-
-def register(name: str, sql: str | None, ops: str):
-    def deco(fn):
-        if name in REGISTRY:
-            raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, sql, ops)
-        return fn
-    return deco
-
-
-def _allowed_sql(types) -> str:
-    return ", ".join(f"'{t}'" for t in types)
-
-
-# SQL forms of the fixture views (same projections as fixtures.py).
-MENTIONS_CTE = (
-    "mentions AS (SELECT 'user_' || CAST(user_id AS VARCHAR) AS entity_text, "
-    "upper(event_type) AS entity_type, CAST(ts AS DATE) AS published_date FROM events)"
-)
-DATES_CTE = "dates AS (SELECT DISTINCT CAST(ts AS DATE) AS the_date FROM events)"
-ALLOWED = _allowed_sql(fx.EVENT_ALLOWED_TYPES)
-
-# Import the query modules so they register themselves.
-from . import q_grid, q_text, q_features, q_feeds, q_pages, q_progress, q_stream  # noqa: E402,F401
-
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: q.run for n, q in REGISTRY.items()}

@@ -25,8 +25,14 @@ LOG_PARTITIONS = 4
 PROGRESS_CUTOFF = "2024-01-15"                         # end of the "previous" run
 
 
+# Tables whose rows carry whole texts; per-row work on them is CPU-heavy.
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from ..sources.files import spread_if_narrow
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_if_narrow(df) if name in TEXT_TABLES else df
 
 
 def event_mentions(events: DataFrame) -> DataFrame:

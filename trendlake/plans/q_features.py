@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..operators import features as feat
 from ..operators.forecast import forecast
 from ..schemas import N_LAGS
-from .catalog import register
+from .registry import register
 from .q_grid import _grid_sql, dense_daily_counts
 
 _LAGS = ", ".join(f"lag(count_mentions, {k}) OVER w AS lag_{k}" for k in range(1, N_LAGS + 1))

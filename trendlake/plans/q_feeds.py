@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_post_date, stop_flag
 from ..operators import feeds
 from . import fixtures as fx
-from .catalog import register
+from .registry import register
 
 _N = len(fx.FEED_DATE_PATTERNS_SQL)
 _TS = "CASE WHEN event_id % 13 = 0 THEN ts - INTERVAL 15 DAY ELSE ts END"

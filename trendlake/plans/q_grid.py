@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import grid, reports
 from ..operators.mentions import union_dates
 from . import fixtures as fx
-from .catalog import ALLOWED, DATES_CTE, MENTIONS_CTE, register
+from .registry import ALLOWED, DATES_CTE, MENTIONS_CTE, register
 
 _LO, _HI = fx.GRID_LO, fx.GRID_HI
 

@@ -13,7 +13,7 @@ from ..schemas import (CONTENT_MAX_FALLBACK, CONTENT_MAX_PARTS, CONTENT_MIN_FALL
                        REPOST_MARKER_ARIA, REPOST_MARKER_TESTIDS, REPOST_TEXT_PHRASES,
                        STATUS_ID_MIN_DIGITS)
 from . import fixtures as fx
-from .catalog import register
+from .registry import register
 
 PAGE_MAX_EDGES = 4
 

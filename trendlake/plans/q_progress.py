@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import progress, reports
 from ..schemas import DEFAULT_SOURCES
 from . import fixtures as fx
-from .catalog import register
+from .registry import register
 
 LOG_CTE = f"""
 log AS (SELECT CASE WHEN event_type IN ('click', 'view') THEN 'news-topic' ELSE 'tweets-topic' END AS topic,

@@ -14,7 +14,7 @@ from ..sources.log import read_log_files, stream_log_files
 from ..streaming.mention_stream import start_mention_stream
 from ..streaming.window_counts import read_window_counts, start_window_counts, windowed_counts
 from . import fixtures as fx
-from .catalog import register
+from .registry import register
 from .q_grid import _grid_sql, dense_daily_counts
 from .q_text import (ENTITY_PATTERN, FULLTEXT_SQL, LABEL_SQL, NEWS_SQL, POSTS_SQL,
                      news_from_documents, posts_from_conversations)

@@ -11,7 +11,7 @@ from ..operators.clean import parse_json_column
 from ..operators.mentions import news_mentions, post_mentions, union_mentions
 from ..operators.extract import ENTITY_PATTERN, TOKEN_PATTERN
 from . import fixtures as fx
-from .catalog import register
+from .registry import register
 
 PROPS_SCHEMA = T.StructType([T.StructField("k", T.LongType()),
                              T.StructField("label", T.StringType())])
