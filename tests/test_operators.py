@@ -137,3 +137,18 @@ def test_fast_pattern_path_equals_entity_array_path(spark):
     b = flatten_mentions(docs.withColumn("entities", pattern_entities("text")), "d", extra=("doc_id",))
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_daily_job_end_to_end_and_rerun(spark):
+    from trendlake.operators.progress import read_progress
+    from trendlake.plans.daily_job import DailyJob
+    log_path = write_article_log(spark, SF001, files=2)
+    job = DailyJob(root=shared_path(spark, "t-daily"), grid_range=("2024-01-01", "2024-01-31"),
+                   export_csv=True, model_params={"maxIter": 3})
+    out = job.run(spark, stream_log_files(spark, log_path, 1))
+    n = out.count()
+    assert n > 0 and out.select("date").distinct().count() == 1
+    assert job.run(spark, stream_log_files(spark, log_path, 1)).count() == n   # re-run: same day replaced
+    assert spark.read.option("header", True).csv(job.paths["csv"]).count() == \
+        spark.read.parquet(job.paths["counts"]).count()
+    assert read_progress(spark, shared_path(spark, "none")) is None

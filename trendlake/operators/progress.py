@@ -61,3 +61,16 @@ def backlog_per_topic(lags: DataFrame) -> DataFrame:
 def has_rows(df: DataFrame) -> bool:
     """"Any new messages?" test; stops at the first row."""
     return not df.isEmpty()
+
+
+def read_progress(spark, path: str) -> DataFrame | None:
+    """Saved progress table, or None when it is missing or unreadable (the
+    caller then starts every partition at 0 via ``starting_offsets``)."""
+    from ..schemas import OFFSETS_SCHEMA
+    from ..sources.files import read_or_empty
+    try:
+        df = read_or_empty(spark, path, OFFSETS_SCHEMA)
+        df.schema  # noqa: B018 - forces the footer read
+        return None if df.isEmpty() else df
+    except Exception:
+        return None
