@@ -105,6 +105,9 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(REGISTRY)
     spark = local_session()
+    import os
+    if os.environ.get("ORACLE_TZ"):   # check independence from the session zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
     con = duck(sf)
     bad = 0
     for n in names:

@@ -34,3 +34,13 @@ def test_entry_smoke(spark):
     assert df.columns == ["entity_text", "published_date", "count_mentions"]
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_entry_module_imports_without_a_session():
+    import subprocess
+    import sys
+    code = ("import __spark_entry__ as e; "
+            "assert len(e.queries()) >= 40 and len(e.oracle_sql()) >= 40")
+    r = subprocess.run([sys.executable, "-c", code], cwd=str(__import__("pathlib").Path(__file__).parents[1]),
+                       capture_output=True, text=True, timeout=120)
+    assert r.returncode == 0, r.stderr[-2000:]

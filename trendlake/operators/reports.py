@@ -70,9 +70,10 @@ def run_report(runs: DataFrame, with_median: bool = True) -> DataFrame:
     median is ``percentile_approx`` - a bounded-size mergeable sketch - so a
     day holding most of the rows never gathers its values in one task.
     """
-    dur = (F.unix_micros(F.col("ended_at").cast("timestamp"))
-           - F.unix_micros(F.col("started_at").cast("timestamp"))) / F.lit(1e6)
-    return (runs.select(F.to_date("started_at").alias("run_date"),
+    # timestamp_diff on the columns as given: wall-clock (NTZ) inputs stay
+    # independent of the session time zone
+    dur = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("ended_at")) / F.lit(1e6)
+    return (runs.select(F.col("started_at").cast("date").alias("run_date"),
                         F.col("ok").cast("int").alias("ok"), dur.alias("duration_s"))
             .groupBy("run_date").agg(
                 F.count(F.lit(1)).alias("runs"),

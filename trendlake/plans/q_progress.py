@@ -115,8 +115,8 @@ def run_success(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events")
     micros = F.round(F.col("value") * 1_000_000).cast("long")
     runs = ev.select(
-        F.col("ts").cast("timestamp").alias("started_at"),
-        F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + micros).alias("ended_at"),
+        F.col("ts").alias("started_at"),
+        F.timestamp_add("MICROSECOND", micros, F.col("ts")).alias("ended_at"),
         (F.col("event_type") != "error").alias("ok"))
     # the approximate median is left out of the SQL-checked form
     return reports.run_report(runs, with_median=False)

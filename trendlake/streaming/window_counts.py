@@ -10,18 +10,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.tables import write_partitioned
 
 
+def _epoch():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def windowed_counts(mentions: DataFrame, ts_col: str = "ts", watermark: str = "2 days",
                     window: str = "1 day") -> DataFrame:
-    m = mentions.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+    """Counts per (window, entity). A wall-clock (TIMESTAMP_NTZ) event time is
+    mapped to the instant that reads the same in UTC (watermarks need an
+    instant), windows are epoch-aligned, and the window start is mapped back
+    to wall clock: day buckets do not depend on the session time zone."""
+    ntz = isinstance(mentions.schema[ts_col].dataType, T.TimestampNTZType)
+    m = mentions
+    if ntz:
+        m = m.withColumn(ts_col, F.timestamp_micros(
+            F.timestamp_diff("MICROSECOND", _epoch(), F.col(ts_col))))
+    start = F.col("w.start")
+    if ntz:
+        start = F.timestamp_add("MICROSECOND", F.unix_micros(start), _epoch())
     return (m.withWatermark(ts_col, watermark)
             .groupBy(F.window(ts_col, window).alias("w"), "entity_text")
             .agg(F.count(F.lit(1)).alias("mentions"))
-            .select(F.col("w.start").alias("window_start"), "entity_text", "mentions"))
+            .select(start.alias("window_start"), "entity_text", "mentions"))
 
 
 def start_window_counts(counts: DataFrame, path: str, checkpoint: str,
