@@ -188,3 +188,19 @@ def test_partition_without_new_rows_keeps_offset(spark):
     new = spark.createDataFrame([("t", 0, 12)], "topic string, partition int, next_offset long")
     got = sorted((r.partition, r.next_offset) for r in progress.merge_offsets(old, new).collect())
     assert got == [(0, 12), (1, 7)]
+
+
+def test_dense_calendar_fills_missing_days(spark):
+    m = _mentions(spark, [("a", "ORG", D(2025, 8, 10)), ("a", "ORG", D(2025, 8, 12))])
+    dates = spark.createDataFrame([(D(2025, 8, 10),), (D(2025, 8, 12),)], "the_date date")
+    obs = grid.dense_daily_counts(m, dates, "2025-08-10", "2025-08-12")
+    cal = grid.dense_daily_counts(m, None, "2025-08-10", "2025-08-12", calendar="dense")
+    assert obs.count() == 2
+    assert sorted((r[1], r[2]) for r in cal.collect()) == [
+        (D(2025, 8, 10), 1), (D(2025, 8, 11), 0), (D(2025, 8, 12), 1)]
+
+
+def test_short_series_are_reported(spark):
+    from trendlake.operators.features import short_series
+    g = _series(spark, 5).unionByName(_series(spark, 8).replace("e", "f", "entity_text"))
+    assert [r.entity_text for r in short_series(g).collect()] == ["e"]

@@ -67,6 +67,13 @@ def lag_features(grid: DataFrame, encode: bool = True) -> DataFrame:
     return df
 
 
+def short_series(grid: DataFrame, n_lags: int = N_LAGS) -> DataFrame:
+    """Entities whose series is too short to get a feature row (fewer than
+    ``n_lags + 1`` dates): reported, not an error."""
+    return (grid.groupBy("entity_text").agg(F.count(F.lit(1)).alias("dates"))
+            .where(F.col("dates") <= n_lags))
+
+
 def scoring_rows(features: DataFrame) -> DataFrame:
     """One next-day row per entity: the entity's last (target, lag_1..lag_4)
     become lag_1..lag_5, dated max(published_date) + 1 over all entities."""

@@ -70,11 +70,23 @@ def entity_date_cells(mentions: DataFrame, allowed=ALLOWED_ENTITY_TYPES,
         F.count(F.lit(1)).alias("n"), F.max("ok").alias("allowed"))
 
 
-def dense_daily_counts(mentions: DataFrame, dates: DataFrame, lo, hi,
+def calendar_axis(lo, hi) -> Column:
+    """Every calendar day of [lo, hi] (bounded by the range)."""
+    n = range_days(lo, hi)
+    if n > MAX_GRID_DAYS:
+        raise ValueError(f"grid range of {n} days exceeds {MAX_GRID_DAYS}")
+    return F.sequence(F.lit(str(lo)).cast("date"), F.lit(str(hi)).cast("date"),
+                      F.expr("INTERVAL 1 DAY"))
+
+
+def dense_daily_counts(mentions: DataFrame, dates: DataFrame | None, lo, hi,
                        allowed=ALLOWED_ENTITY_TYPES,
-                       count_only_allowed: bool = False) -> DataFrame:
+                       count_only_allowed: bool = False,
+                       calendar: str = "dates") -> DataFrame:
     """-> (entity_text, published_date, count_mentions) for every allowed
-    entity and every date of ``dates`` in [lo, hi]."""
+    entity and every date of ``dates`` in [lo, hi]. ``calendar="dense"``
+    uses every calendar day of the range instead (lags then step over days,
+    not over observed dates)."""
     lo_c, hi_c = F.lit(str(lo)).cast("date"), F.lit(str(hi)).cast("date")
     cells = entity_date_cells(mentions, allowed, count_only_allowed)
     in_range = (F.col("entity_text").isNotNull()
@@ -84,7 +96,12 @@ def dense_daily_counts(mentions: DataFrame, dates: DataFrame, lo, hi,
         F.map_from_entries(F.collect_list(
             F.when(in_range, F.struct("published_date", "n")))).alias("counts"),
     )
-    axis = date_axis(dates, lo, hi)
+    if calendar == "dense":
+        axis = calendar_axis(lo, hi)
+    elif calendar == "dates":
+        axis = date_axis(dates, lo, hi)
+    else:
+        raise ValueError(calendar)
     grid = (per_entity.where("allowed")
             .select("entity_text", "counts", F.explode(axis).alias("published_date")))
     return grid.select(
