@@ -59,15 +59,20 @@ def date_axis(dates: DataFrame, lo, hi, date_col: str = "the_date") -> Column:
     return axis.scalar()
 
 
-def entity_date_cells(mentions: DataFrame, allowed=ALLOWED_ENTITY_TYPES,
-                      count_only_allowed: bool = False) -> DataFrame:
-    """(entity_text, published_date, n, allowed) with one row per pair."""
+def entity_date_cells(mentions: DataFrame, allowed=ALLOWED_ENTITY_TYPES) -> DataFrame:
+    """(entity_text, published_date, n, n_allowed): mentions per pair under
+    any label and under an allowed label. Counts are additive, so cells of
+    separate batches can be stored and summed later (``merge_cells``)."""
     ok = F.coalesce(F.col("entity_type").isin(list(allowed)), F.lit(False))
-    m = mentions.select("entity_text", "published_date", ok.alias("ok"))
-    if count_only_allowed:
-        m = m.where("ok")
-    return m.groupBy("entity_text", "published_date").agg(
-        F.count(F.lit(1)).alias("n"), F.max("ok").alias("allowed"))
+    return (mentions.select("entity_text", "published_date", ok.alias("ok"))
+            .groupBy("entity_text", "published_date")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("n_allowed")))
+
+
+def merge_cells(cells: DataFrame) -> DataFrame:
+    """Sum cells that may repeat a pair (one set per stored batch)."""
+    return cells.groupBy("entity_text", "published_date").agg(
+        F.sum("n").alias("n"), F.sum("n_allowed").alias("n_allowed"))
 
 
 def calendar_axis(lo, hi) -> Column:
@@ -87,14 +92,24 @@ def dense_daily_counts(mentions: DataFrame, dates: DataFrame | None, lo, hi,
     entity and every date of ``dates`` in [lo, hi]. ``calendar="dense"``
     uses every calendar day of the range instead (lags then step over days,
     not over observed dates)."""
+    return dense_counts_from_cells(entity_date_cells(mentions, allowed), dates, lo, hi,
+                                   count_only_allowed, calendar)
+
+
+def dense_counts_from_cells(cells: DataFrame, dates: DataFrame | None, lo, hi,
+                            count_only_allowed: bool = False,
+                            calendar: str = "dates") -> DataFrame:
+    """The grid from cells with one row per (entity, date) - straight from
+    ``entity_date_cells`` or from ``merge_cells`` over stored batch cells, so
+    a daily run re-reads compact cells instead of every raw mention."""
     lo_c, hi_c = F.lit(str(lo)).cast("date"), F.lit(str(hi)).cast("date")
-    cells = entity_date_cells(mentions, allowed, count_only_allowed)
     in_range = (F.col("entity_text").isNotNull()
                 & F.col("published_date").between(lo_c, hi_c))
+    n = F.col("n_allowed" if count_only_allowed else "n")
     per_entity = cells.groupBy("entity_text").agg(
-        F.max("allowed").alias("allowed"),
+        F.max(F.col("n_allowed") > 0).alias("allowed"),
         F.map_from_entries(F.collect_list(
-            F.when(in_range, F.struct("published_date", "n")))).alias("counts"),
+            F.when(in_range, F.struct("published_date", n.alias("n"))))).alias("counts"),
     )
     if calendar == "dense":
         axis = calendar_axis(lo, hi)

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.forecast import forecast
-from ..operators.grid import dense_daily_counts
+from ..operators.grid import dense_counts_from_cells, merge_cells
 from ..schemas import ALLOWED_ENTITY_TYPES, DEFAULT_GRID_RANGE
 from ..sinks.tables import read_dates, write_counts_csv, write_trends
 from ..streaming.mention_stream import start_mention_stream
@@ -35,6 +35,7 @@ class DailyJob:
     def paths(self) -> dict:
         r = self.root.rstrip("/")
         return {"mentions": f"{r}/trending_entities", "dates": f"{r}/dates",
+                "cells": f"{r}/entity_date_cells",
                 "counts": f"{r}/entity_daily_counts", "trends": f"{r}/trends",
                 "checkpoint": f"{r}/_checkpoints/mentions", "csv": f"{r}/exports/entity_daily_counts"}
 
@@ -42,7 +43,8 @@ class DailyJob:
         """Read everything unread from the log and append it to the facts."""
         p = self.paths
         q = start_mention_stream(log_stream, p["mentions"], p["dates"], p["checkpoint"],
-                                 extractor=self.extractor, available_now=True)
+                                 extractor=self.extractor, available_now=True,
+                                 cells_path=p["cells"], allowed=self.allowed)
         q.awaitTermination()
         if q.exception():
             raise q.exception()
@@ -50,9 +52,10 @@ class DailyJob:
     def counts(self, spark: SparkSession) -> DataFrame:
         p = self.paths
         lo, hi = self.grid_range
-        return dense_daily_counts(spark.read.parquet(p["mentions"]),
-                                  read_dates(spark, p["dates"], self.dates_mode),
-                                  lo, hi, self.allowed, self.count_only_allowed)
+        # compact per-batch cells, not every raw mention, are re-read daily
+        return dense_counts_from_cells(merge_cells(spark.read.parquet(p["cells"])),
+                                       read_dates(spark, p["dates"], self.dates_mode),
+                                       lo, hi, self.count_only_allowed)
 
     def run(self, spark: SparkSession, log_stream: DataFrame) -> DataFrame:
         """One scheduled run; returns the forecasts written."""

@@ -69,12 +69,14 @@ def stream_daily_counts(spark, sf_dir):
     log_path = write_article_log(spark, sf_dir)
     out = shared_path(spark, "stream")
     q = start_mention_stream(stream_log_files(spark, log_path, max_files_per_trigger=1),
-                             out + "/mentions", out + "/dates", out + "/_checkpoint")
+                             out + "/mentions", out + "/dates", out + "/_checkpoint",
+                             cells_path=out + "/cells")
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    mentions = spark.read.parquet(out + "/mentions")
-    return grid.dense_daily_counts(mentions, read_dates(spark, out + "/dates"), STREAM_LO, STREAM_HI)
+    # incremental form: the grid is built from the batches' stored cells
+    cells = grid.merge_cells(spark.read.parquet(out + "/cells"))
+    return grid.dense_counts_from_cells(cells, read_dates(spark, out + "/dates"), STREAM_LO, STREAM_HI)
 
 
 @register("stream_window_counts", """

@@ -50,12 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting points at shared storage and is only read. When
     it is unset (tests, local runs) a fresh local folder is taken and set.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    conf_dir = (spark.conf.get("spark.checkpoint.dir", None)
+                or sc.getConf().get("spark.checkpoint.dir", None))
     if not conf_dir:
+        # local runs only: the cluster names its shared folder in the config
         conf_dir = tempfile.mkdtemp(prefix="trendlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(conf_dir)
     return conf_dir
 
 

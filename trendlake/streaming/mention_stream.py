@@ -15,32 +15,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.grid import entity_date_cells
 from ..operators.mentions import mention_job
-from ..schemas import NEWS_TOPIC, POSTS_TOPIC
-from ..sinks.tables import write_dates, write_mentions
+from ..schemas import ALLOWED_ENTITY_TYPES, NEWS_TOPIC, POSTS_TOPIC
+from ..sinks.tables import write_dates, write_mentions, write_partitioned
 
 
-def mention_batch_writer(mentions_path: str, dates_path: str, extractor: str = "pattern"):
+def mention_batch_writer(mentions_path: str, dates_path: str, extractor: str = "pattern",
+                         cells_path: str | None = None, allowed=ALLOWED_ENTITY_TYPES):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
+        mentions = None
         try:
             news = batch.where(F.col("topic") == NEWS_TOPIC)
             posts = batch.where(F.col("topic") == POSTS_TOPIC)
             mentions, dates = mention_job(news, posts, extractor)
+            if cells_path:
+                mentions = mentions.persist()      # extracted once, written twice
             write_mentions(mentions, mentions_path, batch_id)
             write_dates(dates, dates_path, batch_id)
+            if cells_path:
+                cells = entity_date_cells(mentions, allowed).withColumn("batch_id", F.lit(int(batch_id)))
+                write_partitioned(cells, cells_path, ["batch_id"])
         finally:
+            if mentions is not None:
+                mentions.unpersist()
             batch.unpersist()
     return write
 
 
 def start_mention_stream(log_stream: DataFrame, mentions_path: str, dates_path: str,
                          checkpoint: str, extractor: str = "pattern",
-                         available_now: bool = True, interval: str | None = None) -> StreamingQuery:
+                         available_now: bool = True, interval: str | None = None,
+                         cells_path: str | None = None,
+                         allowed=ALLOWED_ENTITY_TYPES) -> StreamingQuery:
     """Start the job; ``available_now`` processes everything unread in
     bounded batches and stops (one scheduled run), else it runs on
-    ``interval``."""
-    w = (log_stream.writeStream.foreachBatch(mention_batch_writer(mentions_path, dates_path, extractor))
+    ``interval``. With ``cells_path`` each batch also stores its
+    pre-aggregated (entity, date) cells for an incremental daily grid."""
+    writer = mention_batch_writer(mentions_path, dates_path, extractor, cells_path, allowed)
+    w = (log_stream.writeStream.foreachBatch(writer)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "1 day")
     return w.start()
