@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.dates import to_date_text
 from ..schemas import NEWS_SCHEMA, POST_SCHEMA

@@ -12,7 +12,6 @@ nesting honoured); it is a Python stage, so it is not the default.
 
 from __future__ import annotations
 
-import html as _html
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -214,10 +213,6 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         run, "page_id long, title string, heading string, text string, n_links int")
 
 
-def unescape(s: str) -> str:
-    return _html.unescape(s)
-
-
 # ---- accounts and edges ----------------------------------------------------
 
 def page_accounts(pages: DataFrame) -> DataFrame:
