@@ -15,7 +15,7 @@ log AS (SELECT CASE WHEN event_type IN ('click', 'view') THEN 'news-topic' ELSE
 OLD_CTE = f"""old AS (SELECT topic, partition, max("offset") + 1 AS next_offset FROM log
   WHERE ts < TIMESTAMP '{fx.PROGRESS_CUTOFF}' GROUP BY topic, partition)"""
 NEW_CTE = f"""new AS (SELECT topic, partition, max("offset") + 1 AS next_offset FROM log
-  WHERE ts >= TIMESTAMP '{fx.PROGRESS_CUTOFF}' AND partition IN (0, 1) GROUP BY topic, partition)"""
+  WHERE ts >= TIMESTAMP '{fx.PROGRESS_CUTOFF}' AND topic = 'news-topic' GROUP BY topic, partition)"""
 
 
 def _log(spark, sf_dir):
@@ -26,7 +26,8 @@ def _old_new(spark, sf_dir):
     log = _log(spark, sf_dir)
     cut = F.lit(fx.PROGRESS_CUTOFF).cast("timestamp_ntz")
     old = progress.next_offsets(log.where(F.col("ts") < cut))
-    new = progress.next_offsets(log.where((F.col("ts") >= cut) & F.col("partition").isin(0, 1)))
+    # this run read only the news topic: the posts topic keeps its old offsets
+    new = progress.next_offsets(log.where((F.col("ts") >= cut) & (F.col("topic") == "news-topic")))
     return log, old, new
 
 
