@@ -36,7 +36,11 @@ def main():
     mentions = ids.select(
         F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("e"), (F.col("id") % 5000).cast("string"))).alias("entity_text"),
         F.when(F.col("id") % 2 == 0, F.lit("ORG")).otherwise(F.lit("DATE")).alias("entity_type"),
-        F.date_add(F.lit("2025-08-01").cast("date"), (F.col("id") % 30).cast("int")).alias("published_date"))
+        # the hot entity's rows all fall on one day: one (entity, date) pair
+        # and one day each hold a third of all rows
+        F.when(hot, F.lit("2025-08-15").cast("date"))
+         .otherwise(F.date_add(F.lit("2025-08-01").cast("date"), (F.col("id") % 30).cast("int")))
+         .alias("published_date"))
     dates = mentions.select(F.col("published_date").alias("the_date")).distinct()
     g = dense_daily_counts(mentions, dates, "2025-08-01", "2025-08-30")
     hot_total = g.where("entity_text = 'hot'").agg(F.sum("count_mentions")).first()[0]
@@ -47,6 +51,10 @@ def main():
         F.lit("2025-09-01").alias("date_text"))
     emitted_hot = apply_feed_rules(feed, max_posts=5, max_reposts=2, stop_date="2025-08-18") \
         .where("source = 'hot'").count()
+    from trendlake.operators.feeds import take_while
+    from trendlake.operators.reports import mentions_per_day
+    kept_hot = take_while(feed, F.col("pos") >= 150_000).where("source = 'hot'").count()
+    day = mentions_per_day(mentions).where("published_date = DATE'2025-08-15'").first()
     spark.stop()
     max_read, total_read = 0, 0
     for path in glob.glob(os.path.join(logdir, "**", "*"), recursive=True):
@@ -64,7 +72,9 @@ def main():
                 max_read = max(max_read, recs)
                 total_read += recs
     print(json.dumps({"rows": N, "hot_rows": N // 3 + 1, "hot_total": hot_total,
-                      "emitted_hot": emitted_hot, "max_task_shuffle_records": max_read,
+                      "emitted_hot": emitted_hot, "kept_hot": kept_hot,
+                      "hot_day_mentions": day["mentions"], "hot_day_entities": day["entities"],
+                      "max_task_shuffle_records": max_read,
                       "all_shuffle_records": total_read}))
 
 

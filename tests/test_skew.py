@@ -16,5 +16,7 @@ def test_hot_entity_and_hot_source_are_not_concentrated():
     # results are whole: every hot mention counted, caps applied exactly
     assert out["hot_total"] == out["hot_rows"] - 1
     assert out["emitted_hot"] == 5 + 2
+    assert out["kept_hot"] == 50_000          # hot ids below 150000: 0, 3, ..., 149997
+    assert out["hot_day_mentions"] == 110_000 and out["hot_day_entities"] == 501
     # no task read anywhere near the hot key's share of the rows
     assert out["max_task_shuffle_records"] < out["hot_rows"] // 4, out
