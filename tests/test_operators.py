@@ -152,3 +152,18 @@ def test_daily_job_end_to_end_and_rerun(spark):
     assert spark.read.option("header", True).csv(job.paths["csv"]).count() == \
         spark.read.parquet(job.paths["counts"]).count()
     assert read_progress(spark, shared_path(spark, "none")) is None
+
+
+def test_model_beats_repeat_yesterday_on_weekly_cycle(spark):
+    from trendlake.operators.features import lag_features
+    from trendlake.operators.forecast import fit_model
+    base = D(2025, 8, 4)  # a Monday
+    rows = [(f"e{i}", base + dt.timedelta(days=d), (i % 3 + 1) * (10 if (d % 7) in (0, 3) else 1))
+            for i in range(12) for d in range(56)]
+    g = spark.createDataFrame(rows, "entity_text string, published_date date, count_mentions long")
+    feats = lag_features(g).persist()
+    model = fit_model(feats, maxIter=30)
+    scored = model.transform(feats.select("*", F.col("target").cast("double").alias("y")))
+    err = scored.agg(F.avg(F.abs(F.col("prediction") - F.col("y"))).alias("m"),
+                     F.avg(F.abs(F.col("lag_1") - F.col("y"))).alias("b")).first()
+    assert err.m < 0.5 * err.b, err
