@@ -56,7 +56,15 @@ def predict_next_day(model, features: DataFrame) -> DataFrame:
 
 
 def forecast(grid: DataFrame, **overrides) -> DataFrame:
-    """Dense grid -> next-day forecasts for every entity with a feature row."""
+    """Dense grid -> next-day forecasts for every entity with a feature row.
+
+    The feature table is cached for training and scoring only; the forecasts
+    (one row per entity) are checkpointed to the shared folder, which cuts
+    the lineage and lets the cached features be released before returning.
+    """
     feats = lag_features(grid).persist()
-    model = fit_model(feats, **overrides)
-    return predict_next_day(model, feats)
+    try:
+        model = fit_model(feats, **overrides)
+        return predict_next_day(model, feats).checkpoint(eager=True)
+    finally:
+        feats.unpersist()
