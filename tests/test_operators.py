@@ -167,3 +167,20 @@ def test_model_beats_repeat_yesterday_on_weekly_cycle(spark):
     err = scored.agg(F.avg(F.abs(F.col("prediction") - F.col("y"))).alias("m"),
                      F.avg(F.abs(F.col("lag_1") - F.col("y"))).alias("b")).first()
     assert err.m < 0.5 * err.b, err
+
+
+def test_batch_job_resumes_from_saved_offsets(spark):
+    from trendlake.plans.batch_job import run_batch
+    from trendlake.sources.log import read_log_files
+    log_path = write_article_log(spark, SF001, files=2)
+    root = shared_path(spark, "t-batch")
+    log = read_log_files(spark, log_path)
+    total = log.count()
+    assert run_batch(spark, log, root, run_id=1) == total
+    facts = spark.read.parquet(root + "/trending_entities").count()
+    assert run_batch(spark, read_log_files(spark, log_path), root, run_id=2) == 0   # nothing new
+    assert spark.read.parquet(root + "/trending_entities").count() == facts
+    prog = {(r.topic, r.partition): r.next_offset for r in spark.read.parquet(root + "/progress").collect()}
+    ends = {(r.topic, r.partition): r.m + 1 for r in log.groupBy("topic", "partition")
+            .agg(F.max("offset").alias("m")).collect()}
+    assert prog == ends
