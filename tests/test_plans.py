@@ -74,3 +74,22 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_gazetteer_broadcasts_checked_terms(spark):
     p = plan(run(spark, "extract_entities_gazetteer"))
     assert "BroadcastHashJoin" in p
+
+
+def test_size_checked_joins_fall_back_to_shuffle_joins(spark):
+    from trendlake.functions.dates import stop_flag
+    from trendlake.operators import extract, feeds
+    from trendlake.plans import fixtures as fx
+    from trendlake.plans.q_text import _terms
+    docs = fx.table(spark, SF001, "documents")
+    terms = _terms(spark, SF001)
+    a = extract.gazetteer_mentions(docs, terms, "text", keep=("doc_id",))
+    b = extract.gazetteer_mentions(docs, terms, "text", keep=("doc_id",), broadcast_max=0)
+    # (beyond the limit no hint is added; Spark may still pick its own join)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+    feed = fx.event_feed(fx.table(spark, SF001, "events"))
+    stop = stop_flag(F.col("date_text"), fx.FEED_STOP_DATE, fx.AS_OF_YEAR)
+    x = feeds.take_while(feed, stop)
+    y = feeds.take_while(feed, stop, broadcast_max=0)
+    assert "BroadcastHashJoin" in plan(x)
+    assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0

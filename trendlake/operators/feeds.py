@@ -65,12 +65,13 @@ def cap_within(feed: DataFrame, keys, cap, pos: str = "pos", out: str = "rn",
     return number_within(feed, keys, pos, out).where(cond)
 
 
-def take_while(feed: DataFrame, stop, source: str = "source", pos: str = "pos") -> DataFrame:
+def take_while(feed: DataFrame, stop, source: str = "source", pos: str = "pos",
+               broadcast_max: int = BROADCAST_SOURCES_MAX) -> DataFrame:
     """Rows of each feed before its first stop row (``stop`` a boolean
     column); the stop row itself is dropped."""
     stops = (feed.where(stop).groupBy(source).agg(F.min(pos).alias("_stop_pos")))
     n = stops.count()
-    side = F.broadcast(stops) if n <= BROADCAST_SOURCES_MAX else stops
+    side = F.broadcast(stops) if n <= broadcast_max else stops
     return (feed.join(side, source, "left")
             .where(F.col("_stop_pos").isNull() | (F.col(pos) < F.col("_stop_pos")))
             .drop("_stop_pos"))
