@@ -184,3 +184,18 @@ def test_batch_job_resumes_from_saved_offsets(spark):
     ends = {(r.topic, r.partition): r.m + 1 for r in log.groupBy("topic", "partition")
             .agg(F.max("offset").alias("m")).collect()}
     assert prog == ends
+
+
+def test_mention_job_with_gazetteer_extractor(spark):
+    from trendlake.operators.mentions import mention_job
+    news = spark.createDataFrame(
+        [('{"title": "Trade in Middle East", "content": "asia and ASIA", "publishedAt": "2025-08-10T01:00:00Z"}',)],
+        "value string")
+    posts = spark.createDataFrame([('{"tweet_content": "Asia rising", "tweet_date": "Unknown"}',)], "value string")
+    terms = spark.createDataFrame([("asia", "LOC"), ("middle east", "LOC")], "term string, label string")
+    m, dates = mention_job(news, posts, extractor="gazetteer", terms=terms)
+    got = sorted(((r.entity_text, r.entity_type, r.published_date) for r in m.collect()),
+                 key=lambda t: (t[0], t[2] or D(1, 1, 1)))
+    assert got == [("asia", "LOC", None), ("asia", "LOC", D(2025, 8, 10)), ("asia", "LOC", D(2025, 8, 10)),
+                   ("middle east", "LOC", D(2025, 8, 10))]
+    assert dates.count() == 2   # 2025-08-10 and NULL

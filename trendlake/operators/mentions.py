@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from ..functions.dates import to_date_text
 from ..schemas import NEWS_SCHEMA, POST_SCHEMA
 from .clean import clean_news, parse_json_column
-from .extract import flatten_mentions, model_entities, pattern_entities, pattern_mentions
+from .extract import (flatten_mentions, gazetteer_mentions, model_entities, pattern_entities,
+                      pattern_mentions)
 
 
 def _with_entities(df: DataFrame, text_col: str, extractor: str) -> DataFrame:
@@ -18,21 +19,31 @@ def _with_entities(df: DataFrame, text_col: str, extractor: str) -> DataFrame:
     return model_entities(df, text_col, model=extractor)
 
 
-def news_mentions(news: DataFrame, extractor: str = "pattern", extra=()) -> DataFrame:
-    """Parsed articles -> mentions (entities of title + description + content,
-    dated by publishedAt)."""
+def _mentions(df: DataFrame, text_col: str, date_col: str, extractor: str, extra,
+              terms: DataFrame | None) -> DataFrame:
     if extractor == "pattern":
-        return pattern_mentions(clean_news(news), "full_text", "publishedAt", extra)
-    df = _with_entities(clean_news(news), "full_text", extractor)
-    return flatten_mentions(df, "publishedAt", extra=extra)
+        return pattern_mentions(df, text_col, date_col, extra)
+    if extractor == "gazetteer":
+        if terms is None:
+            raise ValueError("the gazetteer extractor needs a terms table (term, label)")
+        dated = df.select(*extra, to_date_text(date_col).alias("published_date"), text_col)
+        found = gazetteer_mentions(dated, terms, text_col, keep=(*extra, "published_date"))
+        return found.select(*extra, "entity_text", "entity_type", "published_date")
+    return flatten_mentions(_with_entities(df, text_col, extractor), date_col, extra=extra)
+
+
+def news_mentions(news: DataFrame, extractor: str = "pattern", extra=(),
+                  terms: DataFrame | None = None) -> DataFrame:
+    """Parsed articles -> mentions (entities of title + description + content,
+    dated by publishedAt). ``extractor``: 'pattern', 'gazetteer' (with
+    ``terms``) or a model name for the mapInPandas seam."""
+    return _mentions(clean_news(news), "full_text", "publishedAt", extractor, extra, terms)
 
 
-def post_mentions(posts: DataFrame, extractor: str = "pattern", extra=()) -> DataFrame:
+def post_mentions(posts: DataFrame, extractor: str = "pattern", extra=(),
+                  terms: DataFrame | None = None) -> DataFrame:
     """Parsed posts -> mentions (entities of the post text, dated by its date)."""
-    if extractor == "pattern":
-        return pattern_mentions(posts, "tweet_content", "tweet_date", extra)
-    df = _with_entities(posts, "tweet_content", extractor)
-    return flatten_mentions(df, "tweet_date", extra=extra)
+    return _mentions(posts, "tweet_content", "tweet_date", extractor, extra, terms)
 
 
 def union_mentions(*parts: DataFrame) -> DataFrame:
@@ -64,7 +75,8 @@ def merge_dates(existing: DataFrame | None, new: DataFrame, mode: str = "cumulat
     return union_dates(existing.select("the_date"), new.select("the_date"))
 
 
-def mention_job(news_log: DataFrame, posts_log: DataFrame, extractor: str = "pattern"):
+def mention_job(news_log: DataFrame, posts_log: DataFrame, extractor: str = "pattern",
+                terms: DataFrame | None = None):
     """Message-log frames of both topics -> (mentions, dates).
 
     Both results derive from the same parsed frames; the dates branch needs
@@ -72,5 +84,6 @@ def mention_job(news_log: DataFrame, posts_log: DataFrame, extractor: str = "pat
     """
     news = parse_json_column(news_log, NEWS_SCHEMA)
     posts = parse_json_column(posts_log, POST_SCHEMA)
-    mentions = union_mentions(news_mentions(news, extractor), post_mentions(posts, extractor))
+    mentions = union_mentions(news_mentions(news, extractor, terms=terms),
+                              post_mentions(posts, extractor, terms=terms))
     return mentions, batch_dates(news, posts)

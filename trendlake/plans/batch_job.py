@@ -31,7 +31,7 @@ def unread(log: DataFrame, progress: DataFrame | None) -> DataFrame:
 
 
 def run_batch(spark: SparkSession, log: DataFrame, root: str, run_id: int,
-              extractor: str = "pattern") -> int:
+              extractor: str = "pattern", terms: DataFrame | None = None) -> int:
     """One run; returns the number of log rows consumed."""
     r = root.rstrip("/")
     progress_path = f"{r}/progress"
@@ -42,7 +42,8 @@ def run_batch(spark: SparkSession, log: DataFrame, root: str, run_id: int,
         if n == 0:
             return 0
         mentions, dates = mention_job(batch.where(F.col("topic") == NEWS_TOPIC),
-                                      batch.where(F.col("topic") == POSTS_TOPIC), extractor)
+                                      batch.where(F.col("topic") == POSTS_TOPIC), extractor,
+                                      terms=terms)
         write_mentions(mentions, f"{r}/trending_entities", run_id)
         write_dates(dates, f"{r}/dates", run_id)
         new = next_offsets(batch)

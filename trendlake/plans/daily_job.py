@@ -25,7 +25,8 @@ class DailyJob:
     root: str                                   # tables and checkpoints
     grid_range: tuple = DEFAULT_GRID_RANGE
     allowed: tuple = ALLOWED_ENTITY_TYPES
-    extractor: str = "pattern"
+    extractor: str = "pattern"                  # 'pattern', 'gazetteer' or a model name
+    terms_path: str | None = None               # (term, label) table for 'gazetteer'
     dates_mode: str = "cumulative"              # or 'replace'
     count_only_allowed: bool = False
     export_csv: bool = False
@@ -42,9 +43,11 @@ class DailyJob:
     def ingest(self, log_stream: DataFrame) -> None:
         """Read everything unread from the log and append it to the facts."""
         p = self.paths
+        spark = log_stream.sparkSession
+        terms = spark.read.parquet(self.terms_path) if self.terms_path else None
         q = start_mention_stream(log_stream, p["mentions"], p["dates"], p["checkpoint"],
                                  extractor=self.extractor, available_now=True,
-                                 cells_path=p["cells"], allowed=self.allowed)
+                                 cells_path=p["cells"], allowed=self.allowed, terms=terms)
         q.awaitTermination()
         if q.exception():
             raise q.exception()

@@ -22,14 +22,15 @@ from ..sinks.tables import write_dates, write_mentions, write_partitioned
 
 
 def mention_batch_writer(mentions_path: str, dates_path: str, extractor: str = "pattern",
-                         cells_path: str | None = None, allowed=ALLOWED_ENTITY_TYPES):
+                         cells_path: str | None = None, allowed=ALLOWED_ENTITY_TYPES,
+                         terms: DataFrame | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         mentions = None
         try:
             news = batch.where(F.col("topic") == NEWS_TOPIC)
             posts = batch.where(F.col("topic") == POSTS_TOPIC)
-            mentions, dates = mention_job(news, posts, extractor)
+            mentions, dates = mention_job(news, posts, extractor, terms=terms)
             if cells_path:
                 mentions = mentions.persist()      # extracted once, written twice
             write_mentions(mentions, mentions_path, batch_id)
@@ -48,12 +49,13 @@ def start_mention_stream(log_stream: DataFrame, mentions_path: str, dates_path:
                          checkpoint: str, extractor: str = "pattern",
                          available_now: bool = True, interval: str | None = None,
                          cells_path: str | None = None,
-                         allowed=ALLOWED_ENTITY_TYPES) -> StreamingQuery:
+                         allowed=ALLOWED_ENTITY_TYPES,
+                         terms: DataFrame | None = None) -> StreamingQuery:
     """Start the job; ``available_now`` processes everything unread in
     bounded batches and stops (one scheduled run), else it runs on
     ``interval``. With ``cells_path`` each batch also stores its
     pre-aggregated (entity, date) cells for an incremental daily grid."""
-    writer = mention_batch_writer(mentions_path, dates_path, extractor, cells_path, allowed)
+    writer = mention_batch_writer(mentions_path, dates_path, extractor, cells_path, allowed, terms)
     w = (log_stream.writeStream.foreachBatch(writer)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "1 day")
