@@ -71,3 +71,37 @@ class DailyJob:
         trends = forecast(counts, **self.model_params)
         write_trends(trends, p["trends"])
         return spark.read.parquet(p["trends"])
+
+
+def main(argv=None) -> None:
+    """``spark-submit -m``-style entry: one scheduled run of the daily job."""
+    import argparse
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.log import stream_log, stream_log_files
+
+    ap = argparse.ArgumentParser(description="ingest the log, rebuild counts, forecast")
+    ap.add_argument("--root", required=True, help="shared folder for tables and checkpoints")
+    ap.add_argument("--log-path", help="file stand-in of the log (topic, partition, offset, value)")
+    ap.add_argument("--kafka", help="bootstrap servers of the message log")
+    ap.add_argument("--topics", default="news-topic,tweets-topic")
+    ap.add_argument("--lo", default=DEFAULT_GRID_RANGE[0])
+    ap.add_argument("--hi", default=DEFAULT_GRID_RANGE[1])
+    ap.add_argument("--extractor", default="pattern")
+    ap.add_argument("--terms-path")
+    ap.add_argument("--dates-mode", default="cumulative", choices=["cumulative", "replace"])
+    ap.add_argument("--export-csv", action="store_true")
+    ap.add_argument("--max-iter", type=int, help="boosting rounds (default: the reference's 200)")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("trendlake-daily").getOrCreate()
+    ensure_checkpoint_dir(spark)
+    log = (stream_log(spark, a.kafka, a.topics.split(",")) if a.kafka
+           else stream_log_files(spark, a.log_path))
+    job = DailyJob(root=a.root, grid_range=(a.lo, a.hi), extractor=a.extractor,
+                   terms_path=a.terms_path, dates_mode=a.dates_mode, export_csv=a.export_csv,
+                   model_params={"maxIter": a.max_iter} if a.max_iter else {})
+    job.run(spark, log)
+
+
+if __name__ == "__main__":
+    main()
