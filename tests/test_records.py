@@ -114,3 +114,12 @@ def test_sorted_csv_export(spark):
     write_counts_csv(c.repartition(3), base, sort=True)
     back = read_counts_csv(spark, base).collect()
     assert sorted(back) == sorted(c.collect())
+
+
+def test_spread_only_for_narrow_file_inputs(spark):
+    from trendlake.sources.files import spread_if_narrow
+    r = spark.range(10)
+    assert spread_if_narrow(r) is r                          # not file based: untouched
+    one_file = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    assert "RoundRobinPartitioning" in spread_if_narrow(one_file)._jdf.queryExecution().executedPlan().toString()
+    assert spread_if_narrow(one_file, min_partitions=1) is one_file

@@ -71,4 +71,4 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
         files = len(df.inputFiles())
     except Exception:  # not a file-based plan
         return df
-    return df.repartition(n) if files < n else df
+    return df.repartition(n) if 0 < files < n else df
