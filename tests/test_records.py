@@ -123,3 +123,14 @@ def test_spread_only_for_narrow_file_inputs(spark):
     one_file = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     assert "RoundRobinPartitioning" in spread_if_narrow(one_file)._jdf.queryExecution().executedPlan().toString()
     assert spread_if_narrow(one_file, min_partitions=1) is one_file
+
+
+def test_parser_and_regex_page_forms_agree(spark):
+    import html as _html
+    from trendlake.operators.pages import page_posts, parse_pages
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rx = {r.page_id: (r.title, r.heading) for r in page_posts(pages).collect()}
+    ps = {r.page_id: (r.title, r.heading) for r in parse_pages(pages).collect()}
+    assert rx.keys() == ps.keys() and len(rx) > 0
+    same = sum(1 for k in rx if tuple(_html.unescape(x) for x in rx[k]) == ps[k])
+    assert same == len(rx), (same, len(rx))
