@@ -18,6 +18,7 @@ from ..operators.mentions import mention_job
 from ..operators.progress import merge_offsets, next_offsets, read_progress
 from ..schemas import NEWS_TOPIC, POSTS_TOPIC
 from ..sinks.tables import write_dates, write_mentions, write_progress
+from ..sources.files import spread_if_few_partitions
 
 
 def unread(log: DataFrame, progress: DataFrame | None) -> DataFrame:
@@ -36,7 +37,7 @@ def run_batch(spark: SparkSession, log: DataFrame, root: str, run_id: int,
     r = root.rstrip("/")
     progress_path = f"{r}/progress"
     saved = read_progress(spark, progress_path)
-    batch = unread(log, saved).persist()
+    batch = spread_if_few_partitions(unread(log, saved)).persist()
     try:
         n = batch.count()
         if n == 0:

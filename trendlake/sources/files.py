@@ -72,3 +72,12 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     except Exception:  # not a file-based plan
         return df
     return df.repartition(n) if 0 < files < n else df
+
+
+def spread_if_few_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when a (batch) frame has fewer partitions than
+    the cluster has cores - e.g. a micro-batch from a topic with one
+    partition, or one file per trigger - before CPU-heavy extraction. A frame
+    that is already wide is returned as is (no shuffle)."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

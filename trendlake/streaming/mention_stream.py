@@ -19,13 +19,16 @@ from ..operators.grid import entity_date_cells
 from ..operators.mentions import mention_job
 from ..schemas import ALLOWED_ENTITY_TYPES, NEWS_TOPIC, POSTS_TOPIC
 from ..sinks.tables import write_dates, write_mentions, write_partitioned
+from ..sources.files import spread_if_few_partitions
 
 
 def mention_batch_writer(mentions_path: str, dates_path: str, extractor: str = "pattern",
                          cells_path: str | None = None, allowed=ALLOWED_ENTITY_TYPES,
                          terms: DataFrame | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # a narrow batch (few topic partitions / one file per trigger) is
+        # spread over the cores before the CPU-heavy extraction
+        batch = spread_if_few_partitions(batch).persist()
         mentions = None
         try:
             news = batch.where(F.col("topic") == NEWS_TOPIC)
