@@ -82,4 +82,4 @@ def spread_if_few_partitions(df: DataFrame, min_partitions: int | None = None) -
     nothing (the shuffle costs what the parallelism saves), so wider frames
     are returned as is."""
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() * 2 <= n else df
+    return df.repartition(n) if df.rdd.getNumPartitions() * 2 < n else df
