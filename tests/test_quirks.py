@@ -204,3 +204,8 @@ def test_short_series_are_reported(spark):
     from trendlake.operators.features import short_series
     g = _series(spark, 5).unionByName(_series(spark, 8).replace("e", "f", "entity_text"))
     assert [r.entity_text for r in short_series(g).collect()] == ["e"]
+
+
+@pytest.mark.parametrize("v", ["2025-08-10T23:30:60Z", "0000-01-01", "2025-13-01", "Aug 32, 2025"])
+def test_feed_parser_rejects_what_datetime_rejects(spark, v):
+    assert one(spark, lambda c: parse_post_date(c, 2025), v) is None

@@ -41,7 +41,9 @@ _FIELD = {
     "d": r"(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])",
     "H": r"(?:2[0-3]|[01][0-9]|[0-9])",
     "M": r"(?:[0-5][0-9]|[0-9])",
-    "S": r"(?:6[01]|[0-5][0-9]|[0-9])",
+    # strptime's own pattern also takes 60/61, but building the datetime then
+    # fails, so those seconds never parse: left out here
+    "S": r"(?:[0-5][0-9]|[0-9])",
     "f": r"(?:[0-9]{1,6})",
     "b": "(" + "|".join(m[:3] for m in MONTH_NAMES) + ")",
     "B": "(" + "|".join(MONTH_NAMES) + ")",
@@ -105,7 +107,8 @@ def _date_from(c: Column, p: DatePattern, year: Column | None) -> Column:
     m = m_raw.cast("int") if p.month_kind == "num" else _month_number(m_raw, p.month_kind)
     d = F.trim(F.regexp_extract(c, p.regex, p.day)).cast("int")
     text = F.format_string("%04d-%02d-%02d", y, m, d)
-    return F.when(c.rlike(p.regex), text.try_cast("date"))
+    # datetime needs year >= 1
+    return F.when(c.rlike(p.regex) & (y >= 1), text.try_cast("date"))
 
 
 def parse_post_date(c, as_of_year: int | Column) -> Column:
