@@ -85,7 +85,9 @@ def compile_format(fmt: str) -> DatePattern:
         else:
             out.append(re.escape(ch))
             i += 1
-    return DatePattern("(?i)^" + "".join(out) + "$", groups.get("y", 0),
+    # \z, not $: Java's $ would also accept a trailing line terminator, which
+    # strptime rejects as unconverted data
+    return DatePattern("(?i)^" + "".join(out) + r"\z", groups.get("y", 0),
                        groups["m"], kind, groups["d"])
 
 
@@ -93,7 +95,7 @@ POST_DATE_PATTERNS = tuple(compile_format(f) for f in POST_DATE_FORMATS)
 # Year-less form: the text itself must be 'Mon d' (plus trailing whitespace),
 # since ' <year>' is appended before matching '%b %d %Y'.
 YEARLESS_PATTERN = DatePattern(
-    "(?i)^" + _FIELD["b"] + r"\s+" + _FIELD["d"] + r"\s*$", 0, 1, "abbr", 2)
+    "(?i)^" + _FIELD["b"] + r"\s+" + _FIELD["d"] + r"\s*\z", 0, 1, "abbr", 2)
 
 
 def _month_number(name: Column, kind: str) -> Column:

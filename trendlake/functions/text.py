@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters Python's str.isspace() accepts; Java's \s alone is ASCII-only.
+# Patterns anchor the end with \z: Java's $ also matches before a final line
+# terminator (\n, \x85, ...), which Python's string rules do not.
 _PY_SPACE_SET = r"\t\n\x{0b}\x{0c}\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _PY_SPACE = f"[{_PY_SPACE_SET}]"
 _PY_NONSPACE = f"[^{_PY_SPACE_SET}]"
@@ -22,13 +24,13 @@ def space_trim(c) -> Column:
 
 def py_strip(c) -> Column:
     """Python ``str.strip()``: cuts every kind of leading/trailing whitespace."""
-    return F.regexp_replace(_c(c), f"^{_PY_SPACE}+|{_PY_SPACE}+$", "")
+    return F.regexp_replace(_c(c), f"^{_PY_SPACE}+|{_PY_SPACE}+\\z", "")
 
 
 def strip_chars(c, chars: str) -> Column:
     """Python ``str.strip(chars)`` for a set of literal characters."""
     cls = "".join("\\" + ch if ch in r"\^]-[" else ch for ch in chars)
-    return F.regexp_replace(_c(c), f"^[{cls}]+|[{cls}]+$", "")
+    return F.regexp_replace(_c(c), f"^[{cls}]+|[{cls}]+\\z", "")
 
 
 def join_non_null(*cols, sep: str = " ") -> Column:

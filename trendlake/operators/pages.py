@@ -84,7 +84,7 @@ def status_id(hrefs) -> Column:
         return F.substring_index(F.element_at(F.split(h, "/status/"), -1), "?", 1)
     cand = F.filter(_c(hrefs), lambda h: F.instr(h, "/status/") > 0)
     ids = F.filter(F.transform(cand, sid),
-                   lambda s: s.rlike(f"^[0-9]{{{STATUS_ID_MIN_DIGITS},}}$"))
+                   lambda s: s.rlike(f"^[0-9]{{{STATUS_ID_MIN_DIGITS},}}\\z"))
     return F.try_element_at(ids, F.lit(1))
 
 
