@@ -48,8 +48,8 @@ def _c(c) -> Column:
 
 
 def _label(e: Column) -> Column:
-    return (F.when(e.rlike("^[0-9]+$"), F.lit(LABEL_CARDINAL))
-            .when(e.rlike("^[A-Z]{2,}$"), F.lit(LABEL_ACRONYM))
+    return (F.when(e.rlike(r"^[0-9]+\z"), F.lit(LABEL_CARDINAL))
+            .when(e.rlike(r"^[A-Z]{2,}\z"), F.lit(LABEL_ACRONYM))
             .when(F.instr(e, " ") > 0, F.lit(LABEL_MULTIWORD))
             .otherwise(F.lit(LABEL_SINGLE)))
 
