@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, sharding
+from . import byte_bpe, chat, exact_dedup, quality, sharding, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def _query(name: str, sql: str | None = None):
     return deco
 
 
+@_query("op1_toxicity")
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query("op2_exact_dedup", r"""
 WITH n AS (SELECT doc_id,
   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
@@ -80,3 +85,38 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(
         table(spark, sf_dir, "documents"),
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@_query("op7_simhash")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), words=3, radius=2)
+
+
+@_query("op8_quality")
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _escaped_sql(x: str) -> str:
+    out = f"replace({x}, chr(92), chr(92) || chr(92))"
+    for control in ("<s>", "</s>", "[INST]", "[/INST]", "<|image|>", "<|audio|>", "<|document|>"):
+        out = f"replace({out}, '{control}', '{control[0]}' || chr(92) || '{control[1:]}')"
+    return out
+
+
+@_query("op10_chat_format", f"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length({_escaped_sql('role')}) + 1 + length({_escaped_sql('text')})
+    + CASE WHEN role = 'assistant' THEN 8 ELSE 14 END)::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id""")
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], given.schema)
+    return chat.read_back(chat.format_turns(given.unionByName(extra)))
