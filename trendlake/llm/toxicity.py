@@ -7,11 +7,10 @@ closer. The document's score is a logistic function, fitted on labelled rows,
 of its largest difference and of the sum of differences above a threshold.
 
 Labels mark whole documents, of which few words may be toxic, so the toxic
-dictionary is trained in two steps: a dictionary is trained on windows of
-toxic documents, and of its content those stretches are kept whose byte
-strings are over-represented in toxic documents (likelihood ratio) against
-ordinary ones. The toxic dictionary is these stretches in front of the
-ordinary content, so that windows without anything toxic compress alike.
+dictionary is trained on those stretches of toxic documents whose byte strings
+are over-represented there (likelihood ratio) against ordinary documents. It
+is put in front of the ordinary dictionary's content, so that windows without
+anything toxic compress alike.
 
 Training reads a bounded sample of labelled rows (``Training``): the rows of
 smallest id hash per class, of at most ``max_bytes`` each. Scores read every
@@ -27,6 +26,7 @@ empty table; other columns of the input are ignored or kept as they are.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,14 +46,16 @@ BLOCK_BYTES = 4_000_000     # text handled together in a task
 class Training:
     """Bounds of the sample and settings of the dictionaries."""
     toxic_docs: int = 1500
-    ordinary_docs: int = 6000
+    ordinary_docs: int = 5000
     max_bytes: int = 16_384      # longer documents are not sampled
-    window: int = 40
-    stride: int = 24
-    dictionary: int = 16_384     # bytes of each trained dictionary
-    gram: int = 6                # byte strings that are compared
+    window: int = 32
+    stride: int = 16
+    dictionary: int = 16_384     # bytes of the ordinary dictionary
+    toxic_dictionary: int = 2_048
+    ordinary_windows: int = 100_000
+    grams: tuple[int, ...] = (6, 8, 10)   # lengths of the byte strings that are compared
     ratio: float = 20.0          # over-representation in toxic documents, at least
-    evidence: float = 15.0       # likelihood ratio statistic, at least
+    evidence: float = 60.0       # likelihood ratio statistic, at least
     floor: float = 2.0           # differences up to this many bytes say nothing
 
 
@@ -125,14 +127,15 @@ def differences(texts: list[bytes], ordinary: bytes, toxic: bytes, s: Training
 
 
 def features(texts: list[bytes], ordinary: bytes, toxic: bytes, s: Training) -> np.ndarray:
-    """Largest difference, log of the sum above the floor, that sum a window."""
+    """Largest difference, log of the sum above the floor, that sum a window,
+    log of the number of windows."""
     saved, owner = differences(texts, ordinary, toxic, s)
     n = len(texts)
     largest = np.zeros(n)
     np.maximum.at(largest, owner, saved)
     above = np.bincount(owner, np.maximum(saved - s.floor, 0), minlength=n)
     count = np.maximum(np.bincount(owner, minlength=n), 1)
-    return np.column_stack([largest, np.log1p(above), above / count])
+    return np.column_stack([largest, np.log1p(above), above / count, np.log1p(count)])
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
@@ -143,6 +146,18 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
+def _blocks(texts: list[bytes], limit: int) -> Iterator[list[bytes]]:
+    block, size = [], 0
+    for t in texts:
+        block.append(t)
+        size += len(t)
+        if size >= limit:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
 def _gram_codes(data: bytes, gram: int) -> np.ndarray:
     raw = np.frombuffer(data, dtype=np.uint8).astype(np.uint64)
     if len(raw) < gram:
@@ -153,48 +168,93 @@ def _gram_codes(data: bytes, gram: int) -> np.ndarray:
     return codes
 
 
-def _document_counts(texts: list[bytes], codes: np.ndarray, gram: int) -> np.ndarray:
-    """In how many texts each of the (sorted) byte strings occurs."""
-    counts = np.zeros(len(codes), dtype=np.int64)
-    for t in texts:
-        mine = np.unique(_gram_codes(t, gram))
-        at = np.minimum(np.searchsorted(codes, mine), len(codes) - 1)
-        counts[at[codes[at] == mine]] += 1
-    return counts
-
-
-def _telling(dictionary: bytes, toxic: list[bytes], ordinary: list[bytes], s: Training) -> bytes:
-    """Stretches of a dictionary that are over-represented in toxic texts."""
-    here = _gram_codes(dictionary, s.gram)
-    codes = np.unique(here)
-    if not len(codes):
-        return b""
-    a = _document_counts(toxic, codes, s.gram).astype(float)
-    b = _document_counts(ordinary, codes, s.gram).astype(float)
-    na, nb = len(toxic), len(ordinary)
+CONTEXT = 8     # bytes before a byte string that make up its context
+
+
+def _with_context(texts: list[bytes], gram: int, among: np.ndarray | None = None
+                  ) -> tuple[np.ndarray, np.ndarray, int]:
+    """Byte strings, in how many contexts each stands, and all positions.
+
+    Contexts are counted, not documents: a toxic word stands behind many other
+    words, a stretch that near copies repeat behind one.
+    """
+    gap = bytes(CONTEXT)
+    kept, total = [], 0
+    for block in _blocks(texts, 1_000_000):
+        data = gap + gap.join(block)
+        codes = _gram_codes(data, gram)[CONTEXT:]
+        before = _gram_codes(data, CONTEXT)[:len(codes)]
+        total += len(codes)
+        if among is not None:
+            at = np.minimum(np.searchsorted(among, codes), max(len(among) - 1, 0))
+            here = among[at] == codes if len(among) else np.zeros(len(codes), dtype=bool)
+            codes, before = codes[here], before[here]
+        kept.append((codes, before[:len(codes)]))
+    codes = np.concatenate([k[0] for k in kept])
+    before = np.concatenate([k[1] for k in kept])
+    order = np.lexsort((before, codes))
+    codes, before = codes[order], before[order]
+    new = np.ones(len(codes), dtype=bool)
+    new[1:] = (codes[1:] != codes[:-1]) | (before[1:] != before[:-1])
+    values, counts = np.unique(codes[new], return_counts=True)
+    return values, counts.astype(float), total
+
+
+def _telling_grams(toxic: list[bytes], ordinary: list[bytes], gram: int, s: Training) -> np.ndarray:
+    """Byte strings of one length that are over-represented in toxic texts."""
+    codes, a, na = _with_context(toxic, gram)
+    nb = sum(map(len, ordinary)) + 1
+    # the statistic of a string that no ordinary text holds bounds it from above
+    able = 2 * a * np.log((na + nb) / na) >= s.evidence
+    codes, a = codes[able], a[able]
+    others, count, nb = _with_context(ordinary, gram, codes)
+    b = np.zeros(len(codes))
+    b[np.searchsorted(codes, others)] = count
     share = (a + b) / (na + nb)
     with np.errstate(divide="ignore", invalid="ignore"):
-        statistic = 2 * (np.where(a > 0, a * np.log(a / (na * share)), 0)
-                         + np.where(b > 0, b * np.log(b / (nb * share)), 0))
+        statistic = 2 * (a * np.log(a / (na * share)) + np.where(b > 0, b * np.log(b / (nb * share)), 0))
     keep = (statistic >= s.evidence) & ((a + 0.5) / na > s.ratio * (b + 0.5) / nb)
-    mask = np.zeros(len(dictionary) + 1, dtype=bool)
-    for i in np.flatnonzero(keep[np.searchsorted(codes, here)]):
-        mask[i:i + s.gram] = True
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], mask]).astype(int)))
-    found = [dictionary[x:y] for x, y in zip(edges[::2].tolist(), edges[1::2].tolist())]
-    return b"".join(dict.fromkeys(found))
+    return codes[keep]
+
+
+def _telling(toxic: list[bytes], ordinary: list[bytes], s: Training) -> list[list[bytes]]:
+    """For each toxic text its stretches of over-represented byte strings."""
+    known = [(g, _telling_grams(toxic, ordinary, g, s)) for g in s.grams]
+    found = []
+    for t in toxic:
+        mask = np.zeros(len(t) + 1, dtype=bool)
+        for gram, codes in known:
+            here = _gram_codes(t, gram)
+            for i in np.flatnonzero(np.isin(here, codes)):
+                mask[i:i + gram] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], mask]).astype(int)))
+        found.append([t[x:y] for x, y in zip(edges[::2].tolist(), edges[1::2].tolist())])
+    return found
+
+
+def _cover(stretches: list[list[bytes]], gram: int, size: int) -> bytes:
+    """The most frequent stretches, of whose byte strings half at least are new."""
+    counts = Counter(x for text in stretches for x in set(text))
+    held: set[bytes] = set()
+    out: list[bytes] = []
+    for stretch, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
+        mine = {stretch[i:i + gram] for i in range(len(stretch) - gram + 1)}
+        if 2 * len(mine - held) >= len(mine) > 0 and size >= len(stretch):
+            held |= mine
+            out.append(stretch)
+            size -= len(stretch)
+    return b"".join(out)
 
 
 def _dictionaries(toxic: list[bytes], ordinary: list[bytes], s: Training) -> tuple[bytes, bytes]:
-    def samples(texts: list[bytes]) -> list[bytes]:
-        joined = b"".join(texts)
-        spans, _ = windows(texts, s.window, s.stride)
-        return list(dict.fromkeys(joined[int(o):int(o + n)] for o, n in spans))
-    toxic_windows, ordinary_windows = samples(toxic), samples(ordinary)
-    # as many ordinary windows as toxic ones, in an order that content decides
-    ordinary_windows = sorted(ordinary_windows, key=zlib.crc32)[:max(len(toxic_windows), 1000)]
-    plain = _dictionary(ordinary_windows, s.dictionary)
-    telling = _telling(_dictionary(toxic_windows, s.dictionary), toxic, ordinary, s)
+    samples: dict[bytes, None] = {}
+    for t in sorted(ordinary, key=zlib.crc32):     # an order that content decides
+        for at in range(0, len(t), s.window):
+            samples[t[at:at + s.window]] = None
+        if len(samples) >= s.ordinary_windows:
+            break
+    plain = _dictionary(list(samples), s.dictionary)
+    telling = _cover(_telling(toxic, ordinary, s), min(s.grams), s.toxic_dictionary)
     return plain, telling + plain
 
 
@@ -212,9 +272,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def train(toxic: list[bytes], ordinary: list[bytes], settings: Training = Training()) -> ToxicityModel:
+def train(toxic: list[bytes], ordinary: list[bytes], settings: Training = Training(),
+          share: float | None = None) -> ToxicityModel:
     """Dictionaries from all sampled texts; the logistic function from texts
-    that had no part in the dictionaries they are compressed with (two folds)."""
+    that had no part in the dictionaries they are compressed with (two folds).
+    ``share`` is the share of toxic rows where the sample was drawn."""
     toxic, ordinary = (sorted({t for t in texts if t}) for texts in (toxic, ordinary))
     if not toxic or not ordinary:
         return ToxicityModel(b"", b"", (), settings, 0.5 if toxic else 0.0)
@@ -230,6 +292,8 @@ def train(toxic: list[bytes], ordinary: list[bytes], settings: Training = Traini
                 xs.append(features(texts, *pair, settings))
                 ys.append(np.full(len(texts), float(label)))
     weights = _logistic(np.concatenate(xs), np.concatenate(ys))
+    if share is not None and 0 < share < 1:
+        weights[-1] += np.log(share / (1 - share)) - np.log(len(toxic) / len(ordinary))
     return ToxicityModel(*_dictionaries(toxic, ordinary, settings),
                          tuple(weights.tolist()), settings)
 
@@ -251,7 +315,8 @@ def sample_and_train(docs: DataFrame, labels: DataFrame, settings: Training = Tr
     rows = (texts.join(F.broadcast(chosen), "id").where(F.octet_length("t") <= settings.max_bytes)
             .select("y", "t").dropDuplicates(["y", "t"]).collect())
     by = {k: [r.t.encode("utf-8", "surrogatepass") for r in rows if r.y == k] for k in (0, 1)}
-    return train(by[1], by[0], settings)
+    share = labels.where(F.col(label_col).isin(0, 1)).agg(F.avg(label_col)).first()[0]
+    return train(by[1], by[0], settings, share)
 
 
 def with_scores(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
