@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, exact_dedup, quality, sharding, simhash, toxicity
+from . import ann, byte_bpe, chat, exact_dedup, quality, sharding, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +98,11 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_query("op9_nearest_neighbours")
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def _escaped_sql(x: str) -> str:
     out = f"replace({x}, chr(92), chr(92) || chr(92))"
     for control in ("<s>", "</s>", "[INST]", "[/INST]", "<|image|>", "<|audio|>", "<|document|>"):
