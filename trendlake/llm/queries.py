@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, chat, exact_dedup, quality, sharding, simhash, toxicity
+from . import ann, byte_bpe, chat, exact_dedup, line_dedup, mixing, quality, sharding, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,11 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=40)
 
 
+@_query("op4_line_dedup")
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 @_query("op5_byte_bpe")
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -88,6 +93,38 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@_query("op6_mixing", r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS src, coalesce(doc_id::VARCHAR, '') AS key,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n FROM documents),
+s AS (SELECT src, sum(n)::BIGINT AS total, sum(n) / (SELECT sum(n) FROM d)::DOUBLE AS p FROM d GROUP BY src),
+e AS (SELECT min(p) AS a, max(p) AS b FROM s WHERE p > 0),
+h AS (SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+  UNION ALL SELECT i + 1,
+    CASE WHEN pow(a, (lo + hi) / 2) / a / (pow(b, (lo + hi) / 2) / b) <= 2 THEN lo ELSE (lo + hi) / 2 END,
+    CASE WHEN pow(a, (lo + hi) / 2) / a / (pow(b, (lo + hi) / 2) / b) <= 2 THEN (lo + hi) / 2 ELSE hi END
+  FROM h, e WHERE i < 40),
+x AS (SELECT CASE WHEN b / a <= 2 THEN 0.0 ELSE hi END AS x FROM h, e WHERE i = 40),
+w AS (SELECT src, total, floor((pow(p, x) / p) / (SELECT min(pow(p, x) / p) FROM s, x WHERE p > 0) * total + 1e-6)::BIGINT AS budget,
+  least(greatest(ceil(total / 65536.0)::BIGINT, 1), 4096) AS blocks FROM s, x WHERE p > 0),
+b AS (SELECT src, total, blocks, budget // total AS whole, budget % total AS rest FROM w),
+k AS (SELECT d.*, whole, rest, ('0x' || md5(key)[1:15])::BIGINT % blocks AS block FROM d JOIN b USING (src)),
+z AS (SELECT src, block, whole, rest, sum(n)::BIGINT AS size FROM k GROUP BY ALL),
+t AS (SELECT z.*, unnest(range(0, whole + 1)) AS epoch FROM z),
+o AS (SELECT *, row_number() OVER q - 1 AS place,
+  coalesce(sum(size) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM t
+  WINDOW q AS (PARTITION BY src, epoch ORDER BY md5('17:' || src || ':' || epoch || ':' || block), block)),
+r AS (SELECT k.doc_id, k.src, k.n, k.key, k.block, o.epoch, o.place, o.start, k.rest, k.whole, o.size,
+  sum(k.n) OVER (PARTITION BY k.src, k.block, o.epoch ORDER BY md5('17:' || o.epoch || ':' || k.key), k.key, k.n
+    ROWS UNBOUNDED PRECEDING) AS upto
+  FROM k JOIN o ON k.src = o.src AND k.block = o.block)
+SELECT doc_id, src AS source, n AS n_tokens, epoch::INT AS epoch, block, place::INT AS block_rank FROM r
+WHERE epoch < whole OR (rest > 0 AND start + size <= rest) OR (start < rest AND upto <= rest - start)""")
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs, mixing.Mixture(repetition_limit=2.0, seed=17))
+    return mixed.select("doc_id", "mix.*")
+
+
 @_query("op7_simhash")
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), words=3, radius=2)
