@@ -213,6 +213,8 @@ def _pair_up(rows: list[np.ndarray], t: Fraction, tries: int | None) -> Iterator
     code, doc, pos, size, place, low, high = rows
     n = len(code)
     size, place = size.astype(np.int64), place.astype(np.int64)
+    # unsigned: bitwise_count takes the absolute value of signed numbers
+    low, high = low.astype(np.int64).view(np.uint64), high.astype(np.int64).view(np.uint64)
     order = np.lexsort((pos, doc))
     same = np.ones(n, dtype=bool)
     same[1:] = (doc[order][1:] != doc[order][:-1]) | (pos[order][1:] != pos[order][:-1])

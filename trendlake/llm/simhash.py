@@ -255,3 +255,12 @@ def simhash_components(docs: DataFrame, words: int = 3, radius: int = 2,
     return (prints.join(every, "fp", "left")
             .select(F.col("doc").alias(id_col),
                     F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def drop_near_copies(docs: DataFrame, words: int = 5, radius: int = 3, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component: that of the smallest id.
+    Rows that repeat this id stay; documents without an id stay."""
+    found = simhash_components(docs.select(F.col(id_col), F.col(text_col)), words, radius, id_col, text_col)
+    gone = found.where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
+    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
