@@ -319,7 +319,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, t:
 
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", tries: int = TRIES) -> DataFrame:
     """Columns ``doc`` and ``pos``: the lines (numbered from 0) that go."""
     spark = docs.sparkSession
     ship(spark)
@@ -328,7 +328,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     frequent = spark.sparkContext.broadcast({r.h: len(top) - i for i, r in enumerate(top)})
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
 
-    def partners(wanted=None, tries: int | None = TRIES) -> DataFrame:
+    def partners(wanted=None, tries: int | None = tries) -> DataFrame:
         bits = wanted
         rows = texts.mapInArrow(
             lambda it: _enter(it, frequent.value, t, bits.value if bits is not None else None), _ROW)
