@@ -21,8 +21,8 @@ Defined results: rows whose id or vector is null, or whose vector is empty,
 zero or holds null or non-finite components, take no part; of vectors of
 several lengths only the most frequent length takes part (ties: the shorter);
 rows that repeat an id count once, with their best score; ties go to the
-smaller id; fewer candidates than ``k`` are all returned if they are found; an
-empty table gives an empty table; other columns of the input are ignored.
+smaller id; a query that finds fewer than ``k`` visits all buckets, so that
+fewer candidates than ``k`` are all returned; an empty table gives an empty table; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import materialize, ship
 
 PART_ROWS = 4096
 SAMPLE = 2048           # rows that tell how near neighbours are
@@ -233,10 +233,10 @@ def nearest_neighbours(embeddings: DataFrame, is_query: Column, k: int = 20, tab
                     [pa.array(np.full(len(x), t, dtype=np.int32)), pa.array(hashed.buckets(t, unit)),
                      batch.column(0), packed], names=["t", "bucket", "id", "x"])
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def probe(batches: Iterator[pa.RecordBatch], each: float) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch.column(1), d)
-            for t in range(tables):
+            for t in range(tables if each <= 1 else 1):
                 projected = hashed.project(t, _unit_query(x))
                 visits = [probe_order(hashed, t, p, near, each) for p in projected]
                 yield pa.RecordBatch.from_arrays(
@@ -254,15 +254,26 @@ def nearest_neighbours(embeddings: DataFrame, is_query: Column, k: int = 20, tab
     data = (placed.join(parts, ["t", "bucket"])
             .select("t", "bucket", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"),
                     F.lit(False).alias("visit"), "id", "x"))
-    queries = (rows.where(is_query).mapInArrow(probe, "t int, buckets array<bigint>, id bigint, x binary")
-               .select("t", F.explode("buckets").alias("bucket"), "id", "x")
-               .join(parts, ["t", "bucket"])
-               .select("t", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-                       F.lit(True).alias("visit"), "id", "x"))
-    found = (data.unionByName(queries).repartition("t", "bucket", "part")
-             .sortWithinPartitions("t", "bucket", "part", "visit")
-             .mapInArrow(lambda it: _search(it, d, k), "query_id bigint, vec_id bigint, score double"))
-    merged = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (merged.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+
+    def search(asked: DataFrame, each: float) -> DataFrame:
+        queries = (asked.mapInArrow(lambda it: probe(it, each), "t int, buckets array<bigint>, id bigint, x binary")
+                   .select("t", F.explode("buckets").alias("bucket"), "id", "x")
+                   .join(parts, ["t", "bucket"])
+                   .select("t", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                           F.lit(True).alias("visit"), "id", "x"))
+        found = (data.unionByName(queries).repartition("t", "bucket", "part")
+                 .sortWithinPartitions("t", "bucket", "part", "visit")
+                 .mapInArrow(lambda it: _search(it, d, k), "query_id bigint, vec_id bigint, score double"))
+        merged = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return (merged.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
+                .select("query_id", "rank", "vec_id", "score"))
+
+    asked = rows.where(is_query)
+    result = materialize(search(asked, each), "neighbours")
+    # A query whose buckets held too few rows visits all of them.
+    enough = result.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
+    short = materialize(asked.join(enough, "id", "left_anti"), "short")
+    if short.isEmpty():
+        return result
+    return result.join(enough, result.query_id == enough.id, "left_semi").unionByName(search(short, 2.0))
