@@ -4,22 +4,19 @@
 part (never through a timestamp, so no session-zone shift), NULL instead of an
 error for junk such as 'Unknown'.
 
-``parse_post_date`` follows the feed parser: a fixed list of strptime formats
-tried in order, each a full match, then a year-less 'Mon d' completed with the
-as-of year. Each format is compiled once into an anchored regex with the same
-field alternatives strptime uses, and the date is built from the captured
-fields; impossible dates (Feb 30) fall through to the next format.
+``parse_post_date`` follows the feed parser: a fixed list of date formats, each
+a full match, then a year-less 'Mon d' completed with the as-of year. The
+formats have five layouts that exclude one another; the layout is chosen once,
+one regular expression per layout names year, month and day, and the date is
+built from them (an impossible date such as Feb 30 is NULL).
 """
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import MONTH_NAMES, POST_DATE_FORMATS, POST_DATE_SENTINEL
+from ..schemas import MONTH_NAMES
 
 
 def _c(c) -> Column:
@@ -31,86 +28,27 @@ def to_date_text(c) -> Column:
     return _c(c).try_cast("date")
 
 
-# --------------------------------------------------------------------------
-# strptime field patterns (the alternatives the C library's strptime in
-# Python uses for each directive).
-# --------------------------------------------------------------------------
-_FIELD = {
-    "Y": r"([0-9]{4})",
-    "m": r"(1[0-2]|0[1-9]|[1-9])",
-    "d": r"(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])",
-    "H": r"(?:2[0-3]|[01][0-9]|[0-9])",
-    "M": r"(?:[0-5][0-9]|[0-9])",
-    # strptime's own pattern also takes 60/61, but building the datetime then
-    # fails, so those seconds never parse: left out here
-    "S": r"(?:[0-5][0-9]|[0-9])",
-    "f": r"(?:[0-9]{1,6})",
-    "b": "(" + "|".join(m[:3] for m in MONTH_NAMES) + ")",
-    "B": "(" + "|".join(MONTH_NAMES) + ")",
-}
-
-
-@dataclass(frozen=True)
-class DatePattern:
-    """An anchored, case-insensitive regex and where y / m / d are captured."""
-
-    regex: str
-    year: int          # capture group of the year (0: supplied separately)
-    month: int         # capture group of the month
-    month_kind: str    # 'num', 'abbr' or 'full'
-    day: int
-
-
-def compile_format(fmt: str) -> DatePattern:
-    out, groups, kind = [], {}, "num"
-    i, g = 0, 0
-    while i < len(fmt):
-        ch = fmt[i]
-        if ch == "%":
-            d = fmt[i + 1]
-            out.append(_FIELD[d])
-            if d in "YmdbB":
-                g += 1
-                key = {"Y": "y", "m": "m", "d": "d", "b": "m", "B": "m"}[d]
-                groups[key] = g
-                if d == "b":
-                    kind = "abbr"
-                elif d == "B":
-                    kind = "full"
-            i += 2
-        elif ch.isspace():
-            out.append(r"\s+")
-            while i < len(fmt) and fmt[i].isspace():
-                i += 1
-        else:
-            out.append(re.escape(ch))
-            i += 1
-    # \z, not $: Java's $ would also accept a trailing line terminator, which
-    # strptime rejects as unconverted data
-    return DatePattern("(?i)^" + "".join(out) + r"\z", groups.get("y", 0),
-                       groups["m"], kind, groups["d"])
-
-
-POST_DATE_PATTERNS = tuple(compile_format(f) for f in POST_DATE_FORMATS)
-# Year-less form: the text itself must be 'Mon d' (plus trailing whitespace),
-# since ' <year>' is appended before matching '%b %d %Y'.
-YEARLESS_PATTERN = DatePattern(
-    "(?i)^" + _FIELD["b"] + r"\s+" + _FIELD["d"] + r"\s*\z", 0, 1, "abbr", 2)
-
-
-def _month_number(name: Column, kind: str) -> Column:
-    names = [m[:3] for m in MONTH_NAMES] if kind == "abbr" else list(MONTH_NAMES)
-    return F.array_position(F.array(*[F.lit(n) for n in names]), F.lower(name)).cast("int")
-
-
-def _date_from(c: Column, p: DatePattern, year: Column | None) -> Column:
-    y = F.regexp_extract(c, p.regex, p.year).cast("int") if p.year else year
-    m_raw = F.regexp_extract(c, p.regex, p.month)
-    m = m_raw.cast("int") if p.month_kind == "num" else _month_number(m_raw, p.month_kind)
-    d = F.trim(F.regexp_extract(c, p.regex, p.day)).cast("int")
-    text = F.format_string("%04d-%02d-%02d", y, m, d)
-    # datetime needs year >= 1
-    return F.when(c.rlike(p.regex) & (y >= 1), text.try_cast("date"))
+# Parts of the layouts, with the alternatives that each directive admits. A
+# leap second never makes a date and year 0 does not exist.
+_Y = r"((?!0000)[0-9]{4})"
+_M = r"(1[0-2]|0[1-9]|[1-9])"
+_D = r"(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
+_TIME = r"(?:2[0-3]|[01][0-9]|[0-9]):(?:[0-5][0-9]|[0-9]):(?:[0-5][0-9]|[0-9])"
+_SHORT = "(" + "|".join(m[:3] for m in MONTH_NAMES) + ")"
+_NAME = "(" + "|".join(m[:3] + (f"(?:{m[3:]})?" if m[3:] else "") for m in MONTH_NAMES) + ")"
+
+# The layouts of POST_DATE_FORMATS and of the year-less form. \z, not $: Java's
+# $ would also accept a trailing line terminator.
+ISO_LAYOUT = rf"(?i)^{_Y}-{_M}-{_D}(?:T{_TIME}(?:\.[0-9]{{1,6}})?Z|\s+{_TIME})?\z"
+SLASH_LAYOUT = rf"^{_M}/{_D}/{_Y}\z"
+MONTH_FIRST_LAYOUT = rf"(?i)^{_NAME}\s+{_D},\s+{_Y}\z"
+DAY_FIRST_LAYOUT = rf"(?i)^{_D}\s+{_SHORT}\s+{_Y}\z"
+YEARLESS_LAYOUT = rf"(?i)^{_SHORT}\s+{_D}\s*\z"
+
+
+def _month_number(name: Column) -> Column:
+    months = F.array(*[F.lit(m[:3]) for m in MONTH_NAMES])
+    return F.array_position(months, F.lower(F.substring(name, 1, 3))).cast("string")
 
 
 def parse_post_date(c, as_of_year: int | Column) -> Column:
@@ -121,9 +59,20 @@ def parse_post_date(c, as_of_year: int | Column) -> Column:
     """
     c = _c(c)
     year = as_of_year if isinstance(as_of_year, Column) else F.lit(int(as_of_year))
-    tries = [_date_from(c, p, None) for p in POST_DATE_PATTERNS]
-    tries.append(_date_from(c, YEARLESS_PATTERN, year))
-    return F.when(c.isNotNull() & (c != "") & (c != POST_DATE_SENTINEL), F.coalesce(*tries))
+
+    def named(layout: str, month: int, rest: str) -> Column:
+        """'Y-<month number>-D', month and rest read by one match each."""
+        parts = F.split(F.regexp_replace(c, layout, rest), "-")
+        return F.concat_ws("-", parts[0], _month_number(F.regexp_extract(c, layout, month)), parts[1])
+
+    text = (F.when(c.rlike(ISO_LAYOUT), F.regexp_replace(c, ISO_LAYOUT, "$1-$2-$3"))
+            .when(c.rlike(SLASH_LAYOUT), F.regexp_replace(c, SLASH_LAYOUT, "$3-$1-$2"))
+            .when(c.rlike(MONTH_FIRST_LAYOUT), named(MONTH_FIRST_LAYOUT, 1, "$3-$2"))
+            .when(c.rlike(DAY_FIRST_LAYOUT), named(DAY_FIRST_LAYOUT, 2, "$3-$1"))
+            .when(c.rlike(YEARLESS_LAYOUT), F.concat_ws(
+                "-", F.lpad(year.cast("string"), 4, "0"), _month_number(F.regexp_extract(c, YEARLESS_LAYOUT, 1)),
+                F.regexp_extract(c, YEARLESS_LAYOUT, 2))))
+    return F.replace(text, F.lit(" "), F.lit("")).try_cast("date")
 
 
 def stop_flag(date_text, stop_date: str | None, as_of_year) -> Column:

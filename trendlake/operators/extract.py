@@ -4,20 +4,16 @@ Three interchangeable extractors share the same output contract:
 
 * ``pattern_entities`` (default): one regex alternation evaluated JVM-side
   with ``regexp_extract_all``; the label follows from the shape of the match.
-  Runs inside whole-stage codegen and is checkable against SQL engines.
-* ``gazetteer_mentions``: whole-token match of a term table (1..n-word terms)
-  by joining the text's n-grams with the terms. The term table is broadcast
-  only when its row count is under a checked limit; above it the join is a
-  regular shuffle join, so any term-list size works.
-* ``model_entities``: a statistical model behind ``mapInPandas`` - the model
-  is loaded once per Python worker and fed Arrow batches. It is a seam: any
-  callable ``list[str] -> list[list[(text, label)]]`` plugs in; a spaCy
-  pipeline is used when importable, else the pattern rules in Python.
+* ``gazetteer_mentions``: whole-token match of a term table. Every position
+  is joined on the first tokens of the terms (one row per token and key
+  length, at most ``KEY_TOKENS``); longer terms are then compared with the text.
+* ``model_entities``: a seam for a statistical model: any callable
+  ``list[str] -> list[list[(text, label)]]`` plugs in behind ``mapInPandas``
+  and is fed Arrow batches.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -27,10 +23,12 @@ from pyspark.sql import types as T
 
 from ..functions.dates import to_date_text
 
-# ---- fixed values of the pattern extractor --------------------------------
-# Tried left to right at each position: runs of capitalised words, acronyms,
-# digit runs.
-ENTITY_PATTERN = r"[A-Z][a-z]+(?: [A-Z][a-z]+)*|[A-Z]{2,}|[0-9]+"
+# ---- rules of the pattern extractor ----------------------------------------
+# A word is a whole run of letters. Tried left to right at each position: runs
+# of capitalised words, words of capitals only, digit runs.
+_CAPITALISED = r"\p{Lu}\p{L}*\p{Ll}\p{L}*"
+ENTITY_PATTERN = (rf"(?<!\p{{L}})(?:{_CAPITALISED}(?: {_CAPITALISED})*|\p{{Lu}}{{2,}}(?!\p{{L}}))"
+                  r"|[0-9]+")
 # Labels by shape of the match.
 LABEL_CARDINAL = "CARDINAL"    # digits only
 LABEL_ACRONYM = "ORG"          # two or more capitals
@@ -39,8 +37,8 @@ LABEL_SINGLE = "NORP"          # one capitalised word
 # Tokens of the gazetteer matcher.
 TOKEN_PATTERN = r"[A-Za-z0-9_]+"
 
-# Above this many terms the gazetteer is joined with a shuffle, not broadcast.
-BROADCAST_TERMS_MAX = 1_000_000
+# Tokens of a term's beginning that positions are joined on, at most.
+KEY_TOKENS = 3
 
 
 def _c(c) -> Column:
@@ -49,7 +47,7 @@ def _c(c) -> Column:
 
 def _label(e: Column) -> Column:
     return (F.when(e.rlike(r"^[0-9]+\z"), F.lit(LABEL_CARDINAL))
-            .when(e.rlike(r"^[A-Z]{2,}\z"), F.lit(LABEL_ACRONYM))
+            .when(e.rlike(r"^\p{Lu}{2,}\z"), F.lit(LABEL_ACRONYM))
             .when(F.instr(e, " ") > 0, F.lit(LABEL_MULTIWORD))
             .otherwise(F.lit(LABEL_SINGLE)))
 
@@ -110,95 +108,56 @@ def _ngram_regex(n: int) -> str:
     return f"(?<![a-z0-9_])(?=({body}))"
 
 
-def token_ngrams(joined, lengths) -> Column:
-    """All windows of the given token counts over a ``token_text`` column
-    (pass the column, so tokenizing runs once)."""
+def token_windows(joined, n: int) -> Column:
+    """The first ``n`` tokens from every position of a ``token_text`` column."""
     joined = _c(joined)
-    lengths = range(1, lengths + 1) if isinstance(lengths, int) else sorted(set(lengths))
-    empty = F.array().cast("array<string>")
-    parts = [F.when(joined == "", empty).otherwise(F.split(joined, " ")) if n == 1
-             else F.regexp_extract_all(joined, F.lit(_ngram_regex(n)), 1) for n in lengths]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    if n == 1:
+        return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, " "))
+    return F.regexp_extract_all(joined, F.lit(_ngram_regex(n)), 1)
 
 
-def gazetteer_mentions(docs: DataFrame, terms: DataFrame, text_col: str,
-                       keep=(), max_n: int | None = None,
-                       broadcast_max: int = BROADCAST_TERMS_MAX) -> DataFrame:
+def gazetteer_mentions(docs: DataFrame, terms: DataFrame, text_col: str, keep=()) -> DataFrame:
     """Every occurrence of every term: (keep..., entity_text, entity_type).
 
     ``terms`` has (term, label) with terms already lower-cased and single-
-    spaced. The broadcast decision is made on a checked row count of the term
-    table (one small aggregate job); beyond the limit a shuffle join is used.
+    spaced, of any length. The planner decides from sizes whether the terms
+    are broadcast. A term longer than its key is compared with the text that
+    its occurrence was read from: those few occurrences are joined back on the
+    digest of the text.
     """
-    terms = terms.select(F.col("term").alias("_term"), F.col("label").alias("entity_type"))
-    # one small aggregate answers both checks: which term lengths occur (only
-    # those windows are generated) and how many terms there are (broadcast?)
-    stats = terms.groupBy(F.size(F.split("_term", " ")).alias("n")).count().collect()
-    n_terms = sum(r["count"] for r in stats)
-    lengths = list(range(1, max_n + 1)) if max_n else sorted(r["n"] for r in stats) or [1]
+    words = F.split("term", " ")
+    keyed = terms.select(
+        F.col("term").alias("_term"), F.col("label").alias("entity_type"), F.size(words).alias("_n"),
+        F.array_join(F.slice(words, 1, KEY_TOKENS), " ").alias("_key"))
     toks = docs.select(*keep, token_text(text_col).alias("_toks"))
-    grams = toks.select(*keep, F.explode(token_ngrams("_toks", lengths)).alias("_gram"))
-    side = F.broadcast(terms) if n_terms <= broadcast_max else terms
-    return (grams.join(side, grams["_gram"] == side["_term"], "inner")
-            .select(*keep, F.col("_gram").alias("entity_text"), "entity_type"))
+    hits = None
+    for n in range(1, KEY_TOKENS + 1):
+        at = toks.select(*keep, F.sha2("_toks", 256).alias("_text"),
+                         F.posexplode(token_windows("_toks", n)).alias("_pos", "_gram"))
+        of = keyed.where((F.col("_n") == n) if n < KEY_TOKENS else (F.col("_n") >= n))
+        found = at.join(of, F.col("_gram") == F.col("_key"))
+        hits = found if hits is None else hits.unionByName(found)
+    short = hits.where(F.col("_n") <= KEY_TOKENS).select(*keep, F.col("_term").alias("entity_text"), "entity_type")
+    longer = hits.where(F.col("_n") > KEY_TOKENS).select("_text", "_pos", "_term", "_n", "entity_type").distinct()
+    texts = toks.withColumn("_text", F.sha2("_toks", 256))
+    there = F.array_join(F.slice(F.split("_toks", " "), F.col("_pos") + 1, F.col("_n")), " ")
+    whole = (texts.join(longer, "_text").where(there == F.col("_term"))
+             .select(*keep, F.col("_term").alias("entity_text"), "entity_type"))
+    return short.unionByName(whole)
 
 
 # ---- model seam -------------------------------------------------------------
 
-_MODEL_CACHE: dict[str, Callable] = {}
-
-
-def _pattern_model():
-    rx = re.compile(ENTITY_PATTERN)
-
-    def label(e: str) -> str:
-        if e.isdigit() and e.isascii():
-            return LABEL_CARDINAL
-        if re.fullmatch("[A-Z]{2,}", e):
-            return LABEL_ACRONYM
-        return LABEL_MULTIWORD if " " in e else LABEL_SINGLE
-
-    def run(texts):
-        return [[(m, label(m)) for m in rx.findall(t)] if t is not None else [] for t in texts]
-    return run
-
-
-def _spacy_model(name: str):
-    import spacy  # optional; absent in the test image
-
-    nlp = spacy.load(name)
-
-    def run(texts):
-        out = []
-        for t, doc in zip(texts, nlp.pipe(["" if t is None else t for t in texts])):
-            out.append([] if t is None else [(e.text, e.label_) for e in doc.ents])
-        return out
-    return run
-
-
-def load_model(name: str) -> Callable:
-    """Load (once per Python worker) the extractor named ``name``:
-    'pattern' or a spaCy pipeline name; unknown/unimportable -> pattern."""
-    if name not in _MODEL_CACHE:
-        model = None
-        if name != "pattern":
-            try:
-                model = _spacy_model(name)
-            except Exception:  # model library or weights missing
-                model = None
-        _MODEL_CACHE[name] = model or _pattern_model()
-    return _MODEL_CACHE[name]
-
-
-def model_entities(df: DataFrame, text_col: str, model: str = "pattern",
+def model_entities(df: DataFrame, text_col: str, model: Callable[[], Callable],
                    out_col: str = "entities") -> DataFrame:
     """Append ``out_col`` (array<struct<entity,type>>) using a Python model,
-    one Arrow batch at a time; one Python stage in the plan."""
+    one Arrow batch at a time. ``model`` makes the callable (it is called once
+    per task); what it raises is raised."""
     from ..schemas import ENTITY_ARRAY
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, ENTITY_ARRAY)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = load_model(model)
+        fn = model()
         for pdf in batches:
             res = fn(pdf[text_col].tolist())
             pdf[out_col] = [[{"entity": e, "type": t} for e, t in r] for r in res]

@@ -22,7 +22,8 @@ def _series_window():
     return Window.partitionBy("group_id").orderBy("published_date")
 
 
-def ordinal_encode(df: DataFrame, key: str, out: str, n_ranges: int | None = None) -> DataFrame:
+def ordinal_encode(df: DataFrame, key: str, out: str, n_ranges: int | None = None,
+                   keys: DataFrame | None = None) -> DataFrame:
     """Code each distinct ``key`` with its 0-based rank in ascending order.
 
     Distributed: distinct keys are range-partitioned (sorted across
@@ -30,10 +31,13 @@ def ordinal_encode(df: DataFrame, key: str, out: str, n_ranges: int | None = Non
     keys in the partitions before it (a table with one row per partition).
     The numbered keys are checkpointed to the shared checkpoint folder so a
     lost executor cannot renumber them; the result is joined back on ``key``.
+    A caller that knows the distinct keys without computing ``df`` passes them
+    as ``keys``.
     """
     spark = df.sparkSession
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = (df.select(key).distinct().repartitionByRange(n, key)
+    distinct = df.select(key).distinct() if keys is None else keys
+    keys = (distinct.repartitionByRange(n, key)
             .sortWithinPartitions(key)
             .withColumn("_pid", F.spark_partition_id()))
     local = keys.withColumn(
@@ -50,10 +54,13 @@ def ordinal_encode(df: DataFrame, key: str, out: str, n_ranges: int | None = Non
     return df.join(codes, key, "left")
 
 
-def lag_features(grid: DataFrame, encode: bool = True) -> DataFrame:
+def lag_features(grid: DataFrame, encode: bool = True, entities: DataFrame | None = None) -> DataFrame:
     """-> group_id, published_date, target, lag_1..lag_5[, group_id_enc],
     dayofweek (Mon=0), dayofmonth. Rows without all five lags are dropped
-    (the first five dates of each entity); lags step over observed rows."""
+    (the first five dates of each entity); lags step over observed rows.
+    ``entities`` are the distinct entities of the grid, if they are at hand:
+    every entity of a grid has the same dates, so all of them or none get rows,
+    and the encoder need not compute the grid to find them."""
     w = _series_window()
     df = grid.select(F.col("entity_text").alias("group_id"), "published_date",
                      F.col("count_mentions").alias("target"))
@@ -63,7 +70,8 @@ def lag_features(grid: DataFrame, encode: bool = True) -> DataFrame:
     df = df.withColumns({"dayofweek": weekday_monday0("published_date"),
                          "dayofmonth": F.dayofmonth("published_date")})
     if encode:
-        df = ordinal_encode(df, "group_id", "group_id_enc")
+        keys = None if entities is None else entities.select(F.col("entity_text").alias("group_id"))
+        df = ordinal_encode(df, "group_id", "group_id_enc", keys=keys)
     return df
 
 

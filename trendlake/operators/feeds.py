@@ -30,9 +30,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import stop_flag
 from ..schemas import DEFAULT_MAX_POSTS, DEFAULT_MAX_REPOSTS, DEFAULT_STOP_DATE
 
-# Above this many sources the per-source stop table is shuffle-joined.
-BROADCAST_SOURCES_MAX = 1_000_000
-
 
 def dedupe_first(feed: DataFrame, keys, pos: str = "pos") -> DataFrame:
     """First row (lowest ``pos``) of each key group; NULL keys dropped."""
@@ -65,16 +62,15 @@ def cap_within(feed: DataFrame, keys, cap, pos: str = "pos", out: str = "rn",
     return number_within(feed, keys, pos, out).where(cond)
 
 
-def take_while(feed: DataFrame, stop, source: str = "source", pos: str = "pos",
-               broadcast_max: int = BROADCAST_SOURCES_MAX) -> DataFrame:
+def take_while(feed: DataFrame, stop, source: str = "source", pos: str = "pos") -> DataFrame:
     """Rows of each feed before its first stop row (``stop`` a boolean
-    column); the stop row itself is dropped."""
-    stops = (feed.where(stop).groupBy(source).agg(F.min(pos).alias("_stop_pos")))
-    n = stops.count()
-    side = F.broadcast(stops) if n <= broadcast_max else stops
-    return (feed.join(side, source, "left")
+    column); the stop row itself is dropped. The join is left to the planner,
+    which knows the size of the per-source table when it is there."""
+    stops = (feed.where(stop).groupBy(F.col(source).alias("_source"))
+             .agg(F.min(pos).alias("_stop_pos")))
+    return (feed.join(stops, F.col(source).eqNullSafe(F.col("_source")), "left")
             .where(F.col("_stop_pos").isNull() | (F.col(pos) < F.col("_stop_pos")))
-            .drop("_stop_pos"))
+            .drop("_source", "_stop_pos"))
 
 
 def apply_feed_rules(feed: DataFrame, *, max_posts: int = DEFAULT_MAX_POSTS,
@@ -105,8 +101,16 @@ def split_kinds(emitted: DataFrame):
 
 def dedupe_by_content(df: DataFrame, html: str = "html", pos: str = "pos",
                       keys=()) -> DataFrame:
-    """First row per (keys..., hash of the element HTML): the repost-page
-    variant of dedupe. The 64-bit hash is the grouping key, so equal markup
-    is grouped without shipping the markup itself through the shuffle."""
-    h = df.withColumn("_h", F.xxhash64(F.col(html)))
-    return dedupe_first(h, [*keys, "_h"], pos).drop("_h")
+    """First row per (keys..., element HTML): the repost-page variant of
+    dedupe. Markup is identified by SHA-256 and length; only these and the
+    position are shuffled to find the winners, whose rows are then kept by a
+    join on the position."""
+    content = [F.sha2(F.col(html), 256), F.length(html)]
+    first = (df.where(F.col(html).isNotNull())
+             .groupBy(*keys, *[c.alias(f"_c{i}") for i, c in enumerate(content)])
+             .agg(F.min(pos).alias("_pos")))
+    winners = first.select(*[F.col(k).alias(f"_{k}") for k in keys], "_pos")
+    same = df[pos] == winners["_pos"]
+    for k in keys:
+        same = same & df[k].eqNullSafe(winners[f"_{k}"])
+    return df.join(winners, same, "left_semi")

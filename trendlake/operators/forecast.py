@@ -3,8 +3,6 @@ calendar features, retrained each run, scoring every entity at once."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -17,17 +15,8 @@ from ..session import ensure_checkpoint_dir
 from .features import FEATURE_COLS, lag_features, scoring_rows
 
 
-# Training partitions are sized from the data: boosting runs several jobs
-# per round, so on small inputs every extra partition is pure scheduling
-# cost, while large inputs still spread over many tasks.
-ROWS_PER_TRAIN_PARTITION = 1_000_000
-
-
-def training_partitions(n_rows: int) -> int:
-    return max(1, math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION))
-
-
-def fit_model(features: DataFrame, save_to: str | None = None, **overrides):
+def fit_model(features: DataFrame, save_to: str | None = None, partitions: int | None = None,
+              **overrides):
     """Fit VectorAssembler + GBTRegressor on all feature rows (no hold-out,
     as in the reference). Long boosting runs cut lineage every 10 rounds
     into the shared checkpoint folder. ``save_to`` persists the fitted
@@ -35,12 +24,14 @@ def fit_model(features: DataFrame, save_to: str | None = None, **overrides):
     ensure_checkpoint_dir(features.sparkSession)
     params = {**GBT_PARAMS, **overrides}
     gbt = GBTRegressor(featuresCol="features", labelCol="target",
-                       checkpointInterval=10, **params)
+                       checkpointInterval=10, cacheNodeIds=True, **params)
     asm = VectorAssembler(inputCols=FEATURE_COLS, outputCol="features")
-    train = features.select(*FEATURE_COLS, F.col("target").cast("double").alias("target"))
-    want = training_partitions(train.count())
-    have = train.rdd.getNumPartitions()
-    train = train.coalesce(want) if want < have else train.repartition(want)
+    # Entities are dealt by hash over a number of partitions that the caller or
+    # the cluster names (not the data), and ordered within each: row sampling
+    # goes by partition and order, so the same input gives the same model.
+    n = partitions or int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    train = (features.repartition(n, "group_id").sortWithinPartitions("group_id", "published_date")
+             .select(*FEATURE_COLS, F.col("target").cast("double").alias("target")))
     model = Pipeline(stages=[asm, gbt]).fit(train)
     if save_to:
         model.write().overwrite().save(save_to)
@@ -55,7 +46,7 @@ def predict_next_day(model, features: DataFrame) -> DataFrame:
         round_half_even_nonneg("prediction").alias("predicted_count"))
 
 
-def forecast(grid: DataFrame, **overrides) -> DataFrame:
+def forecast(grid: DataFrame, save_to: str | None = None, **overrides) -> DataFrame:
     """Dense grid -> next-day forecasts for every entity with a feature row.
 
     The feature table is cached for training and scoring only; the forecasts
@@ -64,7 +55,22 @@ def forecast(grid: DataFrame, **overrides) -> DataFrame:
     """
     feats = lag_features(grid).persist()
     try:
-        model = fit_model(feats, **overrides)
+        model = fit_model(feats, save_to, **overrides)
         return predict_next_day(model, feats).checkpoint(eager=True)
     finally:
         feats.unpersist()
+
+
+def forecast_with_check(grid: DataFrame, **overrides) -> tuple[DataFrame, bool]:
+    """``forecast`` and whether its squared error over the feature rows is
+    below that of repeating the last count."""
+    feats = lag_features(grid).persist()
+    try:
+        model = fit_model(feats, **overrides)
+        error = model.transform(feats.withColumn("target", F.col("target").cast("double"))).agg(
+            F.sum(F.pow(F.col("prediction") - F.col("target"), 2)).alias("model"),
+            F.sum(F.pow(F.col("lag_1") - F.col("target"), 2)).alias("last")).first()
+        better = error.model is None or error.model < error.last
+        return predict_next_day(model, feats).checkpoint(eager=True), better
+    finally:
+        feats.unpersist()

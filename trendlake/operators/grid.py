@@ -34,11 +34,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import ALLOWED_ENTITY_TYPES
 
-# Upper bound on the number of days a grid may span (keeps the scalar date
-# list and the per-entity maps small whatever the data size).
-MAX_GRID_DAYS = 100_000
-
-
 def _as_date(d) -> _dt.date:
     return d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d))
 
@@ -49,9 +44,6 @@ def range_days(lo, hi) -> int:
 
 def date_axis(dates: DataFrame, lo, hi, date_col: str = "the_date") -> Column:
     """Sorted distinct dates of ``dates`` within [lo, hi] as one array value."""
-    n = range_days(lo, hi)
-    if n > MAX_GRID_DAYS:
-        raise ValueError(f"grid range of {n} days exceeds {MAX_GRID_DAYS}")
     d = F.col(date_col)
     axis = (dates.where(d.between(F.lit(str(lo)).cast("date"), F.lit(str(hi)).cast("date")))
             .agg(F.coalesce(F.sort_array(F.collect_set(d)),
@@ -77,9 +69,6 @@ def merge_cells(cells: DataFrame) -> DataFrame:
 
 def calendar_axis(lo, hi) -> Column:
     """Every calendar day of [lo, hi] (bounded by the range)."""
-    n = range_days(lo, hi)
-    if n > MAX_GRID_DAYS:
-        raise ValueError(f"grid range of {n} days exceeds {MAX_GRID_DAYS}")
     return F.sequence(F.lit(str(lo)).cast("date"), F.lit(str(hi)).cast("date"),
                       F.expr("INTERVAL 1 DAY"))
 

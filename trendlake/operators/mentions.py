@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,17 +10,13 @@ from pyspark.sql import DataFrame
 from ..functions.dates import to_date_text
 from ..schemas import NEWS_SCHEMA, POST_SCHEMA
 from .clean import clean_news, parse_json_column
-from .extract import (flatten_mentions, gazetteer_mentions, model_entities, pattern_entities,
-                      pattern_mentions)
+from .extract import (flatten_mentions, gazetteer_mentions, model_entities, pattern_mentions)
 
 
-def _with_entities(df: DataFrame, text_col: str, extractor: str) -> DataFrame:
-    if extractor == "pattern":
-        return df.withColumn("entities", pattern_entities(text_col))
-    return model_entities(df, text_col, model=extractor)
+Extractor = str | Callable[[], Callable]     # 'pattern', 'gazetteer' or a maker of a model
 
 
-def _mentions(df: DataFrame, text_col: str, date_col: str, extractor: str, extra,
+def _mentions(df: DataFrame, text_col: str, date_col: str, extractor: Extractor, extra,
               terms: DataFrame | None) -> DataFrame:
     if extractor == "pattern":
         return pattern_mentions(df, text_col, date_col, extra)
@@ -29,18 +26,20 @@ def _mentions(df: DataFrame, text_col: str, date_col: str, extractor: str, extra
         dated = df.select(*extra, to_date_text(date_col).alias("published_date"), text_col)
         found = gazetteer_mentions(dated, terms, text_col, keep=(*extra, "published_date"))
         return found.select(*extra, "entity_text", "entity_type", "published_date")
-    return flatten_mentions(_with_entities(df, text_col, extractor), date_col, extra=extra)
+    if not callable(extractor):
+        raise ValueError(f"unknown extractor {extractor!r}")
+    return flatten_mentions(model_entities(df, text_col, extractor), date_col, extra=extra)
 
 
-def news_mentions(news: DataFrame, extractor: str = "pattern", extra=(),
+def news_mentions(news: DataFrame, extractor: Extractor = "pattern", extra=(),
                   terms: DataFrame | None = None) -> DataFrame:
     """Parsed articles -> mentions (entities of title + description + content,
     dated by publishedAt). ``extractor``: 'pattern', 'gazetteer' (with
-    ``terms``) or a model name for the mapInPandas seam."""
+    ``terms``) or a maker of a model for the mapInPandas seam."""
     return _mentions(clean_news(news), "full_text", "publishedAt", extractor, extra, terms)
 
 
-def post_mentions(posts: DataFrame, extractor: str = "pattern", extra=(),
+def post_mentions(posts: DataFrame, extractor: Extractor = "pattern", extra=(),
                   terms: DataFrame | None = None) -> DataFrame:
     """Parsed posts -> mentions (entities of the post text, dated by its date)."""
     return _mentions(posts, "tweet_content", "tweet_date", extractor, extra, terms)
@@ -75,7 +74,7 @@ def merge_dates(existing: DataFrame | None, new: DataFrame, mode: str = "cumulat
     return union_dates(existing.select("the_date"), new.select("the_date"))
 
 
-def mention_job(news_log: DataFrame, posts_log: DataFrame, extractor: str = "pattern",
+def mention_job(news_log: DataFrame, posts_log: DataFrame, extractor: Extractor = "pattern",
                 terms: DataFrame | None = None):
     """Message-log frames of both topics -> (mentions, dates).
 

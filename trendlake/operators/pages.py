@@ -2,43 +2,47 @@
 
 The collector read these fields from a live page with CSS selectors; here the
 same rules run over stored HTML as Spark expressions (regex over the markup,
-evaluated JVM-side per row, no Python). One page element is one candidate
-post: its inner HTML, its text, its links and its attributes.
-
-A parser-based variant (``parse_pages``) runs the stdlib HTML parser in
-``mapInPandas`` for markup the regex form cannot read (entities decoded,
-nesting honoured); it is a Python stage, so it is not the default.
+evaluated JVM-side per row, no Python). Every page element (``<article>``) is a
+candidate post: its inner HTML, its text, its links and its attributes. Nothing
+is cut by default; the collector's limits are parameters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import (clean_username, contains_any, first_nonempty,
-                              handle_from_href, is_handle_href, py_strip)
-from ..schemas import (CONTENT_MAX_FALLBACK, CONTENT_MAX_PARTS, CONTENT_MIN_FALLBACK,
-                       POST_ID_ATTRS, POST_ID_HTML_PREFIX, POST_ID_MIN_TEXT,
-                       POST_ID_TEXT_HASH_LEN, POST_ID_TEXT_PREFIX, REPOST_CONTEXT_WORDS,
-                       REPOST_MARKER_ARIA, REPOST_MARKER_TESTIDS, REPOST_TEXT_PHRASES,
-                       STATUS_ID_MIN_DIGITS)
+from ..functions.text import (clean_bio, clean_username, contains_any, display_name_or_null, first_nonempty,
+                              handle_from_href, handle_from_text, is_handle_href, nonempty, py_strip)
+from ..schemas import (CONTENT_MIN_FALLBACK, POST_ID_ATTRS, POST_ID_MIN_TEXT, POST_ID_TEXT_HASH_LEN,
+                       REPOST_CONTEXT_WORDS, REPOST_MARKER_ARIA, REPOST_MARKER_TESTIDS,
+                       REPOST_TEXT_PHRASES, STATUS_ID_MIN_DIGITS)
 
 # ---- markup patterns (regex forms of the selectors) ------------------------
 TAG = r"<[^>]*>"
-ARTICLE = r"(?s)<article[^>]*>(.*?)</article>"
+ARTICLE = r"(?s)<article[^>]*>.*?</article>"
+ARTICLE_TAG = r"^<article[^>]*>"
 TITLE = r"(?s)<title[^>]*>(.*?)</title>"
 H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
-PARA_TEXT = r"<p[^>]*>([^<]*)"
 HREF = r"href=\"([^\"]*)\""
 LINK = r"(?s)<a [^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>"
+ARIA = r"aria-label=\"([^\"]*)\""
 TIME_DATETIME = r"<time[^>]*datetime=\"([^\"]*)\""
 TIME_TITLE = r"<time[^>]*title=\"([^\"]*)\""
 TIME_TEXT = r"(?s)<time[^>]*>(.*?)</time>"
 SOCIAL_CONTEXT = r"(?s)data-testid=\"socialContext\"[^>]*>(.*?)</"
+POST_TESTID = "data-testid=\"tweet\""
+USER_NAME = r"(?s)data-testid=\"User-Name\"[^>]*>(.*?)</div>"
+
+
+def marked(kind: str, value: str, tag: str) -> str:
+    """Elements whose attribute ``kind`` is ``value``; group 1 is the inside."""
+    return rf"(?s)<{tag}\b[^>]*{kind}=\"{value}\"[^>]*>(.*?)</{tag}>"
+
+
+# Content rules in the order they are tried: the first that finds text wins.
+CONTENT_RULES = (marked("data-testid", "tweetText", "div"), marked("data-testid", "tweetText", "span"),
+                 r"(?s)<div\b[^>]*lang=\"[^\"]*\"[^>]*>(.*?)</div>", r"(?s)<p(?:\s[^>]*)?>(.*?)</p>")
 
 
 def _c(c) -> Column:
@@ -50,22 +54,30 @@ def inner_text(html) -> Column:
     return F.regexp_replace(_c(html), TAG, "")
 
 
-def element_of(html, pattern: str = ARTICLE) -> Column:
-    return F.regexp_extract(_c(html), pattern, 1)
+def page_elements(pages: DataFrame, keep=("page_id",)) -> DataFrame:
+    """(keep..., element, tag, html) of every post element of a page, in order;
+    a page without one gives a row whose element is NULL and html ''."""
+    found = F.regexp_extract_all("html", F.lit(ARTICLE), F.lit(0))
+    rows = pages.select(*keep, F.posexplode_outer(found).alias("element", "_el"))
+    el = F.coalesce("_el", F.lit(""))
+    return rows.select(
+        *keep, "element", F.regexp_extract(el, ARTICLE_TAG, 0).alias("tag"),
+        F.regexp_replace(F.regexp_replace(el, ARTICLE_TAG, ""), r"</article>\z", "").alias("html"))
 
 
-def content_text(element) -> Column:
-    """Post text: up to 3 non-empty paragraph texts joined by a space; else
-    the element's whole text if longer than 10 characters, cut at 500;
-    else ''."""
-    texts = F.filter(F.transform(F.regexp_extract_all(_c(element), F.lit(PARA_TEXT), 1),
-                                 lambda t: py_strip(t)), lambda t: t != "")
-    joined = F.when(F.size(texts) > 0,
-                    F.array_join(F.slice(texts, 1, CONTENT_MAX_PARTS), " "))
-    whole = py_strip(inner_text(element))
-    fallback = F.when(F.length(whole) > CONTENT_MIN_FALLBACK,
-                      F.substring(whole, 1, CONTENT_MAX_FALLBACK))
-    return F.coalesce(joined, fallback, F.lit(""))
+def content_text(element, max_parts: int | None = None, max_fallback: int | None = None) -> Column:
+    """Post text: the non-empty texts of the first content rule that has any,
+    joined by a space; else the element's whole text if it is longer than 10
+    characters; else ''. The limits cut the parts and the fallback."""
+    e = _c(element)
+    tries = []
+    for rule in CONTENT_RULES:
+        texts = F.filter(F.transform(F.regexp_extract_all(e, F.lit(rule), F.lit(1)),
+                                     lambda t: py_strip(inner_text(t))), lambda t: t != "")
+        tries.append(nonempty(F.array_join(texts if max_parts is None else F.slice(texts, 1, max_parts), " ")))
+    whole = py_strip(inner_text(e))
+    cut = whole if max_fallback is None else F.substring(whole, 1, max_fallback)
+    return F.coalesce(*tries, F.when(F.length(whole) > CONTENT_MIN_FALLBACK, cut), F.lit(""))
 
 
 def date_text(element) -> Column:
@@ -92,65 +104,81 @@ def attr_value(tag_html, name: str) -> Column:
     return F.regexp_extract(_c(tag_html), f"{name}=\"([^\"]*)\"", 1)
 
 
-def post_id(element, open_tag) -> Column:
+def post_id(element, open_tag, attrs=POST_ID_ATTRS, html_prefix: int | None = None,
+            text_prefix: int | None = None) -> Column:
     """Id cascade: status id -> 'time_'+datetime -> '<attr>_'+value of the
-    element's own id attributes -> 'hash_'+md5(first 1000 chars of the inner
-    HTML) -> 'stable_'+md5(first 100 chars of the stripped text)[:12] ->
-    NULL."""
+    element's own id attributes -> 'hash_'+md5(inner HTML) ->
+    'stable_'+md5(stripped text)[:12] -> NULL. The prefixes cut what is hashed
+    (the collector hashed beginnings, so posts that begin alike shared an id);
+    an attribute that all posts carry alike is no id and not among ``attrs``."""
     e = _c(element)
-    hrefs = F.regexp_extract_all(e, F.lit(HREF), 1)
     t = F.regexp_extract(e, TIME_DATETIME, 1)
-    attrs = [F.when(attr_value(open_tag, a) != "", F.concat(F.lit(a + "_"), attr_value(open_tag, a)))
-             for a in POST_ID_ATTRS]
+    own = [F.when(attr_value(open_tag, a) != "", F.concat(F.lit(a + "_"), attr_value(open_tag, a)))
+           for a in attrs]
     text = py_strip(inner_text(e))
+    hashed = e if html_prefix is None else F.substring(e, 1, html_prefix)
+    stable = text if text_prefix is None else F.substring(text, 1, text_prefix)
     return F.coalesce(
-        status_id(hrefs),
-        F.when(t != "", F.concat(F.lit("time_"), t)),
-        *attrs,
-        F.when(e != "", F.concat(F.lit("hash_"), F.md5(F.substring(e, 1, POST_ID_HTML_PREFIX)))),
+        status_id(F.regexp_extract_all(e, F.lit(HREF), F.lit(1))),
+        F.when(t != "", F.concat(F.lit("time_"), t)), *own,
+        F.when(py_strip(e) != "", F.concat(F.lit("hash_"), F.md5(hashed))),
         F.when(F.length(text) > POST_ID_MIN_TEXT,
-               F.concat(F.lit("stable_"), F.substring(F.md5(F.substring(text, 1, POST_ID_TEXT_PREFIX)),
-                                                      1, POST_ID_TEXT_HASH_LEN))),
-    )
+               F.concat(F.lit("stable_"), F.substring(F.md5(stable), 1, POST_ID_TEXT_HASH_LEN))))
 
 
 def repost_flag(text, html=None) -> Column:
     """Repost test: context line has a repost word, or the whole text has a
-    repost phrase, or (with HTML) a marker element or a nested post."""
+    repost phrase, or (with HTML) a marker element, any label that says so, or
+    a nested post."""
     flag = contains_any(F.lower(_c(text)), REPOST_TEXT_PHRASES)
     if html is not None:
         h = _c(html)
         ctx = F.lower(F.regexp_extract(h, SOCIAL_CONTEXT, 1))
         markers = [f'data-testid="{m}"' for m in REPOST_MARKER_TESTIDS]
-        aria = F.lower(F.regexp_extract(h, r"aria-label=\"([^\"]*)\"", 1))
-        nested = F.size(F.regexp_extract_all(h, F.lit(r'data-testid="tweet"'), 0)) > 1
+        labels = F.lower(F.array_join(F.regexp_extract_all(h, F.lit(ARIA), F.lit(1)), "\n"))
+        nested = F.size(F.split(h, POST_TESTID)) > 2
         flag = (flag | contains_any(ctx, REPOST_CONTEXT_WORDS) | contains_any(h, markers)
-                | contains_any(aria, REPOST_MARKER_ARIA) | nested)
+                | contains_any(labels, REPOST_MARKER_ARIA) | nested)
     return flag
 
 
+def quoted_post(element) -> Column:
+    """Struct (quoted_username, quoted_content) of the post nested in an
+    element, NULLs without one: the part after the second post mark."""
+    parts = F.split(_c(element), POST_TESTID)
+    inner = F.when(F.size(parts) > 2, F.get(parts, F.lit(2)))
+    user = handle_from_text(py_strip(inner_text(F.regexp_extract(inner, USER_NAME, 1))))
+    return F.struct(user.alias("quoted_username"), nonempty(content_text(inner)).alias("quoted_content"))
+
+
 def page_posts(pages: DataFrame) -> DataFrame:
-    """One candidate post per page: (page_id, title, heading, content,
-    date_text, post_id, is_repost, n_links)."""
-    # the element is cut out once and then read by every field (an
-    # expensive expression used many times is not collapsed back in)
-    staged = pages.select(
-        "page_id",
+    """One row per post element: (page_id, element, title, heading, content,
+    date_text, post_id, is_repost, quoted_username, quoted_content, n_links)."""
+    # the elements are cut out once and then read by every field
+    page = pages.select(
+        "page_id", "html",
         py_strip(inner_text(F.regexp_extract("html", TITLE, 1))).alias("title"),
         py_strip(inner_text(F.regexp_extract("html", H1, 1))).alias("heading"),
-        F.size(F.regexp_extract_all("html", F.lit(HREF), 1)).alias("n_links"),
-        element_of("html").alias("_art"),
-        F.regexp_extract("html", r"(<article[^>]*>)", 1).alias("_tag"),
-    )
-    art = F.col("_art")
-    return staged.select(
-        "page_id", "title", "heading",
-        content_text(art).alias("content"),
-        date_text(art).alias("date_text"),
-        post_id(art, F.col("_tag")).alias("post_id"),
-        repost_flag(inner_text(art), art).alias("is_repost"),
-        "n_links",
-    )
+        F.size(F.regexp_extract_all("html", F.lit(HREF), F.lit(1))).alias("n_links"))
+    el = page_elements(page, ("page_id", "title", "heading", "n_links"))
+    e = F.col("html")
+    return el.select(
+        "page_id", "element", "title", "heading", content_text(e).alias("content"),
+        date_text(e).alias("date_text"), post_id(e, F.col("tag")).alias("post_id"),
+        repost_flag(inner_text(e), e).alias("is_repost"), quoted_post(e).alias("_q"), "n_links",
+    ).select("page_id", "element", "title", "heading", "content", "date_text", "post_id", "is_repost",
+             "_q.quoted_username", "_q.quoted_content", "n_links")
+
+
+def page_reposts(pages: DataFrame) -> DataFrame:
+    """(page_id, element, retweet_username, retweet_main_content, retweet_date)
+    of the post elements that are reposts."""
+    el = page_elements(pages)
+    e = F.col("html")
+    user = handle_from_text(py_strip(inner_text(F.regexp_extract(e, USER_NAME, 1))))
+    return (el.where(repost_flag(inner_text(e), e))
+            .select("page_id", "element", user.alias("retweet_username"),
+                    content_text(e).alias("retweet_main_content"), date_text(e).alias("retweet_date")))
 
 
 def page_links(pages: DataFrame, keep=("page_id",)) -> DataFrame:
@@ -162,57 +190,6 @@ def page_links(pages: DataFrame, keep=("page_id",)) -> DataFrame:
                     py_strip(inner_text(F.regexp_extract("_a", LINK, 2))).alias("text")))
 
 
-# ---- parser form (rows-only) -----------------------------------------------
-
-class _Collector(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack, self.title, self.h1, self.article, self.links = [], [], [], [], 0
-        self._skip = 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style"):
-            self._skip += 1
-        if tag == "a":
-            self.links += 1
-        self.stack.append(tag)
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style") and self._skip:
-            self._skip -= 1
-        if tag in self.stack:
-            while self.stack and self.stack.pop() != tag:
-                pass
-
-    def handle_data(self, data):
-        if self._skip:
-            return
-        if "title" in self.stack:
-            self.title.append(data)
-        if "h1" in self.stack:
-            self.h1.append(data)
-        if "article" in self.stack:
-            self.article.append(data)
-
-
-def parse_pages(pages: DataFrame) -> DataFrame:
-    """Parser form: (page_id, title, heading, text, n_links) with character
-    references decoded. One Arrow batch at a time per task."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for pid, h in zip(pdf["page_id"], pdf["html"]):
-                p = _Collector()
-                p.feed(h or "")
-                p.close()
-                rows.append((pid, "".join(p.title).strip(), "".join(p.h1).strip(),
-                             " ".join("".join(p.article).split()), p.links))
-            yield pd.DataFrame(rows, columns=["page_id", "title", "heading", "text", "n_links"])
-
-    return pages.select("page_id", "html").mapInPandas(
-        run, "page_id long, title string, heading string, text string, n_links int")
-
-
 # ---- accounts and edges ----------------------------------------------------
 
 def page_accounts(pages: DataFrame) -> DataFrame:
@@ -222,19 +199,28 @@ def page_accounts(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", h.alias("handle"), clean_username(h).alias("file_name"))
 
 
-def page_edges(pages: DataFrame, max_edges: int, direction: str = "following") -> DataFrame:
-    """Edges from a page's handle links: first link per handle wins, first
-    ``max_edges`` per (page, direction); display name cleaned and kept only
-    when it is not a handle itself."""
-    from .feeds import cap_within, dedupe_first
-    from ..functions.text import display_name_or_null
-
-    links = page_links(pages)
-    edges = (links.where(is_handle_href(F.col("href")))
-             .select("page_id", "pos", F.lit(direction).alias("direction"),
-                     handle_from_href(F.col("href")).alias("handle"), "text"))
-    edges = dedupe_first(edges, ["page_id", "direction", "handle"], "pos")
-    edges = cap_within(edges, ["page_id", "direction"], max_edges, "pos")
-    return edges.select("page_id", "direction", "handle", "rn",
-                        F.coalesce(display_name_or_null(F.col("text"), F.col("handle")),
-                                   F.col("handle")).alias("name"))
+def page_edges(pages: DataFrame, max_edges: int | None = None, direction: str = "following") -> DataFrame:
+    """Edges from a page's handle links: first link per handle wins, the first
+    ``max_edges`` of a page (None: all); display name cleaned and kept only
+    when it is not a handle itself. All links of a page stand in one row, so
+    deduplication and cap are array functions: no shuffle."""
+    links = F.transform(F.regexp_extract_all("html", F.lit(LINK), F.lit(0)), lambda a: F.struct(
+        F.regexp_extract(a, LINK, 1).alias("href"),
+        py_strip(inner_text(F.regexp_extract(a, LINK, 2))).alias("text")))
+    known = F.transform(F.filter(links, lambda x: is_handle_href(x["href"])), lambda x: F.struct(
+        handle_from_href(x["href"]).alias("handle"), x["text"].alias("text")))
+    rows = pages.select("page_id", known.alias("_l"))
+    handles = F.transform("_l", lambda x: x["handle"])
+    # the first place of each distinct handle, in order
+    first = F.transform(F.array_distinct(handles), lambda h: F.get("_l", F.array_position(handles, h).cast("int") - 1))
+    first = first if max_edges is None else F.slice(first, 1, max_edges)
+    out = rows.select("page_id", F.posexplode(first).alias("_at", "_e"))
+    return out.select("page_id", F.lit(direction).alias("direction"), F.col("_e.handle").alias("handle"),
+                      (F.col("_at") + 1).alias("rn"),
+                      F.coalesce(display_name_or_null(F.col("_e.text"), F.col("_e.handle")),
+                                 F.col("_e.handle")).alias("name"))
+
+
+def page_bio(html) -> Column:
+    """Bio of a profile page: the meta description, cleaned."""
+    return clean_bio(F.regexp_extract(_c(html), r"<meta[^>]*name=\"description\"[^>]*content=\"([^\"]*)\"", 1))

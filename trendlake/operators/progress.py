@@ -64,13 +64,13 @@ def has_rows(df: DataFrame) -> bool:
 
 
 def read_progress(spark, path: str) -> DataFrame | None:
-    """Saved progress table, or None when it is missing or unreadable (the
-    caller then starts every partition at 0 via ``starting_offsets``)."""
+    """Progress as of the newest run, with its ``run_id``; None if there is no
+    table yet (the caller then starts every partition at 0). Any other error
+    is raised: taking it for "no progress" would read the whole log again."""
+    from pyspark.sql import types as T
+
     from ..schemas import OFFSETS_SCHEMA
     from ..sources.files import read_or_empty
-    try:
-        df = read_or_empty(spark, path, OFFSETS_SCHEMA)
-        df.schema  # noqa: B018 - forces the footer read
-        return None if df.isEmpty() else df
-    except Exception:
-        return None
+    saved = read_or_empty(spark, path, T.StructType([*OFFSETS_SCHEMA.fields, T.StructField("run_id", T.LongType())]))
+    newest = saved.agg(F.max("run_id")).first()[0]
+    return None if newest is None else saved.where(F.col("run_id") == newest)

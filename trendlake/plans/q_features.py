@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import features as feat
-from ..operators.forecast import forecast
+from ..operators.forecast import forecast, forecast_with_check
+from ..operators.grid import allowed_entities
 from ..schemas import N_LAGS
+from ..session import shared_path
+from ..sinks.tables import write_trends
+from . import fixtures as fx
 from .registry import register
 from .q_grid import _grid_sql, dense_daily_counts
 
@@ -12,7 +18,7 @@ _LAGS = ", ".join(f"lag(count_mentions, {k}) OVER w AS lag_{k}" for k in range(1
 _NOTNULL = " AND ".join(f"lag_{k} IS NOT NULL" for k in range(1, N_LAGS + 1))
 
 FEATURES_CTE = f"""
-grid AS ({_grid_sql("")}),
+grid AS ({_grid_sql()}),
 f AS (SELECT entity_text AS group_id, published_date, count_mentions AS target, {_LAGS}
       FROM grid WINDOW w AS (PARTITION BY entity_text ORDER BY published_date)),
 d AS (SELECT * FROM f WHERE {_NOTNULL}),
@@ -21,10 +27,16 @@ feats AS (SELECT d.*, dense_rank() OVER (ORDER BY group_id) - 1 AS group_id_enc,
           CAST(dayofmonth(published_date) AS INTEGER) AS dayofmonth FROM d)"""
 
 
+def _features(spark, sf_dir):
+    mentions = fx.event_mentions(fx.table(spark, sf_dir, "events"))
+    return feat.lag_features(dense_daily_counts(spark, sf_dir),
+                             entities=allowed_entities(mentions, fx.EVENT_ALLOWED_TYPES))
+
+
 @register("lag_features", f"WITH {FEATURES_CTE}\nSELECT * FROM feats",
           "WIN1 FLT3 AGG8 PRJ9 PRJ10 PRJ11 ML1 Q10 Q12")
 def lag_features(spark, sf_dir):
-    return feat.lag_features(dense_daily_counts(spark, sf_dir))
+    return _features(spark, sf_dir)
 
 
 _SHIFT = ", ".join(["target AS lag_1"] + [f"lag_{k - 1} AS lag_{k}" for k in range(2, N_LAGS + 1)])
@@ -40,10 +52,33 @@ SELECT group_id, CAST((SELECT nd FROM nd) AS DATE) AS date, {_SHIFT}, group_id_e
 FROM last
 """, "WIN2 WIN3 PRJ14 AGG6 AGG7 JON3 JON4")
 def scoring_rows(spark, sf_dir):
-    return feat.scoring_rows(feat.lag_features(dense_daily_counts(spark, sf_dir)))
+    return feat.scoring_rows(_features(spark, sf_dir))
 
 
-@register("forecast_next_day", None, "ML2 ML3 ML4 UDF3 PRJ15 FN13 SNK8")
+@register("forecast_next_day", f"""
+WITH {FEATURES_CTE}
+SELECT group_id, CAST((SELECT max(published_date) FROM feats) + INTERVAL 1 DAY AS DATE) AS date,
+       TRUE AS whole_and_not_negative, TRUE AS better_than_yesterday
+FROM feats GROUP BY group_id
+""", "ML2 ML3 UDF3 PRJ11 PRJ15 FN13 AGG8")
 def forecast_next_day(spark, sf_dir):
-    """Boosted trees with the reference's settings (200 rounds, depth 5)."""
-    return forecast(dense_daily_counts(spark, sf_dir))
+    """Boosted trees with the reference's settings (200 rounds, depth 5): one
+    forecast per entity, and whether the model's squared error over the
+    feature rows is below that of repeating yesterday's count."""
+    out, better = forecast_with_check(dense_daily_counts(spark, sf_dir))
+    n = F.col("predicted_count")
+    return out.select("group_id", "date", ((n >= 0) & (n == F.floor(n))).alias("whole_and_not_negative"),
+                      F.lit(better).alias("better_than_yesterday"))
+
+
+@register("forecast_rows", f"""
+WITH {FEATURES_CTE}
+SELECT group_id, CAST((SELECT max(published_date) FROM feats) + INTERVAL 1 DAY AS DATE) AS date FROM feats GROUP BY group_id
+""", "SNK8 ML4")
+def forecast_rows(spark, sf_dir):
+    """A few rounds of the same model, saved, its forecasts stored by date and
+    read back."""
+    base = shared_path(spark, "trends")
+    out = forecast(dense_daily_counts(spark, sf_dir), save_to=base + "/model", maxIter=3)
+    write_trends(out, base + "/trends")
+    return spark.read.parquet(base + "/trends").select("group_id", F.col("date").cast("date").alias("date"))

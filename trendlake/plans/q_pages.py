@@ -1,176 +1,238 @@
-"""Page-extraction, id-cascade, handle and repost queries over stored pages
-and conversation text."""
+"""Page-extraction, id-cascade, handle and repost queries over stored pages,
+and over post elements rendered from conversations.
+
+The SQL states its own patterns and expected values: it imports no rule from
+the operators. For the rendered elements it does not parse anything; it names
+the values that the elements were rendered from.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text as tx
+from ..functions.text import (content_key, descriptive_text_or_null, handle_from_text)
+from ..operators import feeds
 from ..operators import pages as pg
-from ..schemas import (CONTENT_MAX_FALLBACK, CONTENT_MAX_PARTS, CONTENT_MIN_FALLBACK,
-                       POST_ID_ATTRS, POST_ID_HTML_PREFIX, POST_ID_MIN_TEXT,
-                       POST_ID_TEXT_HASH_LEN, POST_ID_TEXT_PREFIX, REPOST_CONTEXT_WORDS,
-                       REPOST_MARKER_ARIA, REPOST_MARKER_TESTIDS, REPOST_TEXT_PHRASES,
-                       STATUS_ID_MIN_DIGITS)
 from . import fixtures as fx
 from .registry import register
 
 PAGE_MAX_EDGES = 4
 
-# ---- SQL forms of the same expressions (DuckDB) ----------------------------
-_SP = tx._PY_SPACE_SET
-
-
-def s_strip(x):
-    return f"regexp_replace({x}, '^[{_SP}]+|[{_SP}]+$', '', 'g')"
-
-
-def s_inner(x):
-    return f"regexp_replace({x}, '{pg.TAG}', '', 'g')"
-
-
-def s_ex(x, pat, g=1):
-    return f"regexp_extract({x}, '{pat}', {g})"
-
-
-def s_any(x, needles):
-    return "(" + " OR ".join(f"coalesce(strpos({x}, '{n}') > 0, false)" for n in needles) + ")"
-
-
-def s_nonempty(x):
-    return f"CASE WHEN {x} <> '' THEN {x} END"
-
-
-def s_content(el):
-    texts = (f"list_filter(list_transform(regexp_extract_all({el}, '{pg.PARA_TEXT}', 1), "
-             f"lambda t: {s_strip('t')}), lambda t: t <> '')")
-    whole = s_strip(s_inner(el))
-    return (f"coalesce(CASE WHEN len({texts}) > 0 THEN array_to_string(list_slice({texts}, 1, {CONTENT_MAX_PARTS}), ' ') END, "
-            f"CASE WHEN length({whole}) > {CONTENT_MIN_FALLBACK} THEN substring({whole}, 1, {CONTENT_MAX_FALLBACK}) END, '')")
-
-
-def s_date(el):
-    return (f"coalesce({s_nonempty(s_ex(el, pg.TIME_DATETIME))}, {s_nonempty(s_ex(el, pg.TIME_TITLE))}, "
-            f"{s_nonempty(s_strip(s_inner(s_ex(el, pg.TIME_TEXT))))}, '')")
+# ---- the stored pages: one expression per field, stated for DuckDB ------------
+_EDGE_SPACE = r"^[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{3000}]+|[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{3000}]+$"
 
 
-def s_post_id(el, tag):
-    hrefs = f"regexp_extract_all({el}, '{pg.HREF}', 1)"
-    sid = (f"list_filter(list_transform(list_filter({hrefs}, lambda h: strpos(h, '/status/') > 0), "
-           f"lambda h: split_part(string_split(h, '/status/')[-1], '?', 1)), "
-           f"lambda s: regexp_full_match(s, '[0-9]{{{STATUS_ID_MIN_DIGITS},}}'))[1]")
-    t = s_ex(el, pg.TIME_DATETIME)
-    attrs = ", ".join(f"CASE WHEN {s_ex(tag, a + '=\"([^\"]*)\"')} <> '' THEN '{a}_' || {s_ex(tag, a + '=\"([^\"]*)\"')} END"
-                      for a in POST_ID_ATTRS)
-    text = s_strip(s_inner(el))
-    return (f"coalesce({sid}, CASE WHEN {t} <> '' THEN 'time_' || {t} END, {attrs}, "
-            f"CASE WHEN {el} <> '' THEN 'hash_' || md5(substring({el}, 1, {POST_ID_HTML_PREFIX})) END, "
-            f"CASE WHEN length({text}) > {POST_ID_MIN_TEXT} THEN 'stable_' || "
-            f"substring(md5(substring({text}, 1, {POST_ID_TEXT_PREFIX})), 1, {POST_ID_TEXT_HASH_LEN}) END)")
+def _bare(x):
+    """Text of markup, without space at the ends."""
+    return f"regexp_replace(regexp_replace({x}, '<[^>]*>', '', 'g'), '{_EDGE_SPACE}', '', 'g')"
 
 
-def s_repost(text, html=None):
-    flag = s_any(f"lower({text})", REPOST_TEXT_PHRASES)
-    if html is not None:
-        ctx = f"lower({s_ex(html, pg.SOCIAL_CONTEXT)})"
-        markers = [f'data-testid="{m}"' for m in REPOST_MARKER_TESTIDS]
-        aria = f"lower({s_ex(html, 'aria-label=\"([^\"]*)\"')})"
-        nested = f"len(regexp_extract_all({html}, 'data-testid=\"tweet\"', 0)) > 1"
-        flag = (f"({flag} OR {s_any(ctx, REPOST_CONTEXT_WORDS)} OR {s_any(html, markers)} "
-                f"OR {s_any(aria, REPOST_MARKER_ARIA)} OR {nested})")
-    return flag
-
-
-def s_handle(href):
-    return f"string_split(regexp_replace({href}, '^[/]+|[/]+$', '', 'g'), '/')[-1]"
-
-
-_EL = f"regexp_extract(html, '{pg.ARTICLE}', 1)"
-_TAG = "regexp_extract(html, '(<article[^>]*>)', 1)"
+_ELEMENTS = """
+el AS (SELECT page_id, html AS page, unnest(els) AS whole, unnest(range(len(els))) AS element
+  FROM (SELECT page_id, html, regexp_extract_all(html, '(?s)<article[^>]*>.*?</article>', 0) AS els FROM pages)),
+inner_ AS (SELECT *, substr(whole, strpos(whole, '>') + 1, length(whole) - strpos(whole, '>') - 10) AS h FROM el)"""
+_PARAGRAPHS = (f"list_filter(list_transform(regexp_extract_all(h, '(?s)<p(?:\\s[^>]*)?>(.*?)</p>', 1), "
+               f"lambda t: {_bare('t')}), lambda t: t <> '')").replace("\\\\", "\\")
 
 
 @register("page_extract", f"""
-SELECT page_id,
-  {s_strip(s_inner(s_ex('html', pg.TITLE)))} AS title,
-  {s_strip(s_inner(s_ex('html', pg.H1)))} AS heading,
-  {s_content(_EL)} AS content,
-  {s_date(_EL)} AS date_text,
-  {s_post_id(_EL, _TAG)} AS post_id,
-  {s_repost(s_inner(_EL), _EL)} AS is_repost,
-  CAST(len(regexp_extract_all(html, '{pg.HREF}', 1)) AS INTEGER) AS n_links
-FROM pages
-""", "UDF4 SRC10 FN20 FN21 FN15 FN14 FLT12 FLT10 FLT9")
+WITH {_ELEMENTS}
+SELECT page_id, CAST(element AS INTEGER) AS element,
+  {_bare("regexp_extract(page, '(?s)<title[^>]*>(.*?)</title>', 1)")} AS title,
+  {_bare("regexp_extract(page, '(?s)<h1[^>]*>(.*?)</h1>', 1)")} AS heading,
+  CASE WHEN len({_PARAGRAPHS}) > 0 THEN array_to_string({_PARAGRAPHS}, ' ')
+       WHEN length({_bare('h')}) > 10 THEN {_bare('h')} ELSE '' END AS content,
+  'hash_' || md5(h) AS post_id,
+  CAST(len(string_split(page, 'href="')) - 1 AS INTEGER) AS n_links
+FROM inner_
+""", "UDF4 SRC10 FN20 FN14 FLT9")
 def page_extract(spark, sf_dir):
-    return pg.page_posts(fx.table(spark, sf_dir, "pages"))
+    posts = pg.page_posts(fx.table(spark, sf_dir, "pages")).where("element IS NOT NULL")
+    return posts.select("page_id", "element", "title", "heading", "content", "post_id", "n_links")
+
+
+# ---- elements rendered from conversations: a branch of every rule per variant ---
+VARIANTS = 10
+
+
+def rendered_pages(conv):
+    """Each conversation as a page of post elements, one per turn. What the
+    element carries goes by (7 * conv_id + turn) mod 10; the values come from
+    the row."""
+    v = (F.col("conv_id") * 7 + F.col("turn")) % VARIANTS
+    at = F.format_string("2024-01-%02dT%02d:00:00Z", (F.col("conv_id") % 28 + 1).cast("int"), (F.col("turn") % 24).cast("int"))
+    number = F.format_string("%012d", F.col("conv_id") * 1000 + F.col("turn"))
+    body = F.regexp_replace(F.coalesce("text", F.lit("")), "[<>]", " ")
+    user = F.concat(F.lit("user"), (F.col("conv_id") % 50).cast("string"))
+    name = F.concat(F.lit('<div data-testid="User-Name">@'), user, F.lit(" and more</div>"))
+    nested = F.concat(F.lit('<div data-testid="tweet"></div><div data-testid="tweet"><div data-testid="User-Name">@quoted'),
+                      number, F.lit('</div><p>A <i>quoted</i> post</p></div>'))
+    carried = (F.when(v == 0, F.concat(F.lit('<a href="/'), user, F.lit("/status/"), number, F.lit('?s=20">x</a>')))
+               .when(v == 1, F.concat(F.lit('<time datetime="'), at, F.lit('">then</time>')))
+               .when(v == 2, F.concat(F.lit('<time title="'), at, F.lit('">then</time>')))
+               .when(v == 3, F.concat(F.lit("<time> "), at, F.lit(" </time>")))
+               .when(v == 4, F.lit('<div data-testid="socialContext">Someone reposted</div>'))
+               .when(v == 5, F.lit('<i aria-label="Like"></i><i aria-label="12 Reposts"></i>'))
+               .when(v == 6, nested)
+               .when(v == 7, F.lit('<a href="/someone/status/12">short</a>'))
+               .otherwise(F.lit("")))
+    attribute = (F.when(v == 2, F.concat(F.lit(' data-tweet-id="'), number, F.lit('"')))
+                 .when(v == 3, F.concat(F.lit(' data-item-id="'), number, F.lit('"')))
+                 .otherwise(F.lit(' data-testid="tweet"')))
+    text = (F.when(v == 8, F.concat(F.lit("<div lang=\"en\">First <b>part</b> of "), number, F.lit("</div><p>left out</p>")))
+            .when(v == 9, F.concat(F.lit("bare text of "), number))
+            .otherwise(F.concat(F.lit("<p>Turn <b>"), number, F.lit("</b> of it</p><p></p><p>"), body, F.lit("</p>"))))
+    element = F.concat(F.lit("<article"), attribute, F.lit(">"), F.when(v == 6, F.lit("")).otherwise(name),
+                       carried, F.when(v == 6, F.lit("")).otherwise(text), F.lit("</article>"))
+    ordered = F.array_sort(F.collect_list(F.struct("turn", element.alias("e"))))
+    return (conv.groupBy(F.col("conv_id").alias("page_id"))
+            .agg(F.array_join(F.transform(ordered, lambda x: x["e"]), "\n").alias("html")))
+
+
+_RENDERED_SQL = f"""
+r AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS element,
+  (conv_id * 7 + turn) % {VARIANTS} AS v, printf('%012d', conv_id * 1000 + turn) AS number,
+  printf('2024-01-%02dT%02d:00:00Z', conv_id % 28 + 1, turn % 24) AS at_, 'user' || (conv_id % 50) AS u,
+  regexp_replace(coalesce(text, ''), '[<>]', ' ', 'g') AS body FROM conversations),
+c AS (SELECT *, CASE v WHEN 6 THEN 'A quoted post' WHEN 8 THEN 'First part of ' || number
+    WHEN 9 THEN NULL
+    ELSE 'Turn ' || number || ' of it' || CASE WHEN {_bare('body')} <> '' THEN ' ' || {_bare('body')} ELSE '' END END AS said,
+  CASE WHEN v IN (1, 2, 3) THEN at_ ELSE '' END AS told FROM r)"""
+
+
+@register("rendered_posts", f"""
+WITH {_RENDERED_SQL}
+SELECT conv_id AS page_id, CAST(element AS INTEGER) AS element,
+  coalesce(said, '@' || u || ' and morebare text of ' || number) AS content, told AS date_text,
+  CASE v WHEN 0 THEN number WHEN 1 THEN 'time_' || at_ WHEN 2 THEN 'data-tweet-id_' || number
+    WHEN 3 THEN 'data-item-id_' || number ELSE 'hash' END AS post_id,
+  v IN (4, 5, 6) AS is_repost,
+  CASE WHEN v = 6 THEN 'quoted' || number END AS quoted_username,
+  CASE WHEN v = 6 THEN 'A quoted post' END AS quoted_content
+FROM c
+""", "UDF4 SRC10 FN15 FN20 FN21 FLT10 FLT12 PRJ17")
+def rendered_posts(spark, sf_dir):
+    posts = pg.page_posts(rendered_pages(fx.table(spark, sf_dir, "conversations")))
+    short = F.when(F.col("post_id").startswith("hash_"), F.lit("hash")).otherwise(F.col("post_id"))
+    return posts.select("page_id", "element", "content", "date_text", short.alias("post_id"), "is_repost",
+                        "quoted_username", "quoted_content")
+
+
+@register("rendered_reposts", f"""
+WITH {_RENDERED_SQL}
+SELECT conv_id AS page_id, CAST(element AS INTEGER) AS element,
+  CASE WHEN v = 6 THEN 'quoted' || number ELSE u END AS retweet_username,
+  said AS retweet_main_content, told AS retweet_date
+FROM c WHERE v IN (4, 5, 6)
+""", "FN17 FLT10 reposts of pages")
+def rendered_reposts(spark, sf_dir):
+    return pg.page_reposts(rendered_pages(fx.table(spark, sf_dir, "conversations")))
 
 
 @register("post_id_cascade", f"""
-SELECT page_id, {s_post_id(_EL, _TAG)} AS post_id, {s_post_id('html', "''")} AS page_post_id
-FROM pages
+WITH {_RENDERED_SQL}
+SELECT CASE v WHEN 0 THEN number WHEN 1 THEN 'time_' || at_ WHEN 2 THEN 'data-tweet-id_' || number
+    WHEN 3 THEN 'data-item-id_' || number ELSE 'hash_' END AS post_id, count(*) AS n
+FROM c GROUP BY 1
 """, "FN14 FN15 FLT12 Q20")
 def post_id_cascade(spark, sf_dir):
-    p = fx.table(spark, sf_dir, "pages")
-    art = pg.element_of("html")
-    tag = F.regexp_extract("html", r"(<article[^>]*>)", 1)
-    return p.select("page_id", pg.post_id(art, tag).alias("post_id"),
-                    pg.post_id(F.col("html"), F.lit("")).alias("page_post_id"))
+    el = pg.page_elements(rendered_pages(fx.table(spark, sf_dir, "conversations")))
+    i = pg.post_id(F.col("html"), F.col("tag"))
+    return (el.select(F.when(i.startswith("hash_"), F.lit("hash_")).otherwise(i).alias("post_id"))
+            .groupBy("post_id").agg(F.count(F.lit(1)).alias("n")))
 
 
-@register("repost_flag", f"""
-SELECT conv_id, turn, {s_repost('text')} AS is_repost FROM conversations
+@register("repost_flag", """
+SELECT conv_id, turn, turn % 3 = 1 AS is_repost FROM conversations
 """, "FLT10 FN22")
 def repost_flag(spark, sf_dir):
+    """Plain texts, every third of which says that it is a repost."""
+    c = fx.table(spark, sf_dir, "conversations")
+    said = F.concat(F.coalesce("text", F.lit("")), F.when(F.col("turn") % 3 == 1, F.lit(" She RETWEETED this")).otherwise(F.lit("")))
+    return c.select("conv_id", "turn", pg.repost_flag(said).alias("is_repost"))
+
+
+@register("text_helpers", """
+SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'name' || conv_id END AS handle,
+  CASE WHEN turn % 3 = 0 THEN 'A line about ' || conv_id END AS described,
+  substr(md5('<b>' || conv_id || '</b>' || turn), 1, 16) AS key
+FROM conversations
+""", "FN17 FN19 FN23 FLT15")
+def text_helpers(spark, sf_dir):
     c = fx.table(spark, sf_dir, "conversations")
-    return c.select("conv_id", "turn", pg.repost_flag(F.col("text")).alias("is_repost"))
+    number = F.col("conv_id").cast("string")
+    mention = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("@name"), number, F.lit("\t rest"))).otherwise(number)
+    about = (F.when(F.col("turn") % 3 == 0, F.concat(F.lit(" A line about "), number, F.lit(" ")))
+             .when(F.col("turn") % 3 == 1, F.lit("Follow me")).otherwise(F.lit("@me")))
+    return c.select("conv_id", "turn", handle_from_text(mention).alias("handle"),
+                    descriptive_text_or_null(about).alias("described"),
+                    content_key(F.concat(F.lit("<b>"), number, F.lit("</b>")), F.col("turn").cast("string")).alias("key"))
 
 
-_URL_HANDLE = s_handle("regexp_replace(url, '^[a-z]+://[^/]*', '', 'g')")
+_PATH = "regexp_replace(url, '^[a-z]+://[^/]*', '')"
+_HANDLE = f"string_split(trim({_PATH}, '/'), '/')[-1]"
 
 
 @register("clean_handles", f"""
-SELECT page_id, {_URL_HANDLE} AS handle,
-  regexp_replace(translate(replace({_URL_HANDLE}, '@', ''), ' /\\', '___'), '[^\\p{{L}}\\p{{N}}_-]', '', 'g') AS file_name
+SELECT page_id, {_HANDLE} AS handle,
+  regexp_replace(translate(replace({_HANDLE}, '@', ''), ' /\\', '___'), '[^\\p{{L}}\\p{{N}}_-]', '', 'g') AS file_name
 FROM pages
-""", "FN16 FN18 SNK10 naming")
+""".replace("\\\\", "\\"), "FN16 FN18")
 def clean_handles(spark, sf_dir):
     return pg.page_accounts(fx.table(spark, sf_dir, "pages"))
 
 
-_LINKS_CTE = f"""
-a AS (SELECT page_id, unnest(regexp_extract_all(html, '{pg.LINK}', 0)) AS a,
-             unnest(range(len(regexp_extract_all(html, '{pg.LINK}', 0)))) AS pos FROM pages),
-l AS (SELECT page_id, pos, {s_ex('a', pg.LINK, 1)} AS href,
-             {s_strip(s_inner(s_ex('a', pg.LINK, 2)))} AS text FROM a),
-h AS (SELECT *, {s_handle('href')} AS handle FROM l
-      WHERE strpos(href, '/') > 0 AND strpos(href, '/status/') = 0
-        AND {s_handle('href')} <> '' AND NOT starts_with({s_handle('href')}, 'http'))"""
-
-_CLEANED = s_strip(f"replace({s_strip('text')}, '·', '')")
+_EDGES = f"""
+a AS (SELECT page_id, unnest(ls) AS a, unnest(range(len(ls))) AS pos FROM (
+  SELECT page_id, regexp_extract_all(html, '(?s)<a [^>]*href="[^"]*"[^>]*>.*?</a>', 0) AS ls FROM pages)),
+l AS (SELECT page_id, pos, regexp_extract(a, 'href="([^"]*)"', 1) AS href, {_bare('a')} AS text FROM a),
+h AS (SELECT page_id, pos, text, string_split(trim(href, '/'), '/')[-1] AS handle FROM l
+  WHERE contains(href, '/') AND NOT contains(href, '/status/')),
+d AS (SELECT page_id, handle, min(pos) AS pos, arg_min(text, pos) AS text FROM h
+  WHERE handle <> '' AND NOT starts_with(handle, 'http') GROUP BY ALL),
+n AS (SELECT *, rank() OVER (PARTITION BY page_id ORDER BY pos) AS rn,
+  trim(replace(text, '·', '')) AS shown FROM d)
+SELECT page_id, 'following' AS direction, handle, CAST(rn AS INTEGER) AS rn,
+  CASE WHEN text = '' OR starts_with(text, '@') OR shown = handle THEN handle ELSE shown END AS name
+FROM n"""
 
 
-@register("page_edges", f"""
-WITH {_LINKS_CTE},
-d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, handle ORDER BY pos) AS r FROM h) WHERE r = 1),
-c AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM d)
-SELECT page_id, 'following' AS direction, handle, CAST(rn AS INTEGER) AS rn,
-  coalesce(CASE WHEN {s_strip('text')} <> '' AND NOT starts_with(text, '@') AND {_CLEANED} <> handle
-           THEN {_CLEANED} END, handle) AS name
-FROM c WHERE rn <= {PAGE_MAX_EDGES}
-""", "PRJ18 WIN7 FLT13 FLT14 FN16 FN19")
+@register("page_edges", f"WITH {_EDGES} WHERE rn <= {PAGE_MAX_EDGES}", "WIN7 FLT13 FN16 FN19")
 def page_edges(spark, sf_dir):
     return pg.page_edges(fx.table(spark, sf_dir, "pages"), PAGE_MAX_EDGES)
 
 
-@register("page_parse", None, "UDF4 parser form")
-def page_parse(spark, sf_dir):
-    return pg.parse_pages(fx.table(spark, sf_dir, "pages"))
+@register("page_edges_all", f"WITH {_EDGES}", "FLT13 FN16")
+def page_edges_all(spark, sf_dir):
+    return pg.page_edges(fx.table(spark, sf_dir, "pages"))
+
+
+@register("named_edges", """
+SELECT conv_id AS page_id, role || conv_id AS handle,
+  CASE WHEN min(turn) % 3 = 2 THEN 'A ' || role || ' ' || conv_id ELSE role || conv_id END AS name
+FROM conversations WHERE role IS NOT NULL GROUP BY conv_id, role
+""", "FLT14 FN19")
+def named_edges(spark, sf_dir):
+    """Links rendered with a display name, with the handle, or with '@...'."""
+    c = fx.table(spark, sf_dir, "conversations").where("role IS NOT NULL")
+    handle = F.concat("role", F.col("conv_id").cast("string"))
+    shown = (F.when(F.col("turn") % 3 == 0, F.concat(F.lit("@"), handle))
+             .when(F.col("turn") % 3 == 1, F.concat(F.lit(" · "), handle))
+             .otherwise(F.concat(F.lit("A "), F.col("role"), F.lit(" "), F.col("conv_id").cast("string"), F.lit(" ·"))))
+    link = F.concat(F.lit('<a class="n" href="/'), handle, F.lit('">'), shown, F.lit("</a>"))
+    ordered = F.array_sort(F.collect_list(F.struct("turn", link.alias("l"))))
+    page = c.groupBy(F.col("conv_id").alias("page_id")).agg(F.array_join(F.transform(ordered, lambda x: x["l"]), "").alias("html"))
+    return pg.page_edges(page).select("page_id", "handle", "name")
 
 
 @register("page_dedupe", """
-SELECT min(page_id) AS page_id, count(*) AS copies FROM pages GROUP BY html
+SELECT page_id - page_id % 3 AS page_id, least(3, (SELECT max(page_id) FROM pages) - (page_id - page_id % 3) + 1) AS copies
+FROM pages GROUP BY ALL
 """, "WIN8")
 def page_dedupe(spark, sf_dir):
-    """First page per distinct markup (grouped by a 64-bit hash of it)."""
-    p = fx.table(spark, sf_dir, "pages").select("page_id", F.xxhash64("html").alias("h"))
-    return p.groupBy("h").agg(F.min("page_id").alias("page_id"),
-                              F.count(F.lit(1)).alias("copies")).drop("h")
+    """First page per distinct markup; the markup repeats for three ids."""
+    p = fx.table(spark, sf_dir, "pages").select("page_id")
+    same = p.select("page_id", F.concat(F.lit("<p>"), F.floor(F.col("page_id") / 3).cast("string"), F.lit("</p>")).alias("html"))
+    first = feeds.dedupe_by_content(same, pos="page_id")
+    copies = same.groupBy(F.sha2("html", 256).alias("k")).agg(F.count(F.lit(1)).alias("copies"))
+    return first.select("page_id", F.sha2("html", 256).alias("k")).join(copies, "k").select("page_id", "copies")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..operators import extract
 from ..operators.clean import parse_json_column
 from ..operators.mentions import news_mentions, post_mentions, union_mentions
-from ..operators.extract import ENTITY_PATTERN, TOKEN_PATTERN
+from ..operators.extract import TOKEN_PATTERN
 from . import fixtures as fx
 from .registry import register
 
@@ -55,9 +55,20 @@ POSTS_SQL = (
     "THEN printf('2024-01-%02d', conv_id % 30 + 1) ELSE printf('Jan %d, 2024', conv_id % 30 + 1) "
     "END AS tweet_date FROM conversations)"
 )
+# The extractor's rule in other words, for an engine without look-behind: words
+# that do not begin with a capital are read too (so that none is cut) and dropped.
+_WORDS_SQL = (r"[\p{Ll}\p{Lt}\p{Lm}\p{Lo}]\p{L}*|\p{Lu}\p{L}*\p{Ll}\p{L}*(?: \p{Lu}\p{L}*\p{Ll}\p{L}*)*"
+              r"|\p{Lu}{2,}|[0-9]+")
+
+
+def found_sql(text: str) -> str:
+    return (f"list_filter(regexp_extract_all({text}, '{_WORDS_SQL}'), "
+            r"lambda w: regexp_matches(w, '^[\p{Lu}0-9]'))")
+
+
 LABEL_SQL = (
     "CASE WHEN regexp_full_match(e, '[0-9]+') THEN 'CARDINAL' "
-    "WHEN regexp_full_match(e, '[A-Z]{2,}') THEN 'ORG' "
+    r"WHEN regexp_full_match(e, '\p{Lu}{2,}') THEN 'ORG' "
     "WHEN strpos(e, ' ') > 0 THEN 'PERSON' ELSE 'NORP' END"
 )
 
@@ -89,7 +100,7 @@ def clean_full_text(spark, sf_dir):
 
 @register("extract_entities_regex", f"""
 WITH {NEWS_SQL}, {FULLTEXT_SQL},
-ents AS (SELECT doc_id, publishedAt, unnest(regexp_extract_all(full_text, '{ENTITY_PATTERN}')) AS e FROM ft)
+ents AS (SELECT doc_id, publishedAt, unnest({found_sql('full_text')}) AS e FROM ft)
 SELECT doc_id, lower(e) AS entity_text, {LABEL_SQL} AS entity_type,
        TRY_CAST(publishedAt AS DATE) AS published_date
 FROM ents
@@ -101,8 +112,8 @@ def extract_entities_regex(spark, sf_dir):
 
 @register("mentions_union", f"""
 WITH {NEWS_SQL}, {FULLTEXT_SQL}, {POSTS_SQL},
-a AS (SELECT publishedAt AS d, unnest(regexp_extract_all(full_text, '{ENTITY_PATTERN}')) AS e FROM ft),
-b AS (SELECT tweet_date AS d, unnest(regexp_extract_all(coalesce(tweet_content, ''), '{ENTITY_PATTERN}')) AS e FROM posts),
+a AS (SELECT publishedAt AS d, unnest({found_sql('full_text')}) AS e FROM ft),
+b AS (SELECT tweet_date AS d, unnest({found_sql("coalesce(tweet_content, '')")}) AS e FROM posts),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
 SELECT lower(e) AS entity_text, {LABEL_SQL} AS entity_type, TRY_CAST(d AS DATE) AS published_date FROM u
 """, "SET1 Q4 Q5")
@@ -114,17 +125,18 @@ def mentions_union(spark, sf_dir):
 
 def _terms(spark, sf_dir):
     """Gazetteer: region names (LOC), nation names (GPE), part names
-    (PRODUCT), and the opening word pair of each benchmark passage
-    (WORK_OF_ART) - passages that the documents quote."""
+    (PRODUCT), whole benchmark passages
+    (WORK_OF_ART), which the documents quote, and their first sentences (EVENT)."""
     tok = lambda c: F.array_join(F.transform(
         F.regexp_extract_all(c, F.lit(TOKEN_PATTERN), 0), lambda t: F.lower(t)), " ")
     region = fx.table(spark, sf_dir, "region").select(tok(F.col("r_name")).alias("term"), F.lit("LOC").alias("label"))
     nation = fx.table(spark, sf_dir, "nation").select(tok(F.col("n_name")).alias("term"), F.lit("GPE").alias("label"))
     part = fx.table(spark, sf_dir, "part").select(tok(F.col("p_name")).alias("term"), F.lit("PRODUCT").alias("label"))
-    bench = fx.table(spark, sf_dir, "benchmark").select(
-        F.array_join(F.slice(F.split(tok(F.col("text")), " "), 1, 2), " ").alias("term"),
-        F.lit("WORK_OF_ART").alias("label"))
-    return region.unionByName(nation).unionByName(part).unionByName(bench).where("term <> ''").distinct()
+    bench = fx.table(spark, sf_dir, "benchmark").select(tok(F.col("text")).alias("term"), F.lit("WORK_OF_ART").alias("label"))
+    first = fx.table(spark, sf_dir, "benchmark").select(
+        tok(F.regexp_extract("text", r"(?s)^[^.]*", 0)).alias("term"), F.lit("EVENT").alias("label"))
+    return (region.unionByName(nation).unionByName(part).unionByName(bench).unionByName(first)
+            .where("term <> ''").distinct())
 
 
 TERMS_SQL = f"""
@@ -132,22 +144,18 @@ terms AS (SELECT DISTINCT term, label FROM (
   SELECT array_to_string(list_transform(regexp_extract_all(r_name, '{TOKEN_PATTERN}'), lambda x: lower(x)), ' ') AS term, 'LOC' AS label FROM region
   UNION ALL SELECT array_to_string(list_transform(regexp_extract_all(n_name, '{TOKEN_PATTERN}'), lambda x: lower(x)), ' '), 'GPE' FROM nation
   UNION ALL SELECT array_to_string(list_transform(regexp_extract_all(p_name, '{TOKEN_PATTERN}'), lambda x: lower(x)), ' '), 'PRODUCT' FROM part
-  UNION ALL SELECT array_to_string(list_slice(list_transform(regexp_extract_all(text, '{TOKEN_PATTERN}'), lambda x: lower(x)), 1, 2), ' '), 'WORK_OF_ART' FROM benchmark
+  UNION ALL SELECT array_to_string(list_transform(regexp_extract_all(text, '{TOKEN_PATTERN}'), lambda x: lower(x)), ' '), 'WORK_OF_ART' FROM benchmark
+  UNION ALL SELECT array_to_string(list_transform(regexp_extract_all(split_part(text, '.', 1), '{TOKEN_PATTERN}'), lambda x: lower(x)), ' '), 'EVENT' FROM benchmark
 ) WHERE term <> '')"""
 
 
 @register("extract_entities_gazetteer", f"""
 WITH {TERMS_SQL},
-toks AS (SELECT doc_id, list_transform(regexp_extract_all(text, '{TOKEN_PATTERN}'), lambda x: lower(x)) AS t FROM documents),
-maxn AS (SELECT max(len(string_split(term, ' '))) AS n FROM terms),
-grams AS (
-  SELECT doc_id, array_to_string(list_slice(t, i, i + n - 1), ' ') AS gram
-  FROM (SELECT doc_id, t, unnest(range(1, (SELECT n FROM maxn) + 1)) AS n FROM toks) w,
-       LATERAL (SELECT unnest(range(1, len(t) - n + 2)) AS i) s
-)
-SELECT doc_id, gram AS entity_text, label AS entity_type
-FROM grams JOIN terms ON gram = term
-""", "UDF1 gazetteer JON broadcast")
+toks AS (SELECT doc_id, ' ' || array_to_string(list_transform(regexp_extract_all(text, '{TOKEN_PATTERN}'), lambda x: lower(x)), ' ') || ' ' AS t FROM documents),
+hit AS (SELECT doc_id, term, label, len(string_split(replace(t, ' ', '  '), ' ' || replace(term, ' ', '  ') || ' ')) - 1 AS n
+  FROM toks JOIN terms ON strpos(t, ' ' || term || ' ') > 0)
+SELECT doc_id, term AS entity_text, label AS entity_type FROM (SELECT *, unnest(range(n)) FROM hit)
+""", "UDF1 gazetteer")
 def extract_entities_gazetteer(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents")
     return extract.gazetteer_mentions(docs, _terms(spark, sf_dir), "text", keep=("doc_id",))

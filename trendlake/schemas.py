@@ -121,18 +121,17 @@ REPOST_MARKER_TESTIDS = ("retweetIcon", "retweet", "icon-retweet")
 REPOST_MARKER_ARIA = ("retweet", "repost")
 
 # Post-id cascade: element attributes tried in this order.
-POST_ID_ATTRS = ("data-tweet-id", "data-testid", "data-item-id")
-POST_ID_HTML_PREFIX = 1000
-POST_ID_TEXT_PREFIX = 100
+# ("data-testid" is the same on all posts of a page, so it is left out; callers
+# that want the collector's ids pass it, with its prefixes 1000 and 100)
+POST_ID_ATTRS = ("data-tweet-id", "data-item-id")
 POST_ID_TEXT_HASH_LEN = 12
 POST_ID_MIN_TEXT = 5
 STATUS_ID_MIN_DIGITS = 11
 
-# Content fallback: at most 3 texts joined; whole element text used only when
-# longer than 10 characters, cut at 500.
-CONTENT_MAX_PARTS = 3
+# Content fallback: the whole element text is used only when it is longer than
+# 10 characters (the collector's limits of 3 texts and 500 characters are
+# parameters of the reader).
 CONTENT_MIN_FALLBACK = 10
-CONTENT_MAX_FALLBACK = 500
 
 # Live-run feed defaults: 5 posts, reposts/followers/following off, stop date.
 DEFAULT_MAX_POSTS = 5

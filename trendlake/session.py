@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = (spark.conf.get("spark.checkpoint.dir", None)
                 or sc.getConf().get("spark.checkpoint.dir", None))
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         # local runs only: the cluster names its shared folder in the config
         conf_dir = tempfile.mkdtemp(prefix="trendlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)

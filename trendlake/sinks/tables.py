@@ -23,19 +23,32 @@ def write_partitioned(df: DataFrame, path: str, partition_cols, fmt: str = "parq
         w.mode(mode).save(path)
 
 
-def write_mentions(mentions: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Mention fact, partitioned by batch (idempotent per batch). Rows are
-    sorted by (date, entity) inside each task before writing, so parquet
-    min/max statistics let date-range and entity filters skip row groups
-    (a local sort, no shuffle)."""
-    if batch_id is not None:
-        mentions = mentions.withColumn("batch_id", F.lit(int(batch_id)))
+def write_mentions(mentions: DataFrame, path: str, batch_id: int, run: str = "batch") -> None:
+    """Mention fact, partitioned by date, then by the run that wrote it and its
+    batch: a date range reads only its own folders, a replayed batch replaces
+    its own rows, and batch numbers of another run (a stream with a new
+    checkpoint counts from 0 again) never meet them. Rows are sorted by entity
+    inside each task before writing (a local sort, no shuffle)."""
+    mentions = mentions.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(int(batch_id)))
     write_partitioned(mentions.sortWithinPartitions("published_date", "entity_text"),
-                      path, ["batch_id"])
+                      path, ["published_date", "run", "batch_id"])
 
 
-def write_dates(dates: DataFrame, path: str, batch_id: int) -> None:
-    write_partitioned(dates.withColumn("batch_id", F.lit(int(batch_id))), path, ["batch_id"])
+def read_mentions(spark, path: str) -> DataFrame:
+    """The mention fact, without the columns of its folders."""
+    return spark.read.parquet(path).select("entity_text", "entity_type",
+                                           F.col("published_date").cast("date").alias("published_date"))
+
+
+def write_dates(dates: DataFrame, path: str, batch_id: int, run: str = "batch") -> None:
+    out = (dates.withColumn("stored_at", F.current_timestamp())
+           .withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(int(batch_id))))
+    write_partitioned(out, path, ["run", "batch_id"])
+
+
+def write_cells(cells: DataFrame, path: str, batch_id: int, run: str = "batch") -> None:
+    out = cells.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(int(batch_id)))
+    write_partitioned(out, path, ["run", "batch_id"])
 
 
 def read_dates(spark, path: str, mode: str = "cumulative") -> DataFrame:
@@ -43,8 +56,7 @@ def read_dates(spark, path: str, mode: str = "cumulative") -> DataFrame:
     batch's dates (the behaviour of overwriting the table each run)."""
     d = spark.read.parquet(path)
     if mode == "replace":
-        last = d.agg(F.max("batch_id")).scalar()
-        d = d.where(F.col("batch_id") == last)
+        d = d.where(F.col("stored_at") == d.agg(F.max("stored_at")).scalar())
     elif mode != "cumulative":
         raise ValueError(mode)
     return d.select("the_date").distinct()
@@ -74,9 +86,10 @@ def write_trends(trends: DataFrame, path: str) -> None:
     write_partitioned(trends, path, ["date"])
 
 
-def write_progress(progress: DataFrame, path: str) -> None:
-    """Replace the progress table (after the data commit)."""
-    progress.write.mode("overwrite").parquet(path)
+def write_progress(progress: DataFrame, path: str, run_id: int) -> None:
+    """Add the progress as of one run (after the data commit). Earlier runs
+    stay, so a crash while this one is written loses nothing."""
+    write_partitioned(progress.withColumn("run_id", F.lit(int(run_id))), path, ["run_id"])
 
 
 def write_per_account(posts: DataFrame, path: str, account_col: str = "username") -> None:

@@ -58,28 +58,3 @@ def read_sources(spark: SparkSession, path: str) -> DataFrame:
     """Source list: one account name per line, blanks skipped."""
     return (spark.read.text(path).select(F.trim("value").alias("username"))
             .where(F.col("username") != ""))
-
-
-def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when the input comes from fewer files than the
-    cluster has cores, before CPU-heavy per-row work (text extraction, page
-    parsing). A parquet file with one row group is read by a single task, so
-    a one-file table would otherwise run the whole stage on one core. On a
-    large input (many files) this is a no-op and adds no shuffle."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        files = len(df.inputFiles())
-    except Exception:  # not a file-based plan
-        return df
-    return df.repartition(n) if 0 < files < n else df
-
-
-def spread_if_few_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when a (batch) frame has fewer than half as many
-    partitions as the cluster has cores - e.g. a micro-batch from a topic with
-    one partition, or one file per trigger - before CPU-heavy extraction.
-    Measured: one partition over 8 cores halves the batch; 4 over 8 gains
-    nothing (the shuffle costs what the parallelism saves), so wider frames
-    are returned as is."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() * 2 < n else df

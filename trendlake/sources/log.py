@@ -39,8 +39,11 @@ def read_log_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
-def stream_log_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_log_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                     max_bytes_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.schema(LOG_SCHEMA)
     if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return r.parquet(path)

@@ -1,8 +1,9 @@
 """Incremental mention job on Structured Streaming.
 
 ``readStream`` over the message log -> ``foreachBatch`` that parses, extracts
-and writes the mention fact and the batch's dates, both partitioned by batch
-id with dynamic overwrite. Progress is the query checkpoint (kept in the
+and writes the mention fact and the batch's dates, both partitioned by query id
+and batch id with dynamic overwrite (a query with a new checkpoint has a new
+id, so its batch numbers never replace those of the old one). Progress is the query checkpoint (kept in the
 shared checkpoint folder): a restarted query resumes after the last
 committed batch, and a batch that is replayed after a crash overwrites its
 own partitions instead of appending duplicates. Each batch is persisted once
@@ -18,17 +19,21 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.grid import entity_date_cells
 from ..operators.mentions import mention_job
 from ..schemas import ALLOWED_ENTITY_TYPES, NEWS_TOPIC, POSTS_TOPIC
-from ..sinks.tables import write_dates, write_mentions, write_partitioned
-from ..sources.files import spread_if_few_partitions
+from ..sinks.tables import write_cells, write_dates, write_mentions
 
 
-def mention_batch_writer(mentions_path: str, dates_path: str, extractor: str = "pattern",
+def query_id(spark, checkpoint: str) -> str:
+    """Id of the query that a checkpoint belongs to; it is made with the
+    checkpoint, before the first batch."""
+    return spark.read.json(checkpoint.rstrip("/") + "/metadata").first().id
+
+
+def mention_batch_writer(mentions_path: str, dates_path: str, checkpoint: str, extractor="pattern",
                          cells_path: str | None = None, allowed=ALLOWED_ENTITY_TYPES,
                          terms: DataFrame | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # a narrow batch (few topic partitions / one file per trigger) is
-        # spread over the cores before the CPU-heavy extraction
-        batch = spread_if_few_partitions(batch).persist()
+        run = query_id(batch.sparkSession, checkpoint)
+        batch = batch.persist()
         mentions = None
         try:
             news = batch.where(F.col("topic") == NEWS_TOPIC)
@@ -36,11 +41,10 @@ def mention_batch_writer(mentions_path: str, dates_path: str, extractor: str = "
             mentions, dates = mention_job(news, posts, extractor, terms=terms)
             if cells_path:
                 mentions = mentions.persist()      # extracted once, written twice
-            write_mentions(mentions, mentions_path, batch_id)
-            write_dates(dates, dates_path, batch_id)
+            write_mentions(mentions, mentions_path, batch_id, run)
+            write_dates(dates, dates_path, batch_id, run)
             if cells_path:
-                cells = entity_date_cells(mentions, allowed).withColumn("batch_id", F.lit(int(batch_id)))
-                write_partitioned(cells, cells_path, ["batch_id"])
+                write_cells(entity_date_cells(mentions, allowed), cells_path, batch_id, run)
         finally:
             if mentions is not None:
                 mentions.unpersist()
@@ -49,7 +53,7 @@ def mention_batch_writer(mentions_path: str, dates_path: str, extractor: str = "
 
 
 def start_mention_stream(log_stream: DataFrame, mentions_path: str, dates_path: str,
-                         checkpoint: str, extractor: str = "pattern",
+                         checkpoint: str, extractor="pattern",
                          available_now: bool = True, interval: str | None = None,
                          cells_path: str | None = None,
                          allowed=ALLOWED_ENTITY_TYPES,
@@ -58,7 +62,7 @@ def start_mention_stream(log_stream: DataFrame, mentions_path: str, dates_path:
     bounded batches and stops (one scheduled run), else it runs on
     ``interval``. With ``cells_path`` each batch also stores its
     pre-aggregated (entity, date) cells for an incremental daily grid."""
-    writer = mention_batch_writer(mentions_path, dates_path, extractor, cells_path, allowed, terms)
+    writer = mention_batch_writer(mentions_path, dates_path, checkpoint, extractor, cells_path, allowed, terms)
     w = (log_stream.writeStream.foreachBatch(writer)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "1 day")

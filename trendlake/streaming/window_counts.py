@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.tables import write_partitioned
+from .mention_stream import query_id
 
 
 def _epoch():
@@ -43,7 +44,9 @@ def windowed_counts(mentions: DataFrame, ts_col: str = "ts", watermark: str = "2
 def start_window_counts(counts: DataFrame, path: str, checkpoint: str,
                         available_now: bool = True) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_partitioned(batch.withColumn("batch_id", F.lit(int(batch_id))), path, ["batch_id"])
+        run = query_id(batch.sparkSession, checkpoint)
+        out = batch.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(int(batch_id)))
+        write_partitioned(out, path, ["run", "batch_id"])
 
     w = (counts.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
