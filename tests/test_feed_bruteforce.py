@@ -6,27 +6,13 @@ import random
 
 from pyspark.sql import functions as F
 
+from trendlake.functions.dates import parse_post_date
 from trendlake.operators.feeds import apply_feed_rules
+from trendlake.schemas import POST_DATE_FORMATS
 
-FORMATS = ["%Y-%m-%dT%H:%M:%S.%fZ", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d",
-           "%b %d, %Y", "%B %d, %Y", "%d %b %Y", "%m/%d/%Y"]
 AS_OF_YEAR = 2025
 
 
-def parse(s):
-    if not s or s == "Unknown":
-        return None
-    for f in FORMATS:
-        try:
-            return dt.datetime.strptime(s, f).date()
-        except ValueError:
-            pass
-    try:
-        return dt.datetime.strptime(f"{s} {AS_OF_YEAR}", "%b %d %Y").date()
-    except ValueError:
-        return None
-
-
 def simulate(rows, max_posts, max_reposts, stop):
     posts, reposts, seen = [], [], set()
     for r in rows:
@@ -42,7 +28,7 @@ def simulate(rows, max_posts, max_reposts, stop):
         if len(posts) >= max_posts:
             continue
         if r["content"]:
-            d = parse(r["date_text"])
+            d = r["date"]
             if stop is not None and d is not None and d <= stop:
                 return posts, reposts
             posts.append(r["pos"])
@@ -50,12 +36,12 @@ def simulate(rows, max_posts, max_reposts, stop):
 
 
 def random_date_text(rng):
+    """A text and the date it was rendered from (None where it shows none)."""
     d = dt.date(2025, 8, 1) + dt.timedelta(days=rng.randint(0, 30))
     pick = rng.randint(0, 11)
     if pick < 8:
-        s = dt.datetime(d.year, d.month, d.day, rng.randint(0, 23), 5, 9, 123000).strftime(FORMATS[pick])
-        return s
-    return {8: d.strftime("%b %d"), 9: "Unknown", 10: "", 11: "junk 12"}[pick]
+        return dt.datetime(d.year, d.month, d.day, rng.randint(0, 23), 5, 9, 123000).strftime(POST_DATE_FORMATS[pick]), d
+    return {8: (d.strftime("%b %d"), d), 9: ("Unknown", None), 10: ("", None), 11: ("junk 12", None)}[pick]
 
 
 def test_closed_form_equals_loop(spark):
@@ -66,11 +52,12 @@ def test_closed_form_equals_loop(spark):
         for f in range(120):
             feed = []
             for pos in range(rng.randint(0, 14)):
+                shown, date = random_date_text(rng)
                 feed.append(dict(source=f"s{f}", pos=pos,
                                  post_id=None if rng.random() < 0.1 else str(rng.randint(0, 8)),
                                  is_repost=rng.random() < 0.3,
                                  content="" if rng.random() < 0.2 else "text",
-                                 date_text=random_date_text(rng)))
+                                 date_text=shown, date=date))
             p, r = simulate(feed, max_posts, max_reposts, stop)
             expected |= {(f"s{f}", x, "post") for x in p} | {(f"s{f}", x, "repost") for x in r}
             rows += feed
@@ -83,42 +70,33 @@ def test_closed_form_equals_loop(spark):
         assert got == expected, (max_posts, max_reposts, sorted(got ^ expected)[:10])
 
 
-def random_messy_date(rng):
-    y = rng.choice([2024, 2025, 1999, 0, 12345])
-    m = rng.choice([1, 2, 8, 9, 12, 13, 0])
-    d = rng.choice([1, 5, 9, 10, 28, 29, 30, 31, 32, 0])
-    names = ["jan", "feb", "aug", "sep", "dec", "sept", "may"]
-    full = ["january", "february", "august", "september", "december", "may"]
-    mon = rng.choice(names)
-    fmon = rng.choice(full)
+def rendered(rng):
+    """Texts of one date in every admitted form, with what they must give."""
+    d = dt.date(rng.choice([1999, 2024, 2025]), rng.randint(1, 12), rng.randint(1, 28))
+    full, short = d.strftime("%B"), d.strftime("%b")
     case = rng.choice([str.lower, str.upper, str.title])
-    sp = rng.choice([" ", "  ", "\t"])
-    hh, mm, ss = rng.choice([0, 9, 23, 24]), rng.choice([0, 5, 59, 60]), rng.choice([0, 7, 59, 60])
-    frac = rng.choice(["0", "123", "123456", "1234567"])
-    cands = [
-        f"{y:04d}-{m:02d}-{d:02d}T{hh:02d}:{mm:02d}:{ss:02d}.{frac}Z",
-        f"{y:04d}-{m:02d}-{d:02d}T{hh:02d}:{mm:02d}:{ss:02d}Z",
-        f"{y:04d}-{m}-{d} {hh}:{mm}:{ss}",
-        f"{y:04d}-{m:02d}-{d:02d}",
-        f"{y:04d}-{m:02d}",
-        f"{case(mon)}{sp}{d},{sp}{y:04d}",
-        f"{case(fmon)}{sp}{d}, {y:04d}",
-        f"{d}{sp}{case(mon)}{sp}{y:04d}",
-        f"{m}/{d}/{y:04d}",
-        f"{m:02d}/{d:02d}/{y:04d}",
-        f"{case(mon)}{sp}{d}",
-        f"{case(mon)} {d}{sp}",
-        f"{case(mon)} {d} {y:04d}",
-        "Unknown", "", "junk", f" {y:04d}-{m:02d}-{d:02d}",
-    ]
-    return rng.choice(cands)
-
-
-def test_post_date_parser_equals_strptime(spark):
-    from trendlake.functions.dates import parse_post_date
+    gap = rng.choice([" ", "  ", "\t"])
+    clock = f"{rng.randint(0, 23)}:{rng.randint(0, 59)}:{rng.randint(0, 59)}"
+    return [(f"{d:%Y-%m-%d}T{clock}.{rng.choice(['0', '123', '123456'])}Z", d), (f"{d:%Y-%m-%d}T{clock}Z", d),
+            (f"{d.year}-{d.month}-{d.day}{gap}{clock}", d), (f"{d.year}-{d.month}-{d.day}", d),
+            (f"{case(short)}{gap}{d.day},{gap}{d.year}", d), (f"{case(full)} {d.day:02d}, {d.year}", d),
+            (f"{d.day}{gap}{case(short)}{gap}{d.year}", d), (f"{d.month}/{d.day:02d}/{d.year}", d),
+            (f"{case(short)}{gap}{d.day}", d.replace(year=AS_OF_YEAR)), (f"{case(short)} {d.day} ", d.replace(year=AS_OF_YEAR))]
+
+
+# Texts that show no date, one reason each.
+NO_DATE = ["", "Unknown", "junk", "2025-02-30", "2025-13-01", "2025-00-10", "2025-01-00", "2025-01-32", "0000-01-01",
+           "12345-01-01", "2025-01", " 2025-01-01", "2025-01-01 ", "2025-01-01\n", "2025-01-01T24:00:00Z",
+           "2025-01-01T10:60:00Z", "2025-01-01T10:00:60Z", "2025-01-01T10:00:00", "2025-01-01T10:00:00.1234567Z",
+           "2025-01-01 10:00", "Feb 30, 2025", "Sept 1, 2025", "Jan 1 2025", "Jan 1,2025", "1 January 2025",
+           "31 Feb 2025", "13/01/2025", "2/30/2025", "1/1/25", "Feb 30", "January 5", "Jan", "5 Jan"]
+
+
+def test_post_dates(spark):
     rng = random.Random(11)
-    texts = sorted({random_messy_date(rng) for _ in range(2000)})
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = dict(x for _ in range(200) for x in rendered(rng))
+    want.update({t: None for t in NO_DATE})
+    df = spark.createDataFrame([(t,) for t in want], "t string")
     got = {r.t: r.d for r in df.select("t", parse_post_date(F.col("t"), AS_OF_YEAR).alias("d")).collect()}
-    bad = [(t, got[t], parse(t)) for t in texts if got[t] != parse(t)]
+    bad = [(t, got[t], want[t]) for t in want if got[t] != want[t]]
     assert not bad, bad[:10]

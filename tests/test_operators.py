@@ -5,12 +5,12 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trendlake.operators import features, forecast, grid, progress, reports
 from trendlake.operators.mentions import merge_dates
-from trendlake.operators.pages import parse_pages
 from trendlake.plans import fixtures as fx
 from trendlake.plans.q_stream import write_article_log
 from trendlake.session import shared_path
@@ -90,13 +90,6 @@ def test_offsets_json(spark):
     assert start == {("news-topic", 0): 12, ("tweets-topic", 0): 0}
 
 
-def test_parser_form_reads_pages(spark):
-    pages = spark.read.parquet(f"{SF001}/pages.parquet")
-    out = parse_pages(pages)
-    assert out.count() == pages.count()
-    assert out.where(F.col("title") == "").count() == 0
-
-
 def test_forecast_one_row_per_entity_nonnegative(spark):
     ev = fx.table(spark, SF001, "events")
     g = grid.dense_daily_counts(fx.event_mentions(ev), fx.event_dates(ev), fx.GRID_LO, fx.GRID_HI,
@@ -111,24 +104,37 @@ def test_forecast_one_row_per_entity_nonnegative(spark):
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark):
-    log_path = write_article_log(spark, SF001, files=3)
+    log_path = write_article_log(spark, SF001)
     out = shared_path(spark, "t-stream")
     args = (out + "/m", out + "/d", out + "/ck")
     q = start_mention_stream(stream_log_files(spark, log_path, 1), *args)
     q.awaitTermination()
-    first = spark.read.parquet(out + "/m").count()
-    assert spark.read.parquet(out + "/m").select("batch_id").distinct().count() == 3
+    fact = lambda: spark.read.parquet(out + "/m")
+    first = fact().count()
+    assert fact().select("batch_id").distinct().count() == len(os.listdir(log_path)) // 2 - 1 >= 2
     q = start_mention_stream(stream_log_files(spark, log_path, 1), *args)
     q.awaitTermination()
-    assert spark.read.parquet(out + "/m").count() == first
-    # replaying a batch id overwrites it instead of appending
+    assert fact().count() == first
+    # a replayed batch replaces its own rows instead of adding them
+    one = fact().where("batch_id = 0")
+    run = one.first().run
     copy = shared_path(spark, "t-copy")
-    spark.read.parquet(out + "/m").where("batch_id = 0").drop("batch_id").write.parquet(copy)
-    write_mentions(spark.read.parquet(copy), out + "/m", 0)
-    assert spark.read.parquet(out + "/m").count() == first
+    one.drop("batch_id", "run").write.parquet(copy)
+    write_mentions(spark.read.parquet(copy), out + "/m", 0, run)
+    assert fact().count() == first
     assert read_dates(spark, out + "/d").count() >= read_dates(spark, out + "/d", "replace").count()
 
 
+def test_new_checkpoint_leaves_old_facts(spark):
+    log_path = write_article_log(spark, SF001)
+    out = shared_path(spark, "t-lost")
+    for checkpoint in ("/ck1", "/ck2"):       # the first one is lost, batches count from 0 again
+        start_mention_stream(stream_log_files(spark, log_path), out + "/m", out + "/d",
+                             out + checkpoint).awaitTermination()
+    counts = {r.run: r["count"] for r in spark.read.parquet(out + "/m").groupBy("run").count().collect()}
+    assert len(counts) == 2 and len(set(counts.values())) == 1
+
+
 def test_fast_pattern_path_equals_entity_array_path(spark):
     from trendlake.operators.extract import flatten_mentions, pattern_entities, pattern_mentions
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select(
@@ -142,7 +148,7 @@ def test_fast_pattern_path_equals_entity_array_path(spark):
 def test_daily_job_end_to_end_and_rerun(spark):
     from trendlake.operators.progress import read_progress
     from trendlake.plans.daily_job import DailyJob
-    log_path = write_article_log(spark, SF001, files=2)
+    log_path = write_article_log(spark, SF001)
     job = DailyJob(root=shared_path(spark, "t-daily"), grid_range=("2024-01-01", "2024-01-31"),
                    export_csv=True, model_params={"maxIter": 3})
     out = job.run(spark, stream_log_files(spark, log_path, 1))
@@ -169,21 +175,39 @@ def test_model_beats_repeat_yesterday_on_weekly_cycle(spark):
     assert err.m < 0.5 * err.b, err
 
 
-def test_batch_job_resumes_from_saved_offsets(spark):
-    from trendlake.plans.batch_job import run_batch
+def test_batch_job_resumes_from_saved_offsets(spark, monkeypatch):
+    from trendlake.plans import batch_job
     from trendlake.sources.log import read_log_files
-    log_path = write_article_log(spark, SF001, files=2)
     root = shared_path(spark, "t-batch")
-    log = read_log_files(spark, log_path)
+    log = read_log_files(spark, write_article_log(spark, SF001))
     total = log.count()
-    assert run_batch(spark, log, root, run_id=1) == total
-    facts = spark.read.parquet(root + "/trending_entities").count()
-    assert run_batch(spark, read_log_files(spark, log_path), root, run_id=2) == 0   # nothing new
-    assert spark.read.parquet(root + "/trending_entities").count() == facts
-    prog = {(r.topic, r.partition): r.next_offset for r in spark.read.parquet(root + "/progress").collect()}
-    ends = {(r.topic, r.partition): r.m + 1 for r in log.groupBy("topic", "partition")
+    facts = lambda: spark.read.parquet(root + "/trending_entities").count()
+
+    # a crash between the data commit and the progress write
+    with monkeypatch.context() as m:
+        m.setattr(batch_job, "write_progress", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            batch_job.run_batch(spark, log, root)
+    once = facts()
+    assert batch_job.run_batch(spark, log, root) == total and facts() == once
+    assert batch_job.run_batch(spark, log, root) == 0 and facts() == once      # nothing new
+    # a new partition of a known topic is read from 0
+    more = log.where("topic = 'news-topic' AND partition = 0").withColumn("partition", F.lit(7))
+    assert batch_job.run_batch(spark, log.unionByName(more), root) == more.count() > 0
+    saved = progress.read_progress(spark, root + "/progress")
+    assert saved.first().run_id == 1
+    ends = {(r.topic, r.partition): r.m + 1 for r in log.unionByName(more).groupBy("topic", "partition")
             .agg(F.max("offset").alias("m")).collect()}
-    assert prog == ends
+    assert {(r.topic, r.partition): r.next_offset for r in saved.collect()} == ends
+
+
+def test_unreadable_progress_is_an_error(spark):
+    path = shared_path(spark, "t-broken")
+    os.makedirs(path + "/run_id=0")
+    with open(path + "/run_id=0/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|read"):
+        progress.read_progress(spark, path)
 
 
 def test_mention_job_with_gazetteer_extractor(spark):

@@ -22,10 +22,8 @@ def test_matches_duckdb(spark, con, name):
     assert r["ok"], r
 
 
-def test_every_query_has_ops_and_sql_or_reason():
-    no_sql = {n for n, q in REGISTRY.items() if q.sql is None}
-    # only model training and the parser-based page reader lack a SQL form
-    assert no_sql == {"forecast_next_day", "page_parse"}
+def test_every_query_has_sql():
+    assert all(q.sql is not None and q.ops for q in REGISTRY.values())
 
 
 def test_entry_smoke(spark):

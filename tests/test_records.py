@@ -116,55 +116,55 @@ def test_sorted_csv_export(spark):
     assert sorted(back) == sorted(c.collect())
 
 
-def test_spread_only_for_narrow_file_inputs(spark):
-    from trendlake.sources.files import spread_if_narrow
-    r = spark.range(10)
-    assert spread_if_narrow(r) is r                          # not file based: untouched
-    one_file = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    assert "RoundRobinPartitioning" in spread_if_narrow(one_file)._jdf.queryExecution().executedPlan().toString()
-    assert spread_if_narrow(one_file, min_partitions=1) is one_file
-
-
-def test_parser_and_regex_page_forms_agree(spark):
-    import html as _html
-    from trendlake.operators.pages import page_posts, parse_pages
-    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
-    rx = {r.page_id: (r.title, r.heading) for r in page_posts(pages).collect()}
-    ps = {r.page_id: (r.title, r.heading) for r in parse_pages(pages).collect()}
-    assert rx.keys() == ps.keys() and len(rx) > 0
-    same = sum(1 for k in rx if tuple(_html.unescape(x) for x in rx[k]) == ps[k])
-    assert same == len(rx), (same, len(rx))
-
-
-def _py_clean_username(s):
-    c = s.replace('@', '').replace(' ', '_').replace('/', '_').replace('\\', '_')
-    return ''.join(ch for ch in c if ch.isalnum() or ch in '_-')
-
-
-def _py_handle_from_text(s):
-    if '@' not in s:
-        return None
-    toks = s.strip('@').split()
-    return toks[0] if toks else None
-
-
-def test_text_helpers_equal_python_string_rules(spark):
-    import random
-    rng = random.Random(5)
-    alphabet = list("ab Z9_-@/\\.é²·") + ["\t", "\n", "\x0b", "\x1c", "\x85", "\xa0", " ", "　",
-                                          "Follow", "http", "ß", "Ⅻ", "́", "😀"]
-    texts = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12))) for _ in range(1500)})
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
+# Inputs and what the helpers must give: strip, clean_username, handle_from_href,
+# handle_from_text, clean_bio.
+HELPER_TABLE = [
+    ("", "", "", "", None, ""),
+    (" a b ", "a b", "_a_b_", " a b ", None, "a b"),
+    ("@AP", "@AP", "AP", "@AP", "AP", "@AP"),
+    ("@AP news@", "@AP news@", "AP_news", "@AP news@", "AP", "@AP news@"),
+    ("/a/b/", "/a/b/", "_a_b_", "b", None, "/a/b/"),
+    ("//", "//", "__", "", None, "//"),
+    ("x\\y", "x\\y", "x_y", "x\\y", None, "x\\y"),
+    ("é²ß-_!", "é²ß-_!", "é²ß-_", "é²ß-_!", None, "é²ß-_!"),
+    ("\t@\x0bme\x1c too\n", "@\x0bme\x1c too", "me_too", "\t@\x0bme\x1c too\n", "@", "@\x0bme\x1c too"),
+    ("@\xa0me", "@\xa0me", "me", "@\xa0me", "me", "@\xa0me"),
+    ("\x85 x \u3000", "x", "_x_", "\x85 x \u3000", None, "x"),
+    ("Follow me Follow", "Follow me Follow", "Follow_me_Follow", "Follow me Follow", None, "me"),
+    ("FoFollowllow", "FoFollowllow", "FoFollowllow", "FoFollowllow", None, "Follow"),
+    ("@@", "@@", "", "@@", None, "@@"),
+    ("a@b", "a@b", "ab", "a@b", "a@b", "a@b"),
+    ("Ⅻ\u0301😀", "Ⅻ\u0301😀", "Ⅻ", "Ⅻ\u0301😀", None, "Ⅻ\u0301😀"),
+    ("http://x.com/u?a=/b", "http://x.com/u?a=/b", "http__xcom_ua_b", "b", None, "http://x.com/u?a=/b"),
+]
+
+
+def test_text_helpers_by_table(spark):
+    df = spark.createDataFrame([(r[0],) for r in HELPER_TABLE], "t string")
     c = F.col("t")
-    rows = df.select("t", py_strip(c).alias("strip"), clean_username(c).alias("user"),
-                     handle_from_href(c).alias("href"), handle_from_text(c).alias("txt"),
-                     clean_bio(c).alias("bio")).collect()
-    bad = []
-    for r in rows:
-        t = r.t
-        want = (t.strip(), _py_clean_username(t), t.strip('/').split('/')[-1],
-                _py_handle_from_text(t), t.strip().replace("Follow", "").strip())
-        got = (r.strip, r.user, r.href, r.txt, r.bio)
-        if got != want:
-            bad.append((t, got, want))
-    assert not bad, "\n".join(repr(b) for b in bad[:5])
+    rows = df.select("t", py_strip(c), clean_username(c), handle_from_href(c), handle_from_text(c),
+                     clean_bio(c)).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(HELPER_TABLE, key=str)
+
+
+def test_every_element_of_a_page_is_a_post(spark):
+    from trendlake.operators.pages import page_posts
+    html = ('<title>T</title><article data-item-id="7"><p>Hello <b>big</b> world of text</p><p>two</p><p>3</p><p>4</p>'
+            '</article>x<article><time datetime="2025-08-10"></time><p> </p>Plain text of it</article><article></article>')
+    rows = page_posts(spark.createDataFrame([(1, html), (2, "<p>none</p>"), (3, None)], "page_id int, html string")).collect()
+    got = {(r.page_id, r.element): (r.content, r.post_id) for r in rows}
+    assert got == {(1, 0): ("Hello big world of text two 3 4", "data-item-id_7"),
+                   (1, 1): ("Plain text of it", "time_2025-08-10"), (1, 2): ("", None),
+                   (2, None): ("", None), (3, None): ("", None)}
+
+
+def test_limits_of_the_collector_are_parameters(spark):
+    from trendlake.operators.pages import content_text, post_id
+    long = "".join(f"<p>{i}</p>" for i in range(5))
+    a, b = "x" * 1000 + "a", "x" * 1000 + "b"
+    df = spark.createDataFrame([(long, a, b)], "l string, a string, b string")
+    none = F.lit("")
+    r = df.select(content_text("l"), content_text("l", max_parts=3), content_text("a", max_fallback=500),
+                  post_id("a", none) == post_id("b", none),
+                  post_id("a", none, html_prefix=1000) == post_id("b", none, html_prefix=1000)).first()
+    assert (r[0], r[1], len(r[2]), r[3], r[4]) == ("0 1 2 3 4", "0 1 2", 500, False, True)
