@@ -24,12 +24,12 @@ def fit_model(features: DataFrame, save_to: str | None = None, partitions: int |
     ensure_checkpoint_dir(features.sparkSession)
     params = {**GBT_PARAMS, **overrides}
     gbt = GBTRegressor(featuresCol="features", labelCol="target",
-                       checkpointInterval=10, cacheNodeIds=True, **params)
+                       checkpointInterval=10, **params)
     asm = VectorAssembler(inputCols=FEATURE_COLS, outputCol="features")
     # Entities are dealt by hash over a number of partitions that the caller or
     # the cluster names (not the data), and ordered within each: row sampling
     # goes by partition and order, so the same input gives the same model.
-    n = partitions or int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or features.sparkSession.sparkContext.defaultParallelism
     train = (features.repartition(n, "group_id").sortWithinPartitions("group_id", "published_date")
              .select(*FEATURE_COLS, F.col("target").cast("double").alias("target")))
     model = Pipeline(stages=[asm, gbt]).fit(train)

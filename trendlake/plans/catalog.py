@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_features, q_feeds, q_grid, q_pages, q_progress, q_stream, q_text  # noqa: F401
+from . import q_features, q_feeds, q_grid, q_pages, q_progress, q_records, q_stream, q_text  # noqa: F401
 from .registry import REGISTRY, Query  # noqa: F401
 
 

@@ -25,7 +25,7 @@ class DailyJob:
     root: str                                   # tables and checkpoints
     grid_range: tuple = DEFAULT_GRID_RANGE
     allowed: tuple = ALLOWED_ENTITY_TYPES
-    extractor: str = "pattern"                  # 'pattern', 'gazetteer' or a model name
+    extractor: str = "pattern"                  # 'pattern', 'gazetteer' or a maker of a model
     terms_path: str | None = None               # (term, label) table for 'gazetteer'
     dates_mode: str = "cumulative"              # or 'replace'
     count_only_allowed: bool = False

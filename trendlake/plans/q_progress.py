@@ -34,7 +34,7 @@ def _old_new(spark, sf_dir):
 @register("progress_offsets", f"""
 WITH {LOG_CTE}
 SELECT topic, partition, max("offset") + 1 AS next_offset FROM log GROUP BY topic, partition
-""", "AGG9 PRJ12 PRJ16 SNK9 Q7")
+""", "AGG9 Q7")
 def progress_offsets(spark, sf_dir):
     return progress.next_offsets(_log(spark, sf_dir))
 
@@ -44,7 +44,7 @@ WITH {LOG_CTE}, {OLD_CTE}, {NEW_CTE}
 SELECT coalesce(new.topic, old.topic) AS topic, coalesce(new.partition, old.partition) AS partition,
        coalesce(new.next_offset, old.next_offset) AS next_offset
 FROM old FULL OUTER JOIN new ON old.topic = new.topic AND old.partition = new.partition
-""", "JON5 SRC8 Q8")
+""", "JON5 Q8")
 def progress_merge(spark, sf_dir):
     _, old, new = _old_new(spark, sf_dir)
     return progress.merge_offsets(old, new)
@@ -65,7 +65,7 @@ def topic_lag(spark, sf_dir):
 @register("rows_per_topic", f"""
 WITH {LOG_CTE}
 SELECT topic, COUNT(*) AS rows FROM log GROUP BY topic
-""", "AGG10 FLT5")
+""", "AGG10")
 def rows_per_topic(spark, sf_dir):
     return reports.rows_per_topic(_log(spark, sf_dir))
 
