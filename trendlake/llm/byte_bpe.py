@@ -28,8 +28,9 @@ from .common import ship
 
 # Distinct pieces a task remembers between batches; beyond it the memory
 # starts anew (the ids of a piece never depend on what is remembered).
-MEMORY_PIECES = 400_000
-REPLAY_BYTES = 4_000_000   # bytes of new pieces replayed together
+MEMORY_PIECES = 150_000
+REPLAY_BYTES = 2_000_000   # bytes of new pieces replayed together
+MEMORY_PAIRS = 300_000     # ranks of token pairs remembered
 
 _NONE = -1
 
@@ -59,6 +60,8 @@ class MergeReplay:
 
     def _pair_rank_slow(self, key: int) -> int:
         r = self.ranks.get(self.tokens[key >> 32] + self.tokens[key & 0xFFFFFFFF], _NONE)
+        if len(self._pair_rank) >= MEMORY_PAIRS:
+            self._pair_rank.clear()
         self._pair_rank[key] = r
         return r
 
@@ -295,11 +298,11 @@ def _replay_for(ranks) -> MergeReplay:
     return _replays[key]
 
 
-def _blocks(texts: list[str], limit: int = 2_000_000) -> Iterator[list[str]]:
+def _blocks(texts: pa.Array, limit: int = 2_000_000) -> Iterator[list[str]]:
     block, size = [], 0
-    for t in texts:
-        block.append(t)
-        size += len(t)
+    for value in texts:
+        block.append(value.as_py() or "")
+        size += len(block[-1])
         if size >= limit:
             yield block
             block, size = [], 0
@@ -328,21 +331,26 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay = _replay_for(ranks)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            n, a, b, lists = [], [], [], []
-            for block in _blocks(texts):
+            # a block of texts at a time, so that a batch never stands in memory
+            # as text, pieces and ids together
+            at = 0
+            for block in _blocks(batch.column(1)):
+                n, a, b, lists = [], [], [], []
                 for ids in replay.encode(block):
                     n.append(len(ids) // 4)
                     a.append(hashlib.sha256(ids).hexdigest())
                     b.append(hashlib.sha256(replay.decode(ids)).hexdigest())
                     if with_ids:
-                        lists.append(np.frombuffer(ids, dtype="<i4"))
-            out = [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()),
-                   pa.array(b, pa.string())]
-            names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                out.append(pa.array(lists, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(out, names=names)
+                        lists.append(ids)
+                out = [batch.column(0).slice(at, len(block)), pa.array(n, pa.int64()),
+                       pa.array(a, pa.string()), pa.array(b, pa.string())]
+                names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                    flat = np.frombuffer(b"".join(lists), dtype="<i4")
+                    out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+                    names.append("ids")
+                at += len(block)
+                yield pa.RecordBatch.from_arrays(out, names=names)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)

@@ -6,21 +6,24 @@ line is removed if any earlier line of the corpus (by document id, then line
 number) matches it.
 
 Tokens are ordered by rarity. The counts of all tokens are summed; the
-``FREQUENT`` most frequent get a rank (a broadcast of fixed size), all others
-count as rarer, in the order of their hash: one order for the whole corpus.
+``FREQUENT`` most frequent get a class by their count (a broadcast of fixed
+size), all others count as rarer; within a class the hash decides: one order
+for the whole corpus.
 Matching sets share a token among their first ``n - ceil(threshold * n) + 1``
-(prefix filter), so each set is entered under these only. Within a token, rows
+(prefix filter), so each set is entered under these only, less those that occur
+once in the corpus (a bit table of fixed size knows most of them). Within a token, rows
 sorted by size are paired under the length filter, the positional filter and a
 parity sketch of 128 bits, whose differing bits bound the set difference from
 below. None of them loses a match. Pairs that remain are verified on the words
 of the two lines.
 
-A line needs one verified partner, not all: at most ``TRIES`` partners are
-passed on per row and token. A line none of whose tried partners is verified,
+A line needs one verified partner, not all: the ``TRIES`` partners nearest by
+sketch are passed on per row and token. A line none of whose tried partners is verified,
 and which had more, is joined again with all its partners.
 
-A task enters equal sets once and decides the others at once, so a line that a
-third of all documents repeat makes a few rows per task.
+A task enters equal sets once, and equal sets of several tasks meet under the
+key of the set: a line that a third of all documents repeat is one set, of
+which only the first line takes part in the join.
 
 Defined results: a null text has no lines to remove and stays null; lines
 without words (empty ones too) match nothing and stay; of lines with the same
@@ -31,167 +34,276 @@ other columns are kept.
 
 from __future__ import annotations
 
-from collections import Counter
+import math
+import re
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, materialize, ship
 
 THRESHOLD = 0.8
-FREQUENT = 32_767           # tokens with a rank of their own
-TRIES = 4
-HASH_BITS = 48
+FREQUENT = 65_536           # tokens that have a rarity class of their own
+TRIES = 32
+_SPREAD = 2654435761         # spreads line numbers over the bit table
+HASH_BITS = 46              # of a token; 8 more bits of a code are its class
+CODE_BITS = HASH_BITS + 8
+SLOT_BITS = 18              # slots of the table of classes
+SMALL_SET = 64              # sets up to this size have a sketch of 64 bits
 BLOCK_BYTES = 500_000       # text tokenised together
-KNOWN_TOKENS = 500_000      # tokens and sets that a task remembers
-KNOWN_SETS = 300_000
+KNOWN_SETS = 100_000        # sets that a task remembers
 GROUP_ROWS = 200_000        # rows paired together in a task
+PAIR_ROWS = 2_000_000       # pairs held before they are reduced to the nearest
 FILTER_BITS = 1 << 25       # of the filter for lines that are joined again
 NULL_ID = -(1 << 63)
 
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-
-
-def _token_hash(token: bytes) -> int:
-    return xxhash.xxh64_intdigest(token) >> (64 - HASH_BITS)
+_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_WHITE = re.compile(rb"[\x09-\x0D\x20]")
+_IS_WHITE = np.zeros(256, dtype=bool)
+_IS_WHITE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _powers(n: int, cache: list = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse, modulo 2**64."""
+    if len(cache[0]) < n:
+        size = max(n, 1 << 20)
+        for i, base in enumerate((_BASE, _INVERSE)):
+            steps = np.full(size, base, dtype=np.uint64)
+            steps[0] = 1
+            cache[i] = np.multiply.accumulate(steps)
+    return cache[0][:n], cache[1][:n]
+
+
+def _mixed(x: np.ndarray, mix: np.uint64) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * mix
+    x = (x ^ (x >> np.uint64(27))) * mix
+    return x ^ (x >> np.uint64(31))
+
+
+def hash_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash (``HASH_BITS`` bits) and start of every word of a text: a
+    polynomial of its bytes, computed for all words at once. A long text is
+    cut at white space."""
+    hashes, starts = [], []
+    at, n = 0, len(raw)
+    while at < n:
+        cut = n
+        if n - at > BLOCK_BYTES:
+            found = _WHITE.search(raw, at + BLOCK_BYTES)
+            cut = found.end() if found else n
+        data = np.frombuffer(raw, dtype=np.uint8, count=cut - at, offset=at)
+        inside = np.empty(len(data) + 2, dtype=bool)
+        inside[0] = inside[-1] = False
+        inside[1:-1] = ~_IS_WHITE[data]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        first, end = edges[::2], edges[1::2]
+        if len(first):
+            power, inverse = _powers(len(data))
+            total = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, out=total[1:])
+            words = (total[end] - total[first]) * inverse[first] + (end - first).astype(np.uint64)
+            hashes.append(_mixed(words, _MIX[0]) >> np.uint64(64 - HASH_BITS))
+            starts.append(first + at)
+        at = cut
+    if not hashes:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def _blocks(batch: pa.RecordBatch, ids: int | None, texts: int) -> Iterator[tuple[list, list[bytes]]]:
+    """Lower-cased texts of a batch, about ``BLOCK_BYTES`` together."""
+    docs, block, size = [], [], 0
+    given = batch.column(ids).to_pylist() if ids is not None else [None] * batch.num_rows
+    for d, text in zip(given, batch.column(texts)):
+        raw = (text.as_py() or "").encode("utf-8", "surrogatepass").lower()
+        docs.append(NULL_ID if d is None else d)
+        block.append(raw)
+        size += len(raw)
+        if size >= BLOCK_BYTES:
+            yield docs, block
+            docs, block, size = [], [], 0
+    if block:
+        yield docs, block
 
 
 def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """Columns ``h`` (token hash) and ``n``, over the whole corpus."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            h, n = (np.concatenate([x[i] for x in held]) for i in (0, 1))
+            order = np.argsort(h, kind="stable")
+            h, n = h[order], n[order]
+            new = np.ones(len(h), dtype=bool)
+            new[1:] = h[1:] != h[:-1]
+            return h[new], np.add.reduceat(n, np.flatnonzero(new))
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])],
+                                              names=["h", "n"])
+
         for batch in batches:
-            counts: Counter = Counter()
-            for text in batch.column(0):
-                counts.update((text.as_py() or "").encode("utf-8", "surrogatepass").lower().split())
-            h = np.fromiter(map(_token_hash, counts), dtype=np.int64, count=len(counts))
-            n = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "n"])
+            for _, block in _blocks(batch, None, 0):
+                h, n = np.unique(hash_words(b"\n".join(block))[0], return_counts=True)
+                if len(h):
+                    held.append((h, n))
+                    size += len(h)
+                if size > 1_000_000:
+                    held = [merged()]
+                    size = len(held[0][0])
+                    if size > 500_000:
+                        yield rows()
+                        held, size = [], 0
+        if held:
+            held = [merged()]
+            yield rows()
 
     return (docs.select(text_col).mapInArrow(run, "h bigint, n bigint")
             .groupBy("h").agg(F.sum("n").alias("n")))
 
 
-class _Encoder:
-    """Turns lines into sorted token codes: rank class, then hash."""
-
-    def __init__(self, frequent: dict[int, int]):
-        self.frequent = frequent
-        self.codes: dict[bytes, int] = {}
-
-    def code(self, token: bytes) -> int:
-        c = self.codes.get(token)
-        if c is None:
-            h = _token_hash(token)
-            c = self.codes[token] = self.frequent.get(h, 0) << HASH_BITS | h
-        return c
-
-    def encode(self, lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct codes of all lines, sorted within a line, and line starts."""
-        if len(self.codes) > KNOWN_TOKENS:
-            self.codes = {}
-        code, known = self.code, self.codes
-        flat = [c if (c := known.get(t)) is not None else code(t) for line in lines for t in line]
-        codes = np.array(flat, dtype=np.int64)
-        line = np.repeat(np.arange(len(lines)), np.fromiter(map(len, lines), dtype=np.int64, count=len(lines)))
-        order = np.lexsort((codes, line))
-        codes, line = codes[order], line[order]
-        new = np.ones(len(codes), dtype=bool)
-        new[1:] = (codes[1:] != codes[:-1]) | (line[1:] != line[:-1])
-        codes, line = codes[new], line[new]
-        return codes, np.searchsorted(line, np.arange(len(lines) + 1))
-
-
-def _signatures(codes: np.ndarray, starts: np.ndarray) -> tuple[list, np.ndarray, np.ndarray]:
-    """A 128-bit key of each set and its parity sketch, in two halves."""
-    u = codes.view(np.uint64)
-    keys = []
-    for mix in _MIX:
-        x = (u ^ (u >> np.uint64(29))) * mix
-        x = (x ^ (x >> np.uint64(32))) * mix
-        keys.append(np.add.reduceat(x ^ (x >> np.uint64(31)), starts))
-    bit = np.uint64(1) << (u & np.uint64(63))
-    half = (u >> np.uint64(6)) & np.uint64(1) == 1
+class Rarity:
+    """Rarity class of a token: zero unless it is among the frequent ones, else
+    an eighth of a doubling of its count a class. Held in a hash table of fixed
+    size; of frequent tokens that share a slot the most frequent stays."""
+
+    def __init__(self, frequent: list[tuple[int, int]], repeated: np.ndarray | None = None):
+        self.repeated = repeated     # bit table of the tokens that occur more than once
+        self.tokens = np.zeros(1 << SLOT_BITS, dtype=np.uint64)
+        self.classes = np.zeros(1 << SLOT_BITS, dtype=np.uint64)
+        for h, n in sorted(frequent, key=lambda x: (x[1], x[0])):
+            self.tokens[h >> (HASH_BITS - SLOT_BITS)] = h
+            self.classes[h >> (HASH_BITS - SLOT_BITS)] = min(255, 1 + int(8 * math.log2(n + 1)))
+
+    def shared(self, codes: np.ndarray) -> np.ndarray:
+        """False for tokens that no two lines can share."""
+        if self.repeated is None:
+            return np.ones(len(codes), dtype=bool)
+        return _in_table(self.repeated, codes & np.uint64((1 << HASH_BITS) - 1))
+
+    def codes(self, hashes: np.ndarray) -> np.ndarray:
+        slot = (hashes >> np.uint64(HASH_BITS - SLOT_BITS)).astype(np.int64)
+        rank = np.where(self.tokens[slot] == hashes, self.classes[slot], np.uint64(0))
+        return rank << np.uint64(HASH_BITS) | hashes
+
+
+def _distinct(codes: np.ndarray, line: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of each line, sorted, and the line of each."""
+    out, of = [], []
+    room = 64 - CODE_BITS
+    for base in range(0, lines, 1 << room):
+        a, b = np.searchsorted(line, (base, base + (1 << room)))
+        key = (line[a:b] - base).astype(np.uint64) << np.uint64(CODE_BITS) | codes[a:b]
+        key.sort()
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = key[1:] != key[:-1]
+        key = key[new]
+        out.append(key & np.uint64((1 << CODE_BITS) - 1))
+        of.append((key >> np.uint64(CODE_BITS)).astype(np.int64) + base)
+    return np.concatenate(out), np.concatenate(of)
+
+
+def _signatures(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple:
+    """A 128-bit key of each set, in two halves, and its parity sketch of 128
+    bits, in two halves; of a small set these are folded into one."""
+    a, b = (np.add.reduceat(_mixed(codes + np.uint64(i), mix), starts) for i, mix in enumerate(_MIX))
+    bit = np.uint64(1) << (codes & np.uint64(63))
+    upper = (codes >> np.uint64(6)) & np.uint64(1) == 1
     zero = np.uint64(0)
-    low = np.bitwise_xor.reduceat(np.where(half, zero, bit), starts)
-    high = np.bitwise_xor.reduceat(np.where(half, bit, zero), starts)
-    return list(zip(keys[0].tolist(), keys[1].tolist())), low.view(np.int64), high.view(np.int64)
+    low = np.bitwise_xor.reduceat(np.where(upper, zero, bit), starts)
+    high = np.bitwise_xor.reduceat(np.where(upper, bit, zero), starts)
+    small = sizes <= SMALL_SET
+    return a, b, np.where(small, low ^ high, low).view(np.int64), np.where(small, zero, high).view(np.int64)
 
 
-_ROW = "code bigint, doc bigint, pos int, size int, place int, low bigint, high bigint"
+_ROW = "code bigint, doc bigint, pos int, size int, place int, low bigint, high bigint, key bigint"
 
 
 def _rows(columns: list) -> pa.RecordBatch:
-    kinds = (np.int64, np.int64, np.int32, np.int32, np.int32, np.int64, np.int64)
+    kinds = (np.int64, np.int64, np.int32, np.int32, np.int32, np.int64, np.int64, np.int64)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.asarray(c, dtype=k)) for c, k in zip(columns, kinds)],
-        names=["code", "doc", "pos", "size", "place", "low", "high"])
+        names=["code", "doc", "pos", "size", "place", "low", "high", "key"])
 
 
-def _enter(batches: Iterator[pa.RecordBatch], frequent: dict[int, int], t: Fraction,
+def _line_in_table(table: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    slot = (doc ^ (pos.astype(np.int64) * np.int64(_SPREAD))) & np.int64(FILTER_BITS - 1)
+    return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+def _in_table(table: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    slot = (codes % np.uint64(FILTER_BITS)).astype(np.int64)
+    return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+def _enter(batches: Iterator[pa.RecordBatch], rarity: Rarity, t: Fraction,
            wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Rows of the prefix tokens of all lines. A line whose set the task has
-    entered from an earlier line is decided: its row has a negative code and,
-    in place of the sketch, the earlier line. With ``wanted`` (a bit table of
-    codes) only rows of wanted codes are made, and of all lines."""
-    encoder = _Encoder(frequent)
-    seen: dict[tuple, tuple[int, int]] = {}
-
-    def flush(lines, docs, numbers):
-        codes, starts = encoder.encode(lines)
-        ends, starts = starts[1:], starts[:-1]
-        sizes = ends - starts
-        doc, pos = np.array(docs, dtype=np.int64), np.array(numbers, dtype=np.int32)
-        keys, low, high = _signatures(codes, starts)
-        entered = np.ones(len(lines), dtype=bool)
-        decided: list[tuple] = []
-        if wanted is None:
-            for i, (key, d, p) in enumerate(zip(keys, docs, numbers)):
-                first = seen.get(key)
-                if first is None or (d, p) < first:
-                    if len(seen) > KNOWN_SETS:
-                        seen.clear()
-                    seen[key] = (d, p)
-                elif first < (d, p):
-                    entered[i] = False
-                    decided.append((-1 - (key[0] >> 2), d, p, 0, 0, *first))
-                # the same id and number again: entered, as neither is earlier
-        if decided:
-            yield _rows(list(zip(*decided)))
-        prefix = sizes - -(-t.numerator * sizes // t.denominator) + 1
-        of = np.repeat(np.arange(len(lines)), sizes)
-        place = np.arange(len(codes)) - starts[of]
-        take = (place < prefix[of]) & entered[of]
-        if wanted is not None:
-            slot = codes % FILTER_BITS
-            take &= (wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-        of, place = of[take], place[take]
-        if len(of):
-            yield _rows([codes[take], doc[of], pos[of], sizes[of], place, low[of], high[of]])
-
-    lines: list[list[bytes]] = []
-    docs: list[int] = []
-    numbers: list[int] = []
-    held = 0
+    """Rows of the prefix tokens of all lines, and of each set a row whose code
+    is negative: by it equal sets meet, whatever task has read them. A line
+    whose set the task has entered from an earlier line makes one row of this
+    kind only, which says so (size 0). With ``wanted`` (a bit table of codes)
+    only rows of wanted codes are made, and of all lines."""
+    seen: dict[int, tuple[int, int]] = {}
     for batch in batches:
-        for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            raw = (text.as_py() or "").encode("utf-8", "surrogatepass").lower()
-            for number, line in enumerate(raw.split(b"\n")):
-                words = line.split()
-                if words:
-                    lines.append(words)
-                    docs.append(NULL_ID if d is None else d)
-                    numbers.append(number)
-                    held += len(line)
-                    if held >= BLOCK_BYTES:
-                        yield from flush(lines, docs, numbers)
-                        lines, docs, numbers, held = [], [], [], 0
-    if lines:
-        yield from flush(lines, docs, numbers)
+        for docs, block in _blocks(batch, 0, 1):
+            hashes, at = hash_words(b"\n".join(block))
+            if not len(hashes):
+                continue
+            # Lines of all texts of the block, then those that have words.
+            counts = np.array([raw.count(b"\n") + 1 for raw in block])
+            breaks = np.flatnonzero(np.frombuffer(b"\n".join(block), dtype=np.uint8) == 10)
+            line = np.searchsorted(breaks, at)
+            codes = rarity.codes(hashes)
+            if wanted is not None:       # lines without a wanted word are passed over
+                some = np.zeros(len(breaks) + 1, dtype=bool)
+                some[line[_in_table(wanted, codes)]] = True
+                codes, line = codes[some[line]], line[some[line]]
+                if not len(codes):
+                    continue
+            codes, line = _distinct(codes, line, len(breaks) + 1)
+            new = np.ones(len(line), dtype=bool)
+            new[1:] = line[1:] != line[:-1]
+            starts = np.flatnonzero(new)
+            number = line[starts]
+            sizes = np.diff(np.append(starts, len(codes)))
+            doc = np.repeat(np.array(docs, dtype=np.int64), counts)[number]
+            pos = (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))[number]
+            one, two, low, high = _signatures(codes, starts, sizes)
+            key = one.view(np.int64)
+            entered = np.ones(len(starts), dtype=bool)
+            if wanted is None:
+                both = zip(one.tolist(), two.tolist(), doc.tolist(), pos.tolist())
+                for i, (x, y, d, p) in enumerate(both):
+                    whole = x << 64 | y
+                    first = seen.get(whole)
+                    if first is None or (d, p) < first:
+                        if len(seen) > KNOWN_SETS:
+                            seen.clear()
+                        seen[whole] = (d, p)
+                    elif first < (d, p):
+                        entered[i] = False
+                    # the same id and number again: entered, as neither is earlier
+                yield _rows([-1 - (key >> 1 & np.int64((1 << 62) - 1)), doc, pos, np.where(entered, sizes, 0),
+                             np.zeros(len(doc)), two.view(np.int64), np.zeros(len(doc)), key])
+            prefix = sizes - -(-t.numerator * sizes // t.denominator) + 1
+            of = np.repeat(np.arange(len(starts)), sizes)
+            place = np.arange(len(codes)) - starts[of]
+            take = (place < prefix[of]) & entered[of]
+            take[take] = rarity.shared(codes[take])
+            if wanted is not None:
+                take[take] = _in_table(wanted, codes[take])
+            of, place = of[take], place[take]
+            if len(of):
+                yield _rows([codes[take].view(np.int64), doc[of], pos[of], sizes[of], place, low[of], high[of], key[of]])
 
 
 _PAIR = "doc bigint, pos int, mdoc bigint, mpos int, sure boolean, more boolean"
@@ -206,11 +318,23 @@ def _pairs(columns: list, sure: bool, more: np.ndarray) -> pa.RecordBatch:
         names=["doc", "pos", "mdoc", "mpos", "sure", "more"])
 
 
-def _pair_up(rows: list[np.ndarray], t: Fraction, tries: int | None) -> Iterator[pa.RecordBatch]:
+def _pair_up(rows: list[np.ndarray], t: Fraction, tries: int | None, asked: np.ndarray | None
+             ) -> Iterator[pa.RecordBatch]:
     """Partners within each code. Rows are sorted by code and size; step k
     compares every row with the k-th after it, while the code is the same and
-    the sizes are near enough."""
-    code, doc, pos, size, place, low, high = rows
+    the sizes are near enough. With ``asked`` (a bit table of lines) only the
+    partners of these lines are given."""
+    code, doc, pos, size, place, low, high, key = rows
+    # Of equal sets only the first line can be needed, the others are decided.
+    # Rows of one id and number stay, as neither is earlier.
+    order = np.lexsort((pos, doc, key, size, code))
+    code, doc, pos, size, place, low, high, key = (r[order] for r in (code, doc, pos, size, place, low, high, key))
+    first = np.ones(len(code), dtype=bool)
+    first[1:] = (code[1:] != code[:-1]) | (key[1:] != key[:-1]) | (size[1:] != size[:-1])
+    group = np.cumsum(first) - 1
+    lead = np.flatnonzero(first)[group]
+    keep = (doc == doc[lead]) & (pos == pos[lead])
+    code, doc, pos, size, place, low, high = (r[keep] for r in (code, doc, pos, size, place, low, high))
     n = len(code)
     size, place = size.astype(np.int64), place.astype(np.int64)
     # unsigned: bitwise_count takes the absolute value of signed numbers
@@ -220,68 +344,109 @@ def _pair_up(rows: list[np.ndarray], t: Fraction, tries: int | None) -> Iterator
     same[1:] = (doc[order][1:] != doc[order][:-1]) | (pos[order][1:] != pos[order][:-1])
     when = np.empty(n, dtype=np.int64)
     when[order] = np.cumsum(same)       # equal for rows of one id and number
+    folded = low ^ high
     tried = np.zeros(n, dtype=np.int64)
     a, b, c = t.numerator, t.denominator, t.numerator + t.denominator
-    later, earlier = [], []
+    found: list[tuple] = []
+    held = 0
+
+    def nearest() -> tuple:
+        """Of each row the ``tries`` partners that are nearest by sketch."""
+        y, x, apart = (np.concatenate([f[c] for f in found]) for c in range(3))
+        if tries is None:
+            return y, x, apart
+        order = np.lexsort((x, apart, y))
+        y, x, apart = y[order], x[order], apart[order]
+        rank = np.arange(len(y)) - np.searchsorted(y, y)
+        return y[rank < tries], x[rank < tries], apart[rank < tries]
+
     i = np.arange(n - 1)
     k = 1
     while len(i):
+        i = i[:np.searchsorted(i, n - k)]
         j = i + k
-        i, j = i[j < n], j[j < n]
         near = (code[i] == code[j]) & (b * size[i] >= a * size[j])
-        i, j = i[near], j[near]
+        i = i[near]
+        j = i + k
         si, sj, pi, pj = size[i], size[j], place[i], place[j]
         least = -(-a * (si + sj) // c)          # overlap that the threshold needs
-        most = np.minimum(pi, pj) + 1 + np.minimum(si - pi, sj - pj) - 1
-        apart = (np.bitwise_count(low[i] ^ low[j]).astype(np.int64)
-                 + np.bitwise_count(high[i] ^ high[j]))
+        most = np.minimum(pi, pj) + np.minimum(si - pi, sj - pj)
+        apart = np.where(si <= SMALL_SET, np.bitwise_count(folded[i] ^ folded[j]),
+                         np.bitwise_count(low[i] ^ low[j]) + np.bitwise_count(high[i] ^ high[j])).astype(np.int64)
         hit = (most >= least) & (apart <= si + sj - 2 * least) & (when[i] != when[j])
-        x, y = i[hit], j[hit]
+        x, y, apart = i[hit], j[hit], apart[hit]
         swap = when[x] > when[y]
         x, y = np.where(swap, y, x), np.where(swap, x, y)    # x is the earlier one
-        if tries is not None:
-            open_ = tried[y] < tries
-            np.add.at(tried, y, 1)
-            x, y = x[open_], y[open_]
+        if asked is not None:
+            mine = _line_in_table(asked, doc[y], pos[y])
+            x, y, apart = x[mine], y[mine], apart[mine]
         if len(x):
-            earlier.append(x)
-            later.append(y)
+            found.append((y, x, apart))
+            np.add.at(tried, y, 1)
+            held += len(x)
+            if tries is not None and held > PAIR_ROWS:
+                found = [nearest()]
+                held = len(found[0][0])
         k += 1
-    if later:
-        y, x = np.concatenate(later), np.concatenate(earlier)
+    if found:
+        y, x, _ = nearest()
         more = tried[y] > tries if tries is not None else np.zeros(len(y), dtype=bool)
         yield _pairs([doc[y], pos[y], doc[x], pos[x]], False, more)
 
 
-def _partners(batches: Iterator[pa.RecordBatch], t: Fraction, tries: int | None
-              ) -> Iterator[pa.RecordBatch]:
+def _equal_sets(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """Of rows with a negative code: those whose set an earlier line has. Rows
+    of size 0 are known to be such."""
+    code, doc, pos, size, _, two, _, key = rows
+    order = np.lexsort((pos, doc, two, key))
+    doc, pos, size, two, key = (r[order] for r in (doc, pos, size, two, key))
+    first = np.ones(len(key), dtype=bool)
+    first[1:] = (key[1:] != key[:-1]) | (two[1:] != two[:-1])
+    lead = np.flatnonzero(first)[np.cumsum(first) - 1]
+    gone = (size == 0) | (doc != doc[lead]) | (pos != pos[lead])
+    return [doc[gone], pos[gone], doc[lead][gone], pos[lead][gone]]
+
+
+def _partners(batches: Iterator[pa.RecordBatch], t: Fraction, tries: int | None,
+              asked: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows arrive sorted by code and size. A code is held until the next
+    begins; of a code with very many rows, equal sets are reduced to their
+    first line, and sizes that no later row can match go."""
     held: list[list[np.ndarray]] = []
     count = 0
 
-    def joined() -> list[np.ndarray]:
-        return [np.concatenate([h[c] for h in held]) for c in range(7)]
+    def finish(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sets = rows[0] < 0
+        if sets.any():
+            gone = _equal_sets([r[sets] for r in rows])
+            if len(gone[0]):
+                yield _pairs(gone, True, np.zeros(len(gone[0]), dtype=bool))
+            rows = [r[~sets] for r in rows]
+        if len(rows[0]):
+            yield from _pair_up(rows, t, tries, asked)
 
     for batch in batches:
-        rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(7)]
-        decided = rows[0] < 0
-        if decided.any():
-            done = [r[decided] for r in rows]
-            yield _pairs([done[1], done[2], done[5], done[6]], True, np.zeros(len(done[0]), dtype=bool))
-            rows = [r[~decided] for r in rows]
-        held.append(rows)
-        count += len(rows[0])
+        held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in range(8)])
+        count += batch.num_rows
         if count >= GROUP_ROWS:
-            rows = joined()
-            yield from _pair_up(rows, t, tries)
-            # rows of the last code that a longer line may still match
-            carry = (rows[0] == rows[0][-1]) & (t.denominator * rows[3].astype(np.int64)
-                                                >= t.numerator * int(rows[3][-1]))
-            held = [[r[carry] for r in rows]]
+            rows = [np.concatenate([h[c] for h in held]) for c in range(8)]
+            yield from finish(rows)
+            last = rows[0] == rows[0][-1]
+            if rows[0][-1] < 0:
+                # the first line of each set of this code
+                tail = [r[last] for r in rows]
+                order = np.lexsort((tail[2], tail[1], tail[5], tail[7]))
+                tail = [r[order] for r in tail]
+                new = np.ones(len(order), dtype=bool)
+                new[1:] = (tail[7][1:] != tail[7][:-1]) | (tail[5][1:] != tail[5][:-1])
+                held = [[r[new] for r in tail]]
+            else:
+                # rows that a longer line may still match
+                near = last & (t.denominator * rows[3].astype(np.int64) >= t.numerator * int(rows[3][-1]))
+                held = [[r[near] for r in rows]]
             count = 0
     if held:
-        rows = joined()
-        if len(rows[0]):
-            yield from _pair_up(rows, t, tries)
+        yield from finish([np.concatenate([h[c] for h in held]) for c in range(8)])
 
 
 def _similar(left: str | None, right: str | None, t: Fraction) -> bool:
@@ -291,19 +456,52 @@ def _similar(left: str | None, right: str | None, t: Fraction) -> bool:
     return both > 0 and t.denominator * both >= t.numerator * (len(a) + len(b) - both)
 
 
+def _slot(doc: Column, pos: Column) -> Column:
+    return (doc.bitwiseXOR(pos.cast("bigint") * F.lit(_SPREAD))).bitwiseAND(F.lit(FILTER_BITS - 1))
+
+
+def bit_table(slots: DataFrame) -> np.ndarray:
+    """A table of ``FILTER_BITS`` bits with those of the column ``slot`` set:
+    summed up by Spark in pages; what reaches the driver is of fixed size."""
+    pages = (slots.groupBy(F.shiftright("slot", 15).alias("page"))
+             .agg(F.bitmap_construct_agg(F.col("slot") % 32768).alias("bits")).collect())
+    table = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for r in pages:
+        table[r.page * 4096:(r.page + 1) * 4096] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
+    return table
+
+
+def _lines_at(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Columns doc, pos, line of the wanted lines (columns doc, pos), and of
+    few others: a bit table of fixed size is asked for every line, so that
+    only these lines are shuffled later, not the texts."""
+    spark = docs.sparkSession
+    table = spark.sparkContext.broadcast(bit_table(wanted.select(_slot(F.col("doc"), F.col("pos")).alias("slot"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        for batch in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                d = NULL_ID if d is None else d
+                lines = (text.as_py() or "").split("\n")
+                for p in np.flatnonzero(_line_in_table(bits, np.int64(d), np.arange(len(lines)))).tolist():
+                    out[0].append(d)
+                    out[1].append(p)
+                    out[2].append(lines[p])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.string())],
+                names=["doc", "pos", "line"])
+
+    return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(
+        run, "doc bigint, pos int, line string")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, t: Fraction) -> DataFrame:
-    """``pairs`` with a column ``good``, from the words of both lines."""
+    """``pairs`` with a column ``good``, from the words of both lines. Of rows
+    that repeat an id each gives a line; a pair is good if any of them is."""
     ends = pairs.select("doc", "pos").union(pairs.select("mdoc", "mpos")).distinct()
-    wanted = ends.groupBy("doc").agg(F.collect_list("pos").alias("numbers"))
-    texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("doc"),
-                        F.col(text_col).alias("text"))
-    split = F.split("text", "\n", -1)
-    # Rows that repeat an id: each gives a line; a pair is good if any of them is.
-    lines = (texts.join(wanted, "doc").withColumn("lines", split)
-             .select("doc", F.explode("numbers").alias("pos"), "lines")
-             .where(F.col("pos") < F.size("lines"))
-             .select("doc", "pos", F.get("lines", F.col("pos")).alias("line")))
-    lines = materialize(lines, "lines")
+    lines = materialize(_lines_at(ends, docs, id_col, text_col), "lines")
     left = pairs.join(lines.withColumnRenamed("line", "a"), ["doc", "pos"])
     right = lines.select(F.col("doc").alias("mdoc"), F.col("pos").alias("mpos"), F.col("line").alias("b"))
 
@@ -324,16 +522,18 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     spark = docs.sparkSession
     ship(spark)
     t = Fraction(threshold).limit_denominator(1000)
-    top = (token_counts(docs, text_col).orderBy(F.desc("n"), "h").limit(FREQUENT).collect())
-    frequent = spark.sparkContext.broadcast({r.h: len(top) - i for i, r in enumerate(top)})
+    counts = materialize(token_counts(docs, text_col).where("n > 1"), "tokens")
+    top = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).collect()
+    repeated = bit_table(counts.select((F.col("h") % FILTER_BITS).alias("slot")))
+    rarity = spark.sparkContext.broadcast(Rarity([(r.h, r.n) for r in top], repeated))
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
 
-    def partners(wanted=None, tries: int | None = tries) -> DataFrame:
+    def partners(wanted=None, tries: int | None = tries, asked=None) -> DataFrame:
         bits = wanted
         rows = texts.mapInArrow(
-            lambda it: _enter(it, frequent.value, t, bits.value if bits is not None else None), _ROW)
-        return (rows.repartition("code").sortWithinPartitions("code", "size", "doc", "pos")
-                .mapInArrow(lambda it: _partners(it, t, tries), _PAIR))
+            lambda it: _enter(it, rarity.value, t, bits.value if bits is not None else None), _ROW)
+        return (rows.repartition("code").sortWithinPartitions("code", "size")
+                .mapInArrow(lambda it: _partners(it, t, tries, asked.value if asked is not None else None), _PAIR))
 
     found = materialize(partners(), "partners")
     unsure = found.where(~F.col("sure")).groupBy("doc", "pos", "mdoc", "mpos").agg(F.max("more").alias("more"))
@@ -343,29 +543,23 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     gone = found.where("sure").select("doc", "pos").union(tested.where("good").select("doc", "pos"))
     again = tested.where("more AND NOT good").select("doc", "pos")
     if not again.isEmpty():
-        gone = gone.union(_tried_again(again, docs, partners, frequent, t, id_col, text_col))
+        gone = gone.union(_tried_again(again, docs, partners, rarity, t, id_col, text_col))
     return gone.distinct()
 
 
-def _tried_again(again: DataFrame, docs: DataFrame, partners, frequent, t: Fraction, id_col: str,
+def _tried_again(again: DataFrame, docs: DataFrame, partners, rarity, t: Fraction, id_col: str,
                  text_col: str) -> DataFrame:
     """Lines of ``again`` that match any earlier line: joined with all partners
     that share one of their prefix tokens. A bit table of fixed size lets pass
     the rows of those tokens (and few others)."""
     spark = docs.sparkSession
-    numbers = again.groupBy("doc").agg(F.collect_list("pos").alias("numbers"))
-    chosen = (docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("doc"),
-                          F.split(text_col, "\n", -1).alias("lines"))
-              .join(numbers, "doc").select("doc", F.explode("numbers").alias("pos"), "lines")
-              .select("doc", F.get("lines", F.col("pos")).alias("text")))
-    codes = (chosen.mapInArrow(lambda it: _enter(it, frequent.value, t, None), _ROW)
+    chosen = (_lines_at(again, docs, id_col, text_col).join(again, ["doc", "pos"], "left_semi")
+              .select("doc", F.col("line").alias("text")))
+    codes = (chosen.mapInArrow(lambda it: _enter(it, rarity.value, t, None), _ROW)
              .where("code >= 0").select((F.col("code") % FILTER_BITS).alias("slot")).distinct())
-    pages = (codes.groupBy(F.shiftright("slot", 15).alias("page"))
-             .agg(F.bitmap_construct_agg(F.col("slot") % 32768).alias("bits")).collect())
-    table = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for r in pages:
-        table[r.page * 4096:(r.page + 1) * 4096] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
-    every = partners(spark.sparkContext.broadcast(table), None)
+    table = bit_table(codes)
+    asked = spark.sparkContext.broadcast(bit_table(again.select(_slot(F.col("doc"), F.col("pos")).alias("slot"))))
+    every = partners(spark.sparkContext.broadcast(table), None, asked)
     pairs = materialize(every.join(again, ["doc", "pos"], "left_semi")
                         .groupBy("doc", "pos", "mdoc", "mpos").agg(F.max("more").alias("more")), "again")
     return _verified(pairs, docs, id_col, text_col, t).where("good").select("doc", "pos")
