@@ -130,20 +130,23 @@ def gazetteer_mentions(docs: DataFrame, terms: DataFrame, text_col: str, keep=()
         F.col("term").alias("_term"), F.col("label").alias("entity_type"), F.size(words).alias("_n"),
         F.array_join(F.slice(words, 1, KEY_TOKENS), " ").alias("_key"))
     toks = docs.select(*keep, token_text(text_col).alias("_toks"))
-    hits = None
-    for n in range(1, KEY_TOKENS + 1):
-        at = toks.select(*keep, F.sha2("_toks", 256).alias("_text"),
-                         F.posexplode(token_windows("_toks", n)).alias("_pos", "_gram"))
-        of = keyed.where((F.col("_n") == n) if n < KEY_TOKENS else (F.col("_n") >= n))
-        found = at.join(of, F.col("_gram") == F.col("_key"))
-        hits = found if hits is None else hits.unionByName(found)
-    short = hits.where(F.col("_n") <= KEY_TOKENS).select(*keep, F.col("_term").alias("entity_text"), "entity_type")
-    longer = hits.where(F.col("_n") > KEY_TOKENS).select("_text", "_pos", "_term", "_n", "entity_type").distinct()
+    out = None
+    for n in range(1, KEY_TOKENS):
+        # windows are made below the explode, so the text is not carried on
+        grams = toks.select(*keep, token_windows("_toks", n).alias("_grams"))
+        found = (grams.select(*keep, F.explode("_grams").alias("_key"))
+                 .join(keyed.where(F.col("_n") == n), "_key")
+                 .select(*keep, F.col("_term").alias("entity_text"), "entity_type"))
+        out = found if out is None else out.unionByName(found)
     texts = toks.withColumn("_text", F.sha2("_toks", 256))
+    grams = texts.select("_text", token_windows("_toks", KEY_TOKENS).alias("_grams"))
+    begun = (grams.select("_text", F.posexplode("_grams").alias("_pos", "_key"))
+             .join(keyed.where(F.col("_n") >= KEY_TOKENS), "_key")
+             .select("_text", "_pos", "_term", "_n", "entity_type").distinct())
     there = F.array_join(F.slice(F.split("_toks", " "), F.col("_pos") + 1, F.col("_n")), " ")
-    whole = (texts.join(longer, "_text").where(there == F.col("_term"))
+    whole = (texts.join(begun, "_text").where(there == F.col("_term"))
              .select(*keep, F.col("_term").alias("entity_text"), "entity_type"))
-    return short.unionByName(whole)
+    return out.unionByName(whole)
 
 
 # ---- model seam -------------------------------------------------------------

@@ -25,8 +25,17 @@ LOG_PARTITIONS = 4
 PROGRESS_CUTOFF = "2024-01-15"                         # end of the "previous" run
 
 
+# Tables whose rows carry whole texts. A caller whose text files hold one row
+# group each, fewer than its cores, names in this setting over how many
+# partitions their rows are dealt; unset, files are read as they are.
+TEXT_TABLES = ("documents", "pages", "conversations")
+TEXT_PARTITIONS = "spark.trendlake.textPartitions"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    n = spark.conf.get(TEXT_PARTITIONS, None)
+    return df.repartition(int(n)) if n and name in TEXT_TABLES else df
 
 
 def event_mentions(events: DataFrame) -> DataFrame:
