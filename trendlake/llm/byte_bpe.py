@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import ship
+from .common import releasing, ship
 
 # Distinct pieces a task remembers between batches; beyond it the memory
 # starts anew (the ids of a piece never depend on what is remembered).
@@ -353,4 +353,4 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str
                 at += len(block)
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(releasing(run), schema)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,10 +48,19 @@ def fold(id_col: str, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % F.lit(modulus)
 
 
+# Rows of whole texts are wide: Arrow batches hold this many unless the session
+# names another number than Spark's default.
+BATCH_ROWS = 4000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of any cluster (as
-    ``--py-files`` would), once for each session."""
+    """Prepare a session for Python workers: make this package importable in
+    those of any cluster (as ``--py-files`` would), once for each session, and
+    keep the batches of wide rows small."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     root = Path(__file__).resolve().parents[2]
     files = sorted(Path(__file__).resolve().parents[1].rglob("*.py"))
     digest = hashlib.sha256()
@@ -62,3 +74,16 @@ def ship(spark: SparkSession) -> None:
         for f in files:
             z.write(f, f.relative_to(root).as_posix())
     context.addPyFile(path)
+
+
+def releasing(run: Callable) -> Callable:
+    """``run`` (a function over Arrow batches), after whose last batch freed
+    memory goes back to the system. A worker is used again by the next
+    operator, and what it keeps counts against the executor until then."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # of glibc
+        if trim is not None:
+            trim(0)
+    return wrapped

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, ship
+from .common import fresh, materialize, releasing, ship
 
 THRESHOLD = 0.8
 FREQUENT = 65_536           # tokens that have a rarity class of their own
@@ -55,9 +55,9 @@ CODE_BITS = HASH_BITS + 8
 SLOT_BITS = 18              # slots of the table of classes
 SMALL_SET = 64              # sets up to this size have a sketch of 64 bits
 BLOCK_BYTES = 500_000       # text tokenised together
-KNOWN_SETS = 100_000        # sets that a task remembers
-GROUP_ROWS = 200_000        # rows paired together in a task
-PAIR_ROWS = 2_000_000       # pairs held before they are reduced to the nearest
+KNOWN_SETS = 60_000         # sets that a task remembers
+GROUP_ROWS = 120_000        # rows paired together in a task
+PAIR_ROWS = 400_000         # pairs held before they are reduced to the nearest
 FILTER_BITS = 1 << 25       # of the filter for lines that are joined again
 NULL_ID = -(1 << 63)
 
@@ -167,7 +167,7 @@ def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
             held = [merged()]
             yield rows()
 
-    return (docs.select(text_col).mapInArrow(run, "h bigint, n bigint")
+    return (docs.select(text_col).mapInArrow(releasing(run), "h bigint, n bigint")
             .groupBy("h").agg(F.sum("n").alias("n")))
 
 
@@ -322,8 +322,8 @@ def _pair_up(rows: list[np.ndarray], t: Fraction, tries: int | None, asked: np.n
              ) -> Iterator[pa.RecordBatch]:
     """Partners within each code. Rows are sorted by code and size; step k
     compares every row with the k-th after it, while the code is the same and
-    the sizes are near enough. With ``asked`` (a bit table of lines) only the
-    partners of these lines are given."""
+    the sizes are near enough. With ``asked`` (a bit table of lines) these lines
+    alone are compared with the rows of their codes."""
     code, doc, pos, size, place, low, high, key = rows
     # Of equal sets only the first line can be needed, the others are decided.
     # Rows of one id and number stay, as neither is earlier.
@@ -360,34 +360,40 @@ def _pair_up(rows: list[np.ndarray], t: Fraction, tries: int | None, asked: np.n
         rank = np.arange(len(y)) - np.searchsorted(y, y)
         return y[rank < tries], x[rank < tries], apart[rank < tries]
 
-    i = np.arange(n - 1)
-    k = 1
-    while len(i):
-        i = i[:np.searchsorted(i, n - k)]
-        j = i + k
-        near = (code[i] == code[j]) & (b * size[i] >= a * size[j])
-        i = i[near]
-        j = i + k
+    def compare(i: np.ndarray, j: np.ndarray) -> tuple:
+        """Of rows i and j (not smaller) those that pass the filters, as the
+        later row, the earlier row and the bits their sketches differ by."""
         si, sj, pi, pj = size[i], size[j], place[i], place[j]
         least = -(-a * (si + sj) // c)          # overlap that the threshold needs
         most = np.minimum(pi, pj) + np.minimum(si - pi, sj - pj)
         apart = np.where(si <= SMALL_SET, np.bitwise_count(folded[i] ^ folded[j]),
                          np.bitwise_count(low[i] ^ low[j]) + np.bitwise_count(high[i] ^ high[j])).astype(np.int64)
-        hit = (most >= least) & (apart <= si + sj - 2 * least) & (when[i] != when[j])
-        x, y, apart = i[hit], j[hit], apart[hit]
-        swap = when[x] > when[y]
-        x, y = np.where(swap, y, x), np.where(swap, x, y)    # x is the earlier one
-        if asked is not None:
-            mine = _line_in_table(asked, doc[y], pos[y])
-            x, y, apart = x[mine], y[mine], apart[mine]
-        if len(x):
-            found.append((y, x, apart))
-            np.add.at(tried, y, 1)
-            held += len(x)
-            if tries is not None and held > PAIR_ROWS:
-                found = [nearest()]
-                held = len(found[0][0])
-        k += 1
+        hit = ((b * si >= a * sj) & (most >= least) & (apart <= si + sj - 2 * least)
+               & (when[i] != when[j]))
+        i, j, apart = i[hit], j[hit], apart[hit]
+        swap = when[i] > when[j]
+        return np.where(swap, i, j), np.where(swap, j, i), apart
+
+    if asked is not None:
+        for r in np.flatnonzero(_line_in_table(asked, doc, pos)).tolist():
+            others = np.arange(np.searchsorted(code, code[r]), np.searchsorted(code, code[r], "right"))
+            y, x, apart = compare(np.minimum(others, r), np.maximum(others, r))
+            found.append((y[y == r], x[y == r], apart[y == r]))
+    else:
+        i = np.arange(n - 1)
+        k = 1
+        while len(i):
+            i = i[:np.searchsorted(i, n - k)]
+            i = i[(code[i] == code[i + k]) & (b * size[i] >= a * size[i + k])]
+            y, x, apart = compare(i, i + k)
+            if len(x):
+                found.append((y, x, apart))
+                np.add.at(tried, y, 1)
+                held += len(x)
+                if tries is not None and held > PAIR_ROWS:
+                    found = [nearest()]
+                    held = len(found[0][0])
+            k += 1
     if found:
         y, x, _ = nearest()
         more = tried[y] > tries if tries is not None else np.zeros(len(y), dtype=bool)
@@ -494,7 +500,7 @@ def _lines_at(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
                 names=["doc", "pos", "line"])
 
     return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(
-        run, "doc bigint, pos int, line string")
+        releasing(run), "doc bigint, pos int, line string")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, t: Fraction) -> DataFrame:
@@ -513,7 +519,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, t:
                 names=["doc", "pos", "more", "good"])
 
     return left.join(right, ["mdoc", "mpos"]).select("doc", "pos", "more", "a", "b").mapInArrow(
-        run, "doc bigint, pos int, more boolean, good boolean")
+        releasing(run), "doc bigint, pos int, more boolean, good boolean")
 
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
@@ -530,10 +536,11 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
 
     def partners(wanted=None, tries: int | None = tries, asked=None) -> DataFrame:
         bits = wanted
-        rows = texts.mapInArrow(
-            lambda it: _enter(it, rarity.value, t, bits.value if bits is not None else None), _ROW)
+        rows = texts.mapInArrow(releasing(
+            lambda it: _enter(it, rarity.value, t, bits.value if bits is not None else None)), _ROW)
         return (rows.repartition("code").sortWithinPartitions("code", "size")
-                .mapInArrow(lambda it: _partners(it, t, tries, asked.value if asked is not None else None), _PAIR))
+                .mapInArrow(releasing(lambda it: _partners(
+                    it, t, tries, asked.value if asked is not None else None)), _PAIR))
 
     found = materialize(partners(), "partners")
     unsure = found.where(~F.col("sure")).groupBy("doc", "pos", "mdoc", "mpos").agg(F.max("more").alias("more"))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ship
+from .common import materialize, releasing, ship
 from .components import components
 
 SEED = 42
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(prints.view(np.int64))], names=["doc", "fp"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"doc {id_type}, fp bigint")
+    return docs.select(id_col, text_col).mapInArrow(releasing(run), f"doc {id_type}, fp bigint")
 
 
 def _masks(levels: int) -> list[int]:
@@ -235,7 +235,7 @@ def link_edges(points: DataFrame, radius: int = 2, levels: int = LEVELS) -> Data
             .select((F.col("path") + F.col("shift")).alias("path"), "fp",
                     (F.col("shift") != 0).alias("visit")))
     dealt = rows.repartition("path").sortWithinPartitions("path")
-    return dealt.mapInArrow(lambda it: _star_edges(it, radius), "u bigint, v bigint")
+    return dealt.mapInArrow(releasing(lambda it: _star_edges(it, radius)), "u bigint, v bigint")
 
 
 def simhash_components(docs: DataFrame, words: int = 3, radius: int = 2,

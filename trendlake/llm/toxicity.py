@@ -36,7 +36,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, fresh, ship
+from .common import fold, fresh, releasing, ship
 
 CHUNK = 1 << 16             # windows compressed in one call
 BLOCK_BYTES = 4_000_000     # text handled together in a task
@@ -345,7 +345,7 @@ def with_scores(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores)], names=[*batch.schema.names, score_col])
 
-    return docs.mapInArrow(run, f"{fields}, `{score_col}` double")
+    return docs.mapInArrow(releasing(run), f"{fields}, `{score_col}` double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, settings: Training = Training(),
