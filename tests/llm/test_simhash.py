@@ -94,3 +94,58 @@ def test_one_of_each_group_stays(make_docs):
     assert out.columns == df.columns
     assert sorted(str(r.doc_id) for r in out.collect()) == ["2", "2", "5", "9", "None"]
     assert simhash.drop_near_copies(make_docs([])).count() == 0
+
+
+def shingle_set(text, k=5):
+    words = (text or "").lower().split()
+    return frozenset(tuple(words[i:i + k]) for i in range(max(1, len(words) - k + 1))) if words else frozenset()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def planted(seed, bases, copies):
+    """Texts of random words, and copies of each whose shingle sets are a
+    little above or below a similarity of 0.8."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(bases):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(150, 300))]
+        rows.append(" ".join(base))
+        for _ in range(copies):
+            other = list(base)
+            for at in rng.sample(range(len(base)), max(1, round(len(base) * rng.uniform(0.015, 0.032)))):
+                other[at] = f"w{rng.randrange(5000)}"
+            rows.append(" ".join(other))
+    return list(enumerate(rows))
+
+
+def test_near_copies_are_found_and_others_kept(make_docs):
+    rows = planted(5, 120, 2)
+    sets = [shingle_set(t) for _, t in rows]
+    # copies of one base only can be similar
+    pairs = [(a, b) for n in range(0, len(rows), 3) for a in range(n, n + 3) for b in range(n, a)]
+    similar = [(a, b) for a, b in pairs if jaccard(sets[a], sets[b]) >= 0.8]
+    got = {r.doc: r.component_id for r in simhash.near_copies(make_docs(rows)).collect()}
+    want = {i: i for i, _ in rows}
+    for a, b in sorted(similar):      # b is the smaller; a base has two copies at most
+        want[a] = min(want[a], want[b])
+        want[b] = min(want[a], want[b])
+    for a, b in sorted(similar):
+        want[a] = min(want[a], want[b])
+    gone = {i for i in want if want[i] < i}
+    found = {i for i in got if got[i] < i}
+    assert 60 < len(gone) < 220 and found <= gone     # nothing below the threshold goes
+    assert len(found) >= 0.93 * len(gone)
+
+
+def test_a_dense_group_of_near_copies_is_one(make_docs):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(300):
+        other = list(base)
+        other[rng.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(other)))
+    assert [r.doc_id for r in simhash.drop_near_copies(make_docs(rows)).collect()] == [0]

@@ -14,6 +14,12 @@ finds the exact pairs, which are merged into stars at once: a shard emits one
 edge for each point at most, never all pairs of a dense group. Stars of
 different shards are joined by connected components.
 
+Near copies (``near_copies``) differ in 4 to 14 of 64 bits at a Jaccard
+similarity of 0.8, where no such tree prunes. They are searched by a longer
+fingerprint, cut into 24 half words of 32 bits with seeds of their own: a pair
+is a candidate if one half word differs in two bits at most, and links if the
+similarity of the shingle sets, computed exactly, reaches the threshold.
+
 Defined results: a null text counts as empty; a text without words has
 fingerprint zero and links like any other; fewer words than a shingle: the
 whole sequence is the one shingle; copies share a fingerprint and so a
@@ -40,27 +46,41 @@ SEED = 42
 LEVELS = 4              # levels laid out over the cluster, 16 bits each
 SAMPLE = 512            # points among which vantage points are chosen
 BLOCK = 1 << 16         # pairs compared at once in a leaf
+WIDE = 12               # words of 64 bits of the fingerprint that near copies are searched by
+NEAR = 2                # differing bits of a half word, at most
+PARTS = (0x7FF, 0x3FF800, 0xFFC00000)   # of a half word: one more than NEAR
+FAR = 20                # differing bits of 64 others: 9.7 expected at a similarity of 0.8
+BESIDE = 4              # neighbours compared among equal half words
 
 
-def fingerprint(text: str | None, words: int) -> int:
-    """SimHash of the word shingles of one text."""
-    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return 0
+def _hashes(parts: list[bytes], words: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of a text's words, in blocks."""
     joined = b" ".join(parts)
+    digest = xxhash.xxh64_intdigest
     if len(parts) <= words:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        yield np.array([digest(joined, SEED)], dtype="<u8")
+        return
     ends = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, dtype=np.int64)
     total = len(parts) - words + 1
     for at in range(0, total, BLOCK):
         upto = min(at + BLOCK, total)
         spans = zip(starts[at:upto].tolist(), ends[at + words - 1:upto + words - 1].tolist())
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], dtype="<u8")
+        yield np.array([digest(joined[a:b], SEED) for a, b in spans], dtype="<u8")
+
+
+def fingerprint(text: str | None, words: int) -> int:
+    """SimHash of the word shingles of one text."""
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not parts:
+        return 0
+    if len(parts) <= words:
+        return xxhash.xxh64_intdigest(b" ".join(parts), SEED)
+    counts = np.zeros(64, dtype=np.int64)
+    for hashes in _hashes(parts, words):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
+    total = len(parts) - words + 1
     return int(sum(1 << i for i in np.flatnonzero(counts * 2 > total).tolist()))
 
 
@@ -257,10 +277,231 @@ def simhash_components(docs: DataFrame, words: int = 3, radius: int = 2,
                     F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def drop_near_copies(docs: DataFrame, words: int = 5, radius: int = 3, id_col: str = "doc_id",
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """Hashes of the distinct word shingles of one text, sorted."""
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not parts:
+        return np.zeros(0, dtype=np.uint64)
+    return np.unique(np.concatenate(list(_hashes(parts, words))))
+
+
+def long_print(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of ``WIDE`` words of 64 bits of a set of shingle hashes; every
+    word has a seed of its own."""
+    counts = np.zeros(64 * WIDE, dtype=np.int64)
+    seeds = np.arange(1, WIDE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(hashes), 255):       # counts of a block fit a byte
+        x = hashes[at:at + 255, None] + seeds[None, :]
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        bits = np.unpackbits(x.astype("<u8", copy=False).view(np.uint8), axis=1, bitorder="little")
+        counts += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8").astype(np.uint64)
+
+
+def _sets(docs: DataFrame, words: int, id_type: str) -> DataFrame:
+    """Columns ``doc``, ``node`` (hash of the set) and ``print`` (null for a
+    text without words)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, prints = [], []
+            for t in batch.column(1):
+                found = shingles(t.as_py(), words)
+                nodes.append(_signed(xxhash.xxh64_intdigest(found.astype("<u8").tobytes(), SEED)))
+                prints.append(long_print(found).astype("<u8").tobytes() if len(found) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(prints, pa.binary())],
+                names=["doc", "node", "print"])
+
+    return docs.mapInArrow(releasing(run), f"doc {id_type}, node bigint, print binary")
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each set a row for each part of each half word. Halves within ``NEAR``
+    bits have a part in common, which is their shard."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2000):
+            some = batch.slice(at, 2000)
+            raw = b"".join(some.column(1).to_pylist())
+            prints = np.frombuffer(raw, dtype="<u8").reshape(-1, WIDE)
+            node = some.column(0).to_numpy(zero_copy_only=False)
+            for h in range(2 * WIDE):
+                half = (prints[:, h // 2] >> np.uint64(32 * (h % 2))) & np.uint64(0xFFFFFFFF)
+                # bits that have no part in the half
+                other = prints[:, (h // 2 + 1) % WIDE]
+                for part, mask in enumerate(PARTS):
+                    shard = half & np.uint64(mask) | np.uint64((h * len(PARTS) + part) << 32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(shard.view(np.int64)), pa.array(half.view(np.int64)),
+                         pa.array(other.view(np.int64)), pa.array(node)],
+                        names=["shard", "half", "other", "node"])
+
+
+def shard_candidates(part: int, half: np.ndarray, other: np.ndarray, node: np.ndarray
+                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (greater node, smaller node, differing bits) of one shard. Of rows
+    with equal halves the first stands for all against other halves; among
+    them each meets the first and its ``BESIDE`` neighbours, so that a dense
+    group makes a bounded number of pairs a row."""
+    order = np.lexsort((node, other, half))
+    half, other, node = half[order], other[order], node[order]
+    new = np.ones(len(half), dtype=bool)
+    new[1:] = half[1:] != half[:-1]
+    lead = np.flatnonzero(new)
+    i, j = [], []
+    if part == 0:               # equal halves meet in every part
+        group = np.cumsum(new) - 1
+        every = np.arange(len(half))
+        i.append(every)
+        j.append(lead[group])
+        for k in range(1, BESIDE + 1):
+            same = group[k:] == group[:-k]
+            i.append(every[k:][same])
+            j.append(every[:-k][same])
+    values = half[lead]
+    if len(lead) > 1:
+        earlier = np.uint64(sum(PARTS[:part]))
+        lower = [np.uint64(m) for m in PARTS[:part]]
+        for x, y in near_pairs(values, values, NEAR):
+            apart = values[x] ^ values[y]
+            once = (x > y) & (apart != 0)
+            if earlier:         # a pair that an earlier part has is left to it
+                for mask in lower:
+                    once &= apart & mask != 0
+            i.append(lead[x[once]])
+            j.append(lead[y[once]])
+    if not i:
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none
+    i, j = np.concatenate(i), np.concatenate(j)
+    far = np.bitwise_count(other[i] ^ other[j]).astype(np.int64)
+    keep = (far <= FAR) & (node[i] != node[j])
+    a, b, far = node[i[keep]], node[j[keep]], far[keep]
+    return np.maximum(a, b), np.minimum(a, b), far
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows arrive sorted by shard; a shard is held until the next begins."""
+    held: list[list[np.ndarray]] = []
+    shard = None
+    out: list[tuple] = []
+
+    def close() -> None:
+        half, other, node = (np.concatenate([h[c] for h in held]) for c in range(3))
+        if len(half) > 1:
+            found = shard_candidates((shard >> 32) % len(PARTS), half.view(np.uint64),
+                                     other.view(np.uint64), node)
+            if len(found[0]):
+                out.append(found)
+
+    for batch in batches:
+        path, *rest = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(4)]
+        cuts = np.flatnonzero(path[1:] != path[:-1]) + 1
+        for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(path)]):
+            if x == y:
+                continue
+            if held and int(path[x]) != shard:
+                close()
+                held = []
+            shard = int(path[x])
+            held.append([r[x:y] for r in rest])
+        if out:
+            yield _edge_batch(out)
+            out = []
+    if held:
+        close()
+    if out:
+        yield _edge_batch(out)
+
+
+def _edge_batch(found: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([f[c] for f in found])) for c in range(3)], names=["u", "v", "far"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Of ``pairs`` (columns u, v) those whose sets are similar enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                a, b = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                good.append(both >= threshold * (len(a) + len(b) - both))
+            kept = pa.array(good, pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).filter(kept) for c in (0, 1)], names=["u", "v"])
+
+    left = sets.select(F.col("node").alias("u"), F.col("hashes").alias("a"))
+    right = sets.select(F.col("node").alias("v"), F.col("hashes").alias("b"))
+    return (pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
+            .mapInArrow(releasing(run), "u bigint, v bigint"))
+
+
+def near_copies(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """Columns ``doc`` and ``component_id``: documents (those with an id) link
+    if the Jaccard similarity of their distinct word shingles is ``threshold``
+    or more. Candidates come from a fingerprint of ``WIDE`` words: pairs of
+    which one half word at least differs in ``NEAR`` bits at most. Each is
+    verified on the sets, except where both ends are linked already."""
+    ship(docs.sparkSession)
+    id_type = docs.schema[id_col].dataType.simpleString()
+    texts = (docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+             .where("doc IS NOT NULL"))
+    found = materialize(_sets(texts, words, id_type), "shingle_sets")
+    nodes = materialize(found.groupBy("node").agg(F.min("doc").alias("first"),
+                                                  F.first("print").alias("print")), "nodes")
+    rows = nodes.where("print IS NOT NULL").select("node", "print").mapInArrow(
+        releasing(_dealt), "shard bigint, half bigint, other bigint, node bigint")
+    pairs = materialize(
+        rows.repartition("shard").sortWithinPartitions("shard")
+        .mapInArrow(releasing(_candidates), "u bigint, v bigint, far bigint")
+        .groupBy("u", "v").agg(F.min("far").alias("far")), "candidates")
+
+    ends = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    wanted = nodes.join(ends, "node").select(F.col("first").alias("doc"), "node")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, out = [], []
+            for want, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw = shingles(t.as_py(), words).astype("<u8").tobytes()
+                if _signed(xxhash.xxh64_intdigest(raw, SEED)) == want:     # ids may repeat
+                    keep.append(want)
+                    out.append(raw)
+            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(out, pa.binary())],
+                                             names=["node", "hashes"])
+
+    sets = materialize(texts.join(wanted, "doc").select("node", "text")
+                       .mapInArrow(releasing(hashed), "node bigint, hashes binary")
+                       .dropDuplicates(["node"]), "sets")
+    # First the nearest partner of each set: a dense group is one component by
+    # these links, and pairs inside of a component need no look.
+    nearest = pairs.groupBy("u").agg(F.min(F.struct("far", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
+    good = materialize(_verified(nearest, sets, threshold), "good")
+    joined = materialize(components(good), "joined")
+    a = joined.select(F.col("node").alias("u"), F.col("root").alias("ru"))
+    b = joined.select(F.col("node").alias("v"), F.col("root").alias("rv"))
+    rest = (pairs.select("u", "v").join(nearest, ["u", "v"], "left_anti")
+            .join(a, "u", "left").join(b, "v", "left")
+            .where(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v"))
+    more = materialize(_verified(rest, sets, threshold), "more")
+    linked = materialize(components(good.union(more)), "linked")
+
+    inside = nodes.select("node", "first").join(linked, "node")
+    lowest = inside.groupBy("root").agg(F.min("first").alias("component_id"))
+    moved = inside.join(lowest, "root").select("node", "component_id")
+    every = materialize(nodes.select("node", "first").join(moved, "node", "left")
+                        .select("node", F.coalesce("component_id", "first").alias("component_id")), "by_node")
+    return found.select("doc", "node").join(every, "node").select("doc", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest id.
-    Rows that repeat this id stay; documents without an id stay."""
-    found = simhash_components(docs.select(F.col(id_col), F.col(text_col)), words, radius, id_col, text_col)
-    gone = found.where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
+    """``docs`` with one document of each component of near copies: that of the
+    smallest id. Rows that repeat this id stay; documents without an id stay."""
+    found = near_copies(docs, words, threshold, id_col, text_col)
+    gone = found.where(F.col("component_id") < F.col("doc")).select(F.col("doc").alias(id_col)).distinct()
     return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
