@@ -60,3 +60,23 @@ def test_odd_rows_and_missing_labels(spark, make_docs):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert {r.score for r in toxicity.classify(make_docs(rows), none).collect()} == {0.0}
     assert toxicity.classify(make_docs([]), some).count() == 0
+
+
+def test_markers_that_ordinary_text_also_holds():
+    # a beginning of toxic words that ordinary words hold too, at a tenth of the rate
+    def texts(n, seed, rate):
+        rng = random.Random(seed)
+        syllables = ["ge", "keit", "ver", "ung", "en", "er", "be", "sch", "ein", "der", "zu", "heit", "tz", "au"]
+        out = []
+        for _ in range(n):
+            words = ["".join(rng.choices(syllables, k=rng.randrange(1, 4))) for _ in range(rng.randrange(150, 250))]
+            for at in range(len(words)):
+                if rng.random() < rate:
+                    words[at] = "achlich" + "".join(rng.choices(syllables, k=rng.randrange(1, 3)))
+            out.append(" ".join(words).encode())
+        return out
+
+    model = toxicity.train(texts(200, 1, 0.04), texts(1500, 2, 0.004), share=0.12)
+    found = (model.scores(texts(100, 3, 0.04)) >= 0.3).mean()
+    rejected = (model.scores(texts(400, 4, 0.004)) >= 0.3).mean()
+    assert found >= 0.9 and rejected <= 0.1, (found, rejected)

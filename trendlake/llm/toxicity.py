@@ -10,7 +10,9 @@ Labels mark whole documents, of which few words may be toxic, so the toxic
 dictionary is trained on those stretches of toxic documents whose byte strings
 are over-represented there (likelihood ratio) against ordinary documents. It
 is put in front of the ordinary dictionary's content, so that windows without
-anything toxic compress alike.
+anything toxic compress alike. These byte strings are cut out of the text that
+the ordinary dictionary is trained on: many occur in ordinary text too, only
+more rarely, and would else compress alike with either dictionary.
 
 Training reads a bounded sample of labelled rows (``Training``): the rows of
 smallest id hash per class, of at most ``max_bytes`` each. Scores read every
@@ -53,8 +55,8 @@ class Training:
     dictionary: int = 16_384     # bytes of the ordinary dictionary
     toxic_dictionary: int = 2_048
     ordinary_windows: int = 100_000
-    grams: tuple[int, ...] = (6, 8, 10)   # lengths of the byte strings that are compared
-    ratio: float = 20.0          # over-representation in toxic documents, at least
+    grams: tuple[int, ...] = (7, 8, 9)    # lengths of the byte strings that are compared
+    ratio: float = 4.0           # over-representation in toxic documents, at least
     evidence: float = 60.0       # likelihood ratio statistic, at least
     floor: float = 2.0           # differences up to this many bytes say nothing
 
@@ -217,19 +219,22 @@ def _telling_grams(toxic: list[bytes], ordinary: list[bytes], gram: int, s: Trai
     return codes[keep]
 
 
-def _telling(toxic: list[bytes], ordinary: list[bytes], s: Training) -> list[list[bytes]]:
-    """For each toxic text its stretches of over-represented byte strings."""
-    known = [(g, _telling_grams(toxic, ordinary, g, s)) for g in s.grams]
-    found = []
-    for t in toxic:
-        mask = np.zeros(len(t) + 1, dtype=bool)
-        for gram, codes in known:
-            here = _gram_codes(t, gram)
-            for i in np.flatnonzero(np.isin(here, codes)):
-                mask[i:i + gram] = True
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], mask]).astype(int)))
-        found.append([t[x:y] for x, y in zip(edges[::2].tolist(), edges[1::2].tolist())])
-    return found
+Known = list[tuple[int, np.ndarray]]     # lengths, and the byte strings of each
+
+
+def _known(toxic: list[bytes], ordinary: list[bytes], s: Training) -> Known:
+    """Over-represented byte strings of all lengths."""
+    return [(g, _telling_grams(toxic, ordinary, g, s)) for g in s.grams]
+
+
+def _stretches(text: bytes, known: Known, inside: bool = True) -> list[bytes]:
+    """Stretches of a text that known byte strings cover, or those between."""
+    mask = np.zeros(len(text), dtype=bool)
+    for gram, codes in known:
+        for i in np.flatnonzero(np.isin(_gram_codes(text, gram), codes)):
+            mask[i:i + gram] = True
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], mask == inside, [0]])))
+    return [text[x:y] for x, y in zip(edges[::2].tolist(), edges[1::2].tolist())]
 
 
 def _cover(stretches: list[list[bytes]], gram: int, size: int) -> bytes:
@@ -247,14 +252,16 @@ def _cover(stretches: list[list[bytes]], gram: int, size: int) -> bytes:
 
 
 def _dictionaries(toxic: list[bytes], ordinary: list[bytes], s: Training) -> tuple[bytes, bytes]:
+    known = _known(toxic, ordinary, s)
     samples: dict[bytes, None] = {}
     for t in sorted(ordinary, key=zlib.crc32):     # an order that content decides
-        for at in range(0, len(t), s.window):
-            samples[t[at:at + s.window]] = None
+        for rest in _stretches(t, known, inside=False):
+            for at in range(0, len(rest), s.window):
+                samples[rest[at:at + s.window]] = None
         if len(samples) >= s.ordinary_windows:
             break
-    plain = _dictionary(list(samples), s.dictionary)
-    telling = _cover(_telling(toxic, ordinary, s), min(s.grams), s.toxic_dictionary)
+    plain = _dictionary([x for x in samples if len(x) >= min(s.grams)] or list(samples), s.dictionary)
+    telling = _cover([_stretches(t, known) for t in toxic], min(s.grams), s.toxic_dictionary)
     return plain, telling + plain
 
 
