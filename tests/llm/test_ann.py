@@ -72,3 +72,22 @@ def test_probe_order_is_by_probability():
     p = np.array([0.3, -1.0, 2.0])
     few, many = ann.probe_order(t, 0, p, 0.5, 0.3), ann.probe_order(t, 0, p, 0.5, 0.9)
     assert list(many[:len(few)]) == list(few) and len(many) > len(few)
+
+
+def test_recall_of_queries_outside_of_dense_groups(spark):
+    rng = np.random.default_rng(4)
+    n, d = 6000, 32
+    centres = rng.normal(size=(30, d))
+    x = centres[rng.integers(0, 30, n)] + 0.1 * rng.normal(size=(n, d))
+    loose = np.arange(n) % 5 == 0             # a fifth has no group
+    x[loose] = rng.normal(size=(loose.sum(), d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = result(ann.nearest_neighbours(df, F.col("id") % 12 == 0))
+    want = exact(rows, lambda i: i % 12 == 0, 20)
+    recall = {q: len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want}
+    for sparse in (False, True):
+        some = [recall[q] for q in want if loose[q] == sparse]
+        assert len(some) >= 100 and np.mean(some) >= 0.9, (sparse, np.mean(some))
+        assert np.mean(np.array(some) < 0.5) <= 0.02

@@ -4,11 +4,15 @@ Vectors are turned into unit vectors whose Euclidean order is the order by
 inner product (norms above are scaled to one, the rest goes into an extra
 component). Each table projects them on a few Gaussian directions, made
 orthogonal, and cuts the projections into slots: a bucket is a cell of slots.
-A query knows, from a bounded sample, how near its last wanted neighbour may
-be; the Gaussian model then gives every bucket the probability that such a
+A first pass guesses from a bounded sample how near the last wanted neighbour
+may be; the Gaussian model then gives every bucket the probability that such a
 neighbour lies there. Buckets are visited in that order until the wanted
-success is reached. The candidates of all tables are merged; scores are inner
-products of the original vectors in double precision.
+success is reached. The score of its k-th best row so far then bounds how far
+the last wanted neighbour of this very query is: in a second pass a query
+visits what it has not visited of the buckets that this needs, so that queries outside
+of dense groups are not held to the nearness of those inside. The candidates of
+all tables are merged; scores are inner products of the original vectors in
+double precision.
 
 A bucket of many rows is split into parts of ``PART_ROWS``; a query visits all
 parts. Of equal vectors only the ``k`` + 1 of smallest ids can be among the
@@ -233,12 +237,25 @@ def nearest_neighbours(embeddings: DataFrame, is_query: Column, k: int = 20, tab
                     [pa.array(np.full(len(x), t, dtype=np.int32)), pa.array(hashed.buckets(t, unit)),
                      batch.column(0), packed], names=["t", "bucket", "id", "x"])
 
-    def probe(batches: Iterator[pa.RecordBatch], each: float) -> Iterator[pa.RecordBatch]:
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``score``: of the k-th best row so far (NaN in the first pass, null
+        if there were fewer, which visits all buckets of one table)."""
         for batch in batches:
             x = _matrix(batch.column(1), d)
-            for t in range(tables if each <= 1 else 1):
+            score = batch.column(2).to_numpy(zero_copy_only=False)
+            missing = batch.column(2).is_null().to_numpy(zero_copy_only=False)
+            own = np.clip(score / (norm * np.linalg.norm(x, axis=1)), 0.0, 0.99)
+            for t in range(tables):
                 projected = hashed.project(t, _unit_query(x))
-                visits = [probe_order(hashed, t, p, near, each) for p in projected]
+                visits = []
+                for i, p in enumerate(projected):
+                    if missing[i]:
+                        visits.append(np.arange(hashed.slots ** len(p) if t == 0 else 0))
+                        continue
+                    first = probe_order(hashed, t, p, near, each)
+                    if not np.isnan(score[i]):
+                        first = np.setdiff1d(probe_order(hashed, t, p, own[i], each), first)
+                    visits.append(first)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), t, dtype=np.int32)),
                      pa.array(visits, pa.list_(pa.int64())), batch.column(0), _pack(x)],
@@ -255,8 +272,15 @@ def nearest_neighbours(embeddings: DataFrame, is_query: Column, k: int = 20, tab
             .select("t", "bucket", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"),
                     F.lit(False).alias("visit"), "id", "x"))
 
-    def search(asked: DataFrame, each: float) -> DataFrame:
-        queries = (asked.mapInArrow(lambda it: probe(it, each), "t int, buckets array<bigint>, id bigint, x binary")
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def best(found: DataFrame) -> DataFrame:
+        merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return (merged.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
+                .select("query_id", "rank", "vec_id", "score"))
+
+    def search(asked: DataFrame) -> DataFrame:
+        queries = (asked.mapInArrow(probe, "t int, buckets array<bigint>, id bigint, x binary")
                    .select("t", F.explode("buckets").alias("bucket"), "id", "x")
                    .join(parts, ["t", "bucket"])
                    .select("t", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
@@ -264,16 +288,13 @@ def nearest_neighbours(embeddings: DataFrame, is_query: Column, k: int = 20, tab
         found = (data.unionByName(queries).repartition("t", "bucket", "part")
                  .sortWithinPartitions("t", "bucket", "part", "visit")
                  .mapInArrow(lambda it: _search(it, d, k), "query_id bigint, vec_id bigint, score double"))
-        merged = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return (merged.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
-                .select("query_id", "rank", "vec_id", "score"))
+        return best(found.repartition("query_id"))
 
     asked = rows.where(is_query)
-    result = materialize(search(asked, each), "neighbours")
-    # A query whose buckets held too few rows visits all of them.
-    enough = result.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
-    short = materialize(asked.join(enough, "id", "left_anti"), "short")
-    if short.isEmpty():
-        return result
-    return result.join(enough, result.query_id == enough.id, "left_semi").unionByName(search(short, 2.0))
+    first = materialize(search(asked.withColumn("score", F.lit(float("nan")))), "neighbours")
+    # A query whose buckets held too few rows has no score of place k.
+    last = (first.where(F.col("rank") == k)
+            .select(F.col("query_id").alias("id"), "score"))
+    again = materialize(search(asked.join(last, "id", "left")), "further")
+    columns = ["query_id", "vec_id", "score"]
+    return best(first.select(*columns).unionByName(again.select(*columns)))
