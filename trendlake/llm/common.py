@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,3 +88,21 @@ def releasing(run: Callable) -> Callable:
         if trim is not None:
             trim(0)
     return wrapped
+
+
+def key_slices(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Rows that come sorted by their first ``keys`` columns, cut where one of
+    these changes: (values of the keys, rows). A group of many rows comes in
+    several slices."""
+    for batch in batches:
+        rows = batch.num_rows
+        if not rows:
+            continue
+        change = None
+        for i in range(keys):
+            column = batch.column(i)
+            differs = pc.not_equal(column.slice(1), column.slice(0, rows - 1))
+            change = differs if change is None else pc.or_(change, differs)
+        cuts = pc.indices_nonzero(change).to_numpy() + 1
+        for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), rows]):
+            yield tuple(batch.column(i)[x].as_py() for i in range(keys)), batch.slice(x, y - x)

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, chat, exact_dedup, line_dedup, mixing, quality, sharding, simhash, toxicity
+from . import (ann, byte_bpe, chat, exact_dedup, line_dedup, mixing, quality, sharding, simhash, spelling,
+               toxicity)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +164,48 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], given.schema)
     return chat.read_back(chat.format_turns(given.unionByName(extra)))
+
+
+# CRC-32 as for op3; the near words by what is left when one code point is
+# deleted: at the same place of two words (replaced), or the other word itself.
+_SPELLING_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT range AS b, range::UBIGINT AS v, 0 AS i FROM range(256)
+  UNION ALL
+  SELECT b, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::UBIGINT) ELSE v // 2 END, i + 1
+  FROM bits WHERE i < 8),
+crc AS (SELECT list(v ORDER BY b) AS t FROM bits WHERE i = 8),
+hexes AS (SELECT map_from_entries(list({'k': printf('%02X', range::INT), 'v': range::UBIGINT})) AS h
+  FROM range(256)),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(
+  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+keyed AS (SELECT run, n, xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(
+      regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..'), lambda d: h[d])),
+    lambda a, y: xor(a // 256, t[(xor(a, y) % 256)::INT + 1]))) AS h
+  FROM counted, crc, hexes),
+spelt AS (SELECT CASE WHEN h % 97 = 0
+    THEN run[1:(h % length(run))::INT] || run[(h % length(run))::INT + 2:] ELSE run END AS word, n FROM keyed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cuts AS (SELECT word, n, p, length(word) AS size, word[1:p - 1] || word[p + 1:] AS rest
+  FROM words, unnest(range(1, length(word) + 1)) AS u(p)),
+near AS (SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b
+    ON a.rest = b.rest AND a.p = b.p AND a.size = b.size AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near,
+  row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS r FROM near),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+  CASE WHEN near_n >= 2 * w.n THEN near END AS form, CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word AND r = 1),
+chain AS (SELECT word, word AS root, form AS onward FROM forms
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON c.onward = f.word)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c ON f.word = c.word AND c.onward IS NULL"""
+
+
+@_query("op11_spelling_forms", _SPELLING_SQL)
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))
