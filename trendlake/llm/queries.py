@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, byte_bpe, chat, exact_dedup, line_dedup, mixing, quality, sharding, simhash, spelling,
-               toxicity)
+from . import (ann, byte_bpe, chat, exact_dedup, hard_negatives, line_dedup, mixing, quality, sharding, simhash,
+               spelling, toxicity)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,3 +209,24 @@ FROM forms f JOIN chain c ON f.word = c.word AND c.onward IS NULL"""
 @_query("op11_spelling_forms", _SPELLING_SQL)
 def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_forms(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT s.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+    s.score AS negative_score, row_number() OVER (PARTITION BY s.anchor_id, p.vec_id
+      ORDER BY s.score DESC, s.vec_id) AS r
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, r::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 10""")
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
