@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, byte_bpe, chat, exact_dedup, hard_negatives, line_dedup, mixing, quality, sharding, simhash,
-               spelling, toxicity)
+from . import (ann, byte_bpe, chat, exact_dedup, hard_negatives, line_dedup, mixing, ngram_join, quality,
+               sharding, simhash, spelling, toxicity)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -211,6 +211,23 @@ def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_forms(table(spark, sf_dir, "documents"))
 
 
+@_query("op12_ngram_join", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS g
+  FROM w),
+u AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+links AS (SELECT a.doc_id AS u, b.doc_id AS v FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+lowest AS (SELECT u, min(v) AS low FROM reach GROUP BY u)
+SELECT doc_id, len(g) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM s LEFT JOIN lowest ON doc_id = u""")
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=5, percent=80)
+
+
 @_query("op13_hard_negatives", """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
     list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
