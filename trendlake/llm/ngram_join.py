@@ -14,10 +14,11 @@ hundredths or more. All links between different sets are found:
    (rough classes for the frequent ones, all others equal, ties by hash). Of two
    sets that link, the first n - ceil(t n) + 1 shingles have one in common: such
    a prefix shingle is a cell, and pairs are sought within cells.
+   Cells of the same sets are one.
 3. *Stars.* In every cell each set is first compared with one set of its size
-   band. What links is joined to components, and cells that lie in one component
-   need no further look: a large group of near copies costs one comparison for
-   a set and cell, not all pairs.
+   band, ``ROUNDS`` times with another one. What links is joined to components,
+   and cells that lie in one component need no further look: a large group of
+   near copies costs few comparisons for a set and cell, not all pairs.
 4. *Tiles.* In the other cells, sets meet in tiles: pairs of blocks of at most
    ``TILE`` sets, of one size band or of two neighbouring ones (beyond, sizes
    differ too much). A pair of two components stays if its sizes allow the
@@ -59,9 +60,10 @@ BLOCK_SHINGLES = 1 << 20    # of documents whose shingles a map task packs toget
 OFTEN = 64              # classes that hold a shingle before its frequency matters
 FREQUENT = 1 << 20      # shingles whose frequency is broadcast, at most
 TILE = 1024             # sets of a side of a tile
-WIDEST = 1 << 15        # bits of a bitmap
+WIDEST = 1 << 16        # bits of a bitmap
 PAIRS = 1 << 16         # pairs whose bitmaps are compared together
 SALTS = 16              # of classes of many documents
+ROUNDS = 3              # of stars, before tiles
 
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -92,8 +94,9 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def bitmap(found: np.ndarray) -> bytes:
-    """Parity bitmap, about as many bits as shingles (a power of two)."""
-    width = min(WIDEST, max(64, 1 << (len(found) - 1).bit_length()))
+    """Parity bitmap, a power of two of bits: four for a shingle or more, so
+    that few of the differing shingles hide one another."""
+    width = min(WIDEST, max(64, 4 << (len(found) - 1).bit_length()))
     slots = (found >> np.uint64(20)) & np.uint64(width - 1)
     counts = np.bincount(slots.astype(np.int64), minlength=width)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
@@ -139,6 +142,14 @@ def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(sorted_values)))
 
 
+def _by_class(keys: np.ndarray, count: np.ndarray, parts: int) -> list[tuple]:
+    """Counts of common shingles, by part of the class."""
+    part = (keys % np.uint64(parts)).astype(np.int64)
+    by = np.argsort(part, kind="stable")
+    return [(int(part[by[x]]), SHARED, keys[by[x:x + n]], count[by[x:x + n]].astype("<i8"), _NONE)
+            for x, n in zip(*_runs(part[by]))]
+
+
 def _pack(sets: dict[int, np.ndarray], parts: int) -> list[tuple]:
     """Shingles of a block of classes by part: those of one class with its key,
     those of several as markers; and how many of a class's are in several."""
@@ -150,10 +161,8 @@ def _pack(sets: dict[int, np.ndarray], parts: int) -> list[tuple]:
     first, length = _runs(shingles[order])
     several = np.repeat(length > 1, length)
     count = np.bincount(owner[order[several]], minlength=len(keys))
-    out = []
     some = np.flatnonzero(count)
-    if len(some):
-        out.append((int(keys[some[0]] % np.uint64(parts)), SHARED, keys[some], count[some].astype("<i8"), _NONE))
+    out = _by_class(keys[some], count[some], parts)
     marked, times = shingles[order[first[length > 1]]], length[length > 1]
     part = (marked % np.uint64(parts)).astype(np.int64)
     by = np.argsort(part, kind="stable")
@@ -201,7 +210,7 @@ def _emit(batches: Iterator[pa.RecordBatch], words: int, parts: int) -> Iterator
         yield flush()
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """Which shingles of a part occur in several classes: for each class how
     many of its shingles, and the frequencies of frequent ones."""
     at, held = None, {ALONE: [], MARKED: []}
@@ -223,9 +232,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = often[back[:len(shingles)]] > 1
         keys, n = np.unique(owner[common], return_counts=True)
         many = often >= OFTEN
-        rows = []
-        if len(keys):
-            rows.append((at, SHARED, keys, n.astype("<i8"), _NONE))
+        rows = _by_class(keys, n, parts)
         if many.any():
             rows.append((at, FREQ, values[many], often[many].astype("<i8"), _NONE))
         held[ALONE], held[MARKED] = [], []
@@ -273,7 +280,33 @@ def _counted(texts: DataFrame, words: int) -> DataFrame:
     parts = min(MOST_PARTS, max(16, size // PART_BYTES))
     packed = texts.mapInArrow(releasing(lambda batches: _emit(batches, words, parts)), PACKED)
     return materialize(packed.repartition("part").sortWithinPartitions("part")
-                       .mapInArrow(releasing(_count), PACKED), "counted")
+                       .mapInArrow(releasing(lambda batches: _count(batches, parts)), PACKED), "counted")
+
+
+def _common(counted: DataFrame) -> DataFrame:
+    """Columns key and common: how many shingles of a class others hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, (_NONE, np.zeros(0, dtype=np.int64))
+
+        def settle() -> Iterator[pa.RecordBatch]:
+            if len(total[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(total[0].view(np.int64)), pa.array(total[1])],
+                                                 names=["key", "common"])
+
+        for (part,), rows in key_slices(batches, 1):
+            if part != at:
+                yield from settle()
+                at, total = part, (_NONE, np.zeros(0, dtype=np.int64))
+            keys = [np.frombuffer(k, dtype="<u8") for k in rows.column(1).to_pylist()]
+            count = [np.frombuffer(n, dtype="<i8") for n in rows.column(2).to_pylist()]
+            values, back = np.unique(np.concatenate([total[0], *keys]), return_inverse=True)
+            sums = np.zeros(len(values), dtype=np.int64)
+            np.add.at(sums, back, np.concatenate([total[1], *count]))
+            total = values, sums
+        yield from settle()
+
+    return (counted.where(F.col("kind") == SHARED).select("part", "a", "b").repartition("part")
+            .sortWithinPartitions("part").mapInArrow(releasing(run), "key bigint, common bigint"))
 
 
 # ---- cells -------------------------------------------------------------------------
@@ -470,30 +503,55 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(releasing(run), "u binary, v binary"))
 
 
-def _star_pairs(cells: DataFrame, percent: int) -> DataFrame:
-    """Every set with one set of its cell and size band."""
-    centre = cells.groupBy("token", "band").agg(F.min(F.struct("node", "n")).alias("c"),
-                                                F.count(F.lit(1)).alias("size")).where("size > 1")
+def _distinct_cells(cells: DataFrame) -> DataFrame:
+    """Of cells that hold the same sets (told by their number and 128 bits), one;
+    cells of one set go."""
+    alike = cells.groupBy("token").agg(
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("size > 1")
+    kept = alike.groupBy("size", "x", "y").agg(F.min("token").alias("token")).select("token")
+    return cells.join(kept, "token")
+
+
+def _star_pairs(cells: DataFrame, percent: int, seed: int) -> DataFrame:
+    """Every set with one set of its cell and size band (another for each
+    seed), where the two are not in one component yet."""
+    centre = cells.groupBy("token", "band").agg(
+        F.min(F.struct(F.xxhash64("node", F.lit(seed)).alias("h"), "node", "n", "component")).alias("c"),
+        F.count(F.lit(1)).alias("size")).where("size > 1")
     met = cells.join(centre, ["token", "band"])
     fits = (F.least("n", F.col("c.n")) * 100) >= (F.greatest("n", F.col("c.n")) * percent)
-    return met.where((F.col("node") != F.col("c.node")) & fits).select(
-        F.col("c.node").alias("u"), F.col("node").alias("v")).distinct()
+    return met.where((F.col("component") != F.col("c.component")) & fits).select(
+        F.least("node", F.col("c.node")).alias("u"), F.greatest("node", F.col("c.node")).alias("v")).distinct()
+
+
+def _placed(cells: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """The cells that lie in several components, with these."""
+    if joined is None:
+        return cells.withColumn("component", F.col("node"))
+    placed = cells.join(joined, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+    several = (placed.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+               .where("a <> b").select("token"))
+    return placed.join(several, "token")
 
 
 def links(sets: DataFrame, frequent: tuple[np.ndarray, np.ndarray], percent: int) -> DataFrame:
     """Columns node and root: components of the sets (columns node, n, hashes,
     bits), for those that link with another."""
-    cells = materialize(_cells(sets, frequent, percent), "cells")
-    tried = materialize(_star_pairs(cells, percent), "star_pairs")
-    stars = materialize(_verified(tried, sets, percent), "stars")
-    joined = materialize(components(stars), "joined")
-
-    placed = cells.join(joined, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
-    open_cells = (placed.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-                  .where("a <> b").select("token"))
-    left = placed.join(open_cells, "token").join(sets.select("node", "bits"), "node")
+    cells = materialize(_distinct_cells(materialize(_cells(sets, frequent, percent), "prefixes")), "cells")
+    tried, good, joined = None, None, None
+    for seed in range(ROUNDS):
+        pairs = _star_pairs(_placed(cells, joined), percent, seed)
+        if tried is not None:
+            pairs = pairs.join(tried, ["u", "v"], "left_anti")
+        pairs = materialize(pairs, "star_pairs")
+        tried = pairs if tried is None else tried.union(pairs)
+        stars = materialize(_verified(pairs, sets, percent), "stars")
+        good = stars if good is None else good.union(stars)
+        joined = materialize(components(good), "joined")
+    left = _placed(cells, joined).join(sets.select("node", "bits"), "node")
     more = materialize(_tile_candidates(left, percent).join(tried, ["u", "v"], "left_anti"), "tile_pairs")
-    return components(stars.union(_verified(more, sets, percent)))
+    return components(good.union(_verified(more, sets, percent)))
 
 
 def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -507,9 +565,7 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     classes = materialize(rows.where("doc IS NOT NULL AND n > 0").groupBy("node").agg(
         F.min("doc").alias("first"), F.max("n").alias("n"), F.min("key").alias("key"), F.count(F.lit(1)).alias("members")), "classes")
 
-    shared = (_unpacked(counted, SHARED, "key bigint, common bigint").groupBy("key")
-              .agg(F.sum("common").alias("common")))
-    staying = (classes.join(shared, "key")
+    staying = (classes.join(_common(counted), "key")
                .where(F.col("common") * 100 >= F.col("n") * percent)
                .select("node", F.col("first").alias("doc")))
     sets = materialize(_sets(texts, staying, words), "sets")
