@@ -168,3 +168,13 @@ def test_limits_of_the_collector_are_parameters(spark):
                   post_id("a", none) == post_id("b", none),
                   post_id("a", none, html_prefix=1000) == post_id("b", none, html_prefix=1000)).first()
     assert (r[0], r[1], len(r[2]), r[3], r[4]) == ("0 1 2 3 4", "0 1 2", 500, False, True)
+
+
+def test_first_row_of_every_content_stays(spark):
+    from trendlake.operators.feeds import dedupe_by_content
+    rows = [(1, "A", 1), (2, "A", 1), (2, "B", 1), (3, "C", 1), (3, "C", 1), (4, "D", 7), (4, "D", 8), (5, None, 1), (None, "E", 1)]
+    df = spark.createDataFrame(rows, "pos int, html string, n int")
+    got = sorted(map(tuple, dedupe_by_content(df).collect()), key=str)
+    assert [r[:2] for r in got] == [(1, "A"), (2, "B"), (3, "C"), (4, "D"), (None, "E")] and set(got) <= set(rows)
+    both = df.union(df.select("pos", "html", (F.col("n") + 1).alias("n")))
+    assert dedupe_by_content(both, keys=["n"]).count() == 11

@@ -102,15 +102,23 @@ def split_kinds(emitted: DataFrame):
 def dedupe_by_content(df: DataFrame, html: str = "html", pos: str = "pos",
                       keys=()) -> DataFrame:
     """First row per (keys..., element HTML): the repost-page variant of
-    dedupe. Markup is identified by SHA-256 and length; only these and the
-    position are shuffled to find the winners, whose rows are then kept by a
-    join on the position."""
-    content = [F.sha2(F.col(html), 256), F.length(html)]
-    first = (df.where(F.col(html).isNotNull())
-             .groupBy(*keys, *[c.alias(f"_c{i}") for i, c in enumerate(content)])
-             .agg(F.min(pos).alias("_pos")))
-    winners = first.select(*[F.col(k).alias(f"_{k}") for k in keys], "_pos")
-    same = df[pos] == winners["_pos"]
-    for k in keys:
-        same = same & df[k].eqNullSafe(winners[f"_{k}"])
-    return df.join(winners, same, "left_semi")
+    dedupe. Markup is identified by SHA-256 and length; only these, the
+    position and a hash of the row are shuffled to find the winners, which are
+    then kept by a join on content and position. Of rows that share both, the
+    one with the smallest hash stays; of wholly equal rows, one."""
+    names = [f"_c{i}" for i in range(2)]
+    marked = (df.where(F.col(html).isNotNull()).withColumn("_c0", F.sha2(F.col(html), 256))
+              .withColumn("_c1", F.length(html)).withColumn("_row", F.xxhash64(*[F.col(c) for c in df.columns])))
+    content = [*keys, *names]
+    first = (marked.groupBy(*content, pos, "_row").agg(F.count(F.lit(1)).alias("_same"))
+             .groupBy(*content).agg(F.min(F.struct(F.col(pos).alias("p"), "_row", "_same")).alias("w")))
+    winners = first.select(*[F.col(c).alias(f"w{i}") for i, c in enumerate(content)], F.col("w.p").alias("wp"),
+                           F.col("w._row").alias("wr"), F.col("w._same").alias("ws"))
+    same = marked[pos].eqNullSafe(winners["wp"]) & (marked["_row"] == winners["wr"])
+    for i, c in enumerate(content):
+        same = same & marked[c].eqNullSafe(winners[f"w{i}"])
+
+    def won(which) -> DataFrame:
+        return marked.join(winners.where(which), same, "left_semi").select(*[marked[c] for c in df.columns])
+
+    return won("ws = 1").union(won("ws > 1").dropDuplicates())

@@ -18,33 +18,52 @@ from .registry import register
 
 PAGE_MAX_EDGES = 4
 
-# ---- the stored pages: one expression per field, stated for DuckDB ------------
+# ---- the stored pages: cut at '<' and numbered, for DuckDB ---------------------
 _EDGE_SPACE = r"^[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{3000}]+|[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{3000}]+$"
 
 
+def _stripped(x):
+    return f"regexp_replace({x}, '{_EDGE_SPACE}', '', 'g')"
+
+
+def _decoded(x):
+    """The references that occur in the table's titles, headings and texts."""
+    return f"regexp_replace(replace({x}, '&quot;', chr(34)), '&amp;?', '&', 'g')"
+
+
 def _bare(x):
     """Text of markup, without space at the ends."""
-    return f"regexp_replace(regexp_replace({x}, '<[^>]*>', '', 'g'), '{_EDGE_SPACE}', '', 'g')"
+    return _stripped(_decoded(f"regexp_replace({x}, '<[^>]*>', '', 'g')"))
 
 
+# What follows each '<' of an element is a tag and the text after it. Every
+# opening or closing paragraph tag begins a new run of pieces.
 _ELEMENTS = """
-el AS (SELECT page_id, html AS page, unnest(els) AS whole, unnest(range(len(els))) AS element
-  FROM (SELECT page_id, html, regexp_extract_all(html, '(?s)<article[^>]*>.*?</article>', 0) AS els FROM pages)),
-inner_ AS (SELECT *, substr(whole, strpos(whole, '>') + 1, length(whole) - strpos(whole, '>') - 10) AS h FROM el)"""
-_PARAGRAPHS = (f"list_filter(list_transform(regexp_extract_all(h, '(?s)<p(?:\\s[^>]*)?>(.*?)</p>', 1), "
-               f"lambda t: {_bare('t')}), lambda t: t <> '')").replace("\\\\", "\\")
+cut AS (SELECT page_id, html AS page, string_split(html, '<article') AS parts FROM pages),
+el AS (SELECT page_id, page, unnest(range(len(parts) - 1)) AS element, unnest(parts[2:]) AS part FROM cut),
+inner_ AS (SELECT page_id, page, element, string_split(substr(part, strpos(part, '>') + 1), '</article>')[1] AS h FROM el),
+pieces AS (SELECT page_id, element, unnest(range(len(string_split(h, '<')))) AS i, unnest(string_split(h, '<')) AS piece
+  FROM inner_),
+told AS (SELECT *, lower(regexp_extract(piece, '^/?[A-Za-z0-9]+')) AS name, substr(piece, strpos(piece, '>') + 1) AS said
+  FROM pieces WHERE i > 0),
+runs AS (SELECT *, sum(CASE WHEN name IN ('p', '/p') THEN 1 ELSE 0 END) OVER (PARTITION BY page_id, element ORDER BY i) AS run
+  FROM told),
+paragraphs AS (SELECT page_id, element, run, arg_min(name, i) AS began, string_agg(said, '' ORDER BY i) AS said
+  FROM runs GROUP BY ALL)"""
 
 
 @register("page_extract", f"""
-WITH {_ELEMENTS}
+WITH {_ELEMENTS},
+texts AS (SELECT page_id, element, string_agg(said, ' ' ORDER BY run) AS said FROM (
+  SELECT page_id, element, run, {_stripped(_decoded('said'))} AS said FROM paragraphs WHERE began = 'p')
+  WHERE said <> '' GROUP BY ALL)
 SELECT page_id, CAST(element AS INTEGER) AS element,
-  {_bare("regexp_extract(page, '(?s)<title[^>]*>(.*?)</title>', 1)")} AS title,
-  {_bare("regexp_extract(page, '(?s)<h1[^>]*>(.*?)</h1>', 1)")} AS heading,
-  CASE WHEN len({_PARAGRAPHS}) > 0 THEN array_to_string({_PARAGRAPHS}, ' ')
-       WHEN length({_bare('h')}) > 10 THEN {_bare('h')} ELSE '' END AS content,
+  {_bare("string_split(string_split(page, '<title>')[2], '</title>')[1]")} AS title,
+  {_bare("string_split(string_split(page, '<h1>')[2], '</h1>')[1]")} AS heading,
+  coalesce(t.said, CASE WHEN length({_bare('h')}) > 10 THEN {_bare('h')} ELSE '' END) AS content,
   'hash_' || md5(h) AS post_id,
   CAST(len(string_split(page, 'href="')) - 1 AS INTEGER) AS n_links
-FROM inner_
+FROM inner_ LEFT JOIN texts t USING (page_id, element)
 """, "UDF4 SRC10 FN20 FN14 FLT9")
 def page_extract(spark, sf_dir):
     posts = pg.page_posts(fx.table(spark, sf_dir, "pages")).where("element IS NOT NULL")
@@ -142,6 +161,54 @@ def post_id_cascade(spark, sf_dir):
             .groupBy("post_id").agg(F.count(F.lit(1)).alias("n")))
 
 
+# ---- markup that only its depths tell apart --------------------------------------
+def nested_pages(conv):
+    """Each turn as a page of its own, with nested, unclosed, upper-case or
+    otherwise quoted markup, and its text escaped. By (conv_id + turn) mod 6."""
+    number = F.format_string("%012d", F.col("conv_id") * 1000 + F.col("turn"))
+    body = F.coalesce("text", F.lit(""))
+    for char, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;"), ("'", "&#x27;"), ("é", "&eacute;")):
+        body = F.replace(body, F.lit(char), F.lit(reference))
+
+    def page(*parts):
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    v = (F.col("conv_id") + F.col("turn")) % 6
+    html = (F.when(v == 0, page('<article><div data-testid="tweetText">A <div>B ', number, '<div> C</div></div> ', body,
+                                "</div><i>left out</i><div class=x data-testid='tweetText'> E </div></article>"))
+            .when(v == 1, page("<ARTICLE><DIV LANG=en>Say <I>", number, "</I> ", body, "</DIV><A HREF='/u/status/", number,
+                               "?a=1&amp;b=2'>x</A></ARTICLE>"))
+            .when(v == 2, page('<article data-item-id="', number, '"><p>Outer ', body, '</p><article data-item-id="in', number,
+                               '"><p>Inner ', number, "</p></article><p>after</p></article>"))
+            .when(v == 3, page("<article><div dir=auto>Open ", number, " <b>bold<span>deep ", body,
+                               "</div></article><p>outside</p>"))
+            .when(v == 4, page("<article><p>R&ampD ", number, "<p>", body, "<p>&euro;&#8364;&nbsp;</article>"))
+            .otherwise(page('<article><!-- <div lang="x">no</div> --><script>var a = "<p>no</p>";</script>',
+                            '<span title="a > b" lang="fr">', body, " <br>", number, "</span><time datetime='at ", number,
+                            "'></time></article>")))
+    return conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("page_id"), html.alias("html"))
+
+
+@register("nested_posts", f"""
+WITH r AS (SELECT conv_id * 1000 + turn AS page_id, (conv_id + turn) % 6 AS v, coalesce(text, '') AS t,
+  printf('%012d', conv_id * 1000 + turn) AS n FROM conversations),
+s AS (
+  SELECT page_id, 0 AS element, 'A B ' || n || ' C ' || t || ' E' AS content, '' AS date_text, 'hash' AS post_id FROM r WHERE v = 0
+  UNION ALL SELECT page_id, 0, 'Say ' || n || ' ' || t, '', n FROM r WHERE v = 1
+  UNION ALL SELECT page_id, 0, {_stripped("'Outer ' || t")} || ' Inner ' || n || ' after', '', 'data-item-id_' || n FROM r WHERE v = 2
+  UNION ALL SELECT page_id, 1, 'Inner ' || n, '', 'data-item-id_in' || n FROM r WHERE v = 2
+  UNION ALL SELECT page_id, 0, 'Open ' || n || ' bolddeep ' || t, '', 'hash' FROM r WHERE v = 3
+  UNION ALL SELECT page_id, 0, 'R&D ' || n || CASE WHEN {_stripped('t')} = '' THEN '' ELSE ' ' || {_stripped('t')} END || ' €€', '',
+    'hash' FROM r WHERE v = 4
+  UNION ALL SELECT page_id, 0, t || ' ' || n, 'at ' || n, 'time_at ' || n FROM r WHERE v = 5)
+SELECT page_id, CAST(element AS INTEGER) AS element, {_stripped('content')} AS content, date_text, post_id FROM s
+""", "UDF4 SRC10 FN20 FN21 FN14 nested markup")
+def nested_posts(spark, sf_dir):
+    posts = pg.page_posts(nested_pages(fx.table(spark, sf_dir, "conversations")))
+    short = F.when(F.col("post_id").startswith("hash_"), F.lit("hash")).otherwise(F.col("post_id"))
+    return posts.select("page_id", "element", "content", "date_text", short.alias("post_id"))
+
+
 @register("repost_flag", """
 SELECT conv_id, turn, turn % 3 = 1 AS is_repost FROM conversations
 """, "FLT10 FN22")
@@ -226,13 +293,17 @@ def named_edges(spark, sf_dir):
 
 
 @register("page_dedupe", """
-SELECT page_id - page_id % 3 AS page_id, least(3, (SELECT max(page_id) FROM pages) - (page_id - page_id % 3) + 1) AS copies
-FROM pages GROUP BY ALL
+WITH seen AS (SELECT page_id AS pos, html FROM pages
+  UNION ALL SELECT page_id + 1, html FROM pages WHERE page_id % 2 = 0
+  UNION ALL SELECT page_id, html FROM pages WHERE page_id % 5 = 0
+  UNION ALL SELECT page_id - 3, html FROM pages WHERE page_id % 7 = 0)
+SELECT min(pos) AS pos, md5(html) AS content FROM seen GROUP BY html
 """, "WIN8")
 def page_dedupe(spark, sf_dir):
-    """First page per distinct markup; the markup repeats for three ids."""
-    p = fx.table(spark, sf_dir, "pages").select("page_id")
-    same = p.select("page_id", F.concat(F.lit("<p>"), F.floor(F.col("page_id") / 3).cast("string"), F.lit("</p>")).alias("html"))
-    first = feeds.dedupe_by_content(same, pos="page_id")
-    copies = same.groupBy(F.sha2("html", 256).alias("k")).agg(F.count(F.lit(1)).alias("copies"))
-    return first.select("page_id", F.sha2("html", 256).alias("k")).join(copies, "k").select("page_id", "copies")
+    """First place of every markup. The stored pages are seen again at the
+    place of the next page, at their own or at an earlier one."""
+    p = fx.table(spark, sf_dir, "pages").select(F.col("page_id").alias("pos"), "html")
+    again = [p.where(F.col("pos") % n == 0).select((F.col("pos") + step).alias("pos"), "html")
+             for n, step in ((2, 1), (5, 0), (7, -3))]
+    seen = p.union(again[0]).union(again[1]).union(again[2])
+    return feeds.dedupe_by_content(seen, pos="pos").select("pos", F.md5("html").alias("content"))
