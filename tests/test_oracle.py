@@ -22,8 +22,14 @@ def test_matches_duckdb(spark, con, name):
     assert r["ok"], r
 
 
+# Trained models: SQL cannot express them. tests/test_boosting.py holds them
+# against a plain version.
+TRAINED = {"forecast_next_day", "forecast_rows", "rolling_errors"}
+
+
 def test_every_query_has_sql():
-    assert all(q.sql is not None and q.ops for q in REGISTRY.values())
+    assert all(q.ops for q in REGISTRY.values())
+    assert {n for n, q in REGISTRY.items() if q.sql is None} == TRAINED
 
 
 def test_entry_smoke(spark):

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
-from ..operators.forecast import forecast, forecast_with_check
+from ..operators import boosting
+from ..operators import forecast as forecast_ops
+from ..operators.forecast import forecast, score_next_day, stored_features
 from ..operators.grid import allowed_entities
 from ..schemas import N_LAGS
 from ..session import shared_path
@@ -27,10 +31,12 @@ feats AS (SELECT d.*, dense_rank() OVER (ORDER BY group_id) - 1 AS group_id_enc,
           CAST(dayofmonth(published_date) AS INTEGER) AS dayofmonth FROM d)"""
 
 
+def _entities(spark, sf_dir):
+    return allowed_entities(fx.event_mentions(fx.table(spark, sf_dir, "events")), fx.EVENT_ALLOWED_TYPES)
+
+
 def _features(spark, sf_dir):
-    mentions = fx.event_mentions(fx.table(spark, sf_dir, "events"))
-    return feat.lag_features(dense_daily_counts(spark, sf_dir),
-                             entities=allowed_entities(mentions, fx.EVENT_ALLOWED_TYPES))
+    return feat.lag_features(dense_daily_counts(spark, sf_dir), entities=_entities(spark, sf_dir))
 
 
 @register("lag_features", f"WITH {FEATURES_CTE}\nSELECT * FROM feats",
@@ -55,30 +61,54 @@ def scoring_rows(spark, sf_dir):
     return feat.scoring_rows(_features(spark, sf_dir))
 
 
-@register("forecast_next_day", f"""
-WITH {FEATURES_CTE}
-SELECT group_id, CAST((SELECT max(published_date) FROM feats) + INTERVAL 1 DAY AS DATE) AS date,
-       TRUE AS whole_and_not_negative, TRUE AS better_than_yesterday
-FROM feats GROUP BY group_id
-""", "ML2 ML3 UDF3 PRJ11 PRJ15 FN13 AGG8")
+# Rolling origin: cut dates and days ahead.
+CUTS = (dt.date(2024, 1, 18), dt.date(2024, 1, 22))
+HORIZON = 5
+
+
+@register("forecast_next_day", None, "ML2 ML3 UDF3 PRJ11 PRJ15 FN13 AGG8")
 def forecast_next_day(spark, sf_dir):
-    """Boosted trees with the reference's settings (200 rounds, depth 5): one
-    forecast per entity, and whether the model's squared error over the
-    feature rows is below that of repeating yesterday's count."""
-    out, better = forecast_with_check(dense_daily_counts(spark, sf_dir))
-    n = F.col("predicted_count")
-    return out.select("group_id", "date", ((n >= 0) & (n == F.floor(n))).alias("whole_and_not_negative"),
-                      F.lit(better).alias("better_than_yesterday"))
-
-
-@register("forecast_rows", f"""
-WITH {FEATURES_CTE}
-SELECT group_id, CAST((SELECT max(published_date) FROM feats) + INTERVAL 1 DAY AS DATE) AS date FROM feats GROUP BY group_id
-""", "SNK8 ML4")
+    """Boosted trees with the reference's settings (200 rounds, depth 5, row
+    and column sample, L2): one forecast per entity."""
+    return forecast(dense_daily_counts(spark, sf_dir), entities=_entities(spark, sf_dir))
+
+
+@register("forecast_rows", None, "SNK8 ML4 SRT3")
 def forecast_rows(spark, sf_dir):
-    """A few rounds of the same model, saved, its forecasts stored by date and
-    read back."""
+    """The whole model, stored and read back: the stored forecasts, and what
+    the stored model says of the same rows."""
     base = shared_path(spark, "trends")
-    out = forecast(dense_daily_counts(spark, sf_dir), save_to=base + "/model", maxIter=3)
-    write_trends(out, base + "/trends")
-    return spark.read.parquet(base + "/trends").select("group_id", F.col("date").cast("date").alias("date"))
+    feats = stored_features(dense_daily_counts(spark, sf_dir), _entities(spark, sf_dir))
+    model = boosting.fit(feats)[0]
+    model.save(spark, base + "/model")
+    write_trends(score_next_day(model, feats), base + "/trends")
+    stored = spark.read.parquet(base + "/trends").select("group_id", F.col("date").cast("date").alias("date"), "predicted_count")
+    again = score_next_day(boosting.Booster.load(spark, base + "/model"), feats)
+    return stored.join(again.withColumnRenamed("predicted_count", "again"), ["group_id", "date"])
+
+
+@register("rolling_errors", None, "ML2 ML3")
+def rolling_errors(spark, sf_dir):
+    """Errors of models trained up to each cut date on the days after it,
+    beside those of repeating the last count."""
+    feats = stored_features(dense_daily_counts(spark, sf_dir), _entities(spark, sf_dir))
+    return forecast_ops.rolling_errors(feats, CUTS, HORIZON)
+
+
+_CUTS = ", ".join(f"DATE '{d}'" for d in CUTS)
+
+
+@register("rolling_baseline", f"""
+WITH {FEATURES_CTE},
+pairs AS (SELECT a.published_date AS cut, date_diff('day', a.published_date, b.published_date) AS horizon,
+  CAST(a.target - b.target AS DOUBLE) AS off
+  FROM feats a JOIN feats b ON a.group_id = b.group_id AND b.published_date > a.published_date
+    AND date_diff('day', a.published_date, b.published_date) <= {HORIZON}
+  WHERE a.published_date IN ({_CUTS}))
+SELECT CAST(cut AS DATE) AS cut, CAST(horizon AS INTEGER) AS horizon, count(*) AS n, avg(abs(off)) AS mae_last,
+  sqrt(avg(off * off)) AS rmse_last
+FROM pairs GROUP BY ALL
+""", "ML3")
+def rolling_baseline(spark, sf_dir):
+    """The same days, for repeating the last count."""
+    return forecast_ops.baseline_errors(_features(spark, sf_dir), CUTS, HORIZON)

@@ -7,9 +7,12 @@ the smoke entry only.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -69,3 +72,19 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     stream checkpoints and hand-off tables)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts, uuid.uuid4().hex)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of any cluster (as
+    ``--py-files`` would), once for each session and state of the code."""
+    package = Path(__file__).resolve().parent
+    files = sorted(package.rglob("*.py"))
+    digest = hashlib.sha256(b"".join(f.read_bytes() for f in files)).hexdigest()[:12]
+    name = f"{package.name}-{digest}.zip"
+    if name in spark.sparkContext._python_includes:
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="trendlake-package-"), name)
+    with zipfile.ZipFile(path, "w") as z:
+        for f in files:
+            z.write(f, f.relative_to(package.parent).as_posix())
+    spark.sparkContext.addPyFile(path)
