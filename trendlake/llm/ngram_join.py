@@ -64,6 +64,7 @@ WIDEST = 1 << 16        # bits of a bitmap
 PAIRS = 1 << 16         # pairs whose bitmaps are compared together
 SALTS = 16              # of classes of many documents
 ROUNDS = 3              # of stars, before tiles
+PLACES = 16             # first cells of a set that tell where a pair meets
 
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -409,7 +410,7 @@ def tile_pairs(left: tuple, right: tuple | None, percent: int) -> Iterator[tuple
 
 
 def _tiles(cells: DataFrame) -> DataFrame:
-    """Rows of cells (token, band, node, n, component, bits) dealt over tiles:
+    """Rows of cells (token, band, node, n, component, bits, places) dealt over tiles:
     columns lo, i, hi, j say which blocks of which bands meet, side 0 or 1."""
     sizes = cells.groupBy("token", "band").agg(F.count(F.lit(1)).alias("size"))
     blocks = sizes.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct(
@@ -432,8 +433,9 @@ def _tiles(cells: DataFrame) -> DataFrame:
                                               lambda j: tile(b, F.col("own"), b + 1, j, 0))).otherwise(none),
         F.when(below.isNotNull(), F.transform(F.sequence(zero, F.coalesce(below, F.lit(1)) - 1),
                                               lambda i: tile(b - 1, i, b, F.col("own"), 1))).otherwise(none))
-    spread = rows.withColumn("own", own).select("token", F.explode(met).alias("t"), "node", "n", "component", "bits")
-    return spread.select("token", "t.lo", "t.i", "t.hi", "t.j", "t.side", "node", "n", "component", "bits")
+    spread = rows.withColumn("own", own).select("token", F.explode(met).alias("t"), "node", "n", "component", "bits",
+                                                "places")
+    return spread.select("token", "t.lo", "t.i", "t.hi", "t.j", "t.side", "node", "n", "component", "bits", "places")
 
 
 def _tile_candidates(cells: DataFrame, percent: int) -> DataFrame:
@@ -445,7 +447,8 @@ def _tile_candidates(cells: DataFrame, percent: int) -> DataFrame:
                 return None
             rows = pa.Table.from_batches(parts)
             return (rows.column("n").to_numpy(), np.array(rows.column("component").to_pylist(), dtype=object),
-                    rows.column("bits").to_pylist(), rows.column("node").to_pylist())
+                    rows.column("bits").to_pylist(), rows.column("node").to_pylist(),
+                    rows.column("places").to_pylist())
 
         def settle() -> Iterator[pa.RecordBatch]:
             if at is None:
@@ -455,9 +458,11 @@ def _tile_candidates(cells: DataFrame, percent: int) -> DataFrame:
             if left is None or (right is None and not inner):
                 return
             pairs = tile_pairs(left[:3], None if inner else right[:3], percent)
-            nodes = left[3] if inner else right[3]
+            other = left if inner else right
             for x, y in pairs:
-                ends = [sorted((left[3][p], nodes[q])) for p, q in zip(x, y)]
+                # Two sets that share several of their first cells meet in the first one only.
+                ends = [sorted((left[3][p], other[3][q])) for p, q in zip(x, y)
+                        if min(set(left[4][p]).intersection(other[4][q]), default=at[0]) == at[0]]
                 yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in ends], pa.binary()) for k in (0, 1)],
                                                  names=["u", "v"])
 
@@ -549,7 +554,9 @@ def links(sets: DataFrame, frequent: tuple[np.ndarray, np.ndarray], percent: int
         stars = materialize(_verified(pairs, sets, percent), "stars")
         good = stars if good is None else good.union(stars)
         joined = materialize(components(good), "joined")
-    left = _placed(cells, joined).join(sets.select("node", "bits"), "node")
+    left = _placed(cells, joined)
+    places = left.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("token")), 1, PLACES).alias("places"))
+    left = left.join(places, "node").join(sets.select("node", "bits"), "node")
     more = materialize(_tile_candidates(left, percent).join(tried, ["u", "v"], "left_anti"), "tile_pairs")
     return components(good.union(_verified(more, sets, percent)))
 
