@@ -4,9 +4,9 @@ Three interchangeable extractors share the same output contract:
 
 * ``pattern_entities`` (default): one regex alternation evaluated JVM-side
   with ``regexp_extract_all``; the label follows from the shape of the match.
-* ``gazetteer_mentions``: whole-token match of a term table. Every position
-  is joined on the first tokens of the terms (one row per token and key
-  length, at most ``KEY_TOKENS``); longer terms are then compared with the text.
+* ``gazetteer_mentions``: whole-token match of a term table. Every token is
+  joined with the first tokens of terms; windows are then tested by
+  differences of prefix hashes and verified.
 * ``model_entities``: a seam for a statistical model: any callable
   ``list[str] -> list[list[(text, label)]]`` plugs in behind ``mapInPandas``
   and is fed Arrow batches.
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrays import let, running_sums
 from ..functions.dates import to_date_text
 
 # ---- rules of the pattern extractor ----------------------------------------
@@ -37,8 +38,7 @@ LABEL_SINGLE = "NORP"          # one capitalised word
 # Tokens of the gazetteer matcher.
 TOKEN_PATTERN = r"[A-Za-z0-9_]+"
 
-# Tokens of a term's beginning that positions are joined on, at most.
-KEY_TOKENS = 3
+MODULUS = (1 << 31) - 1     # of token and window hashes
 
 
 def _c(c) -> Column:
@@ -93,7 +93,7 @@ def pattern_mentions(df: DataFrame, text_col: str, date_col: str, extra=()) -> D
 
 # ---- gazetteer -------------------------------------------------------------
 # Tokens are ASCII word runs, so lower-casing the space-joined tokens equals
-# lower-casing each token; n-grams are then read from that one string.
+# lower-casing each token.
 
 def token_text(text) -> Column:
     """The text's ASCII word tokens, lower-cased, joined by single spaces
@@ -102,51 +102,61 @@ def token_text(text) -> Column:
     return F.lower(F.trim(sep))
 
 
-def _ngram_regex(n: int) -> str:
-    # zero-width match at every token start, capturing the next n tokens
-    body = " ".join(["[a-z0-9_]+"] * n)
-    return f"(?<![a-z0-9_])(?=({body}))"
+def _token_hash(token: Column) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(MODULUS))
 
 
-def token_windows(joined, n: int) -> Column:
-    """The first ``n`` tokens from every position of a ``token_text`` column."""
-    joined = _c(joined)
-    if n == 1:
-        return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, " "))
-    return F.regexp_extract_all(joined, F.lit(_ngram_regex(n)), 1)
+def _weighed(h: Column, place: Column) -> Column:
+    """h * 2^place modulo 2^31 - 1, where powers of two repeat after 31."""
+    return h * F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 31).cast("int")) % MODULUS
+
+
+def prefix_hashes(tokens: Column) -> Column:
+    """Entry i is the hash of the first i tokens: the sum of token hashes, each
+    weighed by its place. The difference of two entries is the hash of the
+    tokens between, times the weight of the first one's place."""
+    return F.concat(F.array(F.lit(0).cast("bigint")), running_sums(F.transform(
+        tokens, lambda t, i: _weighed(_token_hash(t), i))))
+
+
+def window_matches(prefixes: Column, at: Column, n: Column, h: Column) -> Column:
+    """Whether the ``n`` tokens from ``at`` on may have hash ``h``."""
+    end = F.get(prefixes, (at + n).cast("int"))
+    return F.coalesce(F.pmod(end - F.get(prefixes, at), F.lit(MODULUS)) == _weighed(h, at), F.lit(False))
 
 
 def gazetteer_mentions(docs: DataFrame, terms: DataFrame, text_col: str, keep=()) -> DataFrame:
     """Every occurrence of every term: (keep..., entity_text, entity_type).
 
     ``terms`` has (term, label) with terms already lower-cased and single-
-    spaced, of any length. The planner decides from sizes whether the terms
-    are broadcast. A term longer than its key is compared with the text that
-    its occurrence was read from: those few occurrences are joined back on the
-    digest of the text.
+    spaced, of any length. A join of all tokens with the first tokens of terms
+    says where which terms may begin; the places of a text come together with
+    it again, and each possible term is tested by one difference of the text's
+    prefix hashes, whatever its length. What passes is read out and compared
+    with the term. Texts are told by a hash (two texts of one hash only test
+    each other's places in vain); the planner decides from sizes whether terms
+    or places are broadcast. Terms that share a first token are tested one by
+    one where it occurs.
     """
     words = F.split("term", " ")
     keyed = terms.select(
-        F.col("term").alias("_term"), F.col("label").alias("entity_type"), F.size(words).alias("_n"),
-        F.array_join(F.slice(words, 1, KEY_TOKENS), " ").alias("_key"))
-    toks = docs.select(*keep, token_text(text_col).alias("_toks"))
-    out = None
-    for n in range(1, KEY_TOKENS):
-        # windows are made below the explode, so the text is not carried on
-        grams = toks.select(*keep, token_windows("_toks", n).alias("_grams"))
-        found = (grams.select(*keep, F.explode("_grams").alias("_key"))
-                 .join(keyed.where(F.col("_n") == n), "_key")
-                 .select(*keep, F.col("_term").alias("entity_text"), "entity_type"))
-        out = found if out is None else out.unionByName(found)
-    texts = toks.withColumn("_text", F.sha2("_toks", 256))
-    grams = texts.select("_text", token_windows("_toks", KEY_TOKENS).alias("_grams"))
-    begun = (grams.select("_text", F.posexplode("_grams").alias("_pos", "_key"))
-             .join(keyed.where(F.col("_n") >= KEY_TOKENS), "_key")
-             .select("_text", "_pos", "_term", "_n", "entity_type").distinct())
-    there = F.array_join(F.slice(F.split("_toks", " "), F.col("_pos") + 1, F.col("_n")), " ")
-    whole = (texts.join(begun, "_text").where(there == F.col("_term"))
-             .select(*keep, F.col("_term").alias("entity_text"), "entity_type"))
-    return out.unionByName(whole)
+        F.get(words, F.lit(0)).alias("_token"), F.size(words).alias("n"),
+        F.element_at(prefix_hashes(words), -1).alias("h"))
+    wanted = keyed.groupBy("_token").agg(F.collect_set(F.struct("n", F.pmod("h", F.lit(MODULUS)).alias("h"))).alias("_terms"))
+    texts = docs.select(*keep, token_text(text_col).alias("_joined")).where("_joined <> ''")
+    texts = texts.select(*keep, F.xxhash64("_joined").alias("_text"), F.split("_joined", " ").alias("_tokens"))
+    places = (texts.select("_text", F.posexplode("_tokens").alias("at", "_token")).join(wanted, "_token")
+              .groupBy("_text").agg(F.collect_set(F.struct("at", "_terms")).alias("_places")))
+
+    def said(tokens: Column, prefixes: Column, place: Column) -> Column:
+        fits = F.filter(place["_terms"], lambda t: window_matches(prefixes, place["at"], t["n"], t["h"]))
+        return F.transform(fits, lambda t: F.array_join(F.slice(tokens, place["at"] + 1, t["n"]), " "))
+
+    found = let(prefix_hashes(F.col("_tokens")), lambda p: F.flatten(F.transform(
+        "_places", lambda place: said(F.col("_tokens"), p, place))))
+    spoken = texts.join(places, "_text").select(*keep, F.explode(found).alias("_said"))
+    return spoken.join(terms, F.col("_said") == F.col("term")).select(
+        *keep, F.col("term").alias("entity_text"), F.col("label").alias("entity_type"))
 
 
 # ---- model seam -------------------------------------------------------------

@@ -23,6 +23,8 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let, running_sums
+
 TOKEN = (r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)|<[!?][^>]*+(?:>|\z)"
          r"|</?[a-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</?[a-z][^>]*+(?:>|\z)|[^<]++|<")
 TAG_NAME = r"(?i)^</?([a-z][^\s/>]*+)"
@@ -39,11 +41,6 @@ _BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n:
 REPLACEMENT = "�"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _numbered(code: Column) -> Column:
     """Character of a code point. Numbers of the C1 controls mean the
     characters of Windows-1252; what is no character becomes U+FFFD."""
@@ -77,13 +74,6 @@ def decode_references(text: Column) -> Column:
 
 # ---- the tag stream ----------------------------------------------------------
 
-def _running(values: Column) -> Column:
-    """Running sums of an array, in log2(size) passes."""
-    strides = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(2)))).cast("int") - 1)
-    return F.aggregate(strides, values, lambda acc, s: F.transform(acc, lambda x, i: x + F.coalesce(
-        F.get(acc, i - F.call_function("shiftleft", F.lit(1), s)), F.lit(0))))
-
-
 def _tag(raw: Column, pos: Column) -> Column:
     name = F.lower(F.regexp_extract(raw, TAG_NAME, 1))
     step = (F.when(name.isin("", *WITHOUT_TEXT, *VOID), 0).when(raw.startswith("</"), -1).otherwise(1))
@@ -94,7 +84,7 @@ def _ends(tags: Column) -> Column:
     """Opened elements in order: pos, end (NULL if nothing closes it), name,
     raw. ``tags``: opening and closing tags."""
     ordered = F.array_sort(tags)
-    levelled = let(ordered, lambda t: let(_running(F.transform(t, lambda x: x["step"])), lambda depth: F.array_sort(
+    levelled = let(ordered, lambda t: let(running_sums(F.transform(t, lambda x: x["step"])), lambda depth: F.array_sort(
         F.transform(t, lambda x, i: F.struct(
             x["name"].alias("name"),
             F.when(x["name"].isin(*FLAT), 0).otherwise(F.get(depth, i) + F.when(x["step"] == 1, 0).otherwise(1))

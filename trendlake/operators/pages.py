@@ -14,13 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from ..functions.text import (clean_bio, clean_username, contains_any, display_name_or_null,
                               handle_from_href, handle_from_text, is_handle_href, nonempty, py_strip)
 from ..schemas import (CONTENT_MIN_FALLBACK, POST_ID_ATTRS, POST_ID_MIN_TEXT, POST_ID_TEXT_HASH_LEN,
                        REPOST_CONTEXT_WORDS, REPOST_MARKER_ARIA, REPOST_MARKER_TESTIDS,
                        REPOST_TEXT_PHRASES, STATUS_ID_MIN_DIGITS)
 from . import markup
-from .markup import attribute, elements, first_text, let, text_of
+from .markup import attribute, elements, first_text, text_of
 
 POST = "article"        # tag of a post element
 
