@@ -14,10 +14,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.forecast import forecast
-from ..operators.grid import dense_counts_from_cells, merge_cells
+from ..operators.grid import dense_counts_from_cells
 from ..schemas import ALLOWED_ENTITY_TYPES, DEFAULT_GRID_RANGE
 from ..sinks.tables import read_dates, write_counts_csv, write_trends
 from ..streaming.mention_stream import start_mention_stream
+from .recount import read_totals, recount
 
 
 @dataclass
@@ -38,6 +39,7 @@ class DailyJob:
         return {"mentions": f"{r}/trending_entities", "dates": f"{r}/dates",
                 "cells": f"{r}/entity_date_cells",
                 "counts": f"{r}/entity_daily_counts", "trends": f"{r}/trends",
+                "manifest": f"{r}/_commits", "totals": f"{r}/entity_date_totals", "recounts": f"{r}/_recounts",
                 "checkpoint": f"{r}/_checkpoints/mentions", "csv": f"{r}/exports/entity_daily_counts"}
 
     def ingest(self, log_stream: DataFrame) -> None:
@@ -47,7 +49,7 @@ class DailyJob:
         terms = spark.read.parquet(self.terms_path) if self.terms_path else None
         q = start_mention_stream(log_stream, p["mentions"], p["dates"], p["checkpoint"],
                                  extractor=self.extractor, available_now=True,
-                                 cells_path=p["cells"], allowed=self.allowed, terms=terms)
+                                 cells_path=p["cells"], allowed=self.allowed, terms=terms, manifest=p["manifest"])
         q.awaitTermination()
         if q.exception():
             raise q.exception()
@@ -55,9 +57,10 @@ class DailyJob:
     def counts(self, spark: SparkSession) -> DataFrame:
         p = self.paths
         lo, hi = self.grid_range
-        # compact per-batch cells, not every raw mention, are re-read daily
-        return dense_counts_from_cells(merge_cells(spark.read.parquet(p["cells"])),
-                                       read_dates(spark, p["dates"], self.dates_mode),
+        # only the dates that new batches touched are counted again
+        recount(spark, p["cells"], p["totals"], p["manifest"], p["recounts"])
+        return dense_counts_from_cells(read_totals(spark, p["totals"]),
+                                       read_dates(spark, p["dates"], self.dates_mode, p["manifest"]),
                                        lo, hi, self.count_only_allowed)
 
     def run(self, spark: SparkSession, log_stream: DataFrame) -> DataFrame:

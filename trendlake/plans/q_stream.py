@@ -16,6 +16,7 @@ from ..streaming.window_counts import read_window_counts, start_window_counts, w
 from . import fixtures as fx
 from .registry import register
 from .batch_job import run_batch
+from .recount import read_totals, recount
 from .q_grid import _grid_sql, dense_daily_counts, dense_sql
 from .q_text import (FULLTEXT_SQL, LABEL_SQL, NEWS_SQL, POSTS_SQL, found_sql,
                      news_from_documents, posts_from_conversations)
@@ -85,21 +86,27 @@ def _finished(query):
         raise query.exception()
 
 
-def _ingested(spark, sf_dir, max_bytes: int = 1 << 20) -> str:
+# Bytes of the log that a micro-batch takes: each batch costs several writes, so
+# it is large; a cluster names what its executors can persist.
+BATCH_BYTES = 512 << 20
+
+
+def _ingested(spark, sf_dir, max_bytes: int = BATCH_BYTES) -> str:
     """The log streamed into tables, in bounded batches."""
     out = shared_path(spark, "stream")
     _finished(start_mention_stream(
         stream_log_files(spark, write_article_log(spark, sf_dir), max_bytes_per_trigger=max_bytes),
-        out + "/mentions", out + "/dates", out + "/_checkpoint", cells_path=out + "/cells"))
+        out + "/mentions", out + "/dates", out + "/_checkpoint", cells_path=out + "/cells", manifest=out + "/_commits"))
     return out
 
 
 @register("stream_daily_counts", PIPELINE_GRID_SQL, "STR1 STR2 STR3 STR4 SNK2 Q9 Q16")
 def stream_daily_counts(spark, sf_dir):
     out = _ingested(spark, sf_dir)
-    # incremental form: the grid is built from the batches' stored cells
-    cells = grid.merge_cells(spark.read.parquet(out + "/cells"))
-    return grid.dense_counts_from_cells(cells, read_dates(spark, out + "/dates"), STREAM_LO, STREAM_HI)
+    # incremental form: the grid is built from totals of the batches' stored cells
+    recount(spark, out + "/cells", out + "/totals", out + "/_commits", out + "/_recounts")
+    return grid.dense_counts_from_cells(read_totals(spark, out + "/totals"),
+                                        read_dates(spark, out + "/dates", manifest=out + "/_commits"), STREAM_LO, STREAM_HI)
 
 
 @register("stream_mention_fact", f"""
@@ -108,7 +115,8 @@ SELECT entity_text, entity_type, published_date, count(*) AS n FROM mentions GRO
 """, "SNK1 STR3")
 def stream_mention_fact(spark, sf_dir):
     """The fact that the stream stored, read back."""
-    fact = read_mentions(spark, _ingested(spark, sf_dir) + "/mentions")
+    out = _ingested(spark, sf_dir)
+    fact = read_mentions(spark, out + "/mentions", out + "/_commits")
     return fact.groupBy("entity_text", "entity_type", "published_date").agg(F.count(F.lit(1)).alias("n"))
 
 

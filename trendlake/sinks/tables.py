@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .manifest import visible
+
 
 def _dyn(w):
     return w.option("partitionOverwriteMode", "dynamic")
@@ -27,17 +29,19 @@ def write_mentions(mentions: DataFrame, path: str, batch_id: int, run: str = "ba
     """Mention fact, partitioned by date, then by the run that wrote it and its
     batch: a date range reads only its own folders, a replayed batch replaces
     its own rows, and batch numbers of another run (a stream with a new
-    checkpoint counts from 0 again) never meet them. Rows are sorted by entity
-    inside each task before writing (a local sort, no shuffle)."""
+    checkpoint counts from 0 again) never meet them. Rows are dealt by date
+    before, so a date's folder gets a few files and not one of each task;
+    adaptive execution splits dates of many rows. Files are sorted by entity."""
     mentions = mentions.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(int(batch_id)))
-    write_partitioned(mentions.sortWithinPartitions("published_date", "entity_text"),
+    write_partitioned(mentions.hint("rebalance", "published_date").sortWithinPartitions("published_date", "entity_text"),
                       path, ["published_date", "run", "batch_id"])
 
 
-def read_mentions(spark, path: str) -> DataFrame:
-    """The mention fact, without the columns of its folders."""
-    return spark.read.parquet(path).select("entity_text", "entity_type",
-                                           F.col("published_date").cast("date").alias("published_date"))
+def read_mentions(spark, path: str, manifest: str | None = None) -> DataFrame:
+    """The mention fact, without the columns of its folders; with a manifest,
+    of committed batches only."""
+    return visible(spark.read.parquet(path), manifest).select(
+        "entity_text", "entity_type", F.col("published_date").cast("date").alias("published_date"))
 
 
 def write_dates(dates: DataFrame, path: str, batch_id: int, run: str = "batch") -> None:
@@ -47,14 +51,28 @@ def write_dates(dates: DataFrame, path: str, batch_id: int, run: str = "batch")
 
 
 def write_cells(cells: DataFrame, path: str, batch_id: int, run: str = "batch") -> None:
+    """Cells by date, then by run and batch, so that a recount of a few dates
+    reads only their folders."""
     out = cells.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(int(batch_id)))
-    write_partitioned(out, path, ["run", "batch_id"])
+    write_partitioned(out.hint("rebalance", "published_date"), path, ["published_date", "run", "batch_id"])
+
+
+def read_cells(spark, path: str, manifest: str | None = None, dates: list[str | None] | None = None) -> DataFrame:
+    """Stored cells (entity_text, published_date, n, n_allowed); ``dates``
+    names the folders that are read (None in it: cells without a date)."""
+    cells = spark.read.parquet(path)
+    if dates is not None:
+        day = F.col("published_date").cast("date")
+        wanted = day.isin([F.lit(d).cast("date") for d in dates if d is not None])
+        cells = cells.where(wanted | day.isNull() if None in dates else wanted)
+    return visible(cells, manifest).select(
+        "entity_text", F.col("published_date").cast("date").alias("published_date"), "n", "n_allowed")
 
 
-def read_dates(spark, path: str, mode: str = "cumulative") -> DataFrame:
+def read_dates(spark, path: str, mode: str = "cumulative", manifest: str | None = None) -> DataFrame:
     """'cumulative': distinct dates of every batch; 'replace': only the last
     batch's dates (the behaviour of overwriting the table each run)."""
-    d = spark.read.parquet(path)
+    d = visible(spark.read.parquet(path), manifest)
     if mode == "replace":
         d = d.where(F.col("stored_at") == d.agg(F.max("stored_at")).scalar())
     elif mode != "cumulative":
