@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import round_half_even_nonneg
+from ..operators import latency as lat
 from ..operators import progress, reports
 from ..schemas import DEFAULT_SOURCES
+from ..session import shared_path
+from ..sinks.tables import write_trends
+from ..sources.files import only_listed, read_sources
 from . import fixtures as fx
 from .registry import register
 
@@ -123,6 +129,103 @@ def run_success(spark, sf_dir):
     return reports.run_report(runs, with_median=False)
 
 
+# ---- latency from ingest to store --------------------------------------------------
+QUANTILES = (0.5, 0.95, 0.99)
+_US = """l AS (SELECT CAST(stored_at AS DATE) AS day, epoch_us(stored_at) - epoch_us(ts) AS us FROM (
+  SELECT ts, ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS stored_at FROM events))"""
+
+
+def _stored_events(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events")
+    micros = F.round(F.col("value") * 1_000_000).cast("long")
+    return ev.select(F.col("ts").alias("ingested_at"), F.timestamp_add("MICROSECOND", micros, F.col("ts")).alias("stored_at"))
+
+
+def _off(exact: DataFrame, answers: DataFrame, by: list[str]) -> DataFrame:
+    """How far the rank of each answer is from the wanted one, beyond what
+    equal latencies explain: at most the sketch's error."""
+    wanted = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), lat.latency_quantile(q).alias("us_q")) for q in QUANTILES]))
+    rows = answers.select(*by, "n", wanted.alias("a")).select(*by, "n", "a.q", "a.us_q")
+    return (rows.join(exact, by).groupBy(*by, "n", "q").agg(F.avg((F.col("us") < F.col("us_q")).cast("int")).alias("below"),
+                                              F.avg((F.col("us") <= F.col("us_q")).cast("int")).alias("upto"))
+            .select(*by, "n", "q", ((F.col("below") <= F.col("q") + lat.RANK_ERROR)
+                                    & (F.col("upto") >= F.col("q") - lat.RANK_ERROR)).alias("within_bounds")))
+
+
+@register("latency_by_day", f"""
+WITH {_US}
+SELECT day, count(*) AS n, round(avg(us), 3) AS avg_us, min(us) AS min_us, max(us) AS max_us FROM l GROUP BY day
+""", "AGG14")
+def latency_by_day(spark, sf_dir):
+    """Stored daily rows, read back."""
+    path = shared_path(spark, "latency")
+    lat.write_daily_latency(lat.daily_latency(_stored_events(spark, sf_dir)), path)
+    return lat.read_daily_latency(spark, path).select(
+        "day", "n", F.round(F.col("total_us") / F.col("n"), 3).alias("avg_us"), "min_us", "max_us")
+
+
+@register("latency_quantiles", f"""
+WITH {_US}, q AS (SELECT unnest([{", ".join(map(str, QUANTILES))}])::DOUBLE AS q)
+SELECT 'day ' || day AS span, n, q, TRUE AS within_bounds FROM (SELECT day, count(*) AS n FROM l GROUP BY day), q
+UNION ALL SELECT 'all', n, q, TRUE FROM (SELECT count(*) AS n FROM l WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'), q
+""", "AGG14 AGG15")
+def latency_quantiles(spark, sf_dir):
+    """Median, 95th and 99th of a hundred by day and over a range of days, from
+    stored sketches, each held against the rank it has among all rows."""
+    rows = _stored_events(spark, sf_dir)
+    path = shared_path(spark, "latency")
+    lat.write_daily_latency(lat.daily_latency(rows), path)
+    exact = rows.select(F.col("stored_at").cast("date").alias("day"), lat.latency_us().alias("us"))
+    lo, hi = "2024-01-05", "2024-01-20"
+    days = _off(exact, lat.read_daily_latency(spark, path), ["day"])
+    span = lat.merged_latency(lat.read_daily_latency(spark, path, lo, hi))
+    inside = exact.where(F.col("day").between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))).select("us")
+    whole = _off(inside.withColumn("one", F.lit(1)), span.withColumn("one", F.lit(1)), ["one"])
+    return days.select(F.concat(F.lit("day "), F.col("day").cast("string")).alias("span"), "n", "q", "within_bounds").unionByName(
+        whole.select(F.lit("all").alias("span"), "n", "q", "within_bounds"))
+
+
+@register("newest_forecasts", f"""
+WITH g AS (SELECT 'user_' || user_id AS group_id, CAST(ts AS DATE) AS date, count(*)::INT AS predicted_count
+  FROM events WHERE ts IS NOT NULL GROUP BY ALL)
+SELECT group_id, date, predicted_count, row_number() OVER (ORDER BY date DESC, predicted_count DESC, group_id) - 1 AS place
+FROM g ORDER BY date DESC, predicted_count DESC, group_id LIMIT 25
+""", "SRT3 SRT5 SNK8")
+def newest_forecasts(spark, sf_dir):
+    """The forecast preview over stored forecasts (each day's counts stand in),
+    with the place that each row came out at."""
+    ev = fx.table(spark, sf_dir, "events").where("ts IS NOT NULL")
+    trends = ev.groupBy(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("group_id"),
+                        F.col("ts").cast("date").alias("date")).agg(F.count(F.lit(1)).cast("int").alias("predicted_count"))
+    path = shared_path(spark, "trends")
+    write_trends(trends, path)
+    stored = spark.read.parquet(path).select("group_id", F.col("date").cast("date").alias("date"), "predicted_count")
+    shown = reports.recent_predictions(stored, 25)
+    return shown.agg(F.collect_list(F.struct("group_id", "date", "predicted_count")).alias("rows")).select(
+        F.posexplode("rows").alias("place", "r")).select("r.*", F.col("place").cast("bigint").alias("place"))
+
+
+@register("rounded_halves", """
+SELECT doc_id, greatest(0, round_even(n_chars / 2.0 - 300, 0))::INT AS rounded FROM documents
+""", "FN13 PRJ15")
+def rounded_halves(spark, sf_dir):
+    """Every other value is a half; some are below zero."""
+    docs = fx.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", round_half_even_nonneg(F.col("n_chars") / 2 - 300).alias("rounded"))
+
+
+@register("listed_sources", """
+SELECT doc_id, source FROM documents WHERE source IN (SELECT source FROM documents GROUP BY source HAVING min(doc_id) % 2 = 0)
+""", "SRC9")
+def listed_sources(spark, sf_dir):
+    """Rows of the accounts that a stored list names."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "source")
+    path = shared_path(spark, "listed")
+    named = docs.groupBy("source").agg(F.min("doc_id").alias("first")).where("first % 2 = 0")
+    named.select(F.concat(F.lit(" "), "source").alias("value")).write.text(path)
+    return only_listed(docs, read_sources(spark, path), "source")
+
+
 @register("top_headlines", """
 SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents
 WHERE lang = 'en' ORDER BY doc_id LIMIT 10

@@ -58,3 +58,9 @@ def read_sources(spark: SparkSession, path: str) -> DataFrame:
     """Source list: one account name per line, blanks skipped."""
     return (spark.read.text(path).select(F.trim("value").alias("username"))
             .where(F.col("username") != ""))
+
+
+def only_listed(rows: DataFrame, sources: DataFrame, account_col: str) -> DataFrame:
+    """Rows of the listed accounts only."""
+    listed = sources.select(F.col("username").alias(account_col)).distinct()
+    return rows.join(listed, account_col, "left_semi")
