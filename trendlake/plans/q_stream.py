@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import grid
 from ..operators.mentions import mention_job, news_mentions
 from ..schemas import ALLOWED_ENTITY_TYPES, NEWS_TOPIC, POSTS_TOPIC
 from ..session import shared_path
+from ..sinks.bucketed import read_bucketed, write_bucketed
 from ..sinks.tables import read_dates, read_mentions, write_counts_csv, write_json
 from ..sources.files import read_counts_csv, read_news_responses
 from ..sources.log import read_log_files, stream_log_files
@@ -120,6 +123,19 @@ def stream_mention_fact(spark, sf_dir):
     return fact.groupBy("entity_text", "entity_type", "published_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("bucketed_counts", _grid_sql(), "SNK1 AGG1 JON1")
+def bucketed_counts(spark, sf_dir):
+    """The grid from a fact that was stored in two batches, bucketed by entity."""
+    ev = fx.table(spark, sf_dir, "events")
+    table, path = f"fact_{uuid.uuid4().hex}", shared_path(spark, "bucketed")
+    mentions = fx.event_mentions(ev)
+    late = F.col("published_date") >= F.lit("2024-01-15").cast("date")
+    for batch, rows in enumerate((mentions.where(~late), mentions.where(late | F.col("published_date").isNull()))):
+        write_bucketed(rows, table, path, batch, buckets=8)
+    fact = read_bucketed(spark, table, path, buckets=8)
+    return grid.dense_daily_counts(fact, fx.event_dates(ev), fx.GRID_LO, fx.GRID_HI, fx.EVENT_ALLOWED_TYPES)
+
+
 @register("stream_window_counts", """
 SELECT CAST(date_trunc('day', ts) AS DATE) AS window_start,
        'user_' || CAST(user_id AS VARCHAR) AS entity_text, COUNT(*) AS mentions

@@ -31,12 +31,16 @@ def read_post_files(spark: SparkSession, directory: str, exclude=(),
     return df
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path, in whatever file system."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   fmt: str = "parquet") -> DataFrame:
     """An archive table if it exists, else an empty frame of ``schema``."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.format(fmt).schema(schema).load(path)
 
