@@ -149,3 +149,51 @@ def test_a_dense_group_of_near_copies_is_one(make_docs):
         other[rng.randrange(200)] = f"x{i}"
         rows.append((i, " ".join(other)))
     assert [r.doc_id for r in simhash.drop_near_copies(make_docs(rows)).collect()] == [0]
+
+
+def test_every_pair_of_near_half_words_is_a_candidate(spark):
+    """Random prints, and dense groups whose half words are equal or near."""
+    rng = np.random.default_rng(4)
+    prints = rng.integers(0, 1 << 63, (70, simhash.WIDE), dtype=np.uint64)
+    for i in range(10, 40):
+        prints[i, 3] = prints[0, 3] ^ np.uint64(1 << (i % 3))   # one half equal or near, all others apart
+    for i in range(40, 60):
+        prints[i, 7] = prints[1, 7] ^ np.uint64(1 << 40 if i % 2 else 0)
+    rows = [(i * 1000 - 7, bytearray(p.astype("<u8").tobytes())) for i, p in enumerate(prints)]
+    ids = [r[0] for r in rows]
+    halves = prints.view("<u4").reshape(len(prints), -1)
+    near = (np.bitwise_count(halves[:, None] ^ halves[None, :]) <= simhash.NEAR).any(axis=2)
+    want = {(ids[i], ids[j]) for i, j in zip(*np.nonzero(near)) if i > j}
+    assert len(want) > 600
+    simhash.ship(spark)
+    pairs, members = simhash.candidates(spark.createDataFrame(rows, "node bigint, print binary"))
+    apart = spark.createDataFrame([], "node bigint, root bigint")
+    got = {(r.u, r.v) for r in pairs.collect()}
+    rest = [(r.u, r.v) for r in simhash.cluster_pairs(members, apart).collect()]
+    assert got < want and got | set(rest) == want and len(rest) == len(set(rest))
+    # of sets that are linked already no pair is left
+    one = spark.createDataFrame([(n, ids[0]) for n in ids], "node bigint, root bigint")
+    assert simhash.cluster_pairs(members, one).count() == 0
+    # one that is not of the common component meets all others of its cluster
+    but = spark.createDataFrame([(n, ids[0]) for n in ids if n != ids[20]], "node bigint, root bigint")
+    mine = {p for p in want if ids[20] in p}
+    late = {(r.u, r.v) for r in simhash.cluster_pairs(members, but).collect()}
+    assert late <= mine and (got & mine) | late == mine
+
+
+def test_sketch_and_size_lose_no_similar_pair(spark):
+    rng = np.random.default_rng(6)
+    sets = []
+    for n in (1, 2, 5, 9, 40, 300, 3000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        sets.append(base)
+        for share in (0.05, 0.1, 0.11, 0.3, 1.0):
+            other = base.copy()
+            other[:int(share * n)] = rng.integers(0, 1 << 63, int(share * n), dtype=np.uint64)
+            sets += [other, base[:max(1, int((1 - share) * n))]]
+    rows = [(i, len(np.unique(x)), *simhash.parity_sketch(np.unique(x)).tolist()) for i, x in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, f"node bigint, size bigint, {simhash._SKETCH_TYPES}")
+    every = [(i, j) for i in range(len(sets)) for j in range(i)]
+    got = {(r.u, r.v) for r in simhash._possible(spark.createDataFrame(every, "u bigint, v bigint"), nodes, 0.8).collect()}
+    similar = {(i, j) for i, j in every if jaccard(frozenset(sets[i].tolist()), frozenset(sets[j].tolist())) >= 0.8}
+    assert similar <= got and len(similar) > 20 and len(got) < len(every) / 2

@@ -18,7 +18,10 @@ Near copies (``near_copies``) differ in 4 to 14 of 64 bits at a Jaccard
 similarity of 0.8, where no such tree prunes. They are searched by a longer
 fingerprint, cut into 24 half words of 32 bits with seeds of their own: a pair
 is a candidate if one half word differs in two bits at most, and links if the
-similarity of the shingle sets, computed exactly, reaches the threshold.
+similarity of the shingle sets, computed exactly, reaches the threshold. Likely
+candidates come first (a dense group makes a bounded number of them a row); all
+others between sets that these have not linked follow, pruned by bounds that
+lose no link: set sizes and a parity sketch.
 
 Defined results: a null text counts as empty; a text without words has
 fingerprint zero and links like any other; fewer words than a shingle: the
@@ -49,8 +52,9 @@ BLOCK = 1 << 16         # pairs compared at once in a leaf
 WIDE = 12               # words of 64 bits of the fingerprint that near copies are searched by
 NEAR = 2                # differing bits of a half word, at most
 PARTS = (0x7FF, 0x3FF800, 0xFFC00000)   # of a half word: one more than NEAR
-FAR = 20                # differing bits of 64 others: 9.7 expected at a similarity of 0.8
-BESIDE = 4              # neighbours compared among equal half words
+FAR = 20                # differing bits of 64 others of likely candidates: 9.7 expected at a similarity of 0.8
+BESIDE = 4              # neighbours compared first among equal half words
+SKETCH = 8              # words of 64 bits of the parity sketch of a set
 
 
 def _hashes(parts: list[bytes], words: int) -> Iterator[np.ndarray]:
@@ -300,21 +304,36 @@ def long_print(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8").astype(np.uint64)
 
 
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """``SKETCH`` words of parities of a set of shingle hashes. Those of two
+    sets differ in as many bits as the sets in elements, at most."""
+    counts = np.bincount((hashes & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH)
+    return np.packbits(counts & 1, bitorder="little").view("<i8").astype(np.int64)
+
+
+_SKETCHES = [f"s{i}" for i in range(SKETCH)]
+_SKETCH_TYPES = ", ".join(f"{c} bigint" for c in _SKETCHES)
+
+
 def _sets(docs: DataFrame, words: int, id_type: str) -> DataFrame:
-    """Columns ``doc``, ``node`` (hash of the set) and ``print`` (null for a
-    text without words)."""
+    """Columns ``doc``, ``node`` (hash of the set), ``print`` (null for a text
+    without words), ``size`` and the words of the parity sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, prints = [], []
-            for t in batch.column(1):
+            nodes, prints, sizes = [], [], []
+            sketches = np.zeros((SKETCH, batch.num_rows), dtype=np.int64)
+            for i, t in enumerate(batch.column(1)):
                 found = shingles(t.as_py(), words)
                 nodes.append(_signed(xxhash.xxh64_intdigest(found.astype("<u8").tobytes(), SEED)))
                 prints.append(long_print(found).astype("<u8").tobytes() if len(found) else None)
+                sizes.append(len(found))
+                sketches[:, i] = parity_sketch(found)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(prints, pa.binary())],
-                names=["doc", "node", "print"])
+                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(prints, pa.binary()),
+                 pa.array(sizes, pa.int64()), *(pa.array(words_) for words_ in sketches)],
+                names=["doc", "node", "print", "size", *_SKETCHES])
 
-    return docs.mapInArrow(releasing(run), f"doc {id_type}, node bigint, print binary")
+    return docs.mapInArrow(releasing(run), f"doc {id_type}, node bigint, print binary, size bigint, {_SKETCH_TYPES}")
 
 
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,19 +358,24 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shard_candidates(part: int, half: np.ndarray, other: np.ndarray, node: np.ndarray
-                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (greater node, smaller node, differing bits) of one shard. Of rows
-    with equal halves the first stands for all against other halves; among
-    them each meets the first and its ``BESIDE`` neighbours, so that a dense
-    group makes a bounded number of pairs a row."""
+                     ) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """Pairs (greater node, smaller node, differing bits) of one shard, and the
+    rows (cluster, half, node) among which there are more. Of rows with equal
+    halves the first stands for all against other halves; among them each meets
+    the first and its ``BESIDE`` neighbours, so that a dense group makes a
+    bounded number of pairs a row. Where this leaves a pair out, the rows of
+    all halves that are chained by such pairs are a cluster."""
     order = np.lexsort((node, other, half))
     half, other, node = half[order], other[order], node[order]
     new = np.ones(len(half), dtype=bool)
     new[1:] = half[1:] != half[:-1]
     lead = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    count = np.bincount(group, minlength=len(lead))
+    more = np.zeros(len(lead), dtype=bool)
+    cluster = np.arange(len(lead))
     i, j = [], []
     if part == 0:               # equal halves meet in every part
-        group = np.cumsum(new) - 1
         every = np.arange(len(half))
         i.append(every)
         j.append(lead[group])
@@ -359,6 +383,7 @@ def shard_candidates(part: int, half: np.ndarray, other: np.ndarray, node: np.nd
             same = group[k:] == group[:-k]
             i.append(every[k:][same])
             j.append(every[:-k][same])
+        more |= count > BESIDE + 1
     values = half[lead]
     if len(lead) > 1:
         earlier = np.uint64(sum(PARTS[:part]))
@@ -369,16 +394,28 @@ def shard_candidates(part: int, half: np.ndarray, other: np.ndarray, node: np.nd
             if earlier:         # a pair that an earlier part has is left to it
                 for mask in lower:
                     once &= apart & mask != 0
-            i.append(lead[x[once]])
-            j.append(lead[y[once]])
+            x, y = x[once], y[once]
+            i.append(lead[x])
+            j.append(lead[y])
+            several = count[x] * count[y] > 1
+            x, y = x[several], y[several]
+            more[x] = more[y] = True
+            _unite(cluster, x, y)
+    rows = np.flatnonzero(more[group])
+    rest = (_find(cluster, cluster.copy())[group[rows]], half[rows], node[rows])
     if not i:
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none
+        return (none, none, none), rest
     i, j = np.concatenate(i), np.concatenate(j)
     far = np.bitwise_count(other[i] ^ other[j]).astype(np.int64)
-    keep = (far <= FAR) & (node[i] != node[j])
+    keep = node[i] != node[j]
     a, b, far = node[i[keep]], node[j[keep]], far[keep]
-    return np.maximum(a, b), np.minimum(a, b), far
+    return (np.maximum(a, b), np.minimum(a, b), far), rest
+
+
+MEMBER = -1             # in place of differing bits: not a pair, but u is a member of the cluster v of a shard
+_FOUND_NAMES = ["u", "v", "far", "shard", "half"]
+_FOUND = ", ".join(f"{c} bigint" for c in _FOUND_NAMES)
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,10 +427,14 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def close() -> None:
         half, other, node = (np.concatenate([h[c] for h in held]) for c in range(3))
         if len(half) > 1:
-            found = shard_candidates((shard >> 32) % len(PARTS), half.view(np.uint64),
-                                     other.view(np.uint64), node)
+            found, (cluster, halves, members) = shard_candidates(
+                (shard >> 32) % len(PARTS), half.view(np.uint64), other.view(np.uint64), node)
             if len(found[0]):
-                out.append(found)
+                none = np.zeros(len(found[0]), dtype=np.int64)
+                out.append((*found, none, none))
+            if len(members):
+                out.append((members, cluster, np.full(len(members), MEMBER), np.full(len(members), shard),
+                            halves.view(np.int64)))
 
     for batch in batches:
         path, *rest = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(4)]
@@ -417,7 +458,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _edge_batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([f[c] for f in found])) for c in range(3)], names=["u", "v", "far"])
+        [pa.array(np.concatenate([f[c] for f in found])) for c in range(5)], names=_FOUND_NAMES)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -439,56 +480,122 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             .mapInArrow(releasing(run), "u bigint, v bigint"))
 
 
+def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of sets (columns node, print) the pairs ``u``, ``v``, ``far`` that were
+    compared, and the members (shard, cluster, half, node) of the clusters in
+    which further pairs of halves within ``NEAR`` bits were not."""
+    rows = nodes.where("print IS NOT NULL").select("node", "print").mapInArrow(
+        releasing(_dealt), "shard bigint, half bigint, other bigint, node bigint")
+    found = materialize(rows.repartition("shard").sortWithinPartitions("shard")
+                        .mapInArrow(releasing(_candidates), _FOUND), "candidates")
+    pairs = found.where(F.col("far") != MEMBER).groupBy("u", "v").agg(F.min("far").alias("far"))
+    members = found.where(F.col("far") == MEMBER).select("shard", F.col("v").alias("cluster"), "half",
+                                                         F.col("u").alias("node"))
+    return pairs, members
+
+
+def _rooted(rows: DataFrame, linked: DataFrame, node: str, root: str) -> DataFrame:
+    """``rows`` with the component of the column ``node``; itself if it has no link."""
+    roots = linked.select(F.col("node").alias(node), F.col("root").alias(root))
+    return rows.join(roots, node, "left").withColumn(root, F.coalesce(root, node))
+
+
+def cluster_pairs(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """Pairs u, v (each once) of members of one cluster whose halves differ in
+    ``NEAR`` bits at most and which ``linked`` (node, root) has not joined.
+    Members of a cluster's commonest component are only compared with the
+    others, so that a cluster that is one component costs nothing."""
+    rows = _rooted(members, linked, "node", "root")
+    common = (rows.groupBy("shard", "cluster", "root").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("shard", "cluster").agg(F.max_by("root", "n").alias("common"), F.count(F.lit(1)).alias("roots"))
+              .where("roots > 1").drop("roots"))
+    rows = materialize(rows.join(common, ["shard", "cluster"]), "members")
+    others = rows.where("root <> common").select(
+        "shard", "cluster", F.col("half").alias("h"), F.col("node").alias("n"), F.col("root").alias("r"))
+    return (rows.join(others, ["shard", "cluster"])
+            .where((F.col("root") != F.col("r"))
+                   & (F.bit_count(F.col("half").bitwiseXOR(F.col("h"))) <= NEAR))
+            .select(F.greatest("node", "n").alias("u"), F.least("node", "n").alias("v")).distinct())
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` (columns u, v) without those whose sets are too unlike by
+    their sizes or by the bits that their parity sketches differ in."""
+    def side(node: str, mark: str) -> DataFrame:
+        return sketches.select(F.col("node").alias(node), F.col("size").alias(f"{mark}size"),
+                               *[F.col(c).alias(mark + c) for c in _SKETCHES])
+
+    apart = sum((F.bit_count(F.col(f"a{c}").bitwiseXOR(F.col(f"b{c}"))) for c in _SKETCHES), F.lit(0))
+    both = F.col("asize") + F.col("bsize")
+    return (pairs.join(side("u", "a"), "u").join(side("v", "b"), "v")
+            .where((F.least("asize", "bsize") >= threshold * F.greatest("asize", "bsize") - 1e-6)
+                   & (apart * (1 + threshold) <= both * (1 - threshold) + 1e-6))
+            .select("u", "v"))
+
+
 def near_copies(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """Columns ``doc`` and ``component_id``: documents (those with an id) link
     if the Jaccard similarity of their distinct word shingles is ``threshold``
     or more. Candidates come from a fingerprint of ``WIDE`` words: pairs of
     which one half word at least differs in ``NEAR`` bits at most. Each is
-    verified on the sets, except where both ends are linked already."""
+    verified on the sets, except where both ends are linked already or the
+    sets are too unlike by size or sketch."""
     ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = (docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
              .where("doc IS NOT NULL"))
     found = materialize(_sets(texts, words, id_type), "shingle_sets")
     nodes = materialize(found.groupBy("node").agg(F.min("doc").alias("first"),
-                                                  F.first("print").alias("print")), "nodes")
-    rows = nodes.where("print IS NOT NULL").select("node", "print").mapInArrow(
-        releasing(_dealt), "shard bigint, half bigint, other bigint, node bigint")
-    pairs = materialize(
-        rows.repartition("shard").sortWithinPartitions("shard")
-        .mapInArrow(releasing(_candidates), "u bigint, v bigint, far bigint")
-        .groupBy("u", "v").agg(F.min("far").alias("far")), "candidates")
-
-    ends = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = nodes.join(ends, "node").select(F.col("first").alias("doc"), "node")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, out = [], []
-            for want, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = shingles(t.as_py(), words).astype("<u8").tobytes()
-                if _signed(xxhash.xxh64_intdigest(raw, SEED)) == want:     # ids may repeat
-                    keep.append(want)
-                    out.append(raw)
-            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(out, pa.binary())],
-                                             names=["node", "hashes"])
-
-    sets = materialize(texts.join(wanted, "doc").select("node", "text")
-                       .mapInArrow(releasing(hashed), "node bigint, hashes binary")
-                       .dropDuplicates(["node"]), "sets")
+                                                  F.first("print").alias("print"), F.first("size").alias("size"),
+                                                  *[F.first(c).alias(c) for c in _SKETCHES]), "nodes")
+    pairs, members = candidates(nodes)
+    pairs = materialize(pairs, "pairs")
+
+    def hashed(some: DataFrame, name: str) -> DataFrame:
+        """The sets of both ends of pairs: node, hashes."""
+        ends = some.select(F.col("u").alias("node")).union(some.select(F.col("v").alias("node"))).distinct()
+        wanted = nodes.join(ends, "node").select(F.col("first").alias("doc"), "node")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep, out = [], []
+                for want, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    raw = shingles(t.as_py(), words).astype("<u8").tobytes()
+                    if _signed(xxhash.xxh64_intdigest(raw, SEED)) == want:     # ids may repeat
+                        keep.append(want)
+                        out.append(raw)
+                yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(out, pa.binary())],
+                                                 names=["node", "hashes"])
+
+        return materialize(texts.join(wanted, "doc").select("node", "text")
+                           .mapInArrow(releasing(run), "node bigint, hashes binary")
+                           .dropDuplicates(["node"]), name)
+
+    likely = pairs.where(F.col("far") <= FAR)
+    sets = hashed(likely, "sets")
     # First the nearest partner of each set: a dense group is one component by
     # these links, and pairs inside of a component need no look.
-    nearest = pairs.groupBy("u").agg(F.min(F.struct("far", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
+    nearest = likely.groupBy("u").agg(F.min(F.struct("far", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
     good = materialize(_verified(nearest, sets, threshold), "good")
     joined = materialize(components(good), "joined")
-    a = joined.select(F.col("node").alias("u"), F.col("root").alias("ru"))
-    b = joined.select(F.col("node").alias("v"), F.col("root").alias("rv"))
-    rest = (pairs.select("u", "v").join(nearest, ["u", "v"], "left_anti")
-            .join(a, "u", "left").join(b, "v", "left")
-            .where(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v"))
-    more = materialize(_verified(rest, sets, threshold), "more")
-    linked = materialize(components(good.union(more)), "linked")
+
+    def apart(some: DataFrame, linked: DataFrame) -> DataFrame:
+        return (_rooted(_rooted(some, linked, "u", "ru"), linked, "v", "rv")
+                .where("ru <> rv").select("u", "v"))
+
+    rest = apart(likely.select("u", "v").join(nearest, ["u", "v"], "left_anti"), joined)
+    good = good.union(materialize(_verified(rest, sets, threshold), "more"))
+    linked = materialize(components(good), "linked")
+    # Then all candidates that were not likely or not compared.
+    late = apart(pairs.where(F.col("far") > FAR), linked).union(
+        cluster_pairs(members, linked).join(likely, ["u", "v"], "left_anti"))
+    late = materialize(late.distinct(), "late")
+    if not late.isEmpty():
+        late = materialize(_possible(late, nodes, threshold), "possible")
+        if not late.isEmpty():
+            good = good.union(materialize(_verified(late, hashed(late, "late_sets"), threshold), "late_good"))
+            linked = materialize(components(good), "linked")
 
     inside = nodes.select("node", "first").join(linked, "node")
     lowest = inside.groupBy("root").agg(F.min("first").alias("component_id"))
