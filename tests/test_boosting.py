@@ -166,3 +166,31 @@ def test_cuts_of_a_wide_feature_follow_exact_counts():
     cuts = boosting.quantile_cuts(values, np.ones(1000, dtype=np.int64), 10)
     assert cuts.tolist() == [100.0 * i for i in range(1, 10)]
     assert boosting.quantile_cuts(np.array([5, 1]), np.array([9, 1]), 10).tolist() == [5.0]
+
+
+def test_the_driver_reads_splits_and_no_histograms(spark, feats, monkeypatch):
+    """What reaches the driver does not go by the number of tasks."""
+    import pickle
+
+    from pyspark import RDD
+
+    read, collect = [], RDD.collect
+
+    def counted(self):
+        out = collect(self)
+        read.append(len(pickle.dumps(out)))
+        return out
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    small, sizes = boosting.Settings(rounds=2, bins=64), []
+    until = [START + dt.timedelta(days=d) for d in (20, 30)]
+    for n in (1, 6):
+        read.clear()
+        parted = feats.repartition(n, "group_id").cache()
+        assert parted.rdd.getNumPartitions() == n
+        models = boosting.fit(parted, small, until)
+        sizes.append(sum(read))
+        assert len(models) == 2 and len(read) >= 2 * small.depth
+    # columns x models x nodes x six numbers, all levels of both rounds, and the frames around them
+    assert max(sizes) <= 2 * (7 * 2 * 31 * 6 * 8 + 7 * small.depth * 200)
+    assert abs(sizes[0] - sizes[1]) < sizes[0] / 2

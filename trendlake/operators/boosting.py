@@ -3,9 +3,10 @@
 The settings are the reference booster's: rows sampled per tree, columns
 sampled per tree, an L2 term, squared error. Features are cut into quantile
 bins once. A level of a tree is one job: every task sums gradients and counts
-by (node, feature, bin) over its blocks of rows, the sums are merged, and the
-driver reads one table of nodes x features x bins, whose size goes by settings
-and not by data. Five levels are five jobs a round.
+by (node, feature, bin) over its blocks of rows, the sums of a feature are
+merged on executors, and the driver reads the best split of each node and
+feature: some kilobytes a job, whatever the data and the number of tasks. Five
+levels are five jobs a round.
 
 Sums are of whole numbers (gradients in fixed point), bins come from exact
 counts, rows are sampled by a hash of their key: the same rows give the same
@@ -204,10 +205,11 @@ def _apply(block: Block, trees: list[list[Tree]], depth: int) -> np.ndarray:
 
 
 def histogram(blocks: Iterator[Block], trees: list[list[Tree]], growing: list[Tree], level: int, until: list[int],
-              columns: np.ndarray, s: Settings, round_: int, scale: float) -> np.ndarray:
-    """models x nodes of the level x sampled columns x bins x (gradient, rows)."""
+              columns: np.ndarray, s: Settings, round_: int, scale: float, widths: list[int]) -> list[np.ndarray]:
+    """Of each sampled column models x nodes of the level x bins x (gradient,
+    rows). ``widths``: the bins of every feature."""
     width = 1 << level
-    total = np.zeros((len(until), width, len(columns), s.bins, 2), dtype=np.int64)
+    total = [np.zeros((len(until), width, widths[f], 2), dtype=np.int64) for f in columns]
     for block in blocks:
         pred = _apply(block, trees, s.depth)
         taken = _sampled(block.key, s.rows, s.seed, round_)
@@ -215,37 +217,40 @@ def histogram(blocks: Iterator[Block], trees: list[list[Tree]], growing: list[Tr
             node = growing[m].nodes(block.bins, level) - (width - 1)
             rows = np.flatnonzero(taken & (block.day <= last) & (node >= 0))
             gradient = np.rint((pred[m, rows] - block.y[rows]) * scale)
-            for c, f in enumerate(columns):
-                code = node[rows] * s.bins + block.bins[rows, f]
+            for sums, f in zip(total, columns):
+                code = node[rows] * widths[f] + block.bins[rows, f]
                 for part, weights in enumerate((gradient, None)):
-                    total[m, :, c, :, part] += np.bincount(code, weights, minlength=width * s.bins).reshape(
-                        width, s.bins).astype(np.int64)
+                    sums[m, ..., part] += np.bincount(code, weights, minlength=width * widths[f]).reshape(
+                        width, widths[f]).astype(np.int64)
     return total
 
 
-def best_splits(sums: np.ndarray, l2: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per node: column, bin and gain of the best split (ties: first column,
-    first bin), and what goes left: (gradient, rows)."""
-    left = np.cumsum(sums, axis=2)
-    whole = left[:, :, -1:, :]
+def best_splits(sums: np.ndarray, l2: float) -> np.ndarray:
+    """Of one feature's nodes x bins x (gradient, rows) per node: bin and gain
+    of the best split (ties: first bin), what goes left (gradient, rows), and
+    all of the node (gradient, rows)."""
+    left = np.cumsum(sums, axis=1)
+    whole = left[:, -1:, :]
     right = whole - left
 
     def weight(x: np.ndarray) -> np.ndarray:
         return x[..., 0] ** 2 / (x[..., 1] + l2)
 
     gain = weight(left) + weight(right) - weight(whole)
-    gain = np.where((left[..., 1] >= 1) & (right[..., 1] >= 1), gain, -np.inf).reshape(len(sums), -1)
-    at = gain.argmax(axis=1)
-    column, cut = np.divmod(at, sums.shape[2])
+    gain = np.where((left[..., 1] >= 1) & (right[..., 1] >= 1), gain, -np.inf)
+    cut = gain.argmax(axis=1)
     nodes = np.arange(len(sums))
-    return column, cut, gain[nodes, at], left[nodes, column, cut]
+    return np.column_stack([cut, gain[nodes, cut], left[nodes, cut], sums.sum(axis=1)])
 
 
-def _grow(tree: Tree, sums: np.ndarray, level: int, columns: np.ndarray, s: Settings) -> None:
-    """Split the nodes of a level, or end them, and set the values below."""
+def _grow(tree: Tree, splits: np.ndarray, level: int, columns: np.ndarray, s: Settings) -> None:
+    """Split the nodes of a level, or end them, and set the values below.
+    ``splits``: columns x nodes x what ``best_splits`` says (ties: first
+    column)."""
     first = (1 << level) - 1
-    column, cut, gain, left = best_splits(sums, s.l2)
-    whole = sums[:, 0].sum(axis=1)
+    column = splits[:, :, 1].argmax(axis=0)
+    best = splits[column, np.arange(1 << level)]
+    cut, gain, left, whole = best[:, 0].astype(np.int64), best[:, 1], best[:, 2:4], splits[0, :, 4:]
     for i in range(1 << level):
         node = first + i
         if whole[i, 1] == 0:
@@ -290,8 +295,7 @@ def fit(features: DataFrame, settings: Settings = Settings(), until: Sequence[dt
     table = spark.read.schema("key binary, bins binary, y binary, day binary").parquet(path)
     blocks = table.rdd.map(unpacked).persist(StorageLevel.MEMORY_AND_DISK)
     parts = blocks.getNumPartitions()
-    # Partial sums are merged on executors first where there are many tasks.
-    merging = 1 + math.ceil(math.log(max(1, parts / 64), 64)) if parts > 64 else 1
+    widths = [len(c) + 1 for c in cuts]
     pending: list[list[Tree]] = [[] for _ in models]
     try:
         for r in range(s.rounds):
@@ -299,9 +303,9 @@ def fit(features: DataFrame, settings: Settings = Settings(), until: Sequence[dt
             columns = np.sort(rng.choice(width, max(1, int(s.columns * width)), replace=False))
             growing = [Tree.empty(s.depth) for _ in models]
             for level in range(s.depth):
-                sums = _summed(blocks, merging, (pending, growing, level, days, columns, s, r, scale))
+                splits = _splits(blocks, parts, (pending, growing, level, days, columns, s, r, scale, widths))
                 for m, tree in enumerate(growing):
-                    _grow(tree, sums[m] / np.array([scale, 1.0]), level, columns, s)
+                    _grow(tree, splits[:, m], level, columns, s)
             for m, tree in enumerate(growing):
                 models[m].trees.append(tree)
                 pending[m].append(tree)
@@ -313,14 +317,23 @@ def fit(features: DataFrame, settings: Settings = Settings(), until: Sequence[dt
     return models
 
 
-def _summed(blocks, merging: int, arguments: tuple) -> np.ndarray:
-    def run(part: Iterator[Block]) -> Iterator[np.ndarray]:
-        yield histogram(part, *arguments)
+def _splits(blocks, parts: int, arguments: tuple) -> np.ndarray:
+    """Columns x models x nodes x the best split of this column. The sums of a
+    column are merged in one task of their own."""
+    *_, columns, s, _, scale, _ = arguments
 
-    partial = blocks.mapPartitions(run)
-    if merging > 1:
-        return partial.treeReduce(np.add, depth=merging)
-    return np.sum(partial.collect(), axis=0)
+    def run(part: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
+        yield from enumerate(histogram(part, *arguments))
+
+    def best(column: tuple[int, np.ndarray]) -> tuple[int, np.ndarray]:
+        at, sums = column
+        return at, np.stack([best_splits(x / np.array([scale, 1.0]), s.l2) for x in sums])
+
+    sums = blocks.mapPartitions(run)
+    if parts > 1:
+        sums = sums.reduceByKey(np.add, numPartitions=len(columns), partitionFunc=int)
+    found = dict(sums.map(best).collect())
+    return np.stack([found[at] for at in range(len(columns))])
 
 
 def _applied(blocks, trees: list[list[Tree]], depth: int):
