@@ -60,3 +60,18 @@ def test_one_window_test_a_place_and_no_python(spark):
     t = spark.createDataFrame([("a", "X")], "term string, label string")
     plan = extract.gazetteer_mentions(d, t, "text", keep=("doc_id",))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("posexplode") == 1 and "regexp_extract_all" not in plan and "Python" not in plan
+
+
+def test_a_common_first_word_alone_is_no_place(spark):
+    """Terms of one frequent first word are looked up by their openings, and a
+    text is tokenised once where it is read."""
+    terms = [(f"the w{i} x{i} y", "T") for i in range(40)] + [("the w1 x1 z", "T"), ("the", "A"), ("the w2", "B")]
+    docs = [(1, "the the w1 x1 y the w2 x1 y the w1"), (2, "The w3, X3 y z the w1 x1 z"), (3, "a b c"), (4, " ")]
+    assert found(spark, docs, terms) == brute(docs, terms)
+    long = [t for t in terms if len(t[0].split()) > 2]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    t = spark.createDataFrame(long, "term string, label string")
+    out = extract.gazetteer_mentions(d, t, "text", keep=("doc_id",))
+    assert out.count() == 3
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 2     # once a text and side
+    assert "_opening" in out._jdf.queryExecution().optimizedPlan().toString()

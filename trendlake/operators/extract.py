@@ -4,9 +4,9 @@ Three interchangeable extractors share the same output contract:
 
 * ``pattern_entities`` (default): one regex alternation evaluated JVM-side
   with ``regexp_extract_all``; the label follows from the shape of the match.
-* ``gazetteer_mentions``: whole-token match of a term table. Every token is
-  joined with the first tokens of terms; windows are then tested by
-  differences of prefix hashes and verified.
+* ``gazetteer_mentions``: whole-token match of a term table. The first tokens
+  of every place are joined with the openings of terms; the windows of the few
+  places that remain are read out and compared with the terms.
 * ``model_entities``: a seam for a statistical model: any callable
   ``list[str] -> list[list[(text, label)]]`` plugs in behind ``mapInPandas``
   and is fed Arrow batches.
@@ -38,6 +38,7 @@ LABEL_SINGLE = "NORP"          # one capitalised word
 # Tokens of the gazetteer matcher.
 TOKEN_PATTERN = r"[A-Za-z0-9_]+"
 
+OPENING = 3                 # first tokens of a term that places are looked up by
 MODULUS = (1 << 31) - 1     # of token and window hashes
 
 
@@ -125,36 +126,53 @@ def window_matches(prefixes: Column, at: Column, n: Column, h: Column) -> Column
     return F.coalesce(F.pmod(end - F.get(prefixes, at), F.lit(MODULUS)) == _weighed(h, at), F.lit(False))
 
 
+def _opening(tokens: list[Column]) -> Column:
+    """Hash of some tokens in order; null if one is missing."""
+    whole = tokens[0].isNotNull()
+    for t in tokens[1:]:
+        whole = whole & t.isNotNull()
+    return F.when(whole, F.xxhash64(F.lit(len(tokens)), *tokens))
+
+
 def gazetteer_mentions(docs: DataFrame, terms: DataFrame, text_col: str, keep=()) -> DataFrame:
     """Every occurrence of every term: (keep..., entity_text, entity_type).
 
     ``terms`` has (term, label) with terms already lower-cased and single-
-    spaced, of any length. A join of all tokens with the first tokens of terms
-    says where which terms may begin; the places of a text come together with
-    it again, and each possible term is tested by one difference of the text's
-    prefix hashes, whatever its length. What passes is read out and compared
-    with the term. Texts are told by a hash (two texts of one hash only test
-    each other's places in vain); the planner decides from sizes whether terms
-    or places are broadcast. Terms that share a first token are tested one by
-    one where it occurs.
+    spaced, of any length. The opening of a term is its first ``OPENING``
+    tokens (all, if it is shorter). A join of the openings of every place of a
+    text with those of terms says where which lengths may match; a common first
+    word alone says nothing. The places of a text come together with it again,
+    each window of a possible length is read out and compared with the terms.
+    Texts are told by a hash (two texts of one hash only test each other's
+    places in vain); the planner decides from sizes whether terms or places are
+    broadcast. Terms that share an opening cost a window for each of their
+    lengths, not one each.
     """
     words = F.split("term", " ")
-    keyed = terms.select(
-        F.get(words, F.lit(0)).alias("_token"), F.size(words).alias("n"),
-        F.element_at(prefix_hashes(words), -1).alias("h"))
-    wanted = keyed.groupBy("_token").agg(F.collect_set(F.struct("n", F.pmod("h", F.lit(MODULUS)).alias("h"))).alias("_terms"))
-    texts = docs.select(*keep, token_text(text_col).alias("_joined")).where("_joined <> ''")
-    texts = texts.select(*keep, F.xxhash64("_joined").alias("_text"), F.split("_joined", " ").alias("_tokens"))
-    places = (texts.select("_text", F.posexplode("_tokens").alias("at", "_token")).join(wanted, "_token")
-              .groupBy("_text").agg(F.collect_set(F.struct("at", "_terms")).alias("_places")))
-
-    def said(tokens: Column, prefixes: Column, place: Column) -> Column:
-        fits = F.filter(place["_terms"], lambda t: window_matches(prefixes, place["at"], t["n"], t["h"]))
-        return F.transform(fits, lambda t: F.array_join(F.slice(tokens, place["at"] + 1, t["n"]), " "))
-
-    found = let(prefix_hashes(F.col("_tokens")), lambda p: F.flatten(F.transform(
-        "_places", lambda place: said(F.col("_tokens"), p, place))))
-    spoken = texts.join(places, "_text").select(*keep, F.explode(found).alias("_said"))
+    n = F.size(words)
+    opening = F.coalesce(*[F.when(n >= k, _opening([F.get(words, F.lit(i)) for i in range(k)]))
+                           for k in range(OPENING, 0, -1)])
+    wanted = (terms.where("term <> ''").select(opening.alias("_opening"), n.alias("n"))
+              .groupBy("_opening").agg(F.collect_set("n").alias("_lengths")))
+    # A filter for texts without words would tokenise twice; no term is empty.
+    texts = docs.select(*keep, token_text(text_col).alias("_joined")).select(
+        *keep, "_joined", F.xxhash64("_joined").alias("_text"))
+    cut = F.split("_joined", " ").alias("_tokens")
+    # Each token beside those that follow it; past the end they are null.
+    size = F.size("_tokens")
+    beside = F.arrays_zip(*[F.slice("_tokens", F.lit(k + 1), size).alias(f"t{k}") for k in range(OPENING)])
+    near = [F.col(f"_near.t{k}") for k in range(OPENING)]
+    places = (texts.select("_text", cut).select("_text", F.posexplode(beside).alias("at", "_near"))
+              .select("_text", "at", F.explode(F.array(*[_opening(near[:k]) for k in range(1, OPENING + 1)])).alias("_opening"))
+              .join(wanted, "_opening")
+              .groupBy("_text").agg(F.collect_set(F.struct("at", "_lengths")).alias("_places")))
+
+    def said(place: Column) -> Column:
+        fits = F.filter(place["_lengths"], lambda k: place["at"] + k <= size)
+        return F.transform(fits, lambda k: F.array_join(F.slice("_tokens", place["at"] + 1, k), " "))
+
+    found = F.flatten(F.transform("_places", said))
+    spoken = texts.join(places, "_text").select(*keep, cut, "_places").select(*keep, F.explode(found).alias("_said"))
     return spoken.join(terms, F.col("_said") == F.col("term")).select(
         *keep, F.col("term").alias("entity_text"), F.col("label").alias("entity_type"))
 
