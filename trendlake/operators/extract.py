@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.arrays import let, running_sums
+from ..functions.arrays import running_sums
 from ..functions.dates import to_date_text
 
 # ---- rules of the pattern extractor ----------------------------------------
