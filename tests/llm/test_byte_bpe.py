@@ -2,6 +2,7 @@ import hashlib
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -59,3 +60,20 @@ def test_documents(make_docs, library):
         assert r.decoded_sha256 == hashlib.sha256((want[r.doc_id] or "").encode()).hexdigest()
     assert len(got) == len(rows)
     assert byte_bpe.encode_documents(make_docs([]), FILE, public_tokenizers.PATTERN).count() == 0
+
+
+def test_workers_keep_nothing_after_a_task(make_docs, spark):
+    rows = [(i, f"piece{i} of text") for i in range(40)]
+    byte_bpe.encode_documents(make_docs(rows), FILE, public_tokenizers.PATTERN).collect()
+
+    def kept(batches):
+        import gc
+        import sys
+        for _ in batches:
+            pass
+        module = sys.modules.get("trendlake.llm.byte_bpe")
+        yield pa.RecordBatch.from_pydict(
+            {"n": [sum(isinstance(x, module.MergeReplay) for x in gc.get_objects()) if module else 0]})
+
+    idle = spark.range(0, 64, 1, 8).mapInArrow(kept, "n bigint").collect()
+    assert [r.n for r in idle] == [0] * 8

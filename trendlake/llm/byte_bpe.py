@@ -29,7 +29,8 @@ from .common import releasing, ship
 # Distinct pieces a task remembers between batches; beyond it the memory
 # starts anew (the ids of a piece never depend on what is remembered).
 MEMORY_PIECES = 150_000
-REPLAY_BYTES = 2_000_000   # bytes of new pieces replayed together
+BLOCK_CHARS = 1_000_000    # text that stands in memory as pieces and ids
+REPLAY_BYTES = 500_000     # bytes of new pieces replayed together
 MEMORY_PAIRS = 300_000     # ranks of token pairs remembered
 
 _NONE = -1
@@ -286,19 +287,7 @@ class MergeReplay:
         return b"".join([tokens[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
 
 
-_replays: dict[int, MergeReplay] = {}
-
-
-def _replay_for(ranks) -> MergeReplay:
-    """One replay object for each worker and vocabulary."""
-    lines, pattern = ranks.value
-    key = hash((lines, pattern))
-    if key not in _replays:
-        _replays[key] = MergeReplay(lines, pattern)
-    return _replays[key]
-
-
-def _blocks(texts: pa.Array, limit: int = 2_000_000) -> Iterator[list[str]]:
+def _blocks(texts: pa.Array, limit: int = BLOCK_CHARS) -> Iterator[list[str]]:
     block, size = [], 0
     for value in texts:
         block.append(value.as_py() or "")
@@ -329,7 +318,9 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str
         schema += ", ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay = _replay_for(ranks)
+        # A replay lives as long as its task: a worker lives on idle after it, and
+        # what it keeps counts against the executor in all later stages.
+        replay = MergeReplay(*ranks.value)
         for batch in batches:
             # a block of texts at a time, so that a batch never stands in memory
             # as text, pieces and ids together

@@ -73,7 +73,7 @@ def _powers(n: int, cache: list = [np.ones(1, dtype=np.uint64), np.ones(1, dtype
             ) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, modulo 2**64."""
     if len(cache[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         for i, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
