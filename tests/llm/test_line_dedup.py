@@ -89,3 +89,19 @@ def test_words_are_hashed_alike_wherever_they_stand(monkeypatch):
     assert whole[0].tolist() == cut[0].tolist() and whole[1].tolist() == cut[1].tolist()
     h = whole[0].tolist()
     assert h[0] == h[2] == h[6] and h[1] == h[5] and len(set(h)) == 4
+
+
+def test_rows_travel_packed(monkeypatch):
+    rows = random_rows(60, 5)
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["d", "t"])
+    given = list(line_dedup._enter(iter([batch]), line_dedup.Rarity([]), Fraction(4, 5), None))
+    monkeypatch.setattr(line_dedup, "PACK_ROWS", 100)
+    packed = pa.Table.from_batches(line_dedup._packed(iter(given), 7))
+    assert set(packed["part"].to_pylist()) == set(range(7))
+    assert packed.num_rows < sum(b.num_rows for b in given) / 5
+    monkeypatch.setattr(line_dedup, "GROUP_ROWS", 50)
+    back = pa.Table.from_batches(line_dedup._unpacked(iter(packed.sort_by("part").to_batches(max_chunksize=3))))
+    order = [(c, "ascending") for c in back.column_names]
+    assert back.sort_by(order) == pa.Table.from_batches(given).sort_by(order)
+    codes = back["code"].to_pylist()
+    assert len(set(codes)) == sum(a != b for a, b in zip(codes, codes[1:])) + 1    # a code's rows stand together

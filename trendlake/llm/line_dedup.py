@@ -21,6 +21,10 @@ A line needs one verified partner, not all: the ``TRIES`` partners nearest by
 sketch are passed on per row and token. A line none of whose tried partners is verified,
 and which had more, is joined again with all its partners.
 
+Rows travel packed: those of a task that fall into one part of the codes are one
+value, so that neither the shuffle nor its sort handles them one at a time. The
+number of parts grows with the words of the corpus, up to a limit.
+
 A task enters equal sets once, and equal sets of several tasks meet under the
 key of the set: a line that a third of all documents repeat is one set, of
 which only the first line takes part in the join.
@@ -57,6 +61,9 @@ SMALL_SET = 64              # sets up to this size have a sketch of 64 bits
 BLOCK_BYTES = 500_000       # text tokenised together
 KNOWN_SETS = 60_000         # sets that a task remembers
 GROUP_ROWS = 120_000        # rows paired together in a task
+PACK_ROWS = 400_000         # rows that a task deals to parts of the codes together
+PART_WORDS = 100_000        # words of the corpus for each part of the codes
+PARTS = (64, 8192)          # of the codes, at least and at most
 PAIR_ROWS = 400_000         # pairs held before they are reduced to the nearest
 FILTER_BITS = 1 << 25       # of the filter for lines that are joined again
 NULL_ID = -(1 << 63)
@@ -228,13 +235,87 @@ def _signatures(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tup
 _ROW = "code bigint, doc bigint, pos int, size int, place int, low bigint, high bigint, key bigint"
 
 
+_KINDS = (np.int64, np.int64, np.int32, np.int32, np.int32, np.int64, np.int64, np.int64)
+
+
 def _rows(columns: list) -> pa.RecordBatch:
-    kinds = (np.int64, np.int64, np.int32, np.int32, np.int32, np.int64, np.int64, np.int64)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(c, dtype=k)) for c, k in zip(columns, kinds)],
+        [pa.array(np.asarray(c, dtype=k)) for c, k in zip(columns, _KINDS)],
         names=["code", "doc", "pos", "size", "place", "low", "high", "key"])
 
 
+_PACK = "part int, rows binary"
+
+
+def _part(codes: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each code, by the upper bits of its hash."""
+    upper = np.where(codes < 0, ~codes >> 42, codes >> (HASH_BITS - 20)) & ((1 << 20) - 1)
+    return (upper * parts >> 20).astype(np.int32)
+
+
+def _packed(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a task, those of each part of the codes as one value: column
+    after column, of each the first bytes of all numbers, then the second, and
+    so on, as the upper ones are mostly zero."""
+    held: list[list[np.ndarray]] = []
+    count = 0
+
+    def dealt() -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate([h[c] for h in held]) for c in range(8)]
+        held.clear()
+        part = _part(columns[0], parts)
+        order = np.lexsort((columns[0], part))
+        part = part[order]
+        for c in range(8):
+            columns[c] = columns[c][order].view(np.uint8).reshape(len(part), -1).T
+        new = np.ones(len(part), dtype=bool)
+        new[1:] = part[1:] != part[:-1]
+        cuts = [*np.flatnonzero(new).tolist(), len(part)]
+        for at in range(0, len(cuts) - 1, 128):
+            ends = cuts[at:at + 129]
+            values = [b"".join([c[:, x:y].tobytes() for c in columns]) for x, y in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(part[ends[:-1]]), pa.array(values, pa.binary())],
+                                             names=["part", "rows"])
+
+    for batch in batches:
+        held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in range(8)])
+        count += batch.num_rows
+        if count >= PACK_ROWS:
+            yield from dealt()
+            count = 0
+    if count:
+        yield from dealt()
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by part, a part sorted by code and size; values arrive sorted by part."""
+    held: list[list[np.ndarray]] = [[] for _ in _KINDS]
+    now = None
+
+    def whole() -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(h) for h in held]
+        for h in held:
+            h.clear()
+        order = np.lexsort((columns[3], columns[0]))
+        for at in range(0, len(order), GROUP_ROWS):
+            some = order[at:at + GROUP_ROWS]
+            yield _rows([c[some] for c in columns])
+
+    for batch in batches:
+        for part, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if part != now and held[0]:
+                yield from whole()
+            now = part
+            raw = np.frombuffer(value.as_buffer(), dtype=np.uint8)
+            n, at = len(raw) // sum(np.dtype(k).itemsize for k in _KINDS), 0
+            for h, kind in zip(held, _KINDS):
+                width = np.dtype(kind).itemsize
+                h.append(np.ascontiguousarray(raw[at:at + n * width].reshape(width, n).T).view(kind).ravel())
+                at += n * width
+    if held[0]:
+        yield from whole()
+
+
 def _line_in_table(table: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
     slot = (doc ^ (pos.astype(np.int64) * np.int64(_SPREAD))) & np.int64(FILTER_BITS - 1)
     return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
@@ -533,14 +614,16 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     repeated = bit_table(counts.select((F.col("h") % FILTER_BITS).alias("slot")))
     rarity = spark.sparkContext.broadcast(Rarity([(r.h, r.n) for r in top], repeated))
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
+    words = counts.agg(F.sum("n")).first()[0] or 0
+    parts = min(max(words // PART_WORDS, PARTS[0]), PARTS[1])
 
     def partners(wanted=None, tries: int | None = tries, asked=None) -> DataFrame:
         bits = wanted
         rows = texts.mapInArrow(releasing(
-            lambda it: _enter(it, rarity.value, t, bits.value if bits is not None else None)), _ROW)
-        return (rows.repartition("code").sortWithinPartitions("code", "size")
+            lambda it: _packed(_enter(it, rarity.value, t, bits.value if bits is not None else None), parts)), _PACK)
+        return (rows.repartition("part").sortWithinPartitions("part")
                 .mapInArrow(releasing(lambda it: _partners(
-                    it, t, tries, asked.value if asked is not None else None)), _PAIR))
+                    _unpacked(it), t, tries, asked.value if asked is not None else None)), _PAIR))
 
     found = materialize(partners(), "partners")
     unsure = found.where(~F.col("sure")).groupBy("doc", "pos", "mdoc", "mpos").agg(F.max("more").alias("more"))
