@@ -34,5 +34,6 @@ def test_queries_match_their_sql(spark):
         want = con.sql(sql).df()
         columns = sorted(got.columns)
         assert columns == sorted(want.columns), name
-        key = lambda df: sorted(map(tuple, df[columns].astype(object).where(df[columns].notna(), None).values.tolist()))
+        key = lambda df: sorted(map(tuple, df[columns].astype(object).where(df[columns].notna(), None).values.tolist()),
+                                key=lambda row: [(v is not None, v) for v in row])     # a null sorts first
         assert key(got) == key(want), name
