@@ -105,3 +105,50 @@ def test_rows_travel_packed(monkeypatch):
     assert back.sort_by(order) == pa.Table.from_batches(given).sort_by(order)
     codes = back["code"].to_pylist()
     assert len(set(codes)) == sum(a != b for a, b in zip(codes, codes[1:])) + 1    # a code's rows stand together
+
+
+def entered(rows):
+    """Rows of the join, sorted by code and size."""
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["d", "t"])
+    given = line_dedup._enter(iter([batch]), line_dedup.Rarity([]), Fraction(4, 5), None)
+    return pa.Table.from_batches(given).sort_by([("code", "ascending"), ("size", "ascending")])
+
+
+def test_packed_rows_are_narrow():
+    rng = random.Random(3)
+    table = entered([(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(40))) for i in range(4000)])
+    packed = pa.Table.from_batches(line_dedup._packed(iter(table.to_batches()), 16))
+    assert packed.nbytes < 30 * table.num_rows      # 52 as plain numbers
+
+
+def test_a_pair_is_found_at_the_first_tokens_it_shares():
+    words = [f"w{i}" for i in range(20)]
+    table = entered([(1, " ".join(words)), (2, " ".join(words[:-1] + ["other"]))])
+    batches = line_dedup._partners(iter(table.to_batches()), Fraction(4, 5), 32)
+    # 18 words must be common, so the first of them is among the first three.
+    assert 1 <= sum(b.num_rows for b in batches) <= 3
+
+
+def test_lines_are_joined_again_among_kept_rows(monkeypatch):
+    t = Fraction(4, 5)
+    table = entered(random_rows(120, 4))
+    pairs = lambda b: set(zip(*(b.column(i).to_pylist() for i in range(4))))
+    every = set().union(*map(pairs, line_dedup._partners(iter(table.to_batches()), t, None)))
+    monkeypatch.setattr(line_dedup, "GROUP_ROWS", 200)
+    cut = pa.Table.from_batches(line_dedup._partners(iter(table.to_batches(max_chunksize=90)), t, 1))
+    more = {(r["doc"], r["pos"]) for r in cut.to_pylist() if r["more"]}
+    again = set()
+    for n, value in zip(cut["n"].to_pylist(), cut["rows"]):
+        if n is not None:
+            asked = line_dedup.np.full(line_dedup.FILTER_BITS // 8, 255, dtype="uint8")
+            for b in line_dedup._pair_up(line_dedup._columns(value, n, line_dedup._KINDS), t, None, asked):
+                again |= pairs(b)
+    first = {(r["doc"], r["pos"], r["mdoc"], r["mpos"]) for r in cut.to_pylist() if r["n"] is None}
+    assert more and {p for p in every if p[:2] in more} <= first | again
+
+
+def test_token_counts(make_docs):
+    rows = [(1, "a b a\nc"), (2, "B d"), (3, None), (4, "")]
+    counts = {r.h: r.n for r in line_dedup.token_counts(make_docs(rows), "text", 2).collect()}
+    a, b = line_dedup.hash_words(b"a b")[0].tolist()
+    assert counts == {a: 2, b: 2}

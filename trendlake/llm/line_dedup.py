@@ -13,22 +13,28 @@ Matching sets share a token among their first ``n - ceil(threshold * n) + 1``
 (prefix filter), so each set is entered under these only, less those that occur
 once in the corpus (a bit table of fixed size knows most of them). Within a token, rows
 sorted by size are paired under the length filter, the positional filter and a
-parity sketch of 128 bits, whose differing bits bound the set difference from
+parity sketch of 64 or 128 bits, whose differing bits bound the set difference from
 below. None of them loses a match. Pairs that remain are verified on the words
 of the two lines.
 
 A line needs one verified partner, not all: the ``TRIES`` partners nearest by
-sketch are passed on per row and token. A line none of whose tried partners is verified,
-and which had more, is joined again with all its partners.
+sketch are passed on per row and token, and the rows of a token of which one had
+more are kept. A line none of whose tried partners is verified, and which had more,
+is joined again with all its partners, among the kept rows.
 
 Rows travel packed: those of a task that fall into one part of the codes are one
-value, so that neither the shuffle nor its sort handles them one at a time. The
-number of parts grows with the words of the corpus, up to a limit.
+value, so that neither the shuffle nor its sort handles them one at a time, and a
+number takes the bytes that its distance from the smallest of the value needs. The
+number of parts grows with the words of the corpus, up to a limit. Token counts
+travel in the same way.
 
 A task enters equal sets once, and equal sets of several tasks meet under the
 key of the set: a line that a third of all documents repeat is one set, of
 which only the first line takes part in the join.
 
+A pair is looked for at the first token that its sets share: what they share stands
+there or after, so a token late in the order of a set finds only few sizes.
+
 Defined results: a null text has no lines to remove and stays null; lines
 without words (empty ones too) match nothing and stay; of lines with the same
 document id and number (repeated rows, or a null id, which counts as the
@@ -45,6 +51,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,13 +63,14 @@ TRIES = 32
 _SPREAD = 2654435761         # spreads line numbers over the bit table
 HASH_BITS = 46              # of a token; 8 more bits of a code are its class
 CODE_BITS = HASH_BITS + 8
+ROW_BITS = 40               # of the code of a row, and of the key of its set
 SLOT_BITS = 18              # slots of the table of classes
 SMALL_SET = 64              # sets up to this size have a sketch of 64 bits
 BLOCK_BYTES = 500_000       # text tokenised together
 KNOWN_SETS = 60_000         # sets that a task remembers
 GROUP_ROWS = 120_000        # rows paired together in a task
 PACK_ROWS = 400_000         # rows that a task deals to parts of the codes together
-PART_WORDS = 100_000        # words of the corpus for each part of the codes
+PART_WORDS = 400_000        # words of the corpus for each part of the codes
 PARTS = (64, 8192)          # of the codes, at least and at most
 PAIR_ROWS = 400_000         # pairs held before they are reduced to the nearest
 FILTER_BITS = 1 << 25       # of the filter for lines that are joined again
@@ -140,23 +148,31 @@ def _blocks(batch: pa.RecordBatch, ids: int | None, texts: int) -> Iterator[tupl
         yield docs, block
 
 
-def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """Columns ``h`` (token hash) and ``n``, over the whole corpus."""
+def _summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct tokens in order, and their counts summed."""
+    order = np.argsort(h)
+    h, n = h[order], n[order]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = h[1:] != h[:-1]
+    return h[new], np.add.reduceat(n, np.flatnonzero(new))
+
+
+def token_counts(docs: DataFrame, text_col: str, least: int = 1) -> DataFrame:
+    """Columns ``h`` (token hash) and ``n``, over the whole corpus, of tokens
+    that occur ``least`` times or more."""
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(max(4 * tasks, PARTS[0]), PARTS[1])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            h, n = (np.concatenate([x[i] for x in held]) for i in (0, 1))
-            order = np.argsort(h, kind="stable")
-            h, n = h[order], n[order]
-            new = np.ones(len(h), dtype=bool)
-            new[1:] = h[1:] != h[:-1]
-            return h[new], np.add.reduceat(n, np.flatnonzero(new))
+            return _summed(*(np.concatenate([x[i] for x in held]) for i in (0, 1)))
 
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])],
-                                              names=["h", "n"])
+        def rows() -> Iterator[pa.RecordBatch]:
+            h, n = held[0]
+            yield from _values((h >> np.uint64(HASH_BITS - 20)).astype(np.int64) * parts >> 20, [h.view(np.int64), n])
 
         for batch in batches:
             for _, block in _blocks(batch, None, 0):
@@ -168,14 +184,22 @@ def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
                     held = [merged()]
                     size = len(held[0][0])
                     if size > 500_000:
-                        yield rows()
+                        yield from rows()
                         held, size = [], 0
         if held:
             held = [merged()]
-            yield rows()
+            yield from rows()
 
-    return (docs.select(text_col).mapInArrow(releasing(run), "h bigint, n bigint")
-            .groupBy("h").agg(F.sum("n").alias("n")))
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h, n in _by_part(batches, (np.int64, np.int64)):
+            h, n = _summed(h, n)
+            h, n = h[n >= least], n[n >= least]
+            for at in range(0, len(h), GROUP_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(h[at:at + GROUP_ROWS]), pa.array(n[at:at + GROUP_ROWS])],
+                                                 names=["h", "n"])
+
+    return (docs.select(text_col).mapInArrow(releasing(run), _PACK).repartition("part").sortWithinPartitions("part")
+            .mapInArrow(releasing(total), "h bigint, n bigint"))
 
 
 class Rarity:
@@ -232,9 +256,6 @@ def _signatures(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tup
     return a, b, np.where(small, low ^ high, low).view(np.int64), np.where(small, zero, high).view(np.int64)
 
 
-_ROW = "code bigint, doc bigint, pos int, size int, place int, low bigint, high bigint, key bigint"
-
-
 _KINDS = (np.int64, np.int64, np.int32, np.int32, np.int32, np.int64, np.int64, np.int64)
 
 
@@ -244,38 +265,89 @@ def _rows(columns: list) -> pa.RecordBatch:
         names=["code", "doc", "pos", "size", "place", "low", "high", "key"])
 
 
-_PACK = "part int, rows binary"
+_PACK = "part int, n int, rows binary"
+
+
+def _values(part: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by part, those of a part as one value: of each column its
+    smallest number and the bytes that the distances from it take, then, column
+    after column, the first bytes of all distances, the second, and so on."""
+    if not len(part):
+        return
+    new = np.ones(len(part), dtype=bool)
+    new[1:] = part[1:] != part[:-1]
+    starts = np.flatnonzero(new)
+    cuts = [*starts.tolist(), len(part)]
+    rows = np.diff(cuts)
+    heads = np.empty((len(starts), 2 * len(columns)), dtype=np.int64)
+    planes = []
+    for c, column in enumerate(columns):
+        column = column.astype(np.int64)
+        least = np.minimum.reduceat(column, starts)
+        # unsigned, as a distance may be beyond 2**63
+        far = (np.maximum.reduceat(column, starts).view(np.uint64) - least.view(np.uint64))
+        width = sum((far >> np.uint64(8 * w) > 0).astype(np.int64) for w in range(8))
+        heads[:, 2 * c], heads[:, 2 * c + 1] = least, width
+        apart = (column.view(np.uint64) - np.repeat(least, rows).view(np.uint64)).view(np.uint8).reshape(-1, 8)
+        planes.append(np.ascontiguousarray(apart[:, :width.max()].T))
+    widths = heads[:, 1::2].tolist()
+    for at in range(0, len(starts), 128):
+        ends = cuts[at:at + 129]
+        values = [b"".join([head.tobytes(), *(p[:w, x:y].tobytes() for p, w in zip(planes, width) if w)])
+                  for head, width, x, y in zip(heads[at:at + 128], widths[at:at + 128], ends, ends[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part[ends[:-1]].astype(np.int32)), pa.array(np.diff(ends).astype(np.int32)),
+             pa.array(values, pa.binary())], names=["part", "n", "rows"])
+
+
+def _columns(value: pa.Scalar, n: int, kinds: tuple) -> list[np.ndarray]:
+    """The ``n`` rows of a value, by column."""
+    raw = np.frombuffer(value.as_buffer(), dtype=np.uint8)
+    at = 16 * len(kinds)
+    heads = raw[:at].view(np.int64).tolist()
+    out = []
+    for kind, least, width in zip(kinds, heads[::2], heads[1::2]):
+        apart = np.zeros((n, 8), dtype=np.uint8)
+        apart[:, :width] = raw[at:at + n * width].reshape(width, n).T
+        out.append((apart.view(np.int64).ravel() + np.int64(least)).astype(kind))
+        at += n * width
+    return out
+
+
+def _by_part(batches: Iterator[pa.RecordBatch], kinds: tuple) -> Iterator[list[np.ndarray]]:
+    """The columns of each part; values arrive sorted by part."""
+    held: list[list[np.ndarray]] = [[] for _ in kinds]
+    now = None
+    for batch in batches:
+        for part, n, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if part != now and held[0]:
+                yield [np.concatenate(h) for h in held]
+                held = [[] for _ in kinds]
+            now = part
+            for h, column in zip(held, _columns(value, n, kinds)):
+                h.append(column)
+    if held[0]:
+        yield [np.concatenate(h) for h in held]
 
 
 def _part(codes: np.ndarray, parts: int) -> np.ndarray:
-    """Part of each code, by the upper bits of its hash."""
-    upper = np.where(codes < 0, ~codes >> 42, codes >> (HASH_BITS - 20)) & ((1 << 20) - 1)
-    return (upper * parts >> 20).astype(np.int32)
+    """Part of each code, by its upper bits."""
+    return (np.where(codes < 0, ~codes, codes) >> (ROW_BITS - 20)) * parts >> 20
 
 
 def _packed(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Rows of a task, those of each part of the codes as one value: column
-    after column, of each the first bytes of all numbers, then the second, and
-    so on, as the upper ones are mostly zero."""
+    """Rows of a task, those of each part of the codes as one value."""
     held: list[list[np.ndarray]] = []
     count = 0
 
     def dealt() -> Iterator[pa.RecordBatch]:
         columns = [np.concatenate([h[c] for h in held]) for c in range(8)]
         held.clear()
-        part = _part(columns[0], parts)
-        order = np.lexsort((columns[0], part))
-        part = part[order]
-        for c in range(8):
-            columns[c] = columns[c][order].view(np.uint8).reshape(len(part), -1).T
-        new = np.ones(len(part), dtype=bool)
-        new[1:] = part[1:] != part[:-1]
-        cuts = [*np.flatnonzero(new).tolist(), len(part)]
-        for at in range(0, len(cuts) - 1, 128):
-            ends = cuts[at:at + 129]
-            values = [b"".join([c[:, x:y].tobytes() for c in columns]) for x, y in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(part[ends[:-1]]), pa.array(values, pa.binary())],
-                                             names=["part", "rows"])
+        order = np.argsort(columns[0])      # codes of a part stand together, as do those of a sign
+        columns = [c[order] for c in columns]
+        cut = np.searchsorted(columns[0], 0)
+        for some in ([c[:cut] for c in columns], [c[cut:] for c in columns]):
+            yield from _values(_part(some[0], parts), some)
 
     for batch in batches:
         held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in range(8)])
@@ -289,50 +361,40 @@ def _packed(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Record
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows by part, a part sorted by code and size; values arrive sorted by part."""
-    held: list[list[np.ndarray]] = [[] for _ in _KINDS]
-    now = None
-
-    def whole() -> Iterator[pa.RecordBatch]:
-        columns = [np.concatenate(h) for h in held]
-        for h in held:
-            h.clear()
-        order = np.lexsort((columns[3], columns[0]))
+    for columns in _by_part(batches, _KINDS):
+        code, size = columns[0], columns[3]
+        room = 63 - ROW_BITS
+        if int(size.max()) < 1 << room:
+            order = np.argsort((code << room) + size)
+        else:
+            order = np.lexsort((size, code))
         for at in range(0, len(order), GROUP_ROWS):
             some = order[at:at + GROUP_ROWS]
             yield _rows([c[some] for c in columns])
 
-    for batch in batches:
-        for part, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if part != now and held[0]:
-                yield from whole()
-            now = part
-            raw = np.frombuffer(value.as_buffer(), dtype=np.uint8)
-            n, at = len(raw) // sum(np.dtype(k).itemsize for k in _KINDS), 0
-            for h, kind in zip(held, _KINDS):
-                width = np.dtype(kind).itemsize
-                h.append(np.ascontiguousarray(raw[at:at + n * width].reshape(width, n).T).view(kind).ravel())
-                at += n * width
-    if held[0]:
-        yield from whole()
-
 
 def _line_in_table(table: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
     slot = (doc ^ (pos.astype(np.int64) * np.int64(_SPREAD))) & np.int64(FILTER_BITS - 1)
     return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
+def _row_codes(codes: np.ndarray) -> np.ndarray:
+    """Upper bits of the hash: rows need no order among codes, and tokens that
+    have them in common only make pairs that are verified."""
+    return ((codes & np.uint64((1 << HASH_BITS) - 1)) >> np.uint64(HASH_BITS - ROW_BITS)).view(np.int64)
+
+
 def _in_table(table: np.ndarray, codes: np.ndarray) -> np.ndarray:
     slot = (codes % np.uint64(FILTER_BITS)).astype(np.int64)
     return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
 def _enter(batches: Iterator[pa.RecordBatch], rarity: Rarity, t: Fraction,
-           wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+           known: int | None = None) -> Iterator[pa.RecordBatch]:
     """Rows of the prefix tokens of all lines, and of each set a row whose code
     is negative: by it equal sets meet, whatever task has read them. A line
     whose set the task has entered from an earlier line makes one row of this
-    kind only, which says so (size 0). With ``wanted`` (a bit table of codes)
-    only rows of wanted codes are made, and of all lines."""
+    kind only, which says so (size 0). ``known`` is how many sets a task remembers."""
     seen: dict[int, tuple[int, int]] = {}
     for batch in batches:
         for docs, block in _blocks(batch, 0, 1):
@@ -344,12 +406,6 @@ def _enter(batches: Iterator[pa.RecordBatch], rarity: Rarity, t: Fraction,
             breaks = np.flatnonzero(np.frombuffer(b"\n".join(block), dtype=np.uint8) == 10)
             line = np.searchsorted(breaks, at)
             codes = rarity.codes(hashes)
-            if wanted is not None:       # lines without a wanted word are passed over
-                some = np.zeros(len(breaks) + 1, dtype=bool)
-                some[line[_in_table(wanted, codes)]] = True
-                codes, line = codes[some[line]], line[some[line]]
-                if not len(codes):
-                    continue
             codes, line = _distinct(codes, line, len(breaks) + 1)
             new = np.ones(len(line), dtype=bool)
             new[1:] = line[1:] != line[:-1]
@@ -359,35 +415,33 @@ def _enter(batches: Iterator[pa.RecordBatch], rarity: Rarity, t: Fraction,
             doc = np.repeat(np.array(docs, dtype=np.int64), counts)[number]
             pos = (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))[number]
             one, two, low, high = _signatures(codes, starts, sizes)
-            key = one.view(np.int64)
+            upper = (one >> np.uint64(64 - ROW_BITS)).view(np.int64)
             entered = np.ones(len(starts), dtype=bool)
-            if wanted is None:
-                both = zip(one.tolist(), two.tolist(), doc.tolist(), pos.tolist())
-                for i, (x, y, d, p) in enumerate(both):
-                    whole = x << 64 | y
-                    first = seen.get(whole)
-                    if first is None or (d, p) < first:
-                        if len(seen) > KNOWN_SETS:
-                            seen.clear()
-                        seen[whole] = (d, p)
-                    elif first < (d, p):
-                        entered[i] = False
-                    # the same id and number again: entered, as neither is earlier
-                yield _rows([-1 - (key >> 1 & np.int64((1 << 62) - 1)), doc, pos, np.where(entered, sizes, 0),
-                             np.zeros(len(doc)), two.view(np.int64), np.zeros(len(doc)), key])
+            both = zip(one.tolist(), two.tolist(), doc.tolist(), pos.tolist())
+            for i, (x, y, d, p) in enumerate(both):
+                whole = x << 64 | y
+                first = seen.get(whole)
+                if first is None or (d, p) < first:
+                    if len(seen) > (known or KNOWN_SETS):
+                        seen.clear()
+                    seen[whole] = (d, p)
+                elif first < (d, p):
+                    entered[i] = False
+                # the same id and number again: entered, as neither is earlier
+            rest = one & np.uint64((1 << (64 - ROW_BITS)) - 1)
+            yield _rows([-1 - upper, doc, pos, np.where(entered, sizes, 0), np.zeros(len(doc)),
+                         two.view(np.int64), np.zeros(len(doc)), rest.view(np.int64)])
             prefix = sizes - -(-t.numerator * sizes // t.denominator) + 1
             of = np.repeat(np.arange(len(starts)), sizes)
             place = np.arange(len(codes)) - starts[of]
             take = (place < prefix[of]) & entered[of]
             take[take] = rarity.shared(codes[take])
-            if wanted is not None:
-                take[take] = _in_table(wanted, codes[take])
-            of, place = of[take], place[take]
+            of, place, code = of[take], place[take], _row_codes(codes[take])
             if len(of):
-                yield _rows([codes[take].view(np.int64), doc[of], pos[of], sizes[of], place, low[of], high[of], key[of]])
+                yield _rows([code, doc[of], pos[of], sizes[of], place, low[of], high[of], upper[of]])
 
 
-_PAIR = "doc bigint, pos int, mdoc bigint, mpos int, sure boolean, more boolean"
+_PAIR = "doc bigint, pos int, mdoc bigint, mpos int, sure boolean, more boolean, n int, rows binary"
 
 
 def _pairs(columns: list, sure: bool, more: np.ndarray) -> pa.RecordBatch:
@@ -395,17 +449,34 @@ def _pairs(columns: list, sure: bool, more: np.ndarray) -> pa.RecordBatch:
     n = len(columns[0])
     return pa.RecordBatch.from_arrays(
         [*(pa.array(np.asarray(c, dtype=k)) for c, k in zip(columns, kinds)),
-         pa.array(np.full(n, sure)), pa.array(more)],
-        names=["doc", "pos", "mdoc", "mpos", "sure", "more"])
+         pa.array(np.full(n, sure)), pa.array(more), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+        names=["doc", "pos", "mdoc", "mpos", "sure", "more", "n", "rows"])
+
+
+def _kept(columns: list) -> pa.RecordBatch:
+    """Rows that may be paired again, as one value in a row without a pair."""
+    (packed,) = _values(np.zeros(len(columns[0])), columns)
+    nothing = [pa.nulls(1, kind) for kind in (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_())]
+    return pa.RecordBatch.from_arrays([*nothing, packed.column(1), packed.column(2)],
+                                      names=["doc", "pos", "mdoc", "mpos", "sure", "more", "n", "rows"])
 
 
 def _pair_up(rows: list[np.ndarray], t: Fraction, tries: int | None, asked: np.ndarray | None
              ) -> Iterator[pa.RecordBatch]:
     """Partners within each code. Rows are sorted by code and size; step k
     compares every row with the k-th after it, while the code is the same and
-    the sizes are near enough. With ``asked`` (a bit table of lines) these lines
-    alone are compared with the rows of their codes."""
-    code, doc, pos, size, place, low, high, key = rows
+    the sizes are near enough. The rows of a code of which one has more than
+    ``tries`` partners are given too. With ``asked`` (a bit table of lines) these
+    lines alone are compared with the rows of their codes."""
+    a, b, c = t.numerator, t.denominator, t.numerator + t.denominator
+    # A row whose neighbours are of another code, or of sizes too far, has no partner.
+    near = (rows[0][1:] == rows[0][:-1]) & (b * rows[3][:-1].astype(np.int64) >= a * rows[3][1:].astype(np.int64))
+    some = np.zeros(len(rows[0]), dtype=bool)
+    some[1:] = near
+    some[:-1] |= near
+    code, doc, pos, size, place, low, high, key = (r[some] for r in rows)
+    if not len(code):
+        return
     # Of equal sets only the first line can be needed, the others are decided.
     # Rows of one id and number stay, as neither is earlier.
     order = np.lexsort((pos, doc, key, size, code))
@@ -415,7 +486,8 @@ def _pair_up(rows: list[np.ndarray], t: Fraction, tries: int | None, asked: np.n
     group = np.cumsum(first) - 1
     lead = np.flatnonzero(first)[group]
     keep = (doc == doc[lead]) & (pos == pos[lead])
-    code, doc, pos, size, place, low, high = (r[keep] for r in (code, doc, pos, size, place, low, high))
+    rows = [r[keep] for r in (code, doc, pos, size, place, low, high, key)]
+    code, doc, pos, size, place, low, high, _ = rows
     n = len(code)
     size, place = size.astype(np.int64), place.astype(np.int64)
     # unsigned: bitwise_count takes the absolute value of signed numbers
@@ -426,31 +498,36 @@ def _pair_up(rows: list[np.ndarray], t: Fraction, tries: int | None, asked: np.n
     when = np.empty(n, dtype=np.int64)
     when[order] = np.cumsum(same)       # equal for rows of one id and number
     folded = low ^ high
+    left = size - place                 # tokens from the row's own on
+    largest = np.minimum(b * size // a, c * left // a - size)    # size of a partner
     tried = np.zeros(n, dtype=np.int64)
-    a, b, c = t.numerator, t.denominator, t.numerator + t.denominator
     found: list[tuple] = []
-    held = 0
+    held, limit = 0, PAIR_ROWS
 
     def nearest() -> tuple:
         """Of each row the ``tries`` partners that are nearest by sketch."""
         y, x, apart = (np.concatenate([f[c] for f in found]) for c in range(3))
         if tries is None:
             return y, x, apart
-        order = np.lexsort((x, apart, y))
-        y, x, apart = y[order], x[order], apart[order]
-        rank = np.arange(len(y)) - np.searchsorted(y, y)
-        return y[rank < tries], x[rank < tries], apart[rank < tries]
+        many = tried[y] > tries
+        few, of = [v[~many] for v in (y, x, apart)], [v[many] for v in (y, x, apart)]
+        order = np.lexsort((of[1], of[2], of[0]))
+        of = [v[order] for v in of]
+        rank = np.arange(len(order)) - np.searchsorted(of[0], of[0])
+        return tuple(np.concatenate([v, w[rank < tries]]) for v, w in zip(few, of))
 
     def compare(i: np.ndarray, j: np.ndarray) -> tuple:
         """Of rows i and j (not smaller) those that pass the filters, as the
-        later row, the earlier row and the bits their sketches differ by."""
-        si, sj, pi, pj = size[i], size[j], place[i], place[j]
+        later row, the earlier row and the bits their sketches differ by. A pair
+        need pass at the first token only that its sets share; from there on it
+        has no more in common than either set has left."""
+        si, sj = size[i], size[j]
         least = -(-a * (si + sj) // c)          # overlap that the threshold needs
-        most = np.minimum(pi, pj) + np.minimum(si - pi, sj - pj)
+        hit = (b * si >= a * sj) & (np.minimum(left[i], left[j]) >= least) & (when[i] != when[j])
+        i, j, si, sj, least = i[hit], j[hit], si[hit], sj[hit], least[hit]
         apart = np.where(si <= SMALL_SET, np.bitwise_count(folded[i] ^ folded[j]),
                          np.bitwise_count(low[i] ^ low[j]) + np.bitwise_count(high[i] ^ high[j])).astype(np.int64)
-        hit = ((b * si >= a * sj) & (most >= least) & (apart <= si + sj - 2 * least)
-               & (when[i] != when[j]))
+        hit = apart <= si + sj - 2 * least
         i, j, apart = i[hit], j[hit], apart[hit]
         swap = when[i] > when[j]
         return np.where(swap, i, j), np.where(swap, j, i), apart
@@ -461,41 +538,48 @@ def _pair_up(rows: list[np.ndarray], t: Fraction, tries: int | None, asked: np.n
             y, x, apart = compare(np.minimum(others, r), np.maximum(others, r))
             found.append((y[y == r], x[y == r], apart[y == r]))
     else:
-        i = np.arange(n - 1)
+        i = np.flatnonzero(largest >= size)
         k = 1
         while len(i):
             i = i[:np.searchsorted(i, n - k)]
-            i = i[(code[i] == code[i + k]) & (b * size[i] >= a * size[i + k])]
+            i = i[(code[i] == code[i + k]) & (size[i + k] <= largest[i])]
             y, x, apart = compare(i, i + k)
             if len(x):
                 found.append((y, x, apart))
                 np.add.at(tried, y, 1)
                 held += len(x)
-                if tries is not None and held > PAIR_ROWS:
+                if tries is not None and held > limit:
                     found = [nearest()]
                     held = len(found[0][0])
+                    limit = max(PAIR_ROWS, 2 * held)
             k += 1
     if found:
         y, x, _ = nearest()
         more = tried[y] > tries if tries is not None else np.zeros(len(y), dtype=bool)
         yield _pairs([doc[y], pos[y], doc[x], pos[x]], False, more)
+    if tries is not None and (tried > tries).any():
+        some = np.isin(code, code[tried > tries])
+        yield _kept([r[some] for r in rows])
 
 
 def _equal_sets(rows: list[np.ndarray]) -> list[np.ndarray]:
     """Of rows with a negative code: those whose set an earlier line has. Rows
     of size 0 are known to be such."""
-    code, doc, pos, size, _, two, _, key = rows
-    order = np.lexsort((pos, doc, two, key))
-    doc, pos, size, two, key = (r[order] for r in (doc, pos, size, two, key))
+    same = rows[0][1:] == rows[0][:-1]
+    some = rows[3] == 0
+    some[1:] |= same
+    some[:-1] |= same
+    code, doc, pos, size, _, two, _, key = (r[some] for r in rows)
+    order = np.lexsort((pos, doc, two, key, code))
+    code, doc, pos, size, two, key = (r[order] for r in (code, doc, pos, size, two, key))
     first = np.ones(len(key), dtype=bool)
-    first[1:] = (key[1:] != key[:-1]) | (two[1:] != two[:-1])
+    first[1:] = (key[1:] != key[:-1]) | (two[1:] != two[:-1]) | (code[1:] != code[:-1])
     lead = np.flatnonzero(first)[np.cumsum(first) - 1]
     gone = (size == 0) | (doc != doc[lead]) | (pos != pos[lead])
     return [doc[gone], pos[gone], doc[lead][gone], pos[lead][gone]]
 
 
-def _partners(batches: Iterator[pa.RecordBatch], t: Fraction, tries: int | None,
-              asked: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+def _partners(batches: Iterator[pa.RecordBatch], t: Fraction, tries: int | None) -> Iterator[pa.RecordBatch]:
     """Rows arrive sorted by code and size. A code is held until the next
     begins; of a code with very many rows, equal sets are reduced to their
     first line, and sizes that no later row can match go."""
@@ -510,7 +594,7 @@ def _partners(batches: Iterator[pa.RecordBatch], t: Fraction, tries: int | None,
                 yield _pairs(gone, True, np.zeros(len(gone[0]), dtype=bool))
             rows = [r[~sets] for r in rows]
         if len(rows[0]):
-            yield from _pair_up(rows, t, tries, asked)
+            yield from _pair_up(rows, t, tries, None)
 
     for batch in batches:
         held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in range(8)])
@@ -569,13 +653,18 @@ def _lines_at(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
         bits = table.value
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                d = NULL_ID if d is None else d
-                lines = (text.as_py() or "").split("\n")
-                for p in np.flatnonzero(_line_in_table(bits, np.int64(d), np.arange(len(lines)))).tolist():
-                    out[0].append(d)
-                    out[1].append(p)
-                    out[2].append(lines[p])
+            ids = pc.fill_null(batch.column(0), NULL_ID).to_numpy(zero_copy_only=False)
+            counts = pc.fill_null(pc.count_substring(batch.column(1), "\n"), 0).to_numpy(zero_copy_only=False) + 1
+            of = np.repeat(np.arange(len(counts)), counts)
+            pos = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+            hit = np.flatnonzero(_line_in_table(bits, ids[of], pos))
+            now, lines = -1, []
+            for r, p in zip(of[hit].tolist(), pos[hit].tolist()):
+                if r != now:
+                    now, lines = r, (batch.column(1)[r].as_py() or "").split("\n")
+                out[0].append(ids[r])
+                out[1].append(p)
+                out[2].append(lines[p])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.string())],
                 names=["doc", "pos", "line"])
@@ -609,7 +698,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     spark = docs.sparkSession
     ship(spark)
     t = Fraction(threshold).limit_denominator(1000)
-    counts = materialize(token_counts(docs, text_col).where("n > 1"), "tokens")
+    counts = materialize(token_counts(docs, text_col, 2), "tokens")
     top = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).collect()
     repeated = bit_table(counts.select((F.col("h") % FILTER_BITS).alias("slot")))
     rarity = spark.sparkContext.broadcast(Rarity([(r.h, r.n) for r in top], repeated))
@@ -617,39 +706,34 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     words = counts.agg(F.sum("n")).first()[0] or 0
     parts = min(max(words // PART_WORDS, PARTS[0]), PARTS[1])
 
-    def partners(wanted=None, tries: int | None = tries, asked=None) -> DataFrame:
-        bits = wanted
-        rows = texts.mapInArrow(releasing(
-            lambda it: _packed(_enter(it, rarity.value, t, bits.value if bits is not None else None), parts)), _PACK)
-        return (rows.repartition("part").sortWithinPartitions("part")
-                .mapInArrow(releasing(lambda it: _partners(
-                    _unpacked(it), t, tries, asked.value if asked is not None else None)), _PAIR))
-
-    found = materialize(partners(), "partners")
-    unsure = found.where(~F.col("sure")).groupBy("doc", "pos", "mdoc", "mpos").agg(F.max("more").alias("more"))
+    rows = texts.mapInArrow(releasing(lambda it: _packed(_enter(it, rarity.value, t), parts)), _PACK)
+    found = materialize(rows.repartition("part").sortWithinPartitions("part")
+                        .mapInArrow(releasing(lambda it: _partners(_unpacked(it), t, tries)), _PAIR), "partners")
+    unsure = materialize(found.where(~F.col("sure")).groupBy("doc", "pos", "mdoc", "mpos")
+                         .agg(F.max("more").alias("more")), "pairs")
     tested = materialize(_verified(unsure, docs, id_col, text_col, t)
                          .groupBy("doc", "pos").agg(F.max("good").alias("good"), F.max("more").alias("more")),
                          "tested")
     gone = found.where("sure").select("doc", "pos").union(tested.where("good").select("doc", "pos"))
     again = tested.where("more AND NOT good").select("doc", "pos")
     if not again.isEmpty():
-        gone = gone.union(_tried_again(again, docs, partners, rarity, t, id_col, text_col))
+        gone = gone.union(_tried_again(again, found, docs, t, id_col, text_col))
     return gone.distinct()
 
 
-def _tried_again(again: DataFrame, docs: DataFrame, partners, rarity, t: Fraction, id_col: str,
+def _tried_again(again: DataFrame, found: DataFrame, docs: DataFrame, t: Fraction, id_col: str,
                  text_col: str) -> DataFrame:
-    """Lines of ``again`` that match any earlier line: joined with all partners
-    that share one of their prefix tokens. A bit table of fixed size lets pass
-    the rows of those tokens (and few others)."""
-    spark = docs.sparkSession
-    chosen = (_lines_at(again, docs, id_col, text_col).join(again, ["doc", "pos"], "left_semi")
-              .select("doc", F.col("line").alias("text")))
-    codes = (chosen.mapInArrow(lambda it: _enter(it, rarity.value, t, None), _ROW)
-             .where("code >= 0").select((F.col("code") % FILTER_BITS).alias("slot")).distinct())
-    table = bit_table(codes)
-    asked = spark.sparkContext.broadcast(bit_table(again.select(_slot(F.col("doc"), F.col("pos")).alias("slot"))))
-    every = partners(spark.sparkContext.broadcast(table), None, asked)
+    """Lines of ``again`` that match any earlier line: joined with all partners,
+    among the rows that were kept of their codes."""
+    asked = docs.sparkSession.sparkContext.broadcast(
+        bit_table(again.select(_slot(F.col("doc"), F.col("pos")).alias("slot"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                yield from _pair_up(_columns(value, n, _KINDS), t, None, asked.value)
+
+    every = found.where("rows IS NOT NULL").select("n", "rows").mapInArrow(releasing(run), _PAIR)
     pairs = materialize(every.join(again, ["doc", "pos"], "left_semi")
                         .groupBy("doc", "pos", "mdoc", "mpos").agg(F.max("more").alias("more")), "again")
     return _verified(pairs, docs, id_col, text_col, t).where("good").select("doc", "pos")
